@@ -214,17 +214,22 @@ def moving_average(y: Column, window: int) -> Column:
 
 def mask_runs(mask: Column) -> Column:
     """Runs of true values in a boolean array as ``array<struct<start, end>>``
-    (half-open ``[start, end)``)."""
-    n = F.size(mask)
-    starts = F.filter(
-        positions(mask),
-        lambda i: mask[i] & F.when(i == 0, F.lit(True)).otherwise(~mask[i - 1]),
-    )
-    ends = F.filter(
-        F.transform(positions(mask), lambda i: i + 1),
-        lambda e: mask[e - 1] & F.when(e == n, F.lit(True)).otherwise(~mask[e]),
-    )
-    return F.arrays_zip(starts.alias("start"), ends.alias("end"))
+    (half-open ``[start, end)``). The mask is bound once (``let``), so an
+    expression passed in is not re-evaluated per element."""
+
+    def body(m):
+        n = F.size(m)
+        starts = F.filter(
+            positions(m),
+            lambda i: m[i] & F.when(i == 0, F.lit(True)).otherwise(~m[i - 1]),
+        )
+        ends = F.filter(
+            F.transform(positions(m), lambda i: i + 1),
+            lambda e: m[e - 1] & F.when(e == n, F.lit(True)).otherwise(~m[e]),
+        )
+        return F.arrays_zip(starts.alias("start"), ends.alias("end"))
+
+    return let(mask, body)
 
 
 def linspace_at(left: Column, right: Column, count: Column, j: Column) -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqprep.functions.arrays import interpolate, rolling_median
-from seqprep.functions.missing import is_finite
+from seqprep.functions.missing import canonical, is_finite
 from seqprep.operators.derive import repair_time_elapsed
 from seqprep.operators.validate import coerce_float, coerce_int, valid_lengths
 from seqprep.plans.quantiles import exact_quantiles
@@ -162,6 +162,25 @@ def clean(
     return out.drop("_valid")
 
 
+def clip(df: DataFrame, bounds, columns: list[str], group_by: list[str] | None = None) -> DataFrame:
+    """Clip canonical sequences (missing → NaN, NaN kept) to fitted bounds."""
+    g = list(group_by or [])
+    st: State = as_state(bounds)
+    aggs = [F.first(F.when(F.col("column") == c, F.struct("lo", "hi")), ignorenulls=True).alias(f"_b_{c}")
+            for c in columns]
+    wide = st.df.groupBy(*g).agg(*aggs) if g else st.df.agg(*aggs).withColumn("_all", F.lit(0))
+    out = df if g else df.withColumn("_all", F.lit(0))
+    out = out.join(st.side_for(wide), on=g or ["_all"], how="left")
+    for c in columns:
+        b = F.col(f"_b_{c}")
+        out = out.withColumn(c, F.transform(canonical(F.col(c)), _clipper(b["lo"], b["hi"])))
+    return out.drop(*[f"_b_{c}" for c in columns], "_all")
+
+
+def _clipper(lo, hi):
+    return lambda x: clip_value(x, lo, hi)
+
+
 def fit_transform(df: DataFrame, config: CleaningConfig | None = None, fit_on: DataFrame | None = None,
                   group_by: list[str] | None = None) -> DataFrame:
     """Fit on ``fit_on`` (default: the table itself), then clean ``df``."""

@@ -193,3 +193,13 @@ def rounded(spark: SparkSession, sf_dir: str, shift_only: bool = False) -> DataF
         lat = F.when(e % 10 == 0, F.round(lat, 3)).otherwise(lat)
         lon = F.when(e % 10 == 0, F.round(lon, 3)).otherwise(lon)
     return seq_type(spark, sf_dir, pts.withColumn("lat", lat).withColumn("lon", lon))
+
+
+def spiky(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``seq_vec`` with +3.0 on the points where (id·7 + pos) % 29 < 2, which
+    makes runs of two adjacent spikes."""
+    df = seq_vec(spark, sf_dir)
+    ident = F.col("id")
+    return df.withColumn(
+        "y", F.transform("y", lambda v, i: F.when((ident * 7 + i) % 29 < 2, v + 3.0).otherwise(v))
+    )
