@@ -1 +1,91 @@
-"""Queries (filled in below)."""
+"""Queries for windows, scoring, metrics and the variant comparison."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from seqprep import oracle_sql as O
+from seqprep.catalog import r6, register, round6
+from seqprep.operators import evaluate, windows
+from seqprep.plans import variants
+from seqprep.sources import fixtures as fx
+
+
+def _window_long(w, with_hr: bool):
+    z = w.select("id", "t", "target", F.posexplode("features").alias("k", "f"))
+    cols = [round6(F.col("f")[0].cast("double")).alias("altitude"), round6(F.col("f")[1].cast("double")).alias("latitude")]
+    if with_hr:
+        cols.append(round6(F.col("f")[2].cast("double")).alias("heart_rate_in"))
+    return z.select("id", "t", F.col("k").cast("long").alias("k"), *cols,
+                    round6(F.col("target").cast("double")).alias("target"))
+
+
+def _window_sql(with_hr: bool) -> str:
+    hr = ", round(CASE WHEN p.pos - 10 + k.k >= 0 THEN q2.hr::FLOAT::DOUBLE ELSE 0.0 END, 6) AS heart_rate_in" if with_hr else ""
+    j2 = "LEFT JOIN pt q2 ON q2.id = p.id AND q2.pos = p.pos - 10 + k.k" if with_hr else ""
+    return O.with_(O.EV, O.pt_type()) + f"""SELECT p.id, p.pos AS t, k.k::BIGINT AS k,
+       round(CASE WHEN p.pos - 9 + k.k >= 0 THEN q.alt::FLOAT::DOUBLE ELSE 0.0 END, 6) AS altitude,
+       round(CASE WHEN p.pos - 9 + k.k >= 0 THEN q.lat::FLOAT::DOUBLE ELSE 0.0 END, 6) AS latitude{hr},
+       round(p.hr::FLOAT::DOUBLE, 6) AS target
+FROM pt p CROSS JOIN (SELECT unnest(range(10)) AS k) k
+LEFT JOIN pt q ON q.id = p.id AND q.pos = p.pos - 9 + k.k {j2}"""
+
+
+@register("w9_windows", _window_sql(False))
+def w9_windows(spark, sf):
+    w = windows.sliding_windows(fx.seq_type(spark, sf), ["altitude", "latitude"], "heart_rate", window_size=10)
+    return _window_long(w, False)
+
+
+@register("w9_windows_lagged", _window_sql(True))
+def w9_windows_lagged(spark, sf):
+    w = windows.sliding_windows(fx.seq_type(spark, sf), ["altitude", "latitude"], "heart_rate",
+                                heartrate_input_column="heart_rate", window_size=10)
+    return _window_long(w, True)
+
+
+@register(
+    "m1_score_windows",
+    O.with_(O.EV, O.pt_type())
+    + """SELECT p.id, p.pos, round(sum(CASE WHEN p.pos - 10 + k.k >= 0 THEN q.hr::FLOAT::DOUBLE ELSE 0.0 END) / 10, 6)
+       AS predicted_heart_rate
+FROM pt p CROSS JOIN (SELECT unnest(range(10)) AS k) k
+LEFT JOIN pt q ON q.id = p.id AND q.pos = p.pos - 10 + k.k GROUP BY p.id, p.pos""",
+)
+def m1_score_windows(spark, sf):
+    df = fx.seq_type(spark, sf)
+    w = windows.sliding_windows(df, ["altitude"], "heart_rate", heartrate_input_column="heart_rate", window_size=10)
+    pred = evaluate.regroup(evaluate.score_windows(w))
+    z = pred.select("id", F.posexplode("predicted_heart_rate").alias("pos", "v"))
+    return z.select("id", F.col("pos").cast("long").alias("pos"), round6(F.col("v")).alias("predicted_heart_rate"))
+
+
+@register(
+    "a6_mae_rmse",
+    O.with_(O.EV, O.pt_type())
+    + """SELECT round(avg(abs(hr - (hr + (e % 7) - 3))), 6) AS mae,
+       round(sqrt(avg((hr - (hr + (e % 7) - 3)) * (hr - (hr + (e % 7) - 3)))), 6) AS rmse,
+       count(*)::BIGINT AS n_points
+FROM pt WHERE n > 1 AND pos >= 1""",
+)
+def a6_mae_rmse(spark, sf):
+    m = evaluate.metrics(fx.scored(spark, sf))
+    return m.select(r6("mae").alias("mae"), r6("rmse").alias("rmse"), "n_points")
+
+
+@register("a7_variant_metrics", None)
+def a7_variant_metrics(spark, sf):
+    m = variants.compare_variants(fx.seq_type(spark, sf))
+    return m.select("variant", r6("mae").alias("mae"), r6("rmse").alias("rmse"), "n_points")
+
+
+@register("m2_fit_regressor", None)
+def m2_fit_regressor(spark, sf):
+    """Linear model on lagged windows; returns its coefficients as rows."""
+    df = fx.seq_type(spark, sf)
+    w = windows.sliding_windows(df, ["altitude", "latitude"], "heart_rate", heartrate_input_column="heart_rate",
+                                window_size=10)
+    model = evaluate.fit_regressor(w)
+    coef = [float(x) for x in model.coefficients.toArray()] + [float(model.intercept)]
+    rows = [(i, v) for i, v in enumerate(coef)]
+    return spark.createDataFrame(rows, "feature long, coefficient double")
