@@ -65,12 +65,13 @@ def require_array_columns(df: DataFrame, columns: Iterable[str]) -> None:
             raise ValueError(f"Column '{c}' must contain arrays, found {fields[c].simpleString()}")
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast and select to a declared schema (missing columns become NULL)."""
+def conform(df: DataFrame, schema: T.StructType, keep: list[str] | None = None) -> DataFrame:
+    """Cast and select to a declared schema (missing columns become NULL);
+    ``keep`` names extra columns to carry (e.g. partition columns)."""
     cols = []
     for f in schema.fields:
         if f.name in df.columns:
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    return df.select(*cols, *(keep or []))
