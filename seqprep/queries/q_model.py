@@ -73,7 +73,50 @@ def a6_mae_rmse(spark, sf):
     return m.select(r6("mae").alias("mae"), r6("rmse").alias("rmse"), "n_points")
 
 
-@register("a7_variant_metrics", None)
+def _variants_sql() -> str:
+    """baseline / corrupted / cleaned heart rate of the valid seq_type rows,
+    each scored by the lagged-mean scorer; only heart rate reaches the
+    metric (standardization and encoding add columns, not rows)."""
+    from seqprep.queries.q_corrupt import normal, plan_sql, u32
+    from seqprep.queries.q_kernels import window_sql
+
+    seed, col = 42, "'heart_rate'"
+    k = """(CASE WHEN varr = 0 THEN 0.0
+            WHEN plus THEN (-2 * cov + sqrt(4 * cov * cov - 4 * varr * ((1 - 4.0) * sg2 * sg2))) / (2 * varr)
+            ELSE (-2 * cov - sqrt(4 * cov * cov - 4 * varr * ((1 - 4.0) * sg2 * sg2))) / (2 * varr) END)"""
+    ctes = [
+        O.EV, O.pt_type(),
+        "bp AS (SELECT id, pos, n, hr FROM pt WHERE n >= 5)",
+        "lens AS (SELECT DISTINCT n::INT AS L FROM bp)",
+        plan_sql("lens", [(0.2, 2)], seed),
+        f"""cp AS (SELECT bp.id, bp.pos, bp.n, bp.hr AS x,
+               CASE WHEN pm.inplan THEN {normal(seed, 'bp.id', col, 'bp.pos')} ELSE 0.0 END AS r
+           FROM bp JOIN pmask pm ON pm.L = bp.n AND pm.pos = bp.pos)""",
+        f"""cs AS (SELECT id, var_pop(r) AS varr, covar_pop(x, r) AS cov,
+               CASE WHEN stddev_pop(x) = 0 THEN (CASE WHEN avg(abs(x)) > 0 THEN avg(abs(x)) ELSE 1.0 END)
+                    ELSE stddev_pop(x) END AS sg2,
+               any_value({u32(seed, 'id', col, "'coin'")} < 2147483648) AS plus FROM cp GROUP BY id)""",
+        f"cor AS (SELECT cp.id, cp.pos, cp.n, cp.x + {k} * cp.r AS hr FROM cp JOIN cs USING (id))",
+        """cb AS (SELECT quantile_cont(hr, 0.005) AS lo, quantile_cont(hr, 0.995) AS hi FROM cor
+               WHERE NOT isnan(hr) AND NOT isinf(hr))""",
+        """cc AS (SELECT id, pos, n, CASE WHEN hr < cb.lo THEN cb.lo WHEN hr > cb.hi THEN cb.hi ELSE hr END AS z
+               FROM cor, cb)""",
+        f"cln AS ({window_sql('cc', 'z', 3, 'median({v})', 'hr')})",
+        """allv AS (SELECT 'baseline' AS variant, id, pos, hr FROM bp
+                 UNION ALL SELECT 'corrupted', id, pos, hr FROM cor
+                 UNION ALL SELECT 'cleaned', id, pos, hr FROM cln)""",
+        """pr AS (SELECT p.variant, p.id, p.pos, any_value(p.hr) AS hr,
+                  sum(CASE WHEN p.pos - 10 + k.k >= 0 THEN q.hr::FLOAT::DOUBLE ELSE 0.0 END) / 10 AS pred
+           FROM allv p CROSS JOIN (SELECT unnest(range(10)) AS k) k
+           LEFT JOIN allv q ON q.variant = p.variant AND q.id = p.id AND q.pos = p.pos - 10 + k.k
+           GROUP BY p.variant, p.id, p.pos)""",
+    ]
+    return O.with_(*ctes) + """SELECT variant, round(avg(abs(hr - pred)), 6) AS mae,
+       round(sqrt(avg((hr - pred) * (hr - pred))), 6) AS rmse, count(*)::BIGINT AS n_points
+FROM pr WHERE pos >= 1 GROUP BY variant"""
+
+
+@register("a7_variant_metrics", _variants_sql())
 def a7_variant_metrics(spark, sf):
     m = variants.compare_variants(fx.seq_type(spark, sf))
     return m.select("variant", r6("mae").alias("mae"), r6("rmse").alias("rmse"), "n_points")
