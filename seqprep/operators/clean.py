@@ -131,32 +131,24 @@ def clean(
             for c in cfg.seq_float_cols
         ]
     )
-    if not g:  # one bounds row for the whole table: join on a constant key
-        wide = wide.withColumn("_all", F.lit(0))
-        out = out.withColumn("_all", F.lit(0))
-    out = out.join(st.side_for(wide), on=g or ["_all"], how="left")
+    if g:
+        out = out.join(st.side_for(wide), on=g, how="left")
+    else:  # one bounds row for the whole table: scalar subqueries, no join
+        out = out.withColumns({f"_b_{c}": wide.select(f"_b_{c}").scalar() for c in cfg.seq_float_cols})
 
+    # one projection per stage (each stage reads the previous one's columns)
     smooth = set(cfg.smoothing()) if cfg.smooth else set()
-    for c in cfg.seq_float_cols:
-        b = F.col(f"_b_{c}")
-        out = out.withColumn(c, coerce_float(F.col(c), df.schema[c].dataType))
-        if cfg.impute:
-            out = out.withColumn(c, interpolate(F.col(c)))
-        med = b["median"]
-        fill = F.when(F.isnan(med) | med.isNull(), F.lit(0.0)).otherwise(med)
-        y = F.col(c)
-        filled = F.when((F.size(y) > 0) & ~F.exists(y, is_finite), F.transform(y, lambda x: fill)).otherwise(y)
-        if cfg.clip:
-            lo, hi = b["lo"], b["hi"]
-            filled = F.transform(filled, lambda x: clip_value(x, lo, hi))
-        out = out.withColumn(c, filled)
-        if c in smooth:
-            out = out.withColumn(c, rolling_median(F.col(c), cfg.smooth_window))
-    for c in cfg.seq_int_cols:
-        out = out.withColumn(c, coerce_int(F.col(c), df.schema[c].dataType))
+    floats = cfg.seq_float_cols
+    out = out.withColumns({c: coerce_float(F.col(c), df.schema[c].dataType) for c in floats})
+    if cfg.impute:
+        out = out.withColumns({c: interpolate(F.col(c)) for c in floats})
+    out = out.withColumns({c: _fill_and_clip(F.col(c), F.col(f"_b_{c}"), cfg.clip) for c in floats})
+    if smooth:
+        out = out.withColumns({c: rolling_median(F.col(c), cfg.smooth_window) for c in floats if c in smooth})
+    out = out.withColumns({c: coerce_int(F.col(c), df.schema[c].dataType) for c in cfg.seq_int_cols})
     if "time_elapsed" in out.columns and "timestamp" in out.columns:
         out = repair_time_elapsed(out)
-    out = out.drop(*[f"_b_{c}" for c in cfg.seq_float_cols], "_all")
+    out = out.drop(*[f"_b_{c}" for c in cfg.seq_float_cols])
     if valid_flag:
         return out.withColumnRenamed("_valid", valid_flag)
     return out.drop("_valid")
@@ -168,19 +160,32 @@ def clip(df: DataFrame, bounds, columns: list[str], group_by: list[str] | None =
     st: State = as_state(bounds)
     aggs = [F.first(F.when(F.col("column") == c, F.struct("lo", "hi")), ignorenulls=True).alias(f"_b_{c}")
             for c in columns]
-    wide = st.df.groupBy(*g).agg(*aggs) if g else st.df.agg(*aggs).withColumn("_all", F.lit(0))
-    out = df if g else df.withColumn("_all", F.lit(0))
-    out = out.join(st.side_for(wide), on=g or ["_all"], how="left")
-    for c in columns:
-        b = F.col(f"_b_{c}")
-        out = out.withColumn(c, F.transform(canonical(F.col(c)), _clipper(b["lo"], b["hi"])))
-    return out.drop(*[f"_b_{c}" for c in columns], "_all")
+    if g:
+        out = df.join(st.side_for(st.df.groupBy(*g).agg(*aggs)), on=g, how="left")
+    else:
+        wide = st.df.agg(*aggs)
+        out = df.withColumns({f"_b_{c}": wide.select(f"_b_{c}").scalar() for c in columns})
+    out = out.withColumns(
+        {c: F.transform(canonical(F.col(c)), _clipper(F.col(f"_b_{c}")["lo"], F.col(f"_b_{c}")["hi"])) for c in columns}
+    )
+    return out.drop(*[f"_b_{c}" for c in columns])
 
 
 def _clipper(lo, hi):
     return lambda x: clip_value(x, lo, hi)
 
 
+def _fill_and_clip(y, b, do_clip: bool):
+    """All-missing (non-empty) sequences take the median (0.0 without one);
+    then clip to the bounds, NaN kept."""
+    med = b["median"]
+    fill = F.when(F.isnan(med) | med.isNull(), F.lit(0.0)).otherwise(med)
+    filled = F.when((F.size(y) > 0) & ~F.exists(y, is_finite), F.transform(y, lambda x: fill)).otherwise(y)
+    if do_clip:
+        return F.transform(filled, _clipper(b["lo"], b["hi"]))
+    return filled
+
+
 def fit_transform(df: DataFrame, config: CleaningConfig | None = None, fit_on: DataFrame | None = None,
                   group_by: list[str] | None = None) -> DataFrame:
     """Fit on ``fit_on`` (default: the table itself), then clean ``df``."""

@@ -125,10 +125,15 @@ def _root(A: Column, B: Column, C: Column, plus: Column, what: str) -> Column:
     )
 
 
-def constant_array(x: Column, mask: Column, L: Column, S: Column, scale: float, plus: Column) -> Column:
+def _squared(scale) -> Column | float:
+    return scale * scale if isinstance(scale, Column) else float(scale) ** 2
+
+
+def constant_array(x: Column, mask: Column, L: Column, S: Column, scale, plus: Column) -> Column:
     """Constant-noise result for one row (see module doc). ``S == L`` cannot
-    reach the target std and fails; sigma 0 uses mean(|x|) or 1 as base."""
-    s2 = float(scale) ** 2
+    reach the target std and fails; sigma 0 uses mean(|x|) or 1 as base.
+    ``scale`` is a number or a column."""
+    s2 = _squared(scale)
     mu = seq_mean(x)
 
     def with_mu(m):
@@ -154,10 +159,11 @@ def noise_array(row_id: Column, column: str, seed: int, mask: Column) -> Column:
     return F.transform(mask, lambda m, i: F.when(m, rng.normal(seed, row_id, column, i)).otherwise(F.lit(0.0)))
 
 
-def random_array(x: Column, R: Column, scale: float, plus: Column) -> Column:
+def random_array(x: Column, R: Column, scale, plus: Column) -> Column:
     """Random-noise result for one row: ``x + k·R`` with ``k`` solving
-    ``Var(R)k² + 2Cov(x,R)k + (1−s²)σ² = 0``; ``Var(R) = 0`` leaves x unchanged."""
-    s2 = float(scale) ** 2
+    ``Var(R)k² + 2Cov(x,R)k + (1−s²)σ² = 0``; ``Var(R) = 0`` leaves x unchanged.
+    ``scale`` is a number or a column."""
+    s2 = _squared(scale)
 
     def with_means(mm):
         mx, mr = mm["mx"], mm["mr"]

@@ -20,7 +20,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqprep.functions.missing import NAN
 from seqprep.operators.corrupt import (
     _check_args,
     _coin,
@@ -89,21 +88,20 @@ def inject(
         F.col("L").alias("_L"), F.col("fraction"), F.col("k").alias("num_segments"),
         F.col("S").alias("_S"), F.col("mask").alias("_mask")))
     a = a.join(side, on=["_L", "fraction", "num_segments"], how="left")
-    outs = []
-    for scale in std_scales:
-        o = a.withColumn("std_scale", F.lit(float(scale)))
-        for c in columns:
-            x = F.col(c).cast("array<double>")
-            coin = _coin(seed, F.col(id_col), prefix + c)
-            const = constant_array(x, F.col("_mask"), F.col("_L"), F.col("_S"), scale, coin)
-            o = o.withColumn("_R", noise_array(F.col(id_col), prefix + c, seed, F.col("_mask")))
-            rand = random_array(x, F.col("_R"), scale, coin)
-            o = o.withColumn(prefix + c, F.when(F.col("method") == "constant", const).otherwise(rand)).drop("_R")
-        outs.append(o)
-    res = outs[0]
-    for o in outs[1:]:
-        res = res.unionByName(o)
-    return res.drop("_L", "_S", "_mask")
+    # noise is drawn once per row and column; the scales are generated in
+    # the same pass (one scan of the input, one plan join)
+    a = a.withColumns({f"_R_{c}": noise_array(F.col(id_col), prefix + c, seed, F.col("_mask")) for c in columns})
+    a = a.withColumn("std_scale", F.explode(F.array(*[F.lit(float(s)) for s in std_scales])))
+    scale = F.col("std_scale")
+    outs = {}
+    for c in columns:
+        x = F.col(c).cast("array<double>")
+        coin = _coin(seed, F.col(id_col), prefix + c)
+        const = constant_array(x, F.col("_mask"), F.col("_L"), F.col("_S"), scale, coin)
+        rand = random_array(x, F.col(f"_R_{c}"), scale, coin)
+        outs[prefix + c] = F.when(F.col("method") == "constant", const).otherwise(rand)
+    a = a.withColumns(outs)
+    return a.drop("_L", "_S", "_mask", *[f"_R_{c}" for c in columns])
 
 
 def audit(df: DataFrame, columns: Sequence[str] = ("longitude",), prefix: str = "erroneous_",
@@ -130,4 +128,4 @@ def audit(df: DataFrame, columns: Sequence[str] = ("longitude",), prefix: str =
     return out.groupBy(*group_cols).agg(F.count(F.lit(1)).cast("long").alias("n"), *aggs)
 
 
-__all__ = ["assign_injection", "inject", "audit", "injection_band", "NAN"]
+__all__ = ["assign_injection", "inject", "audit", "injection_band"]

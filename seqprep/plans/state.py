@@ -10,6 +10,8 @@ size is under the limit is broadcast; a larger one is joined by shuffle.
 
 from __future__ import annotations
 
+import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -58,9 +60,16 @@ class State:
 
 
 def materialize(df: DataFrame) -> State:
-    """Write a (small) state table through a reliable checkpoint and count it."""
-    ensure_checkpoint_dir(df.sparkSession)
-    saved = df.checkpoint(eager=True)
+    """Write a state table as Parquet into the session's checkpoint folder,
+    read it back and count it (one job to write; the count reads footers).
+
+    A written table -- not an RDD checkpoint, which computes the plan once
+    for the action and again to write it -- cuts the lineage, survives the
+    loss of executors, and later readers load only the columns they use."""
+    folder = ensure_checkpoint_dir(df.sparkSession)
+    path = os.path.join(folder, f"state-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    saved = df.sparkSession.read.parquet(path)
     return State(saved, saved.count())
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from seqprep.operators import clean, corrupt, derive, encode, evaluate, scale, split, validate, windows
 from seqprep.plans.state import State, materialize
+from seqprep.sources.io import write_scratch_table
 from seqprep.sources.schema import STANDARDIZED_COLUMNS, require_columns
 
 ENCODED = ["userId", "sport", "gender"]
@@ -60,15 +61,17 @@ def predict(df: DataFrame, window_size: int = 10, scorer=evaluate.lagged_mean_sc
 
 
 def build_variants(base: DataFrame, std_scale: float = 2.0, seed: int = 42) -> dict[str, DataFrame]:
-    """baseline, corrupted (random noise on heart rate, speed, altitude), cleaned."""
-    corrupted = corrupt.corrupt(base, method="random", std_scale=std_scale, seed=seed)
+    """baseline, corrupted (random noise on heart rate, speed, altitude), cleaned.
+    The corrupted table feeds three passes (bounds fit, cleaning, scoring), so
+    it is written once as a table instead of being recomputed."""
+    corrupted = write_scratch_table(corrupt.corrupt(base, method="random", std_scale=std_scale, seed=seed))
     cleaned = clean.fit_transform(corrupted)
     return {"baseline": base, "corrupted": corrupted, "cleaned": cleaned}
 
 
 def compare_variants(raw: DataFrame, std_scale: float = 2.0, seed: int = 42) -> DataFrame:
     """MAE / RMSE / points per variant, sorted by variant name."""
-    base = prepare_base(raw)
+    base = write_scratch_table(prepare_base(raw))  # read by every later pass
     fitted = fit_state(base)
     scored = {k: predict(preprocess(v, fitted)) for k, v in build_variants(base, std_scale, seed).items()}
     return evaluate.variant_metrics(scored)
