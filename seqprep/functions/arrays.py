@@ -8,6 +8,11 @@ Higher-order functions are interpreted, not compiled, and a sub-expression
 that appears inside a lambda is evaluated again for every element. ``let``
 binds a value once per row and hands it to a lambda; kernels use it for every
 shared sub-expression (sorted copies, padded copies, valid positions).
+
+The large kernels (interpolation, fills, rolling statistics, runs) take a
+column name or SQL expression and are emitted as one SQL expression
+(``seqprep.functions.sqlx``): one call to build, instead of hundreds of
+driver-to-JVM calls for a nested Column tree.
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from seqprep.functions import sqlx as S
 from seqprep.functions.missing import NAN, is_finite
 
 
@@ -95,16 +101,14 @@ def median_sorted(s: Column) -> Column:
     )
 
 
-def nan_median(seq: Column) -> Column:
+def nan_median(seq: str) -> Column:
     """Median of the finite points (NumPy ``nanmedian``); NaN when none."""
-    return let(F.array_sort(F.filter(seq, is_finite)), median_sorted)
+    return F.expr(S.nan_median(seq))
 
 
-def median(seq: Column) -> Column:
+def median(seq: str) -> Column:
     """NumPy ``median``: NaN as soon as one point is NaN."""
-    return F.when(F.exists(seq, lambda x: F.isnan(x)), NAN()).otherwise(
-        let(F.array_sort(seq), median_sorted)
-    )
+    return F.expr(S.median(seq))
 
 
 # --------------------------------------------------------------------------
@@ -116,120 +120,36 @@ def lag_diff(seq: Column, first: Column) -> Column:
     return F.transform(seq, lambda x, i: F.when(i == 0, first).otherwise(x - seq[i - 1]))
 
 
-def valid_positions(y: Column) -> Column:
-    """Positions of finite points of a canonical (NaN = missing) sequence."""
-    return F.filter(positions(y), lambda i: ~F.isnan(y[i]))
-
-
-def _gap_fill(y: Column, v: Column, fill: Callable[[Column, Column, Column], Column]) -> Column:
-    """Fill the missing points of ``y`` from the list ``v`` of valid positions.
-
-    For each pair of consecutive valid positions ``a < b`` emit ``y[a]`` and
-    the filled points ``a+1 … b-1`` (``fill(a, b, j)``); repeat the first valid
-    value before ``v[0]`` and the last one from ``v[-1]`` on. O(n) per row.
-    No valid point, or nothing missing: ``y`` unchanged.
-    """
-    n = F.size(y)
-    m = F.size(v)
-    first = v[0]
-    last = F.element_at(v, -1)
-    head = F.array_repeat(y[first], first)
-    tail = F.array_repeat(y[last], n - last)
-    middle = F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), m - 2),
-            lambda k: F.transform(F.sequence(v[k], v[k + 1] - 1), lambda j: fill(v[k], v[k + 1], j)),
-        )
-    )
-    return (
-        F.when(y.isNull(), y)
-        .when((m == 0) | (m == n), y)
-        .when(m == 1, F.concat(head, tail))
-        .otherwise(F.concat(head, middle, tail))
-    )
-
-
-def interpolate(y: Column) -> Column:
-    """Linear interpolation over missing points by index; edges take the nearest
-    valid value. Same arithmetic as ``np.interp``: ``y[a] + (j-a)*((y[b]-y[a])/(b-a))``.
-    ``y`` must be canonical (missing = NaN)."""
+def interpolate(y: str) -> Column:
+    """Linear interpolation over missing points by index; edges take the
+    nearest valid value; all-missing or nothing-missing sequences unchanged.
+    ``y`` names a canonical (missing = NaN) double array column."""
+    return F.expr(S.interpolate(y))
 
-    def lin(a, b, j):
-        return y[a] + (j - a) * ((y[b] - y[a]) / (b - a))
 
-    return let(valid_positions(y), lambda v: _gap_fill(y, v, lin))
-
-
-def neighbor_mean_fill(y: Column) -> Column:
+def neighbor_mean_fill(y: str) -> Column:
     """Forward/backward fill where an inner gap takes the mean of the previous
     and the next valid value (not a linear ramp); edges take the nearest."""
+    return F.expr(S.neighbor_mean_fill(y))
 
-    def mean_of_neighbours(a, b, j):
-        return F.when(j == a, y[a]).otherwise((y[a] + y[b]) / 2)
-
-    return let(valid_positions(y), lambda v: _gap_fill(y, v, mean_of_neighbours))
-
-
-def _edge_padded(y: Column, pad: int) -> Column:
-    return F.concat(F.array_repeat(y[0], pad), y, F.array_repeat(F.element_at(y, -1), pad))
 
+def rolling_median(y: str, window: int) -> Column:
+    """Centred rolling ``nanmedian`` with edge padding of ``window // 2``;
+    window <= 1 or an empty sequence returns ``y``. Even windows are
+    off-centre, as in the reference."""
+    return F.expr(S.rolling_median(y, window))
 
-def rolling_median(y: Column, window: int) -> Column:
-    """Centred rolling ``nanmedian`` with edge padding of ``window // 2``.
 
-    Window ``i`` is ``padded[i : i+window]``; window <= 1 or an empty
-    sequence returns ``y``. Even windows are off-centre, as in the reference.
-    """
-    if window <= 1:
-        return y
-    pad = window // 2
-
-    def body(p):
-        return F.transform(y, lambda x, i: nan_median(F.slice(p, i + 1, window)))
-
-    return F.when(F.coalesce(F.size(y), F.lit(0)) == 0, y).otherwise(let(_edge_padded(y, pad), body))
+def moving_average(y: str, window: int) -> Column:
+    """Centred moving average with edge padding (odd windows only: an even
+    window would return one point more than the input)."""
+    return F.expr(S.moving_average(y, window))
 
 
-def moving_average(y: Column, window: int) -> Column:
-    """Centred moving average with edge padding (odd windows only).
-
-    An even window would return one point more than the input (the reference
-    behaviour of a 'valid' convolution); we reject it instead.
-    """
-    if window % 2 == 0:
-        raise ValueError(f"moving_average needs an odd window, got {window}")
-    if window <= 1:
-        return y
-    pad = window // 2
-    weight = 1.0 / window
-
-    def body(p):
-        return F.transform(
-            y,
-            lambda x, i: F.aggregate(F.slice(p, i + 1, window), F.lit(0.0), lambda acc, z: acc + z * weight),
-        )
-
-    return F.when(F.coalesce(F.size(y), F.lit(0)) == 0, y).otherwise(let(_edge_padded(y, pad), body))
-
-
-def mask_runs(mask: Column) -> Column:
-    """Runs of true values in a boolean array as ``array<struct<start, end>>``
-    (half-open ``[start, end)``). The mask is bound once (``let``), so an
-    expression passed in is not re-evaluated per element."""
-
-    def body(m):
-        n = F.size(m)
-        starts = F.filter(
-            positions(m),
-            lambda i: m[i] & F.when(i == 0, F.lit(True)).otherwise(~m[i - 1]),
-        )
-        ends = F.filter(
-            F.transform(positions(m), lambda i: i + 1),
-            lambda e: m[e - 1] & F.when(e == n, F.lit(True)).otherwise(~m[e]),
-        )
-        return F.arrays_zip(starts.alias("start"), ends.alias("end"))
-
-    return let(mask, body)
+def mask_runs(mask: str) -> Column:
+    """Runs of true values of a boolean array as ``array<struct<start, end>>``
+    (half-open)."""
+    return F.expr(S.mask_runs(mask))
 
 
 def linspace_at(left: Column, right: Column, count: Column, j: Column) -> Column:

@@ -20,8 +20,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seqprep.functions import sqlx as S
 from seqprep.functions.arrays import interpolate, rolling_median
-from seqprep.functions.missing import canonical, is_finite
+from seqprep.functions.missing import is_finite
 from seqprep.operators.derive import repair_time_elapsed
 from seqprep.operators.validate import coerce_float, coerce_int, valid_lengths
 from seqprep.plans.quantiles import exact_quantiles
@@ -68,7 +69,7 @@ def fit_bounds(df: DataFrame, config: CleaningConfig | None = None, group_by: li
     g = list(group_by or [])
     tagged = [
         F.transform(
-            F.coalesce(coerce_float(F.col(c), df.schema[c].dataType), F.array().cast("array<double>")),
+            F.coalesce(coerce_float(c, df.schema[c].dataType), F.array().cast("array<double>")),
             _tag(c),
         )
         for c in cfg.seq_float_cols
@@ -139,13 +140,13 @@ def clean(
     # one projection per stage (each stage reads the previous one's columns)
     smooth = set(cfg.smoothing()) if cfg.smooth else set()
     floats = cfg.seq_float_cols
-    out = out.withColumns({c: coerce_float(F.col(c), df.schema[c].dataType) for c in floats})
+    out = out.withColumns({c: coerce_float(c, df.schema[c].dataType) for c in floats})
     if cfg.impute:
-        out = out.withColumns({c: interpolate(F.col(c)) for c in floats})
-    out = out.withColumns({c: _fill_and_clip(F.col(c), F.col(f"_b_{c}"), cfg.clip) for c in floats})
+        out = out.withColumns({c: interpolate(c) for c in floats})
+    out = out.withColumns({c: F.expr(S.fill_and_clip(c, f"_b_{c}", cfg.clip)) for c in floats})
     if smooth:
-        out = out.withColumns({c: rolling_median(F.col(c), cfg.smooth_window) for c in floats if c in smooth})
-    out = out.withColumns({c: coerce_int(F.col(c), df.schema[c].dataType) for c in cfg.seq_int_cols})
+        out = out.withColumns({c: rolling_median(c, cfg.smooth_window) for c in floats if c in smooth})
+    out = out.withColumns({c: coerce_int(c, df.schema[c].dataType) for c in cfg.seq_int_cols})
     if "time_elapsed" in out.columns and "timestamp" in out.columns:
         out = repair_time_elapsed(out)
     out = out.drop(*[f"_b_{c}" for c in cfg.seq_float_cols])
@@ -165,25 +166,13 @@ def clip(df: DataFrame, bounds, columns: list[str], group_by: list[str] | None =
     else:
         wide = st.df.agg(*aggs)
         out = df.withColumns({f"_b_{c}": wide.select(f"_b_{c}").scalar() for c in columns})
-    out = out.withColumns(
-        {c: F.transform(canonical(F.col(c)), _clipper(F.col(f"_b_{c}")["lo"], F.col(f"_b_{c}")["hi"])) for c in columns}
-    )
+    out = out.withColumns({c: F.expr(_clip_sql(c, f"_b_{c}")) for c in columns})
     return out.drop(*[f"_b_{c}" for c in columns])
 
 
-def _clipper(lo, hi):
-    return lambda x: clip_value(x, lo, hi)
-
-
-def _fill_and_clip(y, b, do_clip: bool):
-    """All-missing (non-empty) sequences take the median (0.0 without one);
-    then clip to the bounds, NaN kept."""
-    med = b["median"]
-    fill = F.when(F.isnan(med) | med.isNull(), F.lit(0.0)).otherwise(med)
-    filled = F.when((F.size(y) > 0) & ~F.exists(y, is_finite), F.transform(y, lambda x: fill)).otherwise(y)
-    if do_clip:
-        return F.transform(filled, _clipper(b["lo"], b["hi"]))
-    return filled
+def _clip_sql(c: str, bounds: str) -> str:
+    x = S.var("x")
+    return f"transform({S.canonical(c)}, {x} -> {S.clip_value(x, bounds + '.lo', bounds + '.hi')})"
 
 
 def fit_transform(df: DataFrame, config: CleaningConfig | None = None, fit_on: DataFrame | None = None,

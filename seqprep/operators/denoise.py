@@ -36,11 +36,10 @@ def robust_denoise(
     out = df
     for c in columns:
         x = F.col(c)
-        out = out.withColumn("_med", median(x))
-        med = F.col("_med")
-        out = out.withColumn("_mad", median(F.transform(x, lambda v: F.abs(v - med))))
-        mad = F.when(F.col("_mad") > 0, F.col("_mad")).otherwise(F.lit(1.0))
-        flag = F.transform(x, lambda v: F.abs(F.lit(MAD_SCALE) * (v - med) / mad) > z_threshold)
+        out = out.withColumn("_med", median(c))
+        out = out.withColumn("_mad", median(f"transform({c}, d -> abs(d - _med))"))
+        mad = "(CASE WHEN _mad > 0 THEN _mad ELSE 1.0D END)"
+        flag = f"transform({c}, v -> abs({MAD_SCALE!r}D * (v - _med) / {mad}) > {float(z_threshold)!r}D)"
         out = out.withColumn("_runs", F.filter(mask_runs(flag), lambda r: r["end"] - r["start"] >= min_segment_length))
         n = F.size(x)
         runs = F.col("_runs")
@@ -55,9 +54,8 @@ def robust_denoise(
 
             return let(F.filter(runs, lambda r: (i >= r["start"]) & (i < r["end"])), on_hit)
 
-        ramped = F.transform(x, point)
-        out = out.withColumn("_ramped", ramped)
-        smoothed = moving_average(F.col("_ramped"), smoothing_window) if smoothing_window > 1 else F.col("_ramped")
+        out = out.withColumn("_ramped", F.transform(x, point))
+        smoothed = moving_average("_ramped", smoothing_window) if smoothing_window > 1 else F.col("_ramped")
         short = (F.coalesce(F.size(x), F.lit(0)) < 3)
         out = out.withColumn(c, F.when(short, F.transform(x, lambda v: v.cast("double"))).otherwise(smoothed))
         out = out.drop("_med", "_mad", "_runs", "_ramped")

@@ -72,7 +72,7 @@ def precision_repair(df: DataFrame, columns: list[str] | None = None, digits: in
             .otherwise(x),
         )
         out = out.withColumn("_blank", blanked)
-        repaired = neighbor_mean_fill(F.col("_blank"))
+        repaired = neighbor_mean_fill("_blank")
         out = out.withColumn(
             c, F.when(y.isNull() | (F.size(y) == 0), y).otherwise(repaired)
         ).drop("_flag", "_allf", "_blank")

@@ -18,9 +18,8 @@ def sequence_stats(df: DataFrame, col: str, other: str | None = None, prefix: st
     out = df.withColumn(f"{p}_mean", seq_mean(x))
     m = F.col(f"{p}_mean")
     out = out.withColumn(f"{p}_var", seq_var_pop(x, m)).withColumn(f"{p}_std", F.sqrt(F.col(f"{p}_var")))
-    out = out.withColumn(f"{p}_median", median(x))
-    med = F.col(f"{p}_median")
-    out = out.withColumn(f"{p}_mad", median(F.transform(x, lambda v: F.abs(v - med))))
+    out = out.withColumn(f"{p}_median", median(col))
+    out = out.withColumn(f"{p}_mad", median(f"transform({col}, d -> abs(d - {p}_median))"))
     if other:
         out = out.withColumn("_om", seq_mean(F.col(other)))
         out = out.withColumn(f"{p}_cov_{other}", seq_cov_pop(x, F.col(other), m, F.col("_om"))).drop("_om")

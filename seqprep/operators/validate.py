@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seqprep.functions.arrays import seq_len
-from seqprep.functions.missing import NAN, is_missing
+from seqprep.functions import sqlx as S
 
 
 def valid_lengths(df: DataFrame, seq_cols: list[str], ts: str = "timestamp", min_len: int = 5) -> Column:
@@ -28,33 +28,19 @@ def filter_valid_lengths(df: DataFrame, seq_cols: list[str], ts: str = "timestam
     return df.where(v) if drop else df
 
 
-def coerce_float(seq: Column, dtype: T.DataType) -> Column:
+def _element(dtype: T.DataType) -> str:
+    return dtype.elementType.simpleString() if isinstance(dtype, T.ArrayType) else "double"
+
+
+def coerce_float(seq: str, dtype: T.DataType) -> Column:
     """Float sequence: NULL elements become NaN, numeric strings are parsed,
     one unparsable element empties the whole sequence, ±inf becomes NaN.
-    A NULL sequence becomes empty."""
-    elem = dtype.elementType if isinstance(dtype, T.ArrayType) else T.DoubleType()
-    empty = F.array().cast("array<double>")
-    if isinstance(elem, T.StringType):
-        bad = F.exists(seq, lambda x: x.isNotNull() & x.try_cast("double").isNull())
-        base = F.when(bad, empty).otherwise(F.transform(seq, lambda x: x.try_cast("double")))
-    else:
-        base = F.transform(seq, lambda x: x.cast("double"))
-    canon = F.transform(base, lambda x: F.when(is_missing(x), NAN()).otherwise(x))
-    return F.when(seq.isNull(), empty).otherwise(canon)
-
-
-def coerce_int(seq: Column, dtype: T.DataType) -> Column:
+    A NULL sequence becomes empty. ``seq`` names the column."""
+    return F.expr(S.coerce_float(seq, _element(dtype)))
+
+
+def coerce_int(seq: str, dtype: T.DataType) -> Column:
     """Integer sequence: floats truncate toward zero; any NULL, NaN or ±inf
     empties the whole sequence (NumPy raises on them and the reference
     falls back to an empty list). A NULL sequence becomes empty."""
-    elem = dtype.elementType if isinstance(dtype, T.ArrayType) else T.LongType()
-    empty = F.array().cast("array<long>")
-    if isinstance(elem, (T.DoubleType, T.FloatType)):
-        bad = F.exists(seq, is_missing)
-    elif isinstance(elem, T.StringType):
-        bad = F.exists(seq, lambda x: x.isNull() | x.try_cast("double").isNull())
-        seq = F.transform(seq, lambda x: x.try_cast("double"))
-        bad = bad | F.exists(seq, is_missing)
-    else:
-        bad = F.exists(seq, lambda x: x.isNull())
-    return F.when(seq.isNull() | bad, empty).otherwise(F.transform(seq, lambda x: x.cast("long")))
+    return F.expr(S.coerce_int(seq, _element(dtype)))

@@ -101,7 +101,7 @@ def a9_clean_report(spark, sf):
 )
 def p5_coerce_float(spark, sf):
     df = fx.dirty(spark, sf)
-    df = df.withColumn("heart_rate", validate.coerce_float(F.col("heart_rate"), df.schema["heart_rate"].dataType))
+    df = df.withColumn("heart_rate", validate.coerce_float("heart_rate", df.schema["heart_rate"].dataType))
     return long_form(df, ["id"], {"heart_rate": "heart_rate"})
 
 
@@ -115,7 +115,7 @@ FROM pt GROUP BY id""",
 )
 def p6_coerce_int(spark, sf):
     df = fx.dirty(spark, sf)
-    ints = validate.coerce_int(F.col("heart_rate"), df.schema["heart_rate"].dataType)
+    ints = validate.coerce_int("heart_rate", df.schema["heart_rate"].dataType)
     df = df.withColumn("hr_int", ints)
     return df.select(
         "id",
@@ -146,7 +146,7 @@ def p8_repair_elapsed(spark, sf):
 )
 def w8_interpolate(spark, sf):
     df = fx.dirty(spark, sf).withColumn("heart_rate", canonical(F.col("heart_rate")))
-    df = df.withColumn("heart_rate", A.interpolate(F.col("heart_rate")))
+    df = df.withColumn("heart_rate", A.interpolate("heart_rate"))
     return long_form(df, ["id"], {"heart_rate": "heart_rate"})
 
 
@@ -157,7 +157,7 @@ def w8_interpolate(spark, sf):
 )
 def w6_neighbor_mean_fill(spark, sf):
     df = fx.dirty(spark, sf).withColumn("heart_rate", canonical(F.col("heart_rate")))
-    df = df.withColumn("heart_rate", A.neighbor_mean_fill(F.col("heart_rate")))
+    df = df.withColumn("heart_rate", A.neighbor_mean_fill("heart_rate"))
     return long_form(df, ["id"], {"heart_rate": "heart_rate"})
 
 
@@ -172,8 +172,8 @@ def w6_neighbor_mean_fill(spark, sf):
 )
 def w4_rolling_median(spark, sf):
     df = fx.seq_type(spark, sf)
-    df = df.withColumn("med3", A.rolling_median(F.col("altitude"), 3)).withColumn(
-        "med4", A.rolling_median(F.col("altitude"), 4)
+    df = df.withColumn("med3", A.rolling_median("altitude", 3)).withColumn(
+        "med4", A.rolling_median("altitude", 4)
     )
     return long_form(df, ["id"], {"med3": "med3", "med4": "med4"})
 
@@ -184,7 +184,7 @@ def w4_rolling_median(spark, sf):
     + "SELECT id, pos, round(ma5, 6) AS ma5 FROM ma",
 )
 def w5_moving_average(spark, sf):
-    df = fx.seq_type(spark, sf).withColumn("ma5", A.moving_average(F.col("altitude"), 5))
+    df = fx.seq_type(spark, sf).withColumn("ma5", A.moving_average("altitude", 5))
     return long_form(df, ["id"], {"ma5": "ma5"})
 
 
@@ -197,7 +197,7 @@ GROUP BY id, grp""",
 )
 def w7_mask_runs(spark, sf):
     df = fx.seq_type(spark, sf)
-    runs = df.select("id", F.explode(A.mask_runs(F.transform("altitude", lambda x: x > 20.0))).alias("r"))
+    runs = df.select("id", F.explode(A.mask_runs("transform(altitude, a -> a > 20.0D)")).alias("r"))
     return runs.select("id", F.col("r.start").cast("long").alias("run_start"), F.col("r.end").cast("long").alias("run_end"))
 
 

@@ -144,7 +144,7 @@ def test_repair_elapsed_after_null(spark):
     from seqprep.operators.validate import coerce_int
 
     df = spark.createDataFrame([(1, [5, 6, 9], [0, None, 4])], "id long, timestamp array<long>, time_elapsed array<long>")
-    df = df.withColumn("time_elapsed", coerce_int(F.col("time_elapsed"), df.schema["time_elapsed"].dataType))
+    df = df.withColumn("time_elapsed", coerce_int("time_elapsed", df.schema["time_elapsed"].dataType))
     assert derive.repair_time_elapsed(df).first()["time_elapsed"] == [0, 1, 4]
 
 
@@ -152,6 +152,6 @@ def test_coerce_float_strings(spark):
     from seqprep.operators.validate import coerce_float
 
     df = spark.createDataFrame([(["1.5", None, "2"],), (["1", "x"],)], "s array<string>")
-    got = [r[0] for r in df.select(coerce_float(F.col("s"), df.schema["s"].dataType)).collect()]
+    got = [r[0] for r in df.select(coerce_float("s", df.schema["s"].dataType)).collect()]
     assert got[0][0] == 1.5 and math.isnan(got[0][1]) and got[0][2] == 2.0
     assert got[1] == []
