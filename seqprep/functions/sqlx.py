@@ -214,3 +214,38 @@ def coerce_int(s: str, element: str) -> str:
         vals = s
     z = var("z")
     return f"(CASE WHEN {s} IS NULL OR {bad} THEN {empty} ELSE transform({vals}, {z} -> CAST({z} AS BIGINT)) END)"
+
+
+# ------------------------------------------------------------------ hash RNG (same draws as functions.rng)
+
+def s(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _key(parts) -> str:
+    return "concat_ws('|', " + ", ".join(f"CAST({p} AS STRING)" for p in parts) + ")"
+
+
+def _hex32(digest: str, first: int) -> str:
+    return f"CAST(conv(substring({digest}, {first}, 8), 16, 10) AS BIGINT)"
+
+
+def u32(*parts: str) -> str:
+    """Uniform integer in [0, 2^32) keyed by the SQL expressions ``parts``."""
+    return _hex32(f"md5({_key(parts)})", 1)
+
+
+def normal(*parts: str) -> str:
+    """Standard normal by Box–Muller from the two halves of one digest."""
+
+    def body(d):
+        v1 = f"(({_hex32(d, 1)} + 1) / 4294967296.0D)"
+        v2 = f"(({_hex32(d, 9)} + 1) / 4294967296.0D)"
+        return f"(sqrt(ln({v1}) * -2.0D) * cos({dbl(6.283185307179586)} * {v2}))"
+
+    return let(f"md5({_key(parts)})", body)
+
+
+def coin(*parts: str) -> str:
+    return f"({u32(*parts)} < 2147483648)"

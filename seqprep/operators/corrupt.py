@@ -17,12 +17,12 @@ so results do not depend on partitioning, order or retries.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqprep.functions import rng
+from seqprep.functions import sqlx as S
 from seqprep.functions.arrays import let, seq_mean
 from seqprep.operators.sample import choose_rows
 from seqprep.plans.state import State, materialize
@@ -38,44 +38,37 @@ def plan_for_lengths(lengths: DataFrame, fraction: float, k: int, seed: int, len
     if k < 1:
         raise ValueError("num_segments must be >= 1")
     fm = _fmil(fraction)
-    L = F.col(length_col)
-    S = F.greatest(F.lit(2), F.floor(L * F.lit(float(fraction))).cast("int"))
-    base = lengths.select(L.cast("int").alias("L")).where(F.col("L").isNotNull()).distinct()
-    base = base.withColumn("S", S.cast("int"))
-    Lc, Sc = F.col("L"), F.col("S")
-    bad = (F.lit(k) > Sc) | (Sc >= Lc)
-    base = base.withColumn(
-        "_chk",
-        F.when(bad, F.raise_error(F.concat(
-            F.lit("segment plan impossible: L="), Lc.cast("string"), F.lit(" S="), Sc.cast("string"),
-            F.lit(f" k={k} (need k <= S < L)")))).otherwise(F.lit(None)),
-    )
+    base = lengths.select(F.col(length_col).cast("int").alias("L")).where(F.col("L").isNotNull()).distinct()
+    base = base.withColumn("S", F.expr(f"CAST(greatest(2, CAST(floor(L * {S.dbl(fraction)}) AS INT)) AS INT)"))
+    base = base.withColumn("_chk", F.expr(
+        f"CASE WHEN {k} > S OR S >= L THEN raise_error(concat('segment plan impossible: L=', CAST(L AS STRING), "
+        f"' S=', CAST(S AS STRING), ' k={k} (need k <= S < L)')) END"))
+
+    def h(tag: str, v: str) -> str:
+        return S.u32(str(seed), "L", str(fm), str(k), S.s(tag), v)
+
     if k == 1:
-        cuts = F.array().cast("array<int>")
+        cuts = "CAST(array() AS ARRAY<INT>)"
     else:
-        ranked = F.array_sort(
-            F.transform(F.sequence(F.lit(1), Sc - 1), lambda j: F.struct(rng.u32(seed, Lc, fm, k, "cut", j).alias("h"), j.alias("j")))
-        )
-        cuts = F.array_sort(F.transform(F.slice(ranked, 1, k - 1), lambda s: s["j"]))
-    base = base.withColumn("_cuts", cuts)
-    bounds = F.concat(F.array(F.lit(0)), F.col("_cuts"), F.array(Sc))
-    base = base.withColumn("lens", F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: bounds[i + 1] - bounds[i]))
-    slots = F.when(Lc - Sc > 0, F.sequence(F.lit(0), Lc - Sc - 1)).otherwise(F.array().cast("array<int>"))
-    bins = F.transform(slots, lambda s: (rng.u32(seed, Lc, fm, k, "gap", s) % (k + 1)).cast("int"))
-    base = base.withColumn("_bins", bins)
-    base = base.withColumn(
-        "_gaps", F.transform(F.sequence(F.lit(0), F.lit(k)), lambda b: F.size(F.filter(F.col("_bins"), lambda x: x == b)))
-    )
-    gaps, lens = F.col("_gaps"), F.col("lens")
-    starts = F.transform(
-        F.sequence(F.lit(0), F.lit(k - 1)),
-        lambda i: F.aggregate(F.slice(gaps, 1, i + 1), F.lit(0), lambda a, x: a + x)
-        + F.aggregate(F.slice(lens, 1, i), F.lit(0), lambda a, x: a + x),
-    )
-    base = base.withColumn("starts", starts)
-    segs = F.arrays_zip(F.col("starts").alias("s"), F.col("lens").alias("n"))
-    mask = F.transform(F.sequence(F.lit(0), Lc - 1), lambda i: F.exists(segs, lambda g: (i >= g["s"]) & (i < g["s"] + g["n"])))
-    base = base.withColumn("mask", mask)
+        j, t = S.var("j"), S.var("t")
+        ranked = f"array_sort(transform(sequence(1, S - 1), {j} -> named_struct('h', {h('cut', j)}, 'j', {j})))"
+        cuts = f"array_sort(transform(slice({ranked}, 1, {k - 1}), {t} -> {t}.j))"
+    i = S.var("i")
+    lens = S.let(f"concat(array(0), {cuts}, array(S))", lambda b: f"transform(sequence(0, {k - 1}), {i} -> {b}[{i} + 1] - {b}[{i}])")
+    base = base.withColumn("lens", F.expr(lens))
+    sl = S.var("sl")
+    bins = f"transform(CASE WHEN L - S > 0 THEN sequence(0, L - S - 1) ELSE CAST(array() AS ARRAY<INT>) END, {sl} -> CAST({h('gap', sl)} % {k + 1} AS INT))"
+    bn, x = S.var("b"), S.var("x")
+    gaps = S.let(bins, lambda g: f"transform(sequence(0, {k}), {bn} -> size(filter({g}, {x} -> {x} = {bn})))")
+    base = base.withColumn("_gaps", F.expr(gaps))
+    a1, a2, x1, x2 = S.var("a"), S.var("a"), S.var("x"), S.var("x")
+    base = base.withColumn("starts", F.expr(
+        f"transform(sequence(0, {k - 1}), {i} -> aggregate(slice(_gaps, 1, {i} + 1), 0, ({a1}, {x1}) -> {a1} + {x1})"
+        f" + aggregate(slice(lens, 1, {i}), 0, ({a2}, {x2}) -> {a2} + {x2}))"))
+    p, q, g = S.var("p"), S.var("q"), S.var("g")
+    segs = f"zip_with(starts, lens, ({p}, {q}) -> named_struct('s', {p}, 'n', {q}))"
+    base = base.withColumn("mask", F.expr(S.let(
+        segs, lambda sg: f"transform(sequence(0, L - 1), {i} -> exists({sg}, {g} -> {i} >= {g}.s AND {i} < {g}.s + {g}.n))")))
     return base.select(
         "L", F.lit(float(fraction)).alias("fraction"), F.lit(k).alias("k"), "S", "starts", "lens", "mask", "_chk"
     )
@@ -111,79 +104,87 @@ def _pop_std(x: Column) -> Column:
     return F.when(n > 0, std).otherwise(F.lit(float("nan")))
 
 
-def _fallback_sigma(x: Column, sigma: Column) -> Column:
-    mean_abs = F.aggregate(x, F.lit(0.0), lambda a, v: a + F.abs(v)) / F.size(x)
-    return F.when(sigma == 0, F.when(mean_abs > 0, mean_abs).otherwise(F.lit(1.0))).otherwise(sigma)
+# The row kernels below are SQL text (one ``F.expr`` each): ``x`` is the
+# double array, ``mask`` the plan mask, ``L``/``S`` lengths, ``scale`` a
+# literal or a column, ``plus`` the coin.
 
+def _sum(arr: str, term: Callable[[str], str]) -> str:
+    a, v = S.var("a"), S.var("v")
+    return f"aggregate({arr}, 0.0D, ({a}, {v}) -> {a} + {term(v)})"
 
-def _root(A: Column, B: Column, C: Column, plus: Column, what: str) -> Column:
-    delta = B * B - 4 * A * C
-    return (
-        F.when(delta < 0, F.raise_error(F.lit(f"Cannot find real solution for {what} magnitude")).cast("double"))
-        .when(plus, (-B + F.sqrt(delta)) / (2 * A))
-        .otherwise((-B - F.sqrt(delta)) / (2 * A))
-    )
 
+def _mean(x: str) -> str:
+    return f"(CASE WHEN size({x}) > 0 THEN {_sum(x, lambda v: v)} / size({x}) ELSE {S.NAN} END)"
 
-def _squared(scale) -> Column | float:
-    return scale * scale if isinstance(scale, Column) else float(scale) ** 2
 
+def _fallback_sigma(x: str, sigma: str) -> str:
+    mean_abs = f"({_sum(x, lambda v: f'abs({v})')} / size({x}))"
+    return f"(CASE WHEN {sigma} = 0 THEN (CASE WHEN {mean_abs} > 0 THEN {mean_abs} ELSE 1.0D END) ELSE {sigma} END)"
 
-def constant_array(x: Column, mask: Column, L: Column, S: Column, scale, plus: Column) -> Column:
+
+def _root(A: str, B: str, C: str, plus: str) -> str:
+    delta = f"({B} * {B} - 4 * {A} * {C})"
+    return (
+        f"(CASE WHEN {delta} < 0 THEN raise_error('Cannot find real solution for corruption magnitude') "
+        f"WHEN {plus} THEN (-{B} + sqrt({delta})) / (2 * {A}) ELSE (-{B} - sqrt({delta})) / (2 * {A}) END)"
+    )
+
+
+def constant_array(x: str, mask: str, L: str, S_: str, scale: str, plus: str) -> Column:
     """Constant-noise result for one row (see module doc). ``S == L`` cannot
-    reach the target std and fails; sigma 0 uses mean(|x|) or 1 as base.
-    ``scale`` is a number or a column."""
-    s2 = _squared(scale)
-    mu = seq_mean(x)
+    reach the target std and fails; sigma 0 uses mean(|x|) or 1 as base."""
+    s2 = f"({scale} * {scale})"
 
     def with_mu(m):
-        sigma = F.sqrt(F.aggregate(x, F.lit(0.0), lambda a, v: a + (v - m) * (v - m)) / L)
-        seg = F.aggregate(F.arrays_zip(x.alias("v"), mask.alias("m")), F.lit(0.0),
-                          lambda a, p: a + F.when(p["m"], p["v"] - m).otherwise(F.lit(0.0)))
-        Ld, Sd = L.cast("double"), S.cast("double")
-        A = Sd * (Ld - Sd) / (Ld * Ld)
-        B = (F.lit(2.0) / Ld) * seg
-        C = -(s2 - 1) * sigma * sigma
-        base = _fallback_sigma(x, sigma)
-        c_zero = base * F.sqrt((s2 - 1) * Ld * Ld / (Sd * (Ld - Sd)))
-        c = F.when(A == 0, F.raise_error(F.lit("segment covers the whole sequence (S == L)")).cast("double")).when(
-            sigma == 0, c_zero
-        ).otherwise(_root(A, B, C, plus, "corruption"))
-        return let(c, lambda cv: F.transform(x, lambda v, i: F.when(mask[i], v + cv).otherwise(v)))
-
-    return let(mu, with_mu)
-
-
-def noise_array(row_id: Column, column: str, seed: int, mask: Column) -> Column:
+        def with_sigma(sg):
+            p = S.var("p")
+            seg = (f"aggregate(zip_with({x}, {mask}, ({p}_u, {p}_w) -> named_struct('v', {p}_u, 'm', {p}_w)), 0.0D, "
+                   f"({p}_acc, {p}_e) -> {p}_acc + CASE WHEN {p}_e.m THEN {p}_e.v - {m} ELSE 0.0D END)")
+            Ld, Sd = f"CAST({L} AS DOUBLE)", f"CAST({S_} AS DOUBLE)"
+            A = f"({Sd} * ({Ld} - {Sd}) / ({Ld} * {Ld}))"
+            B = f"((2.0D / {Ld}) * {seg})"
+            C = f"((-({s2} - 1)) * {sg} * {sg})"
+            c_zero = f"({_fallback_sigma(x, sg)} * sqrt(({s2} - 1) * {Ld} * {Ld} / ({Sd} * ({Ld} - {Sd}))))"
+            c = (f"(CASE WHEN {A} = 0 THEN raise_error('segment covers the whole sequence (S == L)') "
+                 f"WHEN {sg} = 0 THEN {c_zero} ELSE {_root(A, B, C, plus)} END)")
+            v, i = S.var("v"), S.var("i")
+            return S.let(c, lambda cv: f"transform({x}, ({v}, {i}) -> CASE WHEN {mask}[{i}] THEN {v} + {cv} ELSE {v} END)")
+
+        return S.let(f"sqrt({_sum(x, lambda v: f'({v} - {m}) * ({v} - {m})')} / {L})", with_sigma)
+
+    return F.expr(S.let(_mean(x), with_mu))
+
+
+def noise_array(row_id: str, column: str, seed: int, mask: str) -> Column:
     """R: standard normal draws on the planned points, 0 elsewhere."""
-    return F.transform(mask, lambda m, i: F.when(m, rng.normal(seed, row_id, column, i)).otherwise(F.lit(0.0)))
+    m, i = S.var("m"), S.var("i")
+    draw = S.normal(str(seed), row_id, S.s(column), i)
+    return F.expr(f"transform({mask}, ({m}, {i}) -> CASE WHEN {m} THEN {draw} ELSE 0.0D END)")
 
 
-def random_array(x: Column, R: Column, scale, plus: Column) -> Column:
+def random_array(x: str, R: str, scale: str, plus: str) -> Column:
     """Random-noise result for one row: ``x + k·R`` with ``k`` solving
-    ``Var(R)k² + 2Cov(x,R)k + (1−s²)σ² = 0``; ``Var(R) = 0`` leaves x unchanged.
-    ``scale`` is a number or a column."""
-    s2 = _squared(scale)
+    ``Var(R)k² + 2Cov(x,R)k + (1−s²)σ² = 0``; ``Var(R) = 0`` leaves x unchanged."""
+    s2 = f"({scale} * {scale})"
 
     def with_means(mm):
-        mx, mr = mm["mx"], mm["mr"]
-        n = F.size(x)
-        z = F.arrays_zip(x.alias("v"), R.alias("r"))
-        var_r = F.aggregate(R, F.lit(0.0), lambda a, r: a + (r - mr) * (r - mr)) / n
-        cov = F.aggregate(z, F.lit(0.0), lambda a, p: a + (p["v"] - mx) * (p["r"] - mr)) / n
-        sigma = F.sqrt(F.aggregate(x, F.lit(0.0), lambda a, v: a + (v - mx) * (v - mx)) / n)
-        sigma = _fallback_sigma(x, sigma)
-        A, B, C = var_r, 2 * cov, (1 - s2) * sigma * sigma
-        k = F.when(A == 0, F.lit(0.0)).otherwise(_root(A, B, C, plus, "corruption"))
-        return F.when(A == 0, x).otherwise(
-            let(k, lambda kv: F.transform(z, lambda p: p["v"] + kv * p["r"]))
-        )
+        mx, mr = f"{mm}.mx", f"{mm}.mr"
+        n = f"size({x})"
+        p = S.var("p")
+        z = f"zip_with({x}, {R}, ({p}_u, {p}_w) -> named_struct('v', {p}_u, 'r', {p}_w))"
+        var_r = f"({_sum(R, lambda r: f'({r} - {mr}) * ({r} - {mr})')} / {n})"
+        cov = f"(aggregate({z}, 0.0D, ({p}_acc, {p}_e) -> {p}_acc + ({p}_e.v - {mx}) * ({p}_e.r - {mr})) / {n})"
+        sigma = _fallback_sigma(x, f"sqrt({_sum(x, lambda v: f'({v} - {mx}) * ({v} - {mx})')} / {n})")
+        A, B, C = var_r, f"({cov} * 2)", f"((1 - {s2}) * {sigma} * {sigma})"
+        k = f"(CASE WHEN {A} = 0 THEN 0.0D ELSE {_root(A, B, C, plus)} END)"
+        q = S.var("q")
+        return f"(CASE WHEN {A} = 0 THEN {x} ELSE {S.let(k, lambda kv: f'transform({z}, {q} -> {q}.v + {kv} * {q}.r)')} END)"
 
-    return let(F.struct(seq_mean(x).alias("mx"), seq_mean(R).alias("mr")), with_means)
+    return F.expr(S.let(f"named_struct('mx', {_mean(x)}, 'mr', {_mean(R)})", with_means))
 
 
-def _coin(seed: int, row_id: Column, column: str) -> Column:
-    return rng.coin(seed, row_id, column, "coin")
+def _coin(seed: int, row_id: str, column: str) -> str:
+    return S.coin(str(seed), row_id, S.s(column), S.s("coin"))
 
 
 def _corrupt(
@@ -209,12 +210,13 @@ def _corrupt(
     out = out.join(side, on="_L", how="left")
     out = choose_rows(out, row_fraction, seed, key=id_col, out="_chosen")
     for c in columns:
-        x = F.col(c).cast("array<double>")
+        x = f"CAST({c} AS ARRAY<DOUBLE>)"
         if method == "constant":
-            res = constant_array(x, F.col("_mask"), F.col("_L"), F.col("_S"), std_scale, _coin(seed, F.col(id_col), c))
+            res = constant_array(x, "_mask", "_L", "_S", S.dbl(std_scale), _coin(seed, id_col, c))
         else:
-            out = out.withColumn("_R", noise_array(F.col(id_col), c, seed, F.col("_mask")))
-            res = random_array(x, F.col("_R"), std_scale, _coin(seed, F.col(id_col), c))
+            out = out.withColumn("_R", noise_array(id_col, c, seed, "_mask"))
+            res = random_array(x, "_R", S.dbl(std_scale), _coin(seed, id_col, c))
+        x = F.col(c).cast("array<double>")
         guarded = F.when(~same, F.raise_error(F.lit(f"All columns must have same length: '{c}'")).cast("array<double>"))
         res = guarded.when(F.col("_chosen") & F.col("_L").isNotNull(), res).otherwise(x)
         out = out.withColumn(out_prefix + c, res).drop("_R")

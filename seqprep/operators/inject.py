@@ -90,15 +90,14 @@ def inject(
     a = a.join(side, on=["_L", "fraction", "num_segments"], how="left")
     # noise is drawn once per row and column; the scales are generated in
     # the same pass (one scan of the input, one plan join)
-    a = a.withColumns({f"_R_{c}": noise_array(F.col(id_col), prefix + c, seed, F.col("_mask")) for c in columns})
+    a = a.withColumns({f"_R_{c}": noise_array(id_col, prefix + c, seed, "_mask") for c in columns})
     a = a.withColumn("std_scale", F.explode(F.array(*[F.lit(float(s)) for s in std_scales])))
-    scale = F.col("std_scale")
     outs = {}
     for c in columns:
-        x = F.col(c).cast("array<double>")
-        coin = _coin(seed, F.col(id_col), prefix + c)
-        const = constant_array(x, F.col("_mask"), F.col("_L"), F.col("_S"), scale, coin)
-        rand = random_array(x, F.col(f"_R_{c}"), scale, coin)
+        x = f"CAST({c} AS ARRAY<DOUBLE>)"
+        coin = _coin(seed, id_col, prefix + c)
+        const = constant_array(x, "_mask", "_L", "_S", "std_scale", coin)
+        rand = random_array(x, f"_R_{c}", "std_scale", coin)
         outs[prefix + c] = F.when(F.col("method") == "constant", const).otherwise(rand)
     a = a.withColumns(outs)
     return a.drop("_L", "_S", "_mask", *[f"_R_{c}" for c in columns])
