@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqprep.plans.rank import rank_bands
-from seqprep.plans.state import as_state
+from seqprep.plans.state import as_state, materialize
 from seqprep.sources.schema import require_columns
 
 
@@ -21,22 +21,22 @@ def fit_encoder(
     value in ``df`` sorted by (first timestamp, userId, id). NULL is a value
     like any other (as ``unique()`` keeps it).
 
-    Each value's first appearance is a min over a partial-aggregated groupBy;
+    One scan: every row emits its (column, value) pairs; each value's first
+    appearance is a min over a partial-aggregated groupBy;
     the values are then ranked exactly with ``rank_bands`` (hour buckets of the
     first appearance), never in one task."""
     require_columns(df, columns, "fit_encoder")
     base = df.withColumn("_first", F.get(F.col(ts), 0)) if "_first" in order else df
-    parts = []
-    for c in columns:
-        firsts = base.groupBy(F.col(c).cast("string").alias("value")).agg(
-            F.min(F.struct(*[F.col(o) for o in order])).alias("_k")
-        )
-        parts.append(firsts.select(F.lit(c).alias("column"), "value", "_k"))
-    allv = parts[0]
-    for p in parts[1:]:
-        allv = allv.unionByName(p)
+    key = F.struct(*[F.col(o) for o in order])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    allv = (
+        base.select(key.alias("_k"), F.explode(pairs).alias("_p"))
+        .groupBy(F.col("_p.column").alias("column"), F.col("_p.value").alias("value"))
+        .agg(F.min("_k").alias("_k"))
+    )
+    cats = materialize(allv.withColumn("_vkey", F.coalesce(F.col("value"), F.lit("\u0000null")))).df
     ranked = rank_bands(
-        allv.withColumn("_vkey", F.coalesce(F.col("value"), F.lit("\u0000null"))),
+        cats,
         key_cols=["_vkey"],
         partition_cols=["column"],
         order_cols=[F.col("_k")],

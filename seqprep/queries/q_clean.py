@@ -11,6 +11,7 @@ from seqprep.operators import clean, denoise, derive, precision, split
 from seqprep.queries.q_corrupt import u32
 from seqprep.queries.q_kernels import EVD, _gapfill_sql, interp_expr, neighbor_expr, window_sql
 from seqprep.sources import fixtures as fx
+from seqprep.sources.io import write_scratch_table
 
 # value expression of each cleaned column in the derived-points CTE ``dp``
 COLS = {"heart_rate": "hr", "derived_speed": "speed", "longitude": "lon", "latitude": "lat",
@@ -19,7 +20,8 @@ SMOOTH = ["heart_rate", "derived_speed", "altitude"]
 
 
 def _dirty_full(spark, sf):
-    return derive.derive_features(derive.with_time_elapsed(fx.dirty(spark, sf)))
+    """Fit and transform both read this table: read it as a written table."""
+    return write_scratch_table(derive.derive_features(derive.with_time_elapsed(fx.dirty(spark, sf))))
 
 
 def _values_sql(src: str = "dp", group: str = "") -> str:

@@ -9,6 +9,7 @@ from seqprep.catalog import long_form, r6, register
 from seqprep.operators import corrupt, inject
 from seqprep.operators.sample import choose_rows
 from seqprep.sources import fixtures as fx
+from seqprep.sources.io import write_scratch_table
 
 K1_COMBOS = [(0.2, 1), (0.2, 2), (0.4, 2), (0.6, 3)]
 
@@ -227,7 +228,7 @@ def _random_k_scaled() -> str:
 
 
 def _injected(spark, sf):
-    return inject.inject(fx.seq_vec(spark, sf), columns=["y"], seed=42)
+    return inject.inject(write_scratch_table(fx.seq_vec(spark, sf)), columns=["y"], seed=42)
 
 
 @register("k5_inject", _inject_sql() + "SELECT std_scale, id, pos, round(e, 6) AS erroneous_y FROM inj")

@@ -8,6 +8,7 @@ from seqprep import oracle_sql as O
 from seqprep.catalog import long_form, r6, register
 from seqprep.operators import derive, encode, scale, split
 from seqprep.sources import fixtures as fx
+from seqprep.sources.io import write_scratch_table
 from seqprep.sources.schema import STANDARDIZED_COLUMNS, WORKOUT, conform
 
 ENC_COLS = ["userId", "sport", "gender"]
@@ -160,7 +161,7 @@ _SPLIT_SQL = """sp AS (
     + _standardized_sql("st", "dp", neutral=True),
 )
 def j3_scale_neutral(spark, sf):
-    df = _prepared(spark, sf)
+    df = write_scratch_table(_prepared(spark, sf))
     labeled = split.temporal_split(df)
     train = labeled.where(F.col("split") == "train")
     st = scale.fit_user_stats(train, STANDARDIZED_COLUMNS)
@@ -240,7 +241,7 @@ _W1_SQL = """w1 AS (
 
 @register("w1_temporal_split", O.with_(O.EV, O.pt_day(), _P3_SQL, _W1_SQL) + "SELECT id, userId, split FROM w1")
 def w1_temporal_split(spark, sf):
-    return split.temporal_split(_p3(spark, sf)).select("id", "userId", "split")
+    return split.temporal_split(write_scratch_table(_p3(spark, sf))).select("id", "userId", "split")
 
 
 # ---------------------------------------------------------------- E1, J4, A4, O2
@@ -254,7 +255,8 @@ enc AS (SELECT "column", value, (row_number() OVER (PARTITION BY "column" ORDER
 
 
 def _encoded(spark, sf):
-    labeled = split.temporal_split(_p3(spark, sf))
+    # several passes (split bands, encoder fit, apply): read the input as a table
+    labeled = split.temporal_split(write_scratch_table(_p3(spark, sf)))
     train = labeled.where(F.col("split") == "train")
     state = encode.fit_encoder(train, ENC_COLS)
     return labeled, state
