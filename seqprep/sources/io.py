@@ -100,3 +100,16 @@ def write_scratch_table(df: DataFrame) -> DataFrame:
     path = os.path.join(folder, f"table-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def sql_head(spark: SparkSession, path: str, n: int = 1, order_by: str | None = None) -> DataFrame:
+    """``SELECT … LIMIT n`` straight over a Parquet path with Spark SQL (the
+    reference's one-row SQL reads), ordered when ``order_by`` is given."""
+    order = f" ORDER BY {order_by}" if order_by else ""
+    safe = path.replace("`", "``")
+    return spark.sql(f"SELECT * FROM parquet.`{safe}`{order} LIMIT {int(n)}")
+
+
+def write_head(df: DataFrame, path: str, n: int = 10, order_by: str = "id") -> None:
+    """Write the first ``n`` rows (by ``order_by``) as a small example file."""
+    df.orderBy(order_by).limit(n).write.mode("overwrite").parquet(path)

@@ -86,3 +86,35 @@ def test_stream_parity(spark, tmpdir_path):
     cols = ["id", "derived_speed", "heart_rate_standardized"]
     assert streamed.count() == batch.count()
     assert streamed.select(cols).exceptAll(batch.select(cols)).count() == 0
+
+
+def test_sql_head_and_example_file(spark, tmpdir_path):
+    df = _prepared(spark)
+    path = os.path.join(tmpdir_path, "all")
+    io.write_sequences(df, path)
+    first = io.sql_head(spark, path, 1, order_by="id").collect()
+    assert len(first) == 1 and first[0]["id"] == df.agg(F.min("id")).first()[0]
+    small = os.path.join(tmpdir_path, "head")
+    io.write_head(spark.read.parquet(path), small, 10)
+    assert spark.read.parquet(small).count() == 10
+
+
+def test_stream_parity_clean(spark, tmpdir_path):
+    """The fitted cleaner applied to a file stream equals the batch result."""
+    from seqprep.operators import clean
+
+    base = derive.derive_features(derive.with_time_elapsed(fx.dirty(spark, SF)))
+    src = os.path.join(tmpdir_path, "src")
+    base.repartition(2).write.parquet(src)
+    bounds = clean.fit_bounds(spark.read.parquet(src))
+
+    def transform(df):
+        return clean.clean(df, bounds)
+
+    sink, ckpt = os.path.join(tmpdir_path, "sink"), os.path.join(tmpdir_path, "ckpt")
+    q = stream.run_stream(stream.read_stream(spark, src, base.schema), transform, sink, ckpt)
+    q.awaitTermination(300)
+    streamed = spark.read.parquet(sink).select("id", "heart_rate", "altitude")
+    batch = transform(spark.read.parquet(src)).select("id", "heart_rate", "altitude")
+    assert streamed.count() == batch.count()
+    assert streamed.exceptAll(batch).count() == 0
