@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqprep.functions.arrays import let, linspace_at, mask_runs, median, moving_average
+from seqprep.functions import sqlx as S
+from seqprep.functions.arrays import let, linspace_at, median, moving_average
 from seqprep.sources.schema import require_columns
 
 # Robust z-score scale factor.
@@ -36,25 +37,35 @@ def robust_denoise(
     out = df
     for c in columns:
         x = F.col(c)
+        # every per-row value used inside a per-point lambda is bound once
+        # per row (``let``), never read from a staged column inside the lambda
         out = out.withColumn("_med", median(c))
-        out = out.withColumn("_mad", median(f"transform({c}, d -> abs(d - _med))"))
-        mad = "(CASE WHEN _mad > 0 THEN _mad ELSE 1.0D END)"
-        flag = f"transform({c}, v -> abs({MAD_SCALE!r}D * (v - _med) / {mad}) > {float(z_threshold)!r}D)"
-        out = out.withColumn("_runs", F.filter(mask_runs(flag), lambda r: r["end"] - r["start"] >= min_segment_length))
+        out = out.withColumn("_mad", median(S.let("_med", lambda md: f"transform({c}, d -> abs(d - {md}))")))
+
+        def runs_of(mm):
+            mad = f"(CASE WHEN {mm}.mad > 0 THEN {mm}.mad ELSE 1.0D END)"
+            v = S.var("v")
+            return S.mask_runs(
+                f"transform({c}, {v} -> abs({MAD_SCALE!r}D * ({v} - {mm}.med) / {mad}) > {float(z_threshold)!r}D)")
+
+        out = out.withColumn("_runs", F.filter(F.expr(S.let("named_struct('med', _med, 'mad', _mad)", runs_of)),
+                                               lambda r: r["end"] - r["start"] >= min_segment_length))
         n = F.size(x)
-        runs = F.col("_runs")
 
-        def point(v, i):
-            def on_hit(hit):
-                r = hit[0]
-                s, e = r["start"], r["end"]
-                left = F.when(s > 0, x[s - 1]).otherwise(x[e])
-                right = F.when(e < n, x[e]).otherwise(x[s - 1])
-                return F.when(F.size(hit) == 0, v).otherwise(linspace_at(left, right, e - s, i - s))
+        def ramp(runs):
+            def point(v, i):
+                def on_hit(hit):
+                    r = hit[0]
+                    s, e = r["start"], r["end"]
+                    left = F.when(s > 0, x[s - 1]).otherwise(x[e])
+                    right = F.when(e < n, x[e]).otherwise(x[s - 1])
+                    return F.when(F.size(hit) == 0, v).otherwise(linspace_at(left, right, e - s, i - s))
+
+                return let(F.filter(runs, lambda r: (i >= r["start"]) & (i < r["end"])), on_hit)
 
-            return let(F.filter(runs, lambda r: (i >= r["start"]) & (i < r["end"])), on_hit)
+            return F.transform(x, point)
 
-        out = out.withColumn("_ramped", F.transform(x, point))
+        out = out.withColumn("_ramped", let(F.col("_runs"), ramp))
         smoothed = moving_average("_ramped", smoothing_window) if smoothing_window > 1 else F.col("_ramped")
         short = (F.coalesce(F.size(x), F.lit(0)) < 3)
         out = out.withColumn(c, F.when(short, F.transform(x, lambda v: v.cast("double"))).otherwise(smoothed))

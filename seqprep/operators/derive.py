@@ -97,11 +97,15 @@ def signal_map(raw: DataFrame, id_col: str = "id", ts: str = "timestamp", value:
         # a repeated id: the map of the last record replaces the earlier ones
         latest = zipped.groupBy("id").agg(F.max("_rec").alias("_rec"))
         zipped = zipped.join(latest, on=["id", "_rec"], how="left_semi")
-    points = zipped.select("id", "_rec", F.posexplode("z").alias("pos", "p")).where(F.col("p.t").isNotNull())
-    last = points.groupBy("id", F.col("p.t").alias("t")).agg(
-        F.max_by(F.col("p.v"), F.struct("_rec", "pos")).alias("v")
-    )
-    return last.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("t", "v"))).alias("m"))
+    # one shuffle on id: gather (t, rec, pos, v) per id, sort, keep the last
+    # entry of each timestamp (record order, then position)
+    points = zipped.select("id", F.posexplode("z").alias("pos", "p"), "_rec").where(F.col("p.t").isNotNull())
+    entries = points.select("id", F.struct(F.col("p.t").alias("t"), F.col("_rec").alias("rec"),
+                                           F.col("pos").alias("pos"), F.col("p.v").alias("v")).alias("e"))
+    per_id = entries.groupBy("id").agg(F.array_sort(F.collect_list("e")).alias("es"))
+    es = F.col("es")
+    last = F.filter(es, lambda e, i: F.when(i == F.size(es) - 1, F.lit(True)).otherwise(es[i + 1]["t"] != e["t"]))
+    return per_id.select("id", F.map_from_entries(F.transform(last, lambda e: F.struct(e["t"], e["v"]))).alias("m"))
 
 
 def attach_signal(

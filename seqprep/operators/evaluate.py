@@ -72,9 +72,11 @@ def metrics(df: DataFrame, true_col: str = "heart_rate", pred_col: str = "predic
     yt, yp = F.col(true_col).cast("array<double>"), F.col(pred_col).cast("array<double>")
     n = F.least(F.size(yt), F.size(yp))
     start = 2 if skip_first else 1
-    ln = F.greatest(n - start + 1, F.lit(0))
+    # rows with n <= 1 contribute an empty slice; no row filter, so Catalyst has
+    # no predicate to push below (and re-evaluate) the prediction expression
+    ln = F.when(n > 1, n - start + 1).otherwise(F.lit(0))
     z = F.arrays_zip(F.slice(yt, start, ln).alias("t"), F.slice(yp, start, ln).alias("p"))
-    pts = df.where(n > 1).select(*g, F.explode(z).alias("_z"))
+    pts = df.select(*g, F.explode(z).alias("_z"))
     d = F.col("_z.t") - F.col("_z.p")
     agg = pts.groupBy(*g).agg(
         F.avg(F.abs(d)).alias("mae"), F.sqrt(F.avg(d * d)).alias("rmse"), F.count(F.lit(1)).cast("long").alias("n_points")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqprep.functions import rng
-from seqprep.functions.arrays import neighbor_mean_fill
+from seqprep.functions.arrays import let, neighbor_mean_fill
 from seqprep.functions.geo import haversine_m
 from seqprep.functions.missing import NAN, is_missing
 
@@ -62,20 +62,19 @@ def precision_repair(df: DataFrame, columns: list[str] | None = None, digits: in
     for c in cols:
         y = F.col(c)
         flagged = F.transform(y, lambda x: F.coalesce(is_low_precision(x, digits, tol), F.lit(False)))
-        out = out.withColumn("_flag", flagged)
-        out = out.withColumn("_allf", F.forall(F.col("_flag"), lambda f: f))
-        all_flagged = F.col("_allf")
-        blanked = F.transform(
-            y,
-            lambda x, i: F.when(F.col("_flag")[i] & ~all_flagged, NAN())
-            .when(is_missing(x), NAN())
-            .otherwise(x),
-        )
-        out = out.withColumn("_blank", blanked)
+
+        def blank(fl):
+            # flags bound once per row; "all flagged" computed once, outside the per-point lambda
+            return let(F.forall(fl, lambda f: f), lambda allf: F.transform(
+                y,
+                lambda x, i: F.when(fl[i] & ~allf, NAN()).when(is_missing(x), NAN()).otherwise(x),
+            ))
+
+        out = out.withColumn("_blank", let(flagged, blank))
         repaired = neighbor_mean_fill("_blank")
         out = out.withColumn(
             c, F.when(y.isNull() | (F.size(y) == 0), y).otherwise(repaired)
-        ).drop("_flag", "_allf", "_blank")
+        ).drop("_blank")
     return out
 
 

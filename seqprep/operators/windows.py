@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seqprep.functions.arrays import let
 from seqprep.sources.schema import require_columns
 
 
@@ -29,14 +30,27 @@ def sliding_windows(
     ride along on every window row (no lookup join). Padded copies are built
     once per sequence; windows are generated lazily by ``explode``.
     """
+    staged, steps = _staged_steps(df, numerical_columns, target_column, heartrate_input_column, window_size,
+                                  [id_col, *static_columns])
+    out = staged.select(id_col, *static_columns, F.explode(steps).alias("_w"))
+    return out.select(
+        id_col, F.col("_w.t").cast("long").alias("t"), F.col("_w.features").alias("features"),
+        F.col("_w.target").alias("target"), *static_columns,
+    )
+
+
+def _staged_steps(df: DataFrame, numerical_columns: Sequence[str], target_column: str,
+                  heartrate_input_column: str | None, window_size: int, keep: Sequence[str]):
+    """Padded copies of the inputs (built once per sequence) and the column
+    expression of all windows of a row as ``array<struct<t, features, target>>``."""
     if window_size < 1:
         raise ValueError("window_size must be >= 1")
     cols = list(numerical_columns)
-    require_columns(df, [id_col, target_column, *cols, *static_columns]
+    require_columns(df, [*keep, target_column, *cols]
                     + ([heartrate_input_column] if heartrate_input_column else []), "sliding_windows")
     w = window_size
     staged = df.select(
-        id_col, *static_columns,
+        *keep,
         F.col(target_column).alias("_y"),
         *[F.concat(F.array_repeat(F.lit(0.0), w - 1), F.col(c).cast("array<double>")).alias(f"_p{i}")
           for i, c in enumerate(cols)],
@@ -44,23 +58,36 @@ def sliding_windows(
           if heartrate_input_column else []),
     )
     n = F.size(F.col("_y"))
+    # the padded arrays are bound once per row (``let``): a staged column used
+    # only inside a lambda would otherwise be inlined there by Catalyst and
+    # rebuilt for every element
+    names = [f"_p{i}" for i in range(len(cols))] + (["_ph"] if heartrate_input_column else [])
+    padded = F.struct(*[F.col(c).alias(c) for c in names], F.col("_y").alias("_y"))
 
-    def step(t):
-        def row(k):
-            vals = [F.col(f"_p{i}")[t + k] for i in range(len(cols))]
-            if heartrate_input_column:
-                vals.append(F.col("_ph")[t + k])
-            return F.transform(F.array(*vals), lambda v: v.cast("float"))
+    def all_steps(P):
+        def step(t):
+            def row(k):
+                return F.transform(F.array(*[P[c][t + k] for c in names]), lambda v: v.cast("float"))
 
-        return F.struct(
-            t.alias("t"),
-            F.transform(F.sequence(F.lit(0), F.lit(w - 1)), row).alias("features"),
-            F.col("_y")[t].cast("float").alias("target"),
-        )
+            return F.struct(
+                t.alias("t"),
+                F.transform(F.sequence(F.lit(0), F.lit(w - 1)), row).alias("features"),
+                P["_y"][t].cast("float").alias("target"),
+            )
 
-    steps = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), step))
-    out = staged.select(id_col, *static_columns, F.explode(steps).alias("_w"))
-    return out.select(
-        id_col, F.col("_w.t").cast("long").alias("t"), F.col("_w.features").alias("features"),
-        F.col("_w.target").alias("target"), *static_columns,
-    )
+        return F.transform(F.sequence(F.lit(0), F.size(P["_y"]) - 1), step)
+
+    return staged, F.when(n > 0, let(padded, all_steps))
+
+
+def predict_inline(df: DataFrame, scorer, numerical_columns: Sequence[str], target_column: str,
+                   heartrate_input_column: str | None = None, window_size: int = 10,
+                   out: str = "predicted_heart_rate") -> DataFrame:
+    """Score every window of a row without leaving the row: the prediction
+    array is computed from the row's own padded arrays (no explode, no
+    regroup shuffle, no join back). For scorers that are column expressions;
+    models that need Python use ``sliding_windows`` + ``mapInPandas``."""
+    keep = list(df.columns)
+    staged, steps = _staged_steps(df, numerical_columns, target_column, heartrate_input_column, window_size, keep)
+    scored = staged.withColumn(out, F.transform(steps, lambda s: scorer(s["features"])))
+    return scored.drop("_y", "_ph", *[f"_p{i}" for i in range(len(numerical_columns))])

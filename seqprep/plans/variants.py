@@ -55,9 +55,12 @@ def preprocess(df: DataFrame, fitted: Fitted, rederive: bool = True) -> DataFram
 
 
 def predict(df: DataFrame, window_size: int = 10, scorer=evaluate.lagged_mean_scorer) -> DataFrame:
-    w = windows.sliding_windows(df, NUMERICAL, "heart_rate", heartrate_input_column="heart_rate",
-                                window_size=window_size)
-    return evaluate.predict_sequences(df, w, scorer)
+    """Windows (standardized numerical features + lagged heart rate) scored
+    in place: a column-expression scorer needs no window rows, so there is no
+    explode, no regroup shuffle and no join back. Python models go through
+    ``windows.sliding_windows`` + ``evaluate.score_windows_pandas`` instead."""
+    return windows.predict_inline(df, scorer, NUMERICAL, "heart_rate", heartrate_input_column="heart_rate",
+                                  window_size=window_size)
 
 
 def build_variants(base: DataFrame, std_scale: float = 2.0, seed: int = 42) -> dict[str, DataFrame]:
