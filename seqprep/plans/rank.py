@@ -23,7 +23,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqprep.plans.state import materialize
+from seqprep.plans.state import DEFAULT_BROADCAST_BYTES, _row_width, materialize
 
 
 def rank_bands(
@@ -50,15 +50,21 @@ def rank_bands(
     cst = materialize(counts)
 
     joined = keyed.join(cst.side(), on=[*pc, "_bk"], how="inner")
-    straddle = joined.where(~F.col("_lo").eqNullSafe(F.col("_hi")))
-    w = Window.partitionBy(*pc, "_bk").orderBy(*order_cols)
-    exact = straddle.select(
-        *key_cols, *pc, (F.col("_off") + F.row_number().over(w) - 1).alias("_r"), "_n"
-    ).select(*key_cols, *pc, band(F.col("_r"), F.col("_n")).alias("_exact"))
-    est = materialize(exact)
-
-    res = joined.join(est.side(), on=[*key_cols, *pc], how="left")
-    res = res.withColumn(out, F.when(F.col("_lo").eqNullSafe(F.col("_hi")), F.col("_lo")).otherwise(F.col("_exact")))
+    same = F.col("_lo").eqNullSafe(F.col("_hi"))
+    # rows that need an exact rank, counted on the small bucket table: a
+    # proven size bound for the exact side, and no exact pass when zero
+    straddling = cst.df.where(~same).agg(F.sum("_c")).first()[0] or 0
+    if straddling == 0:
+        res = joined.withColumn(out, F.col("_lo")).withColumn("_exact", F.lit(None))
+    else:
+        w = Window.partitionBy(*pc, "_bk").orderBy(*order_cols)
+        exact = joined.where(~same).select(
+            *key_cols, *pc, (F.col("_off") + F.row_number().over(w) - 1).alias("_r"), "_n"
+        ).select(*key_cols, *pc, band(F.col("_r"), F.col("_n")).alias("_exact"))
+        est_bytes = straddling * _row_width(exact.schema)
+        side = F.broadcast(exact) if est_bytes <= DEFAULT_BROADCAST_BYTES else exact
+        res = joined.join(side, on=[*key_cols, *pc], how="left")
+        res = res.withColumn(out, F.when(same, F.col("_lo")).otherwise(F.col("_exact")))
     drop = ["_bk", "_c", "_off", "_n", "_lo", "_hi", "_exact"] + (["_g"] if added_group else [])
     return res.drop(*drop)
 
