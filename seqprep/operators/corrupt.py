@@ -76,8 +76,10 @@ def plan_for_lengths(lengths: DataFrame, fraction: float, k: int, seed: int, len
 
 def plans_for(df: DataFrame, length: Column, combos: Sequence[tuple[float, int]], seed: int) -> State:
     """Materialized plans for the distinct lengths of ``df`` and each (fraction, k)."""
-    lengths = materialize(df.select(length.alias("L")).distinct())
-    parts = [plan_for_lengths(lengths.df, f, k, seed) for f, k in combos]
+    lengths = df.select(length.alias("L")).distinct()
+    if len(combos) > 1:  # read by every combination: write it once
+        lengths = materialize(lengths).df
+    parts = [plan_for_lengths(lengths, f, k, seed) for f, k in combos]
     allp = parts[0]
     for p in parts[1:]:
         allp = allp.unionByName(p)
