@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seqprep.sources.schema import require_columns
 
@@ -27,7 +28,7 @@ def score_windows_pandas(windows: DataFrame, predict: Callable, out: str = "pred
     """Apply a Python batch predictor (``pandas.DataFrame -> Series``) with
     ``mapInPandas``: Arrow batches per partition, for models that are not
     column expressions."""
-    schema = windows.schema.add(out, "double")
+    schema = T.StructType([*windows.schema.fields, T.StructField(out, T.DoubleType())])
 
     def run(batches):
         for pdf in batches:

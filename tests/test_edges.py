@@ -4,7 +4,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from seqprep.operators import clean, derive, encode, scale, split, windows
@@ -155,3 +154,26 @@ def test_coerce_float_strings(spark):
     got = [r[0] for r in df.select(coerce_float("s", df.schema["s"].dataType)).collect()]
     assert got[0][0] == 1.5 and math.isnan(got[0][1]) and got[0][2] == 2.0
     assert got[1] == []
+
+
+def test_pandas_scorer_matches_expression_scorer(spark):
+    """The generic model path (window rows + mapInPandas) gives the same
+    predictions as the in-row expression scorer."""
+    from seqprep.operators import evaluate
+
+    df = spark.createDataFrame([(1, [1.0, 2.0, 3.0, 4.0], [60.0, 62.0, 64.0, 66.0]), (2, [5.0], [70.0])],
+                               "id long, x array<double>, hr array<double>")
+    w = windows.sliding_windows(df, ["x"], "hr", heartrate_input_column="hr", window_size=3)
+
+    def predict(pdf):
+        return pdf["features"].apply(lambda f: float(np.mean([step[-1] for step in f])))
+
+    by_pandas = evaluate.regroup(evaluate.score_windows_pandas(w, predict))
+    inline = windows.predict_inline(df, evaluate.lagged_mean_scorer, ["x"], "hr", heartrate_input_column="hr",
+                                    window_size=3)
+    a = {r["id"]: r["predicted_heart_rate"] for r in by_pandas.collect()}
+    b = {r["id"]: r["predicted_heart_rate"] for r in inline.collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert np.allclose(a[k], b[k])
+    assert np.allclose(b[1], [0.0, 20.0, (60.0 + 62.0) / 3, (60.0 + 62.0 + 64.0) / 3])
