@@ -107,6 +107,28 @@ def c1_clean(spark, sf):
     return long_form(df, ["id"], {**{c: c for c in COLS}, "time_elapsed": "time_elapsed"})
 
 
+@register("c1_clean_stream", _c1_sql())
+def c1_clean_stream(spark, sf):
+    """The fitted cleaner applied to a file stream of the same table (stream–
+    static join with the bounds state), written by an exactly-once file sink
+    under the checkpoint folder; the result must equal the batch ``c1_clean``."""
+    import os
+    import uuid
+
+    from seqprep.session import ensure_checkpoint_dir
+    from seqprep.streaming import stream
+
+    table = _dirty_full(spark, sf)  # a written Parquet table: its folder is the stream source
+    bounds = clean.fit_bounds(table)
+    root = os.path.join(ensure_checkpoint_dir(spark), f"stream-{uuid.uuid4().hex}")
+    src = os.path.dirname(table.inputFiles()[0])
+    q = stream.run_stream(stream.read_stream(spark, src, table.schema, max_files_per_trigger=4),
+                          lambda df: clean.clean(df, bounds), os.path.join(root, "out"), os.path.join(root, "ckpt"))
+    q.awaitTermination()
+    out = spark.read.parquet(os.path.join(root, "out"))
+    return long_form(out, ["id"], {**{c: c for c in COLS}, "time_elapsed": "time_elapsed"})
+
+
 _SPLIT_TYPE = """spl AS (
   SELECT id, CASE WHEN rn < floor(cnt*0.7::DOUBLE) THEN 'train' WHEN rn < floor(cnt*0.8::DOUBLE) THEN 'val' ELSE 'test' END AS split
   FROM (SELECT id, row_number() OVER (PARTITION BY userId ORDER BY first_ts, id) AS rn, count(*) OVER (PARTITION BY userId) AS cnt
