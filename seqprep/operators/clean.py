@@ -134,8 +134,9 @@ def clean(
     )
     if g:
         out = out.join(st.side_for(wide), on=g, how="left")
-    else:  # one bounds row for the whole table: scalar subqueries, no join
-        out = out.withColumns({f"_b_{c}": wide.select(f"_b_{c}").scalar() for c in cfg.seq_float_cols})
+    else:  # one bounds row for the whole table: one scalar subquery, no join
+        allb = wide.select(F.struct(*[f"_b_{c}" for c in cfg.seq_float_cols]).alias("b")).scalar()
+        out = out.withColumns({f"_b_{c}": allb[f"_b_{c}"] for c in cfg.seq_float_cols})
 
     # one projection per stage (each stage reads the previous one's columns)
     smooth = set(cfg.smoothing()) if cfg.smooth else set()
@@ -165,7 +166,8 @@ def clip(df: DataFrame, bounds, columns: list[str], group_by: list[str] | None =
         out = df.join(st.side_for(st.df.groupBy(*g).agg(*aggs)), on=g, how="left")
     else:
         wide = st.df.agg(*aggs)
-        out = df.withColumns({f"_b_{c}": wide.select(f"_b_{c}").scalar() for c in columns})
+        allb = wide.select(F.struct(*[f"_b_{c}" for c in columns]).alias("b")).scalar()
+        out = df.withColumns({f"_b_{c}": allb[f"_b_{c}"] for c in columns})
     out = out.withColumns({c: F.expr(_clip_sql(c, f"_b_{c}")) for c in columns})
     return out.drop(*[f"_b_{c}" for c in columns])
 
