@@ -177,3 +177,23 @@ def test_pandas_scorer_matches_expression_scorer(spark):
     for k in a:
         assert np.allclose(a[k], b[k])
     assert np.allclose(b[1], [0.0, 20.0, (60.0 + 62.0) / 3, (60.0 + 62.0 + 64.0) / 3])
+
+
+def test_package_usage_example_runs(spark):
+    from seqprep.operators import corrupt, evaluate, validate
+    from seqprep.sources import fixtures as fx
+
+    workouts = fx.seq_type(spark, "/root/testdata/sf0.001")
+    df = derive.derive_features(derive.with_time_elapsed(workouts))
+    df = validate.filter_valid_lengths(df, ["heart_rate", "altitude"])
+    labeled = split.temporal_split(df)
+    train = labeled.where("split = 'train'")
+    stats = scale.fit_user_stats(train, ["heart_rate", "altitude"])
+    df = scale.apply_user_stats(labeled, stats, ["heart_rate", "altitude"], policy="neutral")
+    noisy = corrupt.random_noise(df, ["heart_rate"], std_scale=2.0, seed=42, out_prefix="erroneous_")
+    assert "erroneous_heart_rate" in noisy.columns
+    cleaned = clean.fit_transform(df)
+    scored = windows.predict_inline(cleaned, evaluate.lagged_mean_scorer, ["altitude"], "heart_rate",
+                                    heartrate_input_column="heart_rate")
+    m = evaluate.metrics(scored).first()
+    assert m["n_points"] > 0 and m["mae"] >= 0
