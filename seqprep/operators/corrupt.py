@@ -78,7 +78,7 @@ def plans_for(df: DataFrame, length: Column, combos: Sequence[tuple[float, int]]
     """Materialized plans for the distinct lengths of ``df`` and each (fraction, k)."""
     lengths = df.select(length.alias("L")).distinct()
     if len(combos) > 1:  # read by every combination: write it once
-        lengths = materialize(lengths).df
+        lengths = materialize(lengths, measure=False).df
     parts = [plan_for_lengths(lengths, f, k, seed) for f, k in combos]
     allp = parts[0]
     for p in parts[1:]:

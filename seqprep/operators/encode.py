@@ -34,7 +34,7 @@ def fit_encoder(
         .groupBy(F.col("_p.column").alias("column"), F.col("_p.value").alias("value"))
         .agg(F.min("_k").alias("_k"))
     )
-    cats = materialize(allv.withColumn("_vkey", F.coalesce(F.col("value"), F.lit("\u0000null")))).df
+    cats = materialize(allv.withColumn("_vkey", F.coalesce(F.col("value"), F.lit("\u0000null"))), measure=False).df
     ranked = rank_bands(
         cats,
         key_cols=["_vkey"],

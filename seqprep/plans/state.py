@@ -48,6 +48,8 @@ class State:
 
     @property
     def est_bytes(self) -> int:
+        if self.rows < 0:
+            raise ValueError("state was materialized without measuring its size")
         return self.rows * _row_width(self.df.schema)
 
     def side(self, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
@@ -59,7 +61,7 @@ class State:
         return F.broadcast(derived) if self.est_bytes <= max_bytes else derived
 
 
-def materialize(df: DataFrame) -> State:
+def materialize(df: DataFrame, measure: bool = True) -> State:
     """Write a state table as Parquet into the session's checkpoint folder,
     read it back and count it (one job to write; the count reads footers).
 
@@ -70,7 +72,7 @@ def materialize(df: DataFrame) -> State:
     path = os.path.join(folder, f"state-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     saved = df.sparkSession.read.parquet(path)
-    return State(saved, saved.count())
+    return State(saved, saved.count() if measure else -1)
 
 
 def as_state(state) -> State:
