@@ -21,8 +21,9 @@ NAMES = sorted(E.oracle_sql()) if os.environ.get("SEQPREP_ALL_ORACLES") else FAS
 
 
 def _norm(v):
+    # exact: both sides round to 6 decimals the same way, so values must be equal bit for bit
     if isinstance(v, float):
-        return "NaN" if math.isnan(v) else round(v, 6)
+        return "NaN" if math.isnan(v) else repr(v)
     return v
 
 
