@@ -303,3 +303,43 @@ def o2_head(spark, sf):
 
     df = head(fx.seq_type(spark, sf), 10, order_by="id")
     return df.select("id", "userId", F.size("timestamp").cast("long").alias("n_points"))
+
+
+# ---------------------------------------------------------------- dataset build
+
+_BUILD_SQL = [
+    "p3a AS (SELECT * FROM p3 WHERE userId IN (SELECT userId FROM p3 GROUP BY userId HAVING count(*) >= 10))",
+    _W1_SQL.replace("FROM p3))", "FROM p3a))"),
+    _E1_SQL,
+    _J4_SQL,
+    O.seq_of(),
+    _RAW_SQL,
+    """hrs AS (SELECT userId, avg(hr) AS m, stddev_pop(hr) + 1e-6 AS s FROM pt
+             WHERE id IN (SELECT id FROM w1 WHERE split = 'train') GROUP BY userId)""",
+    """agg AS (SELECT pt.id, sum(l.v) AS altitude_sum, sum((pt.hr - hrs.m) / hrs.s) AS hr_z_sum
+             FROM pt JOIN lastv l ON l.id = pt.id AND l.t = pt.t JOIN hrs USING (userId) GROUP BY pt.id)""",
+]
+
+
+@register(
+    "dataset_build",
+    O.with_(O.EV, O.pt_day(), _P3_SQL, *_BUILD_SQL)
+    + """SELECT w1.id, w1.split, j4.userId_idx, j4.sport_idx, j4.gender_idx,
+       round(agg.altitude_sum, 6) AS altitude_sum, round(agg.hr_z_sum, 6) AS hr_z_sum
+FROM w1 JOIN j4 USING (id) JOIN agg USING (id)""",
+)
+def dataset_build(spark, sf):
+    from seqprep.plans import dataset
+
+    days = write_scratch_table(fx.seq_day(spark, sf))
+    records = days.drop("altitude")
+    ts, alt = F.col("timestamp"), F.col("altitude")
+    raw = days.select("id", F.concat(ts, F.array(ts[0])).alias("timestamp"),
+                      F.concat(alt, F.array(alt[0] + 1000.0)).alias("altitude"))
+    built = dataset.build(records, raw).data
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+    return built.select(
+        "id", "split", "userId_idx", "sport_idx", "gender_idx",
+        r6(total(F.col("altitude"))).alias("altitude_sum"),
+        r6(total(F.col("heart_rate_standardized"))).alias("hr_z_sum"),
+    )
