@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 TABLES = ["events", "embeddings"]
 FAST = ["a1_user_stats", "d2_step_speed", "w1_temporal_split", "w8_interpolate", "w4_rolling_median",
         "k2_constant_noise", "k3_random_noise", "k5_stratified_assignment", "c1_clean", "c4_precision_repair",
-        "m1_score_windows", "a6_mae_rmse", "j1_attach_signal", "e1_fit_encoder"]
+        "m1_score_windows", "a6_mae_rmse", "j1_attach_signal", "e1_fit_encoder", "dataset_build"]
 NAMES = sorted(E.oracle_sql()) if os.environ.get("SEQPREP_ALL_ORACLES") else FAST
 
 
