@@ -68,3 +68,19 @@ def with_locator(docs: DataFrame, columns: list[str]) -> DataFrame:
     return written(docs.select(*columns), "docs").select(
         *columns, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
     )
+
+
+def partitions_for(df: DataFrame, bytes_each: int = 64 << 20) -> int:
+    """Number of shuffle partitions: the session's, or more where the
+    optimizer's size of ``df`` would put over ``bytes_each`` in one."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # a plan without a known size counts as enormous: then the session decides
+    return least if size >= 1 << 60 else max(least, -(-size // bytes_each))
+
+
+def bounded_batches(spark) -> None:
+    """Bound Arrow batches by bytes too, so a run of long texts cannot fill a
+    Python worker (a session setting that changes no result)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))

@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seqprep.llm.common import scratch_path
 from seqprep.llm.dedup import exact_dedup
+from seqprep.llm.packing import pack_documents
+from seqprep.llm.simhash import hex64, simhash_dedup
+from seqprep.llm.tokens import token_index, write_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +31,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Place of a public vocabulary file; it is read where it is."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op5_simhash_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of three-word shingles, linked at two bits, for every document."""
+    classes = simhash_dedup(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return classes.select(F.col("id").alias("doc_id"), hex64(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op7_token_files")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token-ID files of every document, read back."""
+    path = scratch_path(spark, "tokens")
+    write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path(), end_id=2)
+    return token_index(spark, path)
+
+
 @query("op8_exact_dedup", r"""
     WITH d AS (
       SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -39,3 +65,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
+
+
+@query("op10_packing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into sequences of at most 1024 tokens."""
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=0, capacity=1024)
