@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from seqprep.llm.common import scratch_path
 from seqprep.llm.dedup import exact_dedup
+from seqprep.llm.mixing import mix_sources
 from seqprep.llm.packing import pack_documents
 from seqprep.llm.simhash import hex64, simhash_dedup
 from seqprep.llm.tokens import token_index, write_token_files
@@ -38,6 +39,44 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_mixing", r"""
+    WITH d AS (
+      SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+             substr(md5('7|' || coalesce(doc_id::VARCHAR, '')), 1, 15) AS h
+      FROM documents),
+    s AS (
+      SELECT source, sum(size)::BIGINT AS source_size,
+             row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k
+      FROM d GROUP BY source),
+    w AS (SELECT *, CASE k % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM s),
+    l AS (
+      SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER o, 0))::DOUBLE
+                / (sum(weight) OVER () - coalesce(sum(weight) OVER o, 0))::DOUBLE AS lev
+      FROM w WINDOW o AS (ORDER BY (3 * source_size) / weight, source NULLS LAST
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    t AS (
+      SELECT source, source_size, least((3 * source_size)::DOUBLE, max(lev) OVER () * weight) AS target FROM l),
+    p AS (
+      SELECT d.doc_id, d.size, t.source_size, t.target, floor(t.target + 0.5)::BIGINT AS quota,
+             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id, d.size
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+    e AS (
+      SELECT *, greatest(0, least(size, quota - start)) AS a, greatest(0, least(size, quota - start - source_size)) AS b,
+             greatest(0, least(size, quota - start - 2 * source_size)) AS c
+      FROM p)
+    SELECT doc_id, size::BIGINT AS size, source_size, target, (a + b + c)::BIGINT AS taken,
+           ((a > 0)::INT + (b > 0)::INT + (c > 0)::INT)::BIGINT AS pieces
+    FROM e""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's part in the mix; a piece counts once it has a shard."""
+    pieces = mix_sources(table(spark, sf_dir, "documents"), cycle=(5, 2, 1), cap=3)
+    return pieces.groupBy("_file", "_row", F.col("id").alias("doc_id"), "size", "source_size", "target").agg(
+        F.coalesce(F.sum(F.when(F.col("shard").isNotNull(), F.col("words"))), F.lit(0)).alias("taken"),
+        F.count("shard").alias("pieces"),
+    ).drop("_file", "_row")
+
+
 @query("op5_simhash_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of three-word shingles, linked at two bits, for every document."""
