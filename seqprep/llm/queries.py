@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from seqprep.llm.common import scratch_path
 from seqprep.llm.dedup import exact_dedup
+from seqprep.llm.lm import score_documents, train
 from seqprep.llm.mixing import mix_sources
 from seqprep.llm.packing import pack_documents
 from seqprep.llm.simhash import hex64, simhash_dedup
@@ -77,6 +78,23 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("_file", "_row")
 
 
+def fold(folds: int) -> "F.Column":
+    """crc32 of the document id as text, modulo ``folds``."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % folds
+
+
+@query("op4_lm_scores")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by the trie learnt from nine tenths of them."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(10) == 0
+    model = train(docs.filter(~held_out))
+    scores = score_documents(docs, model, keep={"held_out": held_out})
+    return scores.withColumnRenamed("id", "doc_id").select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @query("op5_simhash_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of three-word shingles, linked at two bits, for every document."""
