@@ -23,7 +23,13 @@ from pyspark.sql import functions as F
 
 from seqprep.llm.common import WS, scratch_path, small_side, text_of, with_locator, written
 
-PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# The state store: RocksDB, which does not reserve disk ahead of use (a store
+# exists per state partition, so reserved space would be many times the state).
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 # Bytes of one locator row (path, index, digest) in a broadcast table.
 LOCATOR_BYTES = 320
 
@@ -38,17 +44,18 @@ def sha256(text: Column) -> Column:
 
 
 @contextmanager
-def _rocksdb(spark: SparkSession):
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, PROVIDER)
+def _settings(spark: SparkSession, settings: dict[str, str]):
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def run_state(spark: SparkSession, keys_path: str, schema, checkpoint: str) -> DataFrame:
@@ -56,7 +63,7 @@ def run_state(spark: SparkSession, keys_path: str, schema, checkpoint: str) -> D
     the keyed state at ``checkpoint`` and return the state: ``digest, keeper, n``.
 
     Calling it again after more files arrived resumes from the same state."""
-    with _rocksdb(spark):
+    with _settings(spark, STATE_STORE):
         rows = spark.readStream.schema(schema).parquet(keys_path)
         first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "_file", "_row"))
         state = rows.groupBy("digest").agg(first.alias("keeper"), F.count(F.lit(1)).alias("n"))

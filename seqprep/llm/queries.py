@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqprep.llm.common import scratch_path
@@ -12,6 +12,7 @@ from seqprep.llm.dedup import exact_dedup
 from seqprep.llm.lm import score_documents, train
 from seqprep.llm.mixing import mix_sources
 from seqprep.llm.packing import pack_documents
+from seqprep.llm.quality import fit_quality, score_quality
 from seqprep.llm.simhash import hex64, simhash_dedup
 from seqprep.llm.tokens import token_index, write_token_files
 
@@ -78,11 +79,21 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("_file", "_row")
 
 
-def fold(folds: int) -> "F.Column":
+def fold(folds: int) -> Column:
     """crc32 of the document id as text, modulo ``folds``."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % folds
 
 
+@query("op3_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(4) == 2
+    field = fit_quality(docs, table(spark, sf_dir, "labels"), learn=~held_out)
+    scored = score_quality(docs.select("doc_id", held_out.alias("held_out"), "text"), field)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @query("op4_lm_scores")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored by the trie learnt from nine tenths of them."""
