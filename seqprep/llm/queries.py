@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from seqprep.llm.common import scratch_path
 from seqprep.llm.dedup import exact_dedup
+from seqprep.llm.fingerprint import fingerprint_documents
 from seqprep.llm.lm import score_documents, train
 from seqprep.llm.mixing import mix_sources
 from seqprep.llm.packing import pack_documents
@@ -84,6 +85,12 @@ def fold(folds: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % folds
 
 
+@query("op2_fingerprints")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op3_quality")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learnt from labels outside the held-out fold."""
