@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from seqprep.llm.common import scratch_path, table, tokenizer_path
 from seqprep.llm.dedup import exact_dedup
 from seqprep.llm.fingerprint import fingerprint_documents
+from seqprep.llm.license import TEMPLATES, scan_licenses
 from seqprep.llm.lm import score_documents, train
 from seqprep.llm.mixing import mix_sources
 from seqprep.llm.packing import pack_documents
 from seqprep.llm.quality import fit_quality, score_quality
 from seqprep.llm.simhash import hex64, simhash_dedup
 from seqprep.llm.tokens import token_index, write_token_files
+from seqprep.llm.urlfilter import domain_key, host_of, judge_captures, path_key, url_key
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,6 +111,77 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select(F.col("id").alias("doc_id"), hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+# Seconds since 1970: the pages' crawl year begins, and a day.
+YEAR_START, DAY = 1_704_067_200, 86_400
+LISTED = "(adult|casino|ads-|spam|pills|bets)"
+
+
+def spread(value: Column, upto: int) -> Column:
+    """A number below ``upto`` from the value's MD5."""
+    return F.conv(F.substring(F.md5(value.cast("string")), 1, 7), 16, 10).cast("long") % upto
+
+
+def list_history(pages: DataFrame) -> DataFrame:
+    """Dated list entries drawn from the pages themselves: domains with listed
+    names come, go and come back; a folder of every mobile host and every
+    tracked URL come once."""
+    urls = pages.select("url").distinct()
+    hosts = urls.select(host_of(F.col("url")).alias("host")).filter("host <> ''").distinct()
+    domains = hosts.filter(F.col("host").rlike(LISTED)).select(F.regexp_replace("host", "^(www|m|blog)[.]", "").alias("host")).distinct()
+    first = F.lit(YEAR_START) + spread(F.col("host"), 200) * DAY
+    turns = F.explode(F.array(*[F.struct((first + days * DAY).alias("at"), F.lit(action).alias("action")) for days, action in ((0, "add"), (60, "remove"), (120, "add"))]))
+    of_domains = domains.select(domain_key(F.col("host")).alias("key"), turns.alias("t")).select("key", "t.at", "t.action")
+    folder = path_key(F.col("host"), F.lit("/en/"))
+    of_folders = hosts.filter("host like 'm.%'").select(folder.alias("key"), (F.lit(YEAR_START) + spread(folder, 365) * DAY).alias("at"), F.lit("add").alias("action"))
+    key = url_key(F.col("url"))
+    of_urls = urls.filter("url like '%utm_source=%'").select(key.alias("key"), (F.lit(YEAR_START) + spread(key, 365) * DAY).alias("at"), F.lit("add").alias("action"))
+    return of_domains.unionByName(of_folders).unionByName(of_urls)
+
+
+@query("op6_url_filters", r"""
+    WITH p AS (
+      SELECT page_id, url,
+             1704067200 + ('0x' || substr(md5(page_id::VARCHAR), 1, 7))::BIGINT % 31536000 AS fetched,
+             lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+             regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path0,
+             regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^#]*)', 1) AS rest
+      FROM pages),
+    q AS (SELECT *, CASE WHEN path0 = '' THEN '/' ELSE path0 END AS path, 'u:' || host || rest AS ukey FROM p),
+    h AS (SELECT DISTINCT host FROM q WHERE host <> ''),
+    dom AS (SELECT DISTINCT regexp_replace(host, '^(www|m|blog)[.]', '') AS host FROM h
+            WHERE regexp_matches(host, '(adult|casino|ads-|spam|pills|bets)')),
+    hist AS (
+      SELECT 'd:' || host AS key, 1704067200 + ('0x' || substr(md5(host), 1, 7))::BIGINT % 200 * 86400 + days * 86400 AS ts, action
+      FROM dom, (VALUES (0, 'add'), (60, 'remove'), (120, 'add')) t(days, action)
+      UNION ALL
+      SELECT 'p:' || host || '/en/', 1704067200 + ('0x' || substr(md5('p:' || host || '/en/'), 1, 7))::BIGINT % 365 * 86400, 'add'
+      FROM h WHERE host LIKE 'm.%'
+      UNION ALL
+      SELECT DISTINCT ukey, 1704067200 + ('0x' || substr(md5(ukey), 1, 7))::BIGINT % 365 * 86400, 'add'
+      FROM q WHERE url LIKE '%utm_source=%'),
+    iv AS (SELECT key, ts AS since, action, lead(ts) OVER (PARTITION BY key ORDER BY ts, action) AS until FROM hist),
+    keys AS (
+      SELECT page_id, fetched, 'd:' || host AS key FROM q
+      UNION SELECT page_id, fetched, 'd:' || regexp_replace(host, '^[^.]*[.]', '') FROM q WHERE len(string_split(host, '.')) > 2
+      UNION SELECT page_id, fetched, 'd:' || regexp_replace(host, '^[^.]*[.][^.]*[.]', '') FROM q WHERE len(string_split(host, '.')) > 3
+      UNION SELECT page_id, fetched, 'p:' || host || '/' FROM q
+      UNION SELECT page_id, fetched, 'p:' || host || regexp_extract(path, '^/[^/]*/') FROM q WHERE path LIKE '/%/%'
+      UNION SELECT page_id, fetched, 'p:' || host || path FROM q
+      UNION SELECT page_id, fetched, ukey FROM q),
+    hits AS (
+      SELECT k.page_id, k.key, iv.since FROM keys k JOIN iv USING (key)
+      WHERE iv.action = 'add' AND k.fetched >= iv.since AND (iv.until IS NULL OR k.fetched < iv.until)),
+    best AS (SELECT page_id, key, since, row_number() OVER (PARTITION BY page_id ORDER BY key, since) AS r FROM hits)
+    SELECT q.page_id, q.fetched, best.key IS NOT NULL AS blocked, best.key AS rule, best.since AS since
+    FROM q LEFT JOIN best ON q.page_id = best.page_id AND best.r = 1""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by the list entries active when it was fetched. The
+    tables hold no fetch times or lists, so both are drawn from the pages."""
+    pages = table(spark, sf_dir, "pages")
+    captures = pages.select("page_id", "url", (F.lit(YEAR_START) + spread(F.col("page_id"), 365 * DAY)).alias("fetched"))
+    return judge_captures(captures, list_history(pages)).withColumnRenamed("id", "page_id")
+
+
 @query("op7_token_files")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-ID files of every document, read back."""
@@ -135,3 +208,34 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of at most 1024 tokens."""
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=0, capacity=1024)
+
+
+_TEMPLATE_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in TEMPLATES.items())
+
+
+@query("op9_license_scan", rf"""
+    WITH raw_t(name, txt) AS (VALUES {_TEMPLATE_ROWS}),
+    t AS (SELECT name, string_split(trim(regexp_replace(lower(txt), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM raw_t),
+    tb AS (SELECT DISTINCT name, w[i] || ' ' || w[i + 1] AS b
+           FROM (SELECT name, w, unnest(generate_series(1, len(w) - 1)) AS i FROM t)),
+    tn AS (SELECT name, count(*) AS n FROM tb GROUP BY name),
+    l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                 unnest(generate_series(1, len(string_split(coalesce(text, ''), chr(10))))) AS no
+          FROM documents),
+    n AS (SELECT doc_id, no, trim(regexp_replace(lower(line), '[^a-z0-9]+', ' ', 'g')) AS s FROM l),
+    lw AS (SELECT doc_id, no, string_split(s, ' ') AS w FROM n WHERE s <> ''),
+    lb AS (SELECT DISTINCT doc_id, no, w[i] || ' ' || w[i + 1] AS b
+           FROM (SELECT doc_id, no, w, unnest(generate_series(1, len(w) - 1)) AS i FROM lw WHERE len(w) BETWEEN 2 AND 60)),
+    ln AS (SELECT doc_id, no, count(*) AS n FROM lb GROUP BY doc_id, no),
+    shared AS (SELECT lb.doc_id, lb.no, tb.name, count(*) AS c FROM lb JOIN tb USING (b) GROUP BY lb.doc_id, lb.no, tb.name),
+    d AS (SELECT s.doc_id, s.no, s.name, 2.0::DOUBLE * s.c / (ln.n + tn.n) AS dice
+          FROM shared s JOIN ln USING (doc_id, no) JOIN tn USING (name)),
+    m AS (SELECT *, row_number() OVER (PARTITION BY doc_id, no ORDER BY dice DESC, name) AS r FROM d WHERE dice >= 0.8),
+    g AS (SELECT doc_id, count(*) AS n_matches, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses, max(dice) AS best
+          FROM m WHERE r = 1 GROUP BY doc_id)
+    SELECT documents.doc_id, coalesce(g.n_matches, 0)::BIGINT AS n_matches, coalesce(g.licenses, '') AS licenses, g.best
+    FROM documents LEFT JOIN g ON documents.doc_id = g.doc_id""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in the lines of every document."""
+    found = scan_licenses(table(spark, sf_dir, "documents"), least=0.8)
+    return found.select(F.col("id").alias("doc_id"), "n_matches", "licenses", "best")
