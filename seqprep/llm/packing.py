@@ -40,12 +40,9 @@ def _merge(a: list, b: list, k: int) -> list:
     """Lay partial partition ``b`` on ``a`` with opposing imbalances. Both list
     their non-empty windows ``(sum, items)`` in descending order."""
     free = k - len(b)  # the fullest windows of a meet the empty ones of b
-    out = a[:free]
+    light = b[::-1]  # then the next fullest the lightest of b, and so on
     rest = a[free:]
-    n = len(rest)
-    # the lightest windows of a meet the fullest ones of b
-    out += [(x[0] + y[0], (x[1], y[1])) for x, y in zip(rest, reversed(b[:n]))] if n else []
-    out += b[n:]
+    out = a[:free] + [(x[0] + y[0], (x[1], y[1])) for x, y in zip(rest, light)] + light[len(rest) :]
     out.sort(key=lambda w: -w[0])
     return out
 
