@@ -67,18 +67,28 @@ def is_plain_scan(df: DataFrame) -> bool:
     return bool(nodes) and set(nodes) <= {"Project", "Filter", "Relation"}
 
 
-def with_locator(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``columns`` and the place of each row: ``_file``, ``_row`` (its index in
-    the file), unique per row whatever the ids are. An input that is not a
-    Parquet scan is written once as Parquet first."""
+def as_scan(docs: DataFrame) -> DataFrame:
+    """``docs`` if its rows have a place (a plain Parquet scan), else a copy
+    written as Parquet."""
     if "_metadata" not in docs.columns and is_plain_scan(docs):
         try:
-            return docs.select(*columns, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+            docs.select("_metadata.row_index")
+            return docs
         except AnalysisException:
             pass  # a scan of another format has no row index
-    return written(docs.select(*columns), "docs").select(
-        *columns, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
-    )
+    return written(docs, "docs")
+
+
+def with_locator(scan: DataFrame, columns: list) -> DataFrame:
+    """``columns`` of a scan (see ``as_scan``) and the place of each row:
+    ``_file``, ``_row`` (its index in the file), unique whatever the ids are."""
+    return scan.select(*columns, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+
+
+def whole_rows(scan: DataFrame) -> DataFrame:
+    """``doc`` (the row as one struct, so that its names clash with nothing) and
+    the place of each row."""
+    return with_locator(scan, [F.struct(*[F.col(f"`{c}`") for c in scan.columns]).alias("doc")])
 
 
 def partitions_for(df: DataFrame, bytes_each: int = 64 << 20) -> int:

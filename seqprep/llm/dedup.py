@@ -21,7 +21,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqprep.llm.common import WS, scratch_path, small_side, text_of, with_locator, written
+from seqprep.llm.common import WS, as_scan, scratch_path, small_side, text_of, whole_rows, with_locator, written
 
 # The state store: RocksDB, which does not reserve disk ahead of use (a store
 # exists per state partition, so reserved space would be many times the state).
@@ -88,7 +88,7 @@ def exact_dedup(
     Rows are equal when their normalised texts are the same bytes. ``digest``
     only routes: texts that share a digest but differ are told apart."""
     spark = docs.sparkSession
-    placed = with_locator(docs, [F.col(id_col).alias("id"), F.col(text_col).alias("text")])
+    placed = with_locator(as_scan(docs), [F.col(id_col).alias("id"), F.col(text_col).alias("text")])
     keys_path = scratch_path(spark, "digests")
     placed.select(digest(normalised(F.col("text"))).alias("digest"), "id", "_file", "_row").write.parquet(keys_path)
     keys = spark.read.parquet(keys_path)
@@ -124,7 +124,7 @@ def _differing(placed: DataFrame, joined: DataFrame) -> DataFrame | None:
     )
     kept = texts.filter("kept").select("digest", F.col("text").alias("kept_text"))
     wrong = written(
-        texts.filter("not kept").join(kept, "digest").filter("text <> kept_text").select("digest").distinct(), "wrong"
+        texts.filter("not kept").join(kept, "digest").filter("text <> kept_text").select("digest"), "wrong"
     )
     if wrong.isEmpty():
         return None
@@ -133,9 +133,7 @@ def _differing(placed: DataFrame, joined: DataFrame) -> DataFrame | None:
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    result = exact_dedup(docs, id_col, text_col)
-    dropped = written(result.filter("not kept").select("_file", "_row"), "dropped")
-    # the row travels as one struct: its column names cannot clash with the place
-    placed = with_locator(docs, [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")])
+    scan = as_scan(docs)
+    dropped = written(exact_dedup(scan, id_col, text_col).filter("not kept").select("_file", "_row"), "dropped")
     side = small_side(dropped, dropped.count(), LOCATOR_BYTES)
-    return placed.join(side, ["_file", "_row"], "left_anti").select("doc.*")
+    return whole_rows(scan).join(side, ["_file", "_row"], "left_anti").select("doc.*")

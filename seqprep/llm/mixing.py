@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqprep.llm.common import WORD, n_words, partitions_for, small_side, text_of, with_locator, written
+from seqprep.llm.common import WORD, as_scan, n_words, partitions_for, small_side, text_of, whole_rows, with_locator, written
 
 BUCKET_ROWS = 512
 CHUNK_BITS = 10  # buckets of a chunk, as a power of two
@@ -149,7 +149,7 @@ def mix_sources(
     ``_file, _row``. ``weights`` (``source, weight``) name the shares; without
     it the sources weigh ``cycle`` in turn."""
     shards = shards or partitions_for(docs)
-    placed = with_locator(docs, [
+    placed = with_locator(as_scan(docs), [
         F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size"),
     ])
     rows = written(placed.withColumn("h", _hash(F.lit(seed), F.col("id"))), "sizes")
@@ -219,12 +219,12 @@ def mixed_documents(docs: DataFrame, shards: int | None = None, **options) -> Da
     of a shard stand together, in the shard's order."""
     shards = shards or partitions_for(docs)
     text_col = options.get("text_col", "text")
+    scan = as_scan(docs)
     pieces = written(
-        mix_sources(docs, shards=shards, **options).filter("words > 0").select("_file", "_row", "words", "size", "shard", "order_key"),
+        mix_sources(scan, shards=shards, **options).filter("words > 0").select("_file", "_row", "words", "size", "shard", "order_key"),
         "pieces",
     )
-    placed = with_locator(docs, [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")])
-    taken = placed.join(small_side(pieces, pieces.count(), ROW_BYTES), ["_file", "_row"])
+    taken = whole_rows(scan).join(small_side(pieces, pieces.count(), ROW_BYTES), ["_file", "_row"])
     text = F.col(f"doc.`{text_col}`").cast("string")
     cut = F.when(F.col("words") < F.col("size"), first_words(text_of(text), F.col("words").cast("int"))).otherwise(text)
     whole = taken.withColumn("doc", F.col("doc").withField(f"`{text_col}`", cut))

@@ -16,8 +16,8 @@ point has at most 65 members -- exact, and linear in the members.
 
 Defined results: a null or empty text has fingerprint zero and is linked like
 any other; fewer words than a shingle hash as one shingle; repeated rows get
-the same class; null ids never name a class unless all its ids are null; an
-empty table gives an empty result; extra columns are ignored.
+the same class; null ids rank last, so they name a class only if all its ids
+are null; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,11 +28,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqprep.llm.common import written
+from seqprep.llm.common import as_scan, small_side, whole_rows, with_locator, written
 from seqprep.llm.components import connected_components
 
 SEED = 42
 BITS = 64
+# Bytes of a place (path, index) in a broadcast table.
+PLACE_BYTES = 256
 # Bucket members that are still paired with each other.
 BUCKET = 32
 
@@ -112,28 +114,30 @@ def near_links(fps: DataFrame, max_bits: int, bucket: int = BUCKET) -> DataFrame
 def simhash_dedup(
     docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per input row: ``id``, ``fp`` (signed 64 bits) and
-    ``component_id``, the smallest id that links lead to, its own included."""
+    """One row per input row: ``id``, ``fp`` (signed 64 bits), ``component_id``
+    (the smallest id that links lead to, its own included), ``kept`` (the one
+    row of the class that stays: the smallest id, then place), ``_file, _row``."""
     fingerprint = fingerprint_udf(shingle)
-    rows = written(
-        docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col).cast("string").cast("binary")).alias("fp")), "fps"
-    )
-    distinct = written(rows.groupBy("fp").agg(F.min("id").alias("low")), "distinct")
+    text = F.col(text_col).cast("string").cast("binary")
+    rows = written(with_locator(as_scan(docs), [F.col(id_col).alias("id"), fingerprint(text).alias("fp")]), "fps")
+    first = F.struct(F.col("id").isNull().alias("no_id"), "id", "_file", "_row")
+    distinct = written(rows.groupBy("fp").agg(F.min(first).alias("low")), "distinct")
     roots = connected_components(near_links(distinct.select("fp"), max_bits))
     placed = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root")
     )
-    named = placed.join(placed.groupBy("root").agg(F.min("low").alias("component_id")), "root").select("fp", "component_id")
-    return rows.join(written(named, "classes"), "fp").select("id", "fp", "component_id")
+    named = written(placed.groupBy("root").agg(F.min("low").alias("first")), "roots")
+    classes = written(placed.join(named, "root").select("fp", "first"), "classes")
+    place = F.struct("_file", "_row") == F.struct(F.col("first._file"), F.col("first._row"))
+    return rows.join(classes, "fp").select("id", "fp", F.col("first.id").alias("component_id"), place.alias("kept"), "_file", "_row")
 
 
 def drop_near_duplicates(
     docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` whose id names their class, with all their columns:
-    one document of each group stays. Needs unique ids; of rows that share the
-    id that stays, all stay. Rows whose class has no id stay too."""
-    classes = simhash_dedup(docs, shingle, max_bits, id_col, text_col)
-    dropped = written(classes.filter("id is null and component_id is not null or id <> component_id").select(F.col("id").alias("_dropped")), "dropped")
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    return row.join(dropped, F.col(f"doc.`{id_col}`").eqNullSafe(F.col("_dropped")), "left_anti").select("doc.*")
+    """The rows of ``docs`` that stay, one of each class, with all columns."""
+    scan = as_scan(docs)
+    classes = simhash_dedup(scan, shingle, max_bits, id_col, text_col)
+    dropped = written(classes.filter("not kept").select("_file", "_row"), "dropped")
+    side = small_side(dropped, dropped.count(), PLACE_BYTES)
+    return whole_rows(scan).join(side, ["_file", "_row"], "left_anti").select("doc.*")

@@ -21,6 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seqprep.llm.common import bounded_batches, partitions_for
 
@@ -71,7 +72,7 @@ def write_token_files(
     coded.write.options(**LAYOUT).parquet(path)
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())  # a type, not its name: names need a session
 def crc32_of(ids: pd.Series) -> pd.Series:
     """Unsigned crc32 of the ids as little-endian unsigned 32-bit integers."""
     return pd.Series([zlib.crc32(np.asarray(x).astype("<u4").tobytes()) for x in ids], dtype="int64")

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqprep.llm.common import small_side, with_locator, written
+from seqprep.llm.common import as_scan, small_side, with_locator, written
 
 SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*://"
 ENTRY_BYTES = 256
@@ -86,7 +86,7 @@ def judge_captures(
 ) -> DataFrame:
     """One row per capture: ``id, fetched, blocked, rule`` (the first matching
     key in order) and ``since`` (when that entry became valid)."""
-    rows = with_locator(captures, [
+    rows = with_locator(as_scan(captures), [
         F.col(id_col).alias("id"), F.col(time_col).alias("fetched"), F.col(url_col).cast("string").alias("url"),
     ])
     active = written(intervals(entries), "intervals")
