@@ -27,8 +27,6 @@ from seqprep.llm.common import bounded_batches, partitions_for
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-# Documents that are encoded in one go inside an Arrow batch.
-SLICE = 256
 
 # Parquet settings: version-2 pages (delta coding), a dictionary for the ids only.
 LAYOUT = {
@@ -37,7 +35,7 @@ LAYOUT = {
     "parquet.writer.version": "v2",
     "parquet.enable.dictionary": "false",
     "parquet.enable.dictionary#ids.list.element": "true",
-    "compression": "zstd",
+    "compression": "snappy",
 }
 
 
@@ -45,18 +43,15 @@ def _encode(tokenizer_path: str, end_id: int):
     def encode(batches):
         from seqprep.llm.encoding import encoder
 
-        enc, end = encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
+        enc = encoder(tokenizer_path)
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
-                coded = [raw + end for raw in enc.encode(part.column(1).to_pylist())]
-                sizes = np.array([len(raw) // 4 for raw in coded], np.int32)
-                offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-                values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(coded))])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes), pa.ListArray.from_arrays(pa.array(offsets), values)],
-                    names=["doc_id", "n_tokens", "ids"],
-                )
+            ids, sizes = enc.encode(batch.column(1))
+            ids = np.insert(ids, np.cumsum(sizes), end_id).astype("<i4")
+            offsets = np.concatenate(([0], np.cumsum(sizes + 1))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes + 1, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))],
+                names=["doc_id", "n_tokens", "ids"],
+            )
 
     return encode
 
