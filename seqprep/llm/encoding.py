@@ -4,9 +4,10 @@ Byte-level BPE merges inside pre-tokens only, so a text may be cut at any
 pre-token boundary and its ids are those of the pieces in a row. Boundaries
 used here: before a single space or line feed that follows a non-space and
 after a line feed that precedes one; between a letter and one closing mark.
-Each distinct piece is encoded once per worker and kept. Texts where the rule
-does not hold (white space around white space, a special token's string
-inside) are encoded whole.
+Arrow kernels cut the texts of a batch and number their distinct pieces; each
+distinct piece is encoded once per worker and kept. Texts where the rule does
+not hold (white space around white space, a special token's string inside) are
+encoded whole.
 """
 
 from __future__ import annotations
@@ -15,28 +16,43 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-# Pieces a worker keeps; beyond that it starts afresh (about 150 bytes each).
-KEPT_PIECES = 600_000
+# Pieces a worker keeps; beyond that it starts afresh (about 200 bytes each).
+KEPT_PIECES = 900_000
 # New pieces that are encoded in one string.
 JOINED = 2_000
 MARKS = frozenset(".,;:!?")
-_RUN = re.compile(r"\s[ \n](?:\s|\Z)|\s\n|\n\s|\n\Z")
 _EDGE = re.compile(r"\s")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: visible
+    Latin-1 characters stand for themselves, the others follow from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids."""
 
     def __init__(self, path: str, kept: int = KEPT_PIECES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark gives one core to a task
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
+        # the same merges without the byte-level pre-tokenizer: words of letters are
+        # one pre-token each, so they can be mapped and cut at their spaces here
+        self.letters = Tokenizer.from_file(path)
+        self.letters.pre_tokenizer = WhitespaceSplit()
+        self.bytes = {b: c for b, c in _byte_letters().items() if b != 32} | {32: " " + _byte_letters()[32]}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.kept = kept
-        self.pieces: dict[str, bytes] = {}  # pieces as they stand after a space
-        self.firsts: dict[str, bytes] = {}  # pieces that begin a line
+        # ids of pieces as they stand after a space, or at a line's start ("\n" first)
+        self.pieces: dict[str, bytes] = {}
         self.feed = self._whole(["\n"])[0]
         self.marks = {m: self._whole([m])[0] for m in MARKS}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
@@ -56,39 +72,71 @@ class Encoder:
             rest = [p for p in new if not p or _EDGE.search(p)]
             self.pieces.update(zip(rest, self._whole([" " + p for p in rest])))
             plain = list(set(new).difference(rest))
-        for i in range(0, len(plain), JOINED):
-            part = plain[i : i + JOINED]
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+        words = [p for p in plain if p.isalpha() and max(p) < "\u0250"]
+        self._joined(words, self.letters, lambda part: (" " + " ".join(part)).encode().decode("latin1").translate(self.bytes))
+        self._joined(list(set(plain).difference(words)), self.tokenizer, lambda part: " " + " ".join(part))
+
+    def _joined(self, pieces: list[str], tokenizer, text_of) -> None:
+        for i in range(0, len(pieces), JOINED):
+            part = pieces[i : i + JOINED]
+            ids = np.array(tokenizer.encode_batch_fast([text_of(part)], add_special_tokens=False)[0].ids, "<u4")
             at = np.flatnonzero(self.spaced[ids]).tolist()
             raw, ends = ids.tobytes(), at[1:] + [len(ids)]
             self.pieces.update((p, raw[4 * a : 4 * b]) for p, a, b in zip(part, at, ends))
 
     def _learn(self, new: set[str]) -> None:
+        firsts = [p for p in new if p[:1] == "\n"]
+        self.pieces.update(zip(firsts, (self.feed + x for x in self._whole([p[1:] for p in firsts]))))
+        new = new.difference(firsts)
         marked = {p for p in new if len(p) > 1 and p[-1] in MARKS and p[-2].isalpha()}
         self._after_space(list((new - marked).union(p[:-1] for p in marked).difference(self.pieces)))
         self.pieces.update((p, self.pieces[p[:-1]] + self.marks[p[-1]]) for p in marked)
 
-    def _splits(self, text: str) -> bool:
-        return not (_RUN.search(text) or any(s in text for s in self.special))
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text; null is empty."""
-        texts = [t or "" for t in texts]
-        cut = [[line.split(" ") for line in t.split("\n")] if self._splits(t) else None for t in texts]
+    def _splits(self, texts: pa.Array) -> np.ndarray:
+        """Whether single spaces and line feeds are a text's only white space
+        (other white space is not printable) and none stands at an edge."""
+        ok = pc.utf8_is_printable(pc.replace_substring(texts, "\n", ""))
+        for s in ("  ", " \n", "\n ", "\n\n", *self.special):
+            ok = pc.and_not(ok, pc.match_substring(texts, s))
+        for s in (" ", "\n"):
+            ok = pc.and_not(pc.and_not(ok, pc.starts_with(texts, s)), pc.ends_with(texts, s))
+        return pc.and_(ok, pc.greater(pc.binary_length(texts), 0)).to_numpy(zero_copy_only=False)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and the number of ids of each text; null is empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        splits = self._splits(texts)
+        ids, sizes = self._encode_pieces(texts.filter(pa.array(splits)))
+        if splits.all():
+            return ids, sizes
+        ends = np.cumsum(sizes)
+        cut = iter([ids[b - n : b] for n, b in zip(sizes, ends)])
+        whole = iter([np.frombuffer(x, "<u4") for x in self._whole(texts.filter(pa.array(~splits)).to_pylist())])
+        parts = [next(cut) if s else next(whole) for s in splits]
+        return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+
+    def _encode_pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if not len(texts):
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
         if len(self.pieces) > self.kept:
             self.pieces.clear()
-        if len(self.firsts) > self.kept // 8:
-            self.firsts.clear()
-        firsts = {line[0] for lines in cut if lines for line in lines}.difference(self.firsts)
-        self.firsts.update(zip(list(firsts), self._whole(list(firsts))))
-        self._learn(set().union(*(line[1:] for lines in cut if lines for line in lines)).difference(self.pieces))
-        whole = iter(self._whole([t for t, lines in zip(texts, cut) if lines is None]))
-        first, piece = self.firsts.__getitem__, self.pieces.__getitem__
-        return [
-            next(whole) if lines is None
-            else self.feed.join([first(line[0]) + b"".join(map(piece, line[1:])) for line in lines])
-            for lines in cut
-        ]
+        text = pa.large_string()
+        lines = pc.binary_join_element_wise(pa.scalar("\n", text), pc.replace_substring(texts, "\n", " \n"), pa.scalar("", text))
+        cut = pc.split_pattern(lines, " ")
+        coded = pc.dictionary_encode(cut.flatten())
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self._learn(set(pieces).difference(self.pieces))
+        raw = [self.pieces[p] for p in pieces]
+        offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in raw])))
+        table = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(np.frombuffer(b"".join(raw), "<u4")))
+        found = table.take(coded.indices)
+        bounds = found.offsets.to_numpy()[cut.offsets.to_numpy()]
+        # each text begins with the line feed put before its first piece
+        sizes = np.diff(bounds)
+        ids = found.flatten().to_numpy()
+        keep = np.ones(len(ids), bool)
+        keep[bounds[:-1] - bounds[0]] = False
+        return ids[keep], sizes - 1
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -139,12 +139,10 @@ def _packer(tokenizer_path: str, end_id: int, capacity: int, with_ids: bool):
             return pa.RecordBatch.from_arrays(arrays, names=names + ["ids"] * with_ids)
 
         for batch in batches:
-            at = 0
-            while at < batch.num_rows:
-                part = batch.slice(at, GROUP - len(coded))
-                at += part.num_rows
-                ids += part.column(0).to_pylist()
-                coded += [raw + end for raw in enc.encode(part.column(1).to_pylist())]
+            flat, sizes = enc.encode(batch.column(1))
+            for doc, n, to in zip(batch.column(0).to_pylist(), sizes.tolist(), np.cumsum(sizes).tolist()):
+                ids.append(doc)
+                coded.append(flat[to - n : to].tobytes() + end)
                 if len(coded) == GROUP:
                     yield flush()
         if coded:
