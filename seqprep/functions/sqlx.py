@@ -199,16 +199,17 @@ def coerce_float(s: str, element: str) -> str:
 
 
 def coerce_int(s: str, element: str) -> str:
-    """Floats truncate; any NULL, NaN or ±inf empties the sequence; a NULL
-    sequence becomes empty."""
+    """Floats truncate; strings must be whole numbers (read exactly); any NULL,
+    NaN, ±inf or unreadable string empties the sequence; a NULL sequence
+    becomes empty."""
     x, y = var("x"), var("y")
     empty = "CAST(array() AS ARRAY<BIGINT>)"
     if element in ("double", "float"):
         bad = f"exists({s}, {x} -> {is_missing(x)})"
         vals = s
     elif element == "string":
-        vals = f"transform({s}, {y} -> try_cast({y} AS DOUBLE))"
-        bad = f"exists({vals}, {x} -> {is_missing(x)})"
+        vals = f"transform({s}, {y} -> try_cast({y} AS BIGINT))"
+        bad = f"exists({vals}, {x} -> {x} IS NULL)"
     else:
         bad = f"exists({s}, {x} -> {x} IS NULL)"
         vals = s

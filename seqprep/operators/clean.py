@@ -26,19 +26,18 @@ from seqprep.functions.missing import is_finite
 from seqprep.operators.derive import repair_time_elapsed
 from seqprep.operators.validate import coerce_float, coerce_int, valid_lengths
 from seqprep.plans.quantiles import exact_quantiles
+from seqprep.plans.rank import null_safe_join
 from seqprep.plans.state import State, as_state
-from seqprep.sources.schema import require_columns
+from seqprep.sources.schema import FLOAT_SEQUENCES, INT_SEQUENCES, require_columns
 
-# Default column lists and cleaner settings.
-SEQ_COLS_FLOAT_DEFAULT = ["heart_rate", "derived_speed", "longitude", "latitude", "derived_distance", "altitude"]
-SEQ_COLS_INT_DEFAULT = ["timestamp", "time_elapsed"]
+# Default smoothing columns and cleaner settings.
 SMOOTH_COLS_DEFAULT = ["heart_rate", "derived_speed", "altitude"]
 
 
 @dataclass(frozen=True)
 class CleaningConfig:
-    seq_float_cols: list[str] = field(default_factory=lambda: list(SEQ_COLS_FLOAT_DEFAULT))
-    seq_int_cols: list[str] = field(default_factory=lambda: list(SEQ_COLS_INT_DEFAULT))
+    seq_float_cols: list[str] = field(default_factory=lambda: list(FLOAT_SEQUENCES))
+    seq_int_cols: list[str] = field(default_factory=lambda: list(INT_SEQUENCES))
     drop_invalid_length_rows: bool = True
     min_seq_len: int = 5
     impute: bool = True
@@ -48,7 +47,6 @@ class CleaningConfig:
     smooth: bool = True
     smooth_window: int = 3
     smooth_cols: list[str] | None = None
-    quantile_accuracy: int = 100000
 
     def smoothing(self) -> list[str]:
         if self.smooth_cols is not None:
@@ -63,7 +61,7 @@ def _required(cfg: CleaningConfig) -> list[str]:
 def fit_bounds(df: DataFrame, config: CleaningConfig | None = None, group_by: list[str] | None = None) -> DataFrame:
     """Bounds per (group, column): quantiles ``clip_q_low``/``clip_q_high`` and
     the median of all finite points; a column without finite points gets
-    ``(-inf, inf)`` and median NaN."""
+    ``(-inf, inf)`` and median NaN. A NULL group key is a group."""
     cfg = config or CleaningConfig()
     require_columns(df, _required(cfg), "fit_bounds")
     g = list(group_by or [])
@@ -77,11 +75,10 @@ def fit_bounds(df: DataFrame, config: CleaningConfig | None = None, group_by: li
     pts = df.select(*g, F.explode(F.concat(*tagged)).alias("p")).select(
         *g, F.col("p.k").alias("column"), F.col("p.x").alias("x")
     ).where(is_finite(F.col("x")))
-    q = exact_quantiles(pts, [*g, "column"], "x", [cfg.clip_q_low, cfg.clip_q_high, 0.5],
-                        accuracy=cfg.quantile_accuracy)
+    q = exact_quantiles(pts, [*g, "column"], "x", [cfg.clip_q_low, cfg.clip_q_high, 0.5])
     names = F.explode(F.array(*[F.lit(c) for c in cfg.seq_float_cols])).alias("column")
     keys = df.select(*g).distinct().select(*g, names) if g else df.sparkSession.range(1).select(names)
-    res = keys.join(q, on=[*g, "column"], how="left")
+    res = null_safe_join(keys, q, [*g, "column"], how="left")
     return res.select(
         *g,
         "column",
@@ -111,7 +108,7 @@ def clean(
     cfg = config or CleaningConfig()
     require_columns(df, _required(cfg), "clean")
     if bounds is None:
-        raise RuntimeError("Cleaner not fitted. Call fit_bounds() first.")
+        raise RuntimeError("clean() needs the bounds that fit_bounds() returns")
     g = list(group_by or [])
     st: State = as_state(bounds)
 
@@ -133,7 +130,7 @@ def clean(
         ]
     )
     if g:
-        out = out.join(st.side_for(wide), on=g, how="left")
+        out = null_safe_join(out, st.side_for(wide), g, how="left")
     else:  # one bounds row for the whole table: one scalar subquery, no join
         allb = wide.select(F.struct(*[f"_b_{c}" for c in cfg.seq_float_cols]).alias("b")).scalar()
         out = out.withColumns({f"_b_{c}": allb[f"_b_{c}"] for c in cfg.seq_float_cols})
@@ -163,7 +160,7 @@ def clip(df: DataFrame, bounds, columns: list[str], group_by: list[str] | None =
     aggs = [F.first(F.when(F.col("column") == c, F.struct("lo", "hi")), ignorenulls=True).alias(f"_b_{c}")
             for c in columns]
     if g:
-        out = df.join(st.side_for(st.df.groupBy(*g).agg(*aggs)), on=g, how="left")
+        out = null_safe_join(df, st.side_for(st.df.groupBy(*g).agg(*aggs)), g, how="left")
     else:
         wide = st.df.agg(*aggs)
         allb = wide.select(F.struct(*[f"_b_{c}" for c in columns]).alias("b")).scalar()

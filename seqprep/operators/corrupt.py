@@ -4,14 +4,15 @@ A *segment plan* chooses which points of a length-L sequence are corrupted:
 ``S = max(2, int(L·fraction))`` points in ``k`` segments (k−1 distinct cuts
 in 1..S−1, so every segment has at least one point), with the L−S other
 points spread over the k+1 gaps by a multinomial with equal weights. The
-plan depends only on (L, fraction, k, seed): it is computed once per
-distinct length present and joined to the rows by length.
+plan is a function of (L, fraction, k, seed) alone and is computed in the row,
+so rows may have any lengths and the same expressions run on streams. A
+sequence too short for its plan (it needs ``k <= S < L``) is left as it is.
 
 Constant noise adds one ``c`` to every planned point; random noise adds
 ``k·R`` with R ~ N(0,1) on the planned points. In both cases the magnitude
 solves ``A·c² + B·c + C = 0`` so that the population std of the result is
 exactly ``std_scale`` times the original; a hashed fair coin picks the root
-per row and column. All draws are hash-based (``seqprep.functions.rng``),
+per row and column. All draws are hash-based (``seqprep.functions.sqlx``),
 so results do not depend on partitioning, order or retries.
 """
 
@@ -25,70 +26,62 @@ from pyspark.sql import functions as F
 from seqprep.functions import sqlx as S
 from seqprep.functions.arrays import let, seq_mean
 from seqprep.operators.sample import choose_rows
-from seqprep.plans.state import State, materialize
 from seqprep.sources.schema import require_array_columns
 
+NO_PLAN = "CAST(NULL AS STRUCT<S: INT, starts: ARRAY<INT>, lens: ARRAY<INT>>)"
 
-def _fmil(fraction: float) -> int:
-    return int(round(fraction * 1000))
 
-
-def plan_for_lengths(lengths: DataFrame, fraction: float, k: int, seed: int, length_col: str = "L") -> DataFrame:
-    """Segment plan for each distinct length: ``(L, fraction, k, S, starts, lens, mask)``."""
-    if k < 1:
-        raise ValueError("num_segments must be >= 1")
-    fm = _fmil(fraction)
-    base = lengths.select(F.col(length_col).cast("int").alias("L")).where(F.col("L").isNotNull()).distinct()
-    base = base.withColumn("S", F.expr(f"CAST(greatest(2, CAST(floor(L * {S.dbl(fraction)}) AS INT)) AS INT)"))
-    base = base.withColumn("_chk", F.expr(
-        f"CASE WHEN {k} > S OR S >= L THEN raise_error(concat('segment plan impossible: L=', CAST(L AS STRING), "
-        f"' S=', CAST(S AS STRING), ' k={k} (need k <= S < L)')) END"))
+def plan_sql(L: str, fraction: str, k: str, seed: int) -> str:
+    """SQL for a row's plan ``struct(S, starts, lens)``, NULL where the sequence
+    is too short for it. ``L``, ``fraction`` (double) and ``k`` are SQL
+    expressions, literals or columns. Draws are keyed by the fraction in
+    billionths, so different fractions draw differently."""
+    fm = f"CAST(round({fraction} * 1e9D) AS BIGINT)"
 
     def h(tag: str, v: str) -> str:
-        return S.u32(str(seed), "L", str(fm), str(k), S.s(tag), v)
-
-    if k == 1:
-        cuts = "CAST(array() AS ARRAY<INT>)"
-    else:
-        j, t = S.var("j"), S.var("t")
-        ranked = f"array_sort(transform(sequence(1, S - 1), {j} -> named_struct('h', {h('cut', j)}, 'j', {j})))"
-        cuts = f"array_sort(transform(slice({ranked}, 1, {k - 1}), {t} -> {t}.j))"
-    i = S.var("i")
-    lens = S.let(f"concat(array(0), {cuts}, array(S))", lambda b: f"transform(sequence(0, {k - 1}), {i} -> {b}[{i} + 1] - {b}[{i}])")
-    base = base.withColumn("lens", F.expr(lens))
-    sl = S.var("sl")
-    bins = f"transform(CASE WHEN L - S > 0 THEN sequence(0, L - S - 1) ELSE CAST(array() AS ARRAY<INT>) END, {sl} -> CAST({h('gap', sl)} % {k + 1} AS INT))"
-    bn, x = S.var("b"), S.var("x")
-    gaps = S.let(bins, lambda g: f"transform(sequence(0, {k}), {bn} -> size(filter({g}, {x} -> {x} = {bn})))")
-    base = base.withColumn("_gaps", F.expr(gaps))
-    a1, a2, x1, x2 = S.var("a"), S.var("a"), S.var("x"), S.var("x")
-    base = base.withColumn("starts", F.expr(
-        f"transform(sequence(0, {k - 1}), {i} -> aggregate(slice(_gaps, 1, {i} + 1), 0, ({a1}, {x1}) -> {a1} + {x1})"
-        f" + aggregate(slice(lens, 1, {i}), 0, ({a2}, {x2}) -> {a2} + {x2}))"))
-    p, q, g = S.var("p"), S.var("q"), S.var("g")
-    segs = f"zip_with(starts, lens, ({p}, {q}) -> named_struct('s', {p}, 'n', {q}))"
-    base = base.withColumn("mask", F.expr(S.let(
-        segs, lambda sg: f"transform(sequence(0, L - 1), {i} -> exists({sg}, {g} -> {i} >= {g}.s AND {i} < {g}.s + {g}.n))")))
-    return base.select(
-        "L", F.lit(float(fraction)).alias("fraction"), F.lit(k).alias("k"), "S", "starts", "lens", "mask", "_chk"
-    )
+        return S.u32(str(seed), L, fm, k, S.s(tag), v)
+
+    def planned(size: str) -> str:
+        j, t, i, sl, b, x = (S.var(v) for v in "jtisbx")
+        a1, a2, x1, x2 = S.var("a"), S.var("a"), S.var("x"), S.var("x")
+        ranked = f"array_sort(transform(sequence(1, {size} - 1), {j} -> named_struct('h', {h('cut', j)}, 'j', {j})))"
+        cuts = (f"(CASE WHEN {k} > 1 THEN array_sort(transform(slice({ranked}, 1, {k} - 1), {t} -> {t}.j)) "
+                f"ELSE CAST(array() AS ARRAY<INT>) END)")
+        lens = S.let(f"concat(array(0), {cuts}, array({size}))", lambda e: f"transform(sequence(0, {k} - 1), {i} -> {e}[{i} + 1] - {e}[{i}])")
+        bins = f"transform(sequence(0, {L} - {size} - 1), {sl} -> CAST({h('gap', sl)} % ({k} + 1) AS INT))"
+        gaps = S.let(bins, lambda g: f"transform(sequence(0, {k}), {b} -> size(filter({g}, {x} -> {x} = {b})))")
+
+        def with_lens(n: str) -> str:
+            def with_gaps(g: str) -> str:
+                starts = (f"transform(sequence(0, {k} - 1), {i} -> aggregate(slice({g}, 1, {i} + 1), 0, ({a1}, {x1}) -> {a1} + {x1})"
+                          f" + aggregate(slice({n}, 1, {i}), 0, ({a2}, {x2}) -> {a2} + {x2}))")
+                return f"named_struct('S', {size}, 'starts', {starts}, 'lens', {n})"
 
+            return S.let(gaps, with_gaps)
 
-def plans_for(df: DataFrame, length: Column, combos: Sequence[tuple[float, int]], seed: int) -> State:
-    """Materialized plans for the distinct lengths of ``df`` and each (fraction, k)."""
-    lengths = df.select(length.alias("L")).distinct()
-    if len(combos) > 1:  # read by every combination: write it once
-        lengths = materialize(lengths, measure=False).df
-    parts = [plan_for_lengths(lengths, f, k, seed) for f, k in combos]
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    return materialize(_checked(allp))
+        return f"(CASE WHEN {k} <= {size} AND {size} < {L} THEN {S.let(lens, with_lens)} ELSE {NO_PLAN} END)"
 
+    size = f"CAST(greatest(2, CAST(floor({L} * {fraction}) AS INT)) AS INT)"
+    return f"(CASE WHEN {L} > 2 AND {k} IS NOT NULL AND {fraction} IS NOT NULL THEN {S.let(size, planned)} ELSE {NO_PLAN} END)"
 
-def _checked(plans: DataFrame) -> DataFrame:
-    # keep the raise_error column referenced so Catalyst cannot prune it
-    return plans.where(F.col("_chk").isNull()).drop("_chk")
+
+def mask_sql(plan: str, L: str) -> str:
+    """One boolean per point: whether the plan corrupts it; empty without one."""
+    i, p, q, g = (S.var(v) for v in "ipqg")
+    segs = f"zip_with({plan}.starts, {plan}.lens, ({p}, {q}) -> named_struct('s', {p}, 'n', {q}))"
+    mask = S.let(segs, lambda sg: f"transform(sequence(0, {L} - 1), {i} -> exists({sg}, {g} -> {i} >= {g}.s AND {i} < {g}.s + {g}.n))")
+    return f"(CASE WHEN {plan} IS NULL THEN CAST(array() AS ARRAY<BOOLEAN>) ELSE {mask} END)"
+
+
+def plan_for_lengths(lengths: DataFrame, combos: Sequence[tuple[float, int]], seed: int, length_col: str = "L") -> DataFrame:
+    """Segment plans ``(L, fraction, k, S, starts, lens)`` of each distinct
+    length and combination that has one."""
+    if any(k < 1 for _, k in combos):
+        raise ValueError("num_segments must be >= 1")
+    each = F.explode(F.array(*[F.struct(F.lit(float(f)).alias("fraction"), F.lit(k).alias("k")) for f, k in combos])).alias("c")
+    base = lengths.select(F.col(length_col).cast("int").alias("L")).distinct().select("L", each).select("L", "c.fraction", "c.k")
+    planned = base.withColumn("plan", F.expr(plan_sql("L", "fraction", "k", seed))).where("plan IS NOT NULL")
+    return planned.select("L", "fraction", "k", "plan.S", "plan.starts", "plan.lens")
 
 
 def _check_args(df: DataFrame, columns: Sequence[str], std_scale: float) -> None:
@@ -127,7 +120,7 @@ def _fallback_sigma(x: str, sigma: str) -> str:
 def _root(A: str, B: str, C: str, plus: str) -> str:
     delta = f"({B} * {B} - 4 * {A} * {C})"
     return (
-        f"(CASE WHEN {delta} < 0 THEN raise_error('Cannot find real solution for corruption magnitude') "
+        f"(CASE WHEN {delta} < 0 THEN raise_error('no real magnitude gives the wanted standard deviation') "
         f"WHEN {plus} THEN (-{B} + sqrt({delta})) / (2 * {A}) ELSE (-{B} - sqrt({delta})) / (2 * {A}) END)"
     )
 
@@ -202,14 +195,14 @@ def _corrupt(
     out_prefix: str,
 ) -> DataFrame:
     _check_args(df, columns, std_scale)
-    first = F.col(columns[0])
-    out = df.withColumn("_L", F.size(first).cast("int"))
+    if num_segments < 1:
+        raise ValueError("num_segments must be >= 1")
+    out = df.withColumn("_L", F.size(F.col(columns[0])).cast("int"))
     same = F.lit(True)
     for c in columns[1:]:
         same = same & (F.size(F.col(c)) == F.col("_L"))
-    plans = plans_for(out, F.col("_L"), [(segment_fraction, num_segments)], seed)
-    side = plans.side_for(plans.df.select(F.col("L").alias("_L"), F.col("S").alias("_S"), F.col("mask").alias("_mask")))
-    out = out.join(side, on="_L", how="left")
+    out = out.withColumn("_plan", F.expr(plan_sql("_L", S.dbl(segment_fraction), str(num_segments), seed)))
+    out = out.withColumn("_mask", F.expr(mask_sql("_plan", "_L"))).withColumn("_S", F.col("_plan.S"))
     out = choose_rows(out, row_fraction, seed, key=id_col, out="_chosen")
     for c in columns:
         x = f"CAST({c} AS ARRAY<DOUBLE>)"
@@ -219,10 +212,10 @@ def _corrupt(
             out = out.withColumn("_R", noise_array(id_col, c, seed, "_mask"))
             res = random_array(x, "_R", S.dbl(std_scale), _coin(seed, id_col, c))
         x = F.col(c).cast("array<double>")
-        guarded = F.when(~same, F.raise_error(F.lit(f"All columns must have same length: '{c}'")).cast("array<double>"))
-        res = guarded.when(F.col("_chosen") & F.col("_L").isNotNull(), res).otherwise(x)
+        guarded = F.when(~same, F.raise_error(F.lit(f"'{c}' and '{columns[0]}' differ in length")).cast("array<double>"))
+        res = guarded.when(F.col("_chosen") & F.col("_plan").isNotNull(), res).otherwise(x)
         out = out.withColumn(out_prefix + c, res).drop("_R")
-    return out.drop("_L", "_S", "_mask", "_chosen")
+    return out.drop("_L", "_S", "_plan", "_mask", "_chosen")
 
 
 def constant_noise(

@@ -77,35 +77,31 @@ def derive_features(
 # attach a signal by (id, timestamp)
 # --------------------------------------------------------------------------
 
-def signal_map(raw: DataFrame, id_col: str = "id", ts: str = "timestamp", value: str = "altitude") -> DataFrame:
+def signal_map(raw: DataFrame, id_col: str = "id", ts: str = "timestamp", value: str = "altitude",
+               order: str | None = None) -> DataFrame:
     """Turn raw records ``(id, timestamp[], value[])`` into one
     ``map<timestamp, value>`` per id.
 
-    Lists are zipped to the shorter length. A timestamp repeated within an
-    id, or an id repeated across records, keeps the value that comes last
-    (record order, then position); the rows are ordered by a file position
-    key ``_rec`` when present, else by id alone.
-    """
-    rec = F.col("_rec") if "_rec" in raw.columns else F.lit(0).cast("long")
+    Lists are zipped to the shorter length. Of records that repeat an id, the
+    last by ``order`` (default: the reader's ``_rec``, if present) replaces the
+    earlier ones; without an order a repeated id fails the job. A timestamp
+    repeated inside a record keeps its last value. One record per id is
+    shuffled, picked by a partial aggregation; the rest stays in the row."""
+    order = order or ("_rec" if "_rec" in raw.columns else None)
     t, v = F.col(ts), F.col(value)
-    zipped = raw.select(
-        F.col(id_col).alias("id"),
-        rec.alias("_rec"),
-        F.slice(F.arrays_zip(t.alias("t"), v.alias("v")), 1, F.least(F.size(t), F.size(v))).alias("z"),
-    )
-    if "_rec" in raw.columns:
-        # a repeated id: the map of the last record replaces the earlier ones
-        latest = zipped.groupBy("id").agg(F.max("_rec").alias("_rec"))
-        zipped = zipped.join(latest, on=["id", "_rec"], how="left_semi")
-    # one shuffle on id: gather (t, rec, pos, v) per id, sort, keep the last
-    # entry of each timestamp (record order, then position)
-    points = zipped.select("id", F.posexplode("z").alias("pos", "p"), "_rec").where(F.col("p.t").isNotNull())
-    entries = points.select("id", F.struct(F.col("p.t").alias("t"), F.col("_rec").alias("rec"),
-                                           F.col("pos").alias("pos"), F.col("p.v").alias("v")).alias("e"))
-    per_id = entries.groupBy("id").agg(F.array_sort(F.collect_list("e")).alias("es"))
+    zipped = F.slice(F.arrays_zip(t.alias("t"), v.alias("v")), 1, F.least(F.size(t), F.size(v)))
+    records = raw.select(F.col(id_col).alias("id"), (F.col(order) if order else F.lit(0)).alias("_o"), zipped.alias("z"))
+    per_id = records.groupBy("id").agg(F.max_by("z", "_o").alias("z"), F.count(F.lit(1)).alias("_n"))
+    z = F.col("z") if order else F.when(F.col("_n") == 1, F.col("z")).otherwise(
+        F.raise_error(F.concat(F.lit("several raw records for id "), F.col("id").cast("string"), F.lit(" and no order column")))
+        .cast(records.schema["z"].dataType))
+    # points by (time, position); of equal times the last stays
+    points = F.array_sort(F.filter(F.transform(z, lambda p, i: F.struct(p["t"].alias("t"), i.alias("i"), p["v"].alias("v"))),
+                                   lambda e: e["t"].isNotNull()))
+    sorted_ = per_id.select("id", points.alias("es"))
     es = F.col("es")
     last = F.filter(es, lambda e, i: F.when(i == F.size(es) - 1, F.lit(True)).otherwise(es[i + 1]["t"] != e["t"]))
-    return per_id.select("id", F.map_from_entries(F.transform(last, lambda e: F.struct(e["t"], e["v"]))).alias("m"))
+    return sorted_.select("id", F.map_from_entries(F.transform(last, lambda e: F.struct(e["t"], e["v"]))).alias("m"))
 
 
 def attach_signal(
@@ -116,6 +112,7 @@ def attach_signal(
     ts: str = "timestamp",
     raw_value: str = "altitude",
     on_missing: str = "error",
+    order: str | None = None,
 ) -> DataFrame:
     """Attach a raw signal to each point of ``df`` by (id, timestamp[i]).
 
@@ -125,7 +122,7 @@ def attach_signal(
     """
     if on_missing not in ("error", "null"):
         raise ValueError("on_missing must be 'error' or 'null'")
-    m = signal_map(raw, id_col="id" if id_col == "id" else id_col, ts=ts, value=raw_value)
+    m = signal_map(raw, id_col=id_col, ts=ts, value=raw_value, order=order)
     joined = df.join(m.withColumnRenamed("id", id_col), on=id_col, how="left")
     mp = F.col("m")
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqprep.plans.rank import rank_bands
-from seqprep.plans.state import as_state, materialize
+from seqprep.plans.rank import ranked_keys
+from seqprep.plans.state import State, as_state
 from seqprep.sources.schema import require_columns
 
 
@@ -15,45 +15,38 @@ def fit_encoder(
     columns: list[str],
     order: tuple[str, ...] = ("_first", "userId", "id"),
     ts: str = "timestamp",
-    bucket_seconds: int = 3600,
 ) -> DataFrame:
     """State ``(column, value, idx)``: idx = order of first appearance of the
     value in ``df`` sorted by (first timestamp, userId, id). NULL is a value
     like any other (as ``unique()`` keeps it).
 
     One scan: every row emits its (column, value) pairs; each value's first
-    appearance is a min over a partial-aggregated groupBy;
-    the values are then ranked exactly with ``rank_bands`` (hour buckets of the
-    first appearance), never in one task."""
+    appearance is a min over a partial-aggregated groupBy; the values are then
+    ranked by a range-partitioned sort (``ranked_keys``), never in one task."""
     require_columns(df, columns, "fit_encoder")
     base = df.withColumn("_first", F.get(F.col(ts), 0)) if "_first" in order else df
     key = F.struct(*[F.col(o) for o in order])
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
-    allv = (
+    cats = (
         base.select(key.alias("_k"), F.explode(pairs).alias("_p"))
         .groupBy(F.col("_p.column").alias("column"), F.col("_p.value").alias("value"))
         .agg(F.min("_k").alias("_k"))
     )
-    cats = materialize(allv.withColumn("_vkey", F.coalesce(F.col("value"), F.lit("\u0000null"))), measure=False).df
-    ranked = rank_bands(
-        cats,
-        key_cols=["_vkey"],
-        partition_cols=["column"],
-        order_cols=[F.col("_k")],
-        bucket=F.floor(F.coalesce(F.col("_k")[order[0]], F.lit(0)) / bucket_seconds).cast("long"),
-        band=lambda r, n: r,
-        out="idx",
-    )
-    return ranked.select("column", "value", F.col("idx").cast("long").alias("idx"))
+    ranked = ranked_keys(cats.select("column", "value", "_k"), ["column"], ["_k", "value"])
+    return ranked.select("column", "value", F.col("_rank").cast("long").alias("idx"))
 
 
 def apply_encoder(df: DataFrame, state, columns: list[str], suffix: str = "_idx") -> DataFrame:
-    """Add ``<col>_idx``; a value not seen at fit time gets NULL."""
+    """Add ``<col>_idx``; a value not seen at fit time gets NULL.
+
+    Each column's dictionary is counted by itself: a large one (user ids) is
+    joined by shuffle without turning the small ones into shuffle joins."""
     st = as_state(state)
+    sizes = {r["column"]: r["n"] for r in st.df.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
     out = df
     for c in columns:
         m = st.df.where(F.col("column") == c).select(F.col("value").alias("_v"), F.col("idx").alias(c + suffix))
-        side = st.side_for(m)
+        side = State(m, sizes.get(c, 0), st.row_bytes).side()
         out = out.join(side, F.col(c).cast("string").eqNullSafe(F.col("_v")), "left").drop("_v")
     return out
 

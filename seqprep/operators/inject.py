@@ -6,11 +6,10 @@ half gets constant noise, the rest random noise. Inside each half: 30 % /
 one segment and 20 % two; inside 0.6, 60 % / 20 % / 20 % one, two, three
 segments. Every cut is ``int()`` of a double product, by position.
 
-The assignment is a pure function of (rank, n) per dataset, computed with
-``rank_bands`` (no window over a whole dataset, no shuffle of the wide
-rows); all 14 (method, fraction, k) groups are then corrupted in one pass:
-the plans of every (length, fraction, k) sit in one small table joined by
-key, and the method selects the constant or random expression.
+The assignment is a pure function of (rank, n) per dataset, found with
+``rank_bands`` (13 cut keys per dataset that rows are compared with; no window
+over a whole dataset, no shuffle of the wide rows); all 14 (method, fraction, k) groups are then corrupted in one pass:
+each row computes its own plan, so lengths may differ, and the method selects the constant or random expression.
 """
 
 from __future__ import annotations
@@ -25,8 +24,9 @@ from seqprep.operators.corrupt import (
     _coin,
     _pop_std,
     constant_array,
+    mask_sql,
     noise_array,
-    plans_for,
+    plan_sql,
     random_array,
 )
 from seqprep.operators.sample import with_shuffle_band
@@ -38,30 +38,31 @@ SCALES = [2, 4, 8]
 COMBOS = [(0.2, 1), (0.2, 2), (0.4, 1), (0.4, 2), (0.6, 1), (0.6, 2), (0.6, 3)]
 
 
-def injection_band(r: Column, n: Column) -> Column:
-    """(method, fraction, num_segments) of the row at 0-based shuffle rank r of n."""
+def injection_cuts(n: Column) -> list[Column]:
+    """Ranks at which the 14 (method, fraction, segments) groups after the
+    first begin, in the order of ``COMBOS``, constant noise first."""
     mid = F.floor(n * F.lit(P_CONSTANT))
-    const = r < mid
-    m = F.when(const, mid).otherwise(n - mid)
-    q = F.when(const, r).otherwise(r - mid)
-    s1 = F.floor(m * F.lit(0.3))
-    s2 = F.floor(m * F.lit(0.3 + 0.3))
-    frac = F.when(q < s1, F.lit(0.2)).when(q < s2, F.lit(0.4)).otherwise(F.lit(0.6))
-    c = F.when(q < s1, s1).when(q < s2, s2 - s1).otherwise(m - s2)
-    u = F.when(q < s1, q).when(q < s2, q - s1).otherwise(q - s2)
-    k = (
-        F.when(frac < 0.5, F.when(u < F.floor(c * F.lit(0.8)), F.lit(1)).otherwise(F.lit(2)))
-        .when(u < F.floor(c * F.lit(0.6)), F.lit(1))
-        .when(u < F.floor(c * F.lit(0.8)), F.lit(2))
-        .otherwise(F.lit(3))
-    )
-    method = F.when(const, F.lit("constant")).otherwise(F.lit("random"))
-    return F.struct(method.alias("method"), frac.alias("fraction"), k.cast("int").alias("k"))
+    cuts = []
+    for base, m in ((F.lit(0).cast("long"), mid), (mid, n - mid)):
+        s1, s2 = F.floor(m * F.lit(0.3)), F.floor(m * F.lit(0.3 + 0.3))
+        third = m - s2
+        cuts += [base] if cuts else []
+        cuts += [base + F.floor(s1 * F.lit(0.8)), base + s1, base + s1 + F.floor((s2 - s1) * F.lit(0.8)), base + s2,
+                 base + s2 + F.floor(third * F.lit(0.6)), base + s2 + F.floor(third * F.lit(0.8))]
+    return cuts
 
 
 def assign_injection(df: DataFrame, seed: int = 42, dataset_cols: Sequence[str] = ("sport",), id_col: str = "id",
                      out: str = "assignment") -> DataFrame:
-    return with_shuffle_band(df, seed, injection_band, key=id_col, group_cols=list(dataset_cols), out=out)
+    """``out``: the row's (method, fraction, k) by its rank in the seeded
+    shuffle of its dataset (a NULL dataset is one). Rows that repeat an id get
+    the same assignment."""
+    groups = F.array(*[
+        F.struct(F.lit(m).alias("method"), F.lit(f).alias("fraction"), F.lit(k).alias("k"))
+        for m in ("constant", "random") for f, k in COMBOS
+    ])
+    banded = with_shuffle_band(df, seed, injection_cuts, key=id_col, group_cols=list(dataset_cols), out="_band")
+    return banded.withColumn(out, F.get(groups, F.col("_band"))).drop("_band")
 
 
 def inject(
@@ -75,22 +76,21 @@ def inject(
 ) -> DataFrame:
     """Copy ``columns`` to ``erroneous_<col>`` and corrupt the copies for each
     scale; the result has one row per (input row, scale) with ``std_scale``
-    and the assignment columns. The assignment and plans are computed once
-    and shared by all scales."""
+    and the assignment columns, computed once and shared by all scales. A
+    sequence too short for its plan keeps its values."""
     for s in std_scales:
         _check_args(df, columns, s)
     a = assign_injection(df, seed, dataset_cols, id_col)
     a = a.select("*", F.col("assignment.method").alias("method"), F.col("assignment.fraction").alias("fraction"),
                  F.col("assignment.k").alias("num_segments")).drop("assignment")
     a = a.withColumn("_L", F.size(F.col(columns[0])).cast("int"))
-    plans = plans_for(a, F.col("_L"), COMBOS, seed)
-    side = plans.side_for(plans.df.select(
-        F.col("L").alias("_L"), F.col("fraction"), F.col("k").alias("num_segments"),
-        F.col("S").alias("_S"), F.col("mask").alias("_mask")))
-    a = a.join(side, on=["_L", "fraction", "num_segments"], how="left")
-    # noise is drawn once per row and column; the scales are generated in
-    # the same pass (one scan of the input, one plan join)
-    a = a.withColumns({f"_R_{c}": noise_array(id_col, prefix + c, seed, "_mask") for c in columns})
+    a = a.withColumn("_plan", F.expr(plan_sql("_L", "fraction", "num_segments", seed)))
+    a = a.withColumn("_mask", F.expr(mask_sql("_plan", "_L"))).withColumn("_S", F.col("_plan.S"))
+    # noise is drawn once per row and column, and only where it is used; the
+    # scales are generated in the same pass (one scan of the input)
+    a = a.withColumns({
+        f"_R_{c}": F.when(F.col("method") == "random", noise_array(id_col, prefix + c, seed, "_mask")) for c in columns
+    })
     a = a.withColumn("std_scale", F.explode(F.array(*[F.lit(float(s)) for s in std_scales])))
     outs = {}
     for c in columns:
@@ -98,9 +98,11 @@ def inject(
         coin = _coin(seed, id_col, prefix + c)
         const = constant_array(x, "_mask", "_L", "_S", "std_scale", coin)
         rand = random_array(x, f"_R_{c}", "std_scale", coin)
-        outs[prefix + c] = F.when(F.col("method") == "constant", const).otherwise(rand)
+        same = F.coalesce(F.size(F.col(c)) == F.col("_L"), F.lit(False))
+        differs = F.raise_error(F.lit(f"'{c}' and '{columns[0]}' differ in length")).cast("array<double>")
+        outs[prefix + c] = F.when(F.col("_plan").isNull(), F.expr(x)).when(~same, differs).when(F.col("method") == "constant", const).otherwise(rand)
     a = a.withColumns(outs)
-    return a.drop("_L", "_S", "_mask", *[f"_R_{c}" for c in columns])
+    return a.drop("_L", "_S", "_plan", "_mask", *[f"_R_{c}" for c in columns])
 
 
 def audit(df: DataFrame, columns: Sequence[str] = ("longitude",), prefix: str = "erroneous_",
@@ -127,4 +129,4 @@ def audit(df: DataFrame, columns: Sequence[str] = ("longitude",), prefix: str =
     return out.groupBy(*group_cols).agg(F.count(F.lit(1)).cast("long").alias("n"), *aggs)
 
 
-__all__ = ["assign_injection", "inject", "audit", "injection_band"]
+__all__ = ["assign_injection", "inject", "audit", "injection_cuts"]

@@ -55,7 +55,8 @@ def is_low_precision(x: Column, digits: int = 13, tol: float = 1e-14) -> Column:
 def precision_repair(df: DataFrame, columns: list[str] | None = None, digits: int = 13, tol: float = 1e-14) -> DataFrame:
     """Blank the values that look rounded (unless every value of that axis
     does) and fill each gap with the mean of its previous and next valid
-    values; edges take the nearest. Values already missing are filled too.
+    values; edges take the nearest. Values already missing are filled too, and
+    ±inf counts as missing (a coordinate is finite).
     Empty sequences are unchanged; NULL passes through."""
     cols = [c for c in (columns or COORDINATES) if c in df.columns]
     out = df

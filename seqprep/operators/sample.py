@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqprep.functions import rng
-from seqprep.plans.rank import hash_bucket, rank_bands
+from seqprep.plans.rank import rank_bands
 
 
 def head(df: DataFrame, n: int, order_by: str = "id") -> DataFrame:
@@ -24,36 +24,27 @@ def shuffle_key(seed: int, key: str = "id") -> Column:
 def with_shuffle_band(
     df: DataFrame,
     seed: int,
-    band,
+    cuts: Callable[[Column], list[Column]],
     key: str = "id",
     group_cols: Sequence[str] = (),
     out: str = "band",
-    bits: int = 16,
 ) -> DataFrame:
-    """``out = band(r, n)`` where r is the row's exact rank in a seeded
-    shuffle of its group (order: hash of (seed, key), then key)."""
+    """``out``: how many of the rank cuts lie at or below the row's exact rank
+    in a seeded shuffle of its group (order: hash of (seed, key), then key)."""
     h = df.withColumn("_h", shuffle_key(seed, key))
-    res = rank_bands(
-        h,
-        key_cols=[key],
-        partition_cols=list(group_cols),
-        order_cols=["_h", key],
-        bucket=hash_bucket(F.col("_h"), bits),
-        band=band,
-        out=out,
-    )
-    return res.drop("_h")
+    return rank_bands(h, group_cols, ["_h", key], cuts, out=out).drop("_h")
 
 
 def choose_rows(
     df: DataFrame, fraction: float, seed: int, key: str = "id", group_cols: Sequence[str] = (), out: str = "chosen"
 ) -> DataFrame:
     """Mark exactly ``max(1, int(n·fraction))`` rows per group, without
-    replacement, by seeded shuffle order. ``fraction >= 1`` marks all rows."""
+    replacement, by seeded shuffle order. ``fraction >= 1`` marks all rows.
+    Rows that repeat a key are marked alike (so a few more may be)."""
     if fraction >= 1.0:
         return df.withColumn(out, F.lit(True))
 
-    def band(r, n):
-        return r < F.greatest(F.lit(1), F.floor(n * F.lit(float(fraction))))
+    def cuts(n):
+        return [F.greatest(F.lit(1).cast("long"), F.floor(n * F.lit(float(fraction))))]
 
-    return with_shuffle_band(df, seed, band, key=key, group_cols=group_cols, out=out)
+    return with_shuffle_band(df, seed, cuts, key=key, group_cols=group_cols, out=out).withColumn(out, F.col(out) == 0)

@@ -48,14 +48,11 @@ def first_ts(ts: str = "timestamp") -> Column:
     return F.get(F.col(ts), 0)
 
 
-def split_band(r: Column, n: Column) -> Column:
-    """Band of the 0-based rank ``r`` among ``n`` rows: ``row = r+1``,
-    ``v = int(n·0.7)``, ``t = int(n·0.8)`` in double arithmetic;
-    train ``row < v``, val ``v ≤ row < t``, test ``row ≥ t``."""
-    row = r + 1
-    v = F.floor(n * F.lit(VAL_START))
-    t = F.floor(n * F.lit(TEST_START))
-    return F.when(row < v, F.lit("train")).when(row < t, F.lit("val")).otherwise(F.lit("test"))
+def split_cuts(n: Column) -> list[Column]:
+    """Ranks at which validation and test begin among ``n`` rows: ``row = r+1``,
+    ``v = int(n·0.7)``, ``t = int(n·0.8)`` in double arithmetic; train
+    ``row < v``, val ``v ≤ row < t``, test ``row ≥ t``."""
+    return [F.floor(n * F.lit(VAL_START)) - 1, F.floor(n * F.lit(TEST_START)) - 1]
 
 
 def temporal_split(
@@ -64,29 +61,14 @@ def temporal_split(
     ts: str = "timestamp",
     id_col: str = "id",
     out: str = "split",
-    bucket_seconds: int = 86400,
 ) -> DataFrame:
     """Per-user temporal split ordered by (first timestamp, id).
 
-    Exact, and without one window over a whole user: rows are bucketed by the
-    day of their first timestamp; only the days that straddle a split edge are
-    ranked (see ``seqprep.plans.rank``)."""
+    Exact, and without a window over a whole user: only the two keys per user
+    at which a split begins are found (``seqprep.plans.rank``), and each row is
+    compared with them. A NULL user is a user; a NULL or empty timestamp comes
+    first; rows with the same first timestamp and id share a split."""
     require_columns(df, [user_col, ts, id_col], "temporal_split")
-    f = first_ts(ts)
-    with_f = df.withColumn("_first", f)
-    res = rank_bands(
-        with_f,
-        key_cols=[id_col],
-        partition_cols=[user_col],
-        order_cols=["_first", id_col],
-        bucket=F.floor(F.coalesce(F.col("_first"), F.lit(0)) / bucket_seconds).cast("long"),
-        band=split_band,
-        out=out,
-    )
-    return res.drop("_first")
-
-
-def split_frames(df: DataFrame, **kw) -> tuple[DataFrame, DataFrame, DataFrame]:
-    s = temporal_split(df, **kw)
-    out = kw.get("out", "split")
-    return tuple(s.where(F.col(out) == name).drop(out) for name in ("train", "val", "test"))
+    res = rank_bands(df.withColumn("_first", first_ts(ts)), [user_col], ["_first", id_col], split_cuts, out="_band")
+    names = F.array(F.lit("train"), F.lit("val"), F.lit("test"))
+    return res.withColumn(out, F.get(names, F.col("_band"))).drop("_first", "_band")

@@ -1,20 +1,15 @@
-"""Exact quantiles (NumPy 'linear' method) without gathering a group in one task.
+"""Exact quantiles (NumPy 'linear' method) by distributed selection.
 
 Spark's exact ``percentile`` merges every distinct value of a group in one
-task. Here the work is two passes:
-
-1. one aggregation per group: the count ``n`` and ``percentile_approx`` at
-   ``p ± 3/accuracy`` -- a bracket that, by the sketch's rank guarantee,
-   holds the exact order statistics needed for ``p``;
-2. every value is compared with the brackets: values below a bracket are
-   only counted, values inside it are counted per distinct value. A window
-   over the bracketed values of one (group, p) -- about ``6·n/accuracy``
-   values -- gives exact ranks, hence the two order statistics and the
-   interpolated quantile.
-
-Groups with ``n·eps < 4`` use the whole range as bracket (they are small by
-that bound). A bracket that misses its ranks fails the job; results are never
-silently approximate.
+task. Here each wanted order statistic is narrowed down instead: an interval
+that holds it (at first the group's smallest and largest value) is cut into
+``BUCKETS`` equal stretches, the values in each are counted together with
+their smallest and largest, and the stretch in which the wanted rank falls
+becomes the next interval. It ends when the interval is a single value; every
+round leaves out at least the outer stretches, and usually divides the values
+by ``BUCKETS``, so two or three rounds do. Counting is a partial aggregation:
+no group, value or bucket is gathered in one task, whatever repeats, and the
+state per interval is ``BUCKETS`` rows at most.
 """
 
 from __future__ import annotations
@@ -24,7 +19,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqprep.plans.state import materialize
+from seqprep.plans.rank import null_safe_join
+from seqprep.plans.state import State, materialize
+
+BUCKETS = 65_536
 
 
 def exact_quantiles(
@@ -32,73 +30,52 @@ def exact_quantiles(
     group_cols: Sequence[str],
     value_col: str,
     probs: Sequence[float],
-    accuracy: int = 100000,
     out_prefix: str = "q",
+    buckets: int = BUCKETS,
 ) -> DataFrame:
-    """One row per group: ``n`` and ``{out_prefix}{i}`` for each prob (NaN when the
-    group has no value). ``values`` must hold finite doubles only."""
+    """One row per group (NULL keys form a group): ``n`` and ``{out_prefix}{i}``
+    for each prob. ``values`` must hold finite doubles; NULLs are left out."""
     g = list(group_cols)
-    eps = 1.0 / accuracy
-    x = F.col(value_col)
-    br = []
-    for p in probs:
-        br += [max(0.0, p - 3 * eps), min(1.0, p + 3 * eps)]
-    stats = values.groupBy(*g).agg(
-        F.count(x).alias("_n"), F.percentile_approx(x, br, accuracy).alias("_ap")
-    )
-    small = F.col("_n") * eps < 4
-    cols = []
+    points = values.select(*g, F.col(value_col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    if not g:
+        points, g = points.withColumn("_g", F.lit(0)), ["_g"]
+    base = materialize(points.groupBy(*g).agg(F.count("_x").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")))
+    ranks = F.array(*[
+        F.struct(F.lit(2 * i + h).alias("i"), F.least(F.floor(F.lit(float(p)) * (F.col("_n") - 1)) + h, F.col("_n") - 1).alias("r"))
+        for i, p in enumerate(probs) for h in (0, 1)
+    ])
+    wanted = materialize(base.df.select(*g, "_lo", "_hi", F.explode(ranks).alias("_w")).select(
+        *g, F.col("_w.i").alias("_i"), F.col("_w.r").alias("_r"), "_lo", "_hi"))
+    found = wanted.df.where("_lo = _hi")
+    wanted = materialize(wanted.df.where("_lo < _hi"))
+    while wanted.rows:
+        wanted = _narrow(points, g, wanted, buckets)
+        found = found.unionByName(wanted.df.where("_lo = _hi"))
+        wanted = materialize(wanted.df.where("_lo < _hi"))
+
+    at = [F.max(F.when(F.col("_i") == i, F.col("_lo"))).alias(f"_v{i}") for i in range(2 * len(probs))]
+    wide = null_safe_join(base.df, found.groupBy(*g).agg(*at), g)
+    out = []
     for i, p in enumerate(probs):
-        lo_open = small | F.lit(p - 3 * eps <= 0.0)
-        hi_open = small | F.lit(p + 3 * eps >= 1.0)
-        cols.append(F.when(lo_open, F.lit(float("-inf"))).otherwise(F.col("_ap")[2 * i]).alias(f"_L{i}"))
-        cols.append(F.when(hi_open, F.lit(float("inf"))).otherwise(F.col("_ap")[2 * i + 1]).alias(f"_U{i}"))
-    brackets = materialize(stats.select(*g, "_n", *cols))
+        a, b, pos = F.col(f"_v{2 * i}"), F.col(f"_v{2 * i + 1}"), F.lit(float(p)) * (F.col("_n") - 1)
+        gamma = pos - F.floor(pos)
+        out.append(F.when(gamma >= 0.5, b - (b - a) * (1 - gamma)).otherwise(a + (b - a) * gamma).alias(f"{out_prefix}{i}"))
+    return wide.select(*group_cols, F.col("_n").alias("n"), *out)
+
 
-    v = values.select(*g, x.alias("_x")).join(brackets.side(), on=g, how="inner")
-    tags = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("i"),
-                (F.col("_x") < F.col(f"_L{i}")).alias("below"),
-                ((F.col("_x") >= F.col(f"_L{i}")) & (F.col("_x") <= F.col(f"_U{i}"))).alias("inside"),
-            )
-            for i in range(len(probs))
-        ]
-    )
-    hits = v.select(*g, "_x", F.explode(F.filter(tags, lambda t: t["below"] | t["inside"])).alias("t"))
-    counted = hits.groupBy(*g, F.col("t.i").alias("i"), F.when(F.col("t.inside"), F.col("_x")).alias("x")).agg(
-        F.count(F.lit(1)).alias("c")
-    )
-    w = Window.partitionBy(*g, "i").orderBy(F.col("x").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    cum = counted.withColumn("cum", F.sum("c").over(w)).join(brackets.side_for(brackets.df.select(*g, "_n")), on=g)
-    prob_of_i = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1)
-    vidx = prob_of_i * (F.col("_n") - 1)
-    lo_r = F.floor(vidx)
-    hi_r = F.least(lo_r + 1, F.col("_n") - 1)
-    picked = cum.groupBy(*g, "i", "_n").agg(
-        F.min(F.when(F.col("x").isNull(), F.col("cum"))).alias("below"),
-        F.max("cum").alias("total"),
-        F.min(F.when(F.col("x").isNotNull() & (F.col("cum") > lo_r), F.col("x"))).alias("a"),
-        F.min(F.when(F.col("x").isNotNull() & (F.col("cum") > hi_r), F.col("x"))).alias("b"),
-        F.first(vidx - lo_r).alias("gamma"),
-        F.first(lo_r).alias("lo_r"),
-        F.first(hi_r).alias("hi_r"),
-    )
-    below = F.coalesce(F.col("below"), F.lit(0))
-    ok = (below <= F.col("lo_r")) & (F.col("total") >= F.col("hi_r") + 1)
-    a, b, gm = F.col("a"), F.col("b"), F.col("gamma")
-    lerp = F.when(gm >= 0.5, b - (b - a) * (1 - gm)).otherwise(a + (b - a) * gm)
-    q = F.when(ok, lerp).otherwise(F.raise_error(F.lit("quantile bracket missed its ranks")).cast("double"))
-    per = picked.select(*g, "i", q.alias("q"))
-    wide = per.groupBy(*g).agg(
-        *[F.max(F.when(F.col("i") == i, F.col("q"))).alias(f"{out_prefix}{i}") for i in range(len(probs))]
-    )
-    res = brackets.df.select(*g, "_n").join(wide, on=g, how="left")
-    return res.select(
-        *g,
-        F.col("_n").alias("n"),
-        *[F.coalesce(F.col(f"{out_prefix}{i}"), F.lit(float("nan"))).alias(f"{out_prefix}{i}") for i in range(len(probs))],
-    )
+def _narrow(points: DataFrame, g: list[str], wanted: State, buckets: int) -> State:
+    """One round: the stretch of each interval that holds its rank."""
+    span = [*g, "_lo", "_hi"]
+    spans = wanted.df.select(*span).distinct()
+    inside = null_safe_join(points, wanted.side_for(spans), g).where("_x >= _lo AND _x <= _hi")
+    # monotone, and sends the ends apart; halves where the width overflows
+    width = F.col("_hi") - F.col("_lo")
+    place = F.when(width < float("inf"), (F.col("_x") - F.col("_lo")) / width).otherwise(
+        (F.col("_x") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2))
+    bucket = F.least(F.floor(place * buckets), F.lit(buckets - 1).cast("long"))
+    counted = inside.groupBy(*span, bucket.alias("_b")).agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_from"), F.max("_x").alias("_to"))
+    upto = F.sum("_c").over(Window.partitionBy(*span).orderBy("_b"))
+    ranged = counted.withColumn("_upto", upto).withColumn("_before", F.col("_upto") - F.col("_c"))
+    hit = null_safe_join(wanted.df, ranged, span).where("_r >= _before AND _r < _upto")
+    return materialize(hit.select(*g, "_i", (F.col("_r") - F.col("_before")).alias("_r"), F.col("_from").alias("_lo"), F.col("_to").alias("_hi")))

@@ -1,19 +1,18 @@
-"""Exact ranks without a single-partition window.
-
-``rank_bands`` assigns every row the value ``band(r, n)`` where ``r`` is the
-row's exact 0-based rank inside its partition (by ``order_cols``) and ``n``
-the partition size -- a temporal split, "the first k rows of a seeded
-shuffle", a stratified plan, or the rank itself.
-
-How: a ``bucket`` column, monotone in the order, splits each partition into
-many small ranges. Counting rows per (partition, bucket) is a tiny
-aggregate; a prefix sum over it gives each bucket's first rank. When the
-first and the last rank of a bucket fall in the same band, every row of the
-bucket has that band without ranking it. Only buckets that straddle a band
-edge are ranked exactly, by a window over (partition, bucket) -- a few small
-groups -- and joined back by key. No step gathers a partition in one task,
-and the wide rows are read once, without a shuffle when the state tables are
-measured small enough to broadcast.
+"""Exact ranks and rank cuts without a window over a whole group.
+
+``ranked_keys`` sorts the distinct (group, order) keys with their row counts
+by ranges -- a group with a third of all rows spreads over many ranges -- and
+writes them. A key's place is the running count inside its file plus the
+counts of the files before it; less the place of its group's first key, that
+is its rank in the group. Only keys and counts are shuffled and windowed, one
+file at a time.
+
+``rank_bands`` needs just the few keys at which a rank cut falls: they form a
+small table, one row per group, that every row is compared with in place. The
+wide rows are not shuffled, nothing is joined on row identifiers, so rows are
+neither lost nor multiplied: null group keys form a group (null-safe joins),
+null order values come first, and rows that tie on all order columns share the
+band of the first of them.
 """
 
 from __future__ import annotations
@@ -23,52 +22,90 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqprep.plans.state import DEFAULT_BROADCAST_BYTES, _row_width, materialize
+from seqprep.plans.state import State, materialize
+from seqprep.sources.io import write_scratch_table
+
+
+def null_safe_join(df: DataFrame, side: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equality join in which NULL keys match each other; keeps ``df``'s keys."""
+    if not on:
+        raise ValueError("null_safe_join needs key columns")
+    renamed = side.withColumnsRenamed({c: f"_side_{c}" for c in on})
+    cond = None
+    for c in on:
+        eq = F.col(c).eqNullSafe(F.col(f"_side_{c}"))
+        cond = eq if cond is None else cond & eq
+    return df.join(renamed, cond, how).drop(*[f"_side_{c}" for c in on])
+
+
+def ranked_keys(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+    """Distinct keys with ``_c`` (rows that have the key), ``_rank`` (0-based
+    rank of the first of them in its group) and ``_n`` (rows of the group)."""
+    pc, oc = list(partition_cols), list(order_cols)
+    keys = df.groupBy(*pc, *oc).agg(F.count(F.lit(1)).alias("_c"))
+    order = [F.col(c).asc_nulls_first() for c in [*pc, *oc]]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    table = write_scratch_table(keys.repartitionByRange(parts, *order).sortWithinPartitions(*order)).select(
+        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    )
+    # part files are named in range order; one row per file here
+    totals = table.groupBy("_file").agg(F.sum("_c").alias("_t"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    base = totals.select("_file", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_base"))
+    inside = Window.partitionBy("_file").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    placed = table.join(base, "_file").withColumn("_at", F.col("_base") + F.coalesce(F.sum("_c").over(inside), F.lit(0)))
+    placed = placed.select(*pc, *oc, "_c", "_at")
+    if not pc:
+        total = placed.agg(F.sum("_c").alias("_n"))
+        return placed.join(F.broadcast(total)).select(*oc, "_c", F.col("_at").alias("_rank"), "_n")
+    groups = placed.groupBy(*pc).agg(F.min("_at").alias("_start"), F.sum("_c").alias("_n"))
+    return null_safe_join(placed, groups, pc).select(*pc, *oc, "_c", (F.col("_at") - F.col("_start")).alias("_rank"), "_n")
+
+
+def cut_keys(
+    df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str], cuts: Callable[[Column], list[Column]]
+) -> State:
+    """Per group its rows ``_n`` and, in ``_cuts``, the key each rank cut falls
+    on: ``(i, key, inside)``; ``inside`` tells that rows with that key began
+    before the cut (they tie, and stay below it)."""
+    pc, oc = list(partition_cols), list(order_cols)
+    keys = ranked_keys(df, pc, oc)
+    wanted = F.filter(
+        F.transform(F.array(*[c.cast("long") for c in cuts(F.col("_n"))]), lambda c, i: F.struct(i.alias("i"), c.alias("at"))),
+        lambda x: (x["at"] >= F.col("_rank")) & (x["at"] < F.col("_rank") + F.col("_c")),
+    )
+    hit = F.transform(wanted, lambda x: F.struct(
+        x["i"].alias("i"), F.struct(*[F.col(c) for c in oc]).alias("key"), (x["at"] > F.col("_rank")).alias("inside")
+    ))
+    # the first key of a group carries its size even where no cut falls on it
+    rows = keys.withColumn("_hit", hit).filter((F.size("_hit") > 0) | (F.col("_rank") == 0))
+    agg = [F.max("_n").alias("_n"), F.flatten(F.collect_list("_hit")).alias("_cuts")]
+    return materialize(rows.groupBy(*pc).agg(*agg) if pc else rows.agg(*agg))
+
+
+def _cut(i: int) -> Column:
+    return F.get(F.filter("_cuts", lambda x: x["i"] == i), 0)
 
 
 def rank_bands(
     df: DataFrame,
-    key_cols: Sequence[str],
     partition_cols: Sequence[str],
-    order_cols: Sequence[Column | str],
-    bucket: Column,
-    band: Callable[[Column, Column], Column],
+    order_cols: Sequence[str],
+    cuts: Callable[[Column], list[Column]],
     out: str = "band",
 ) -> DataFrame:
-    """Add ``out = band(rank, n)``; ``key_cols`` must be unique within a partition."""
-    pc = list(partition_cols)
-    added_group = not pc
-    keyed = df.withColumn("_bk", bucket)
-    if added_group:
-        keyed = keyed.withColumn("_g", F.lit(0))
-        pc = ["_g"]
-    counts = keyed.groupBy(*pc, "_bk").agg(F.count(F.lit(1)).alias("_c"))
-    counts = counts.withColumn("_off", F.sum("_c").over(Window.partitionBy(*pc).orderBy("_bk")) - F.col("_c"))
-    counts = counts.withColumn("_n", F.sum("_c").over(Window.partitionBy(*pc)))
-    counts = counts.withColumn("_lo", band(F.col("_off"), F.col("_n")))
-    counts = counts.withColumn("_hi", band(F.col("_off") + F.col("_c") - 1, F.col("_n")))
-    cst = materialize(counts)
-
-    joined = keyed.join(cst.side(), on=[*pc, "_bk"], how="inner")
-    same = F.col("_lo").eqNullSafe(F.col("_hi"))
-    # rows that need an exact rank, counted on the small bucket table: a
-    # proven size bound for the exact side, and no exact pass when zero
-    straddling = cst.df.where(~same).agg(F.sum("_c")).first()[0] or 0
-    if straddling == 0:
-        res = joined.withColumn(out, F.col("_lo")).withColumn("_exact", F.lit(None))
-    else:
-        w = Window.partitionBy(*pc, "_bk").orderBy(*order_cols)
-        exact = joined.where(~same).select(
-            *key_cols, *pc, (F.col("_off") + F.row_number().over(w) - 1).alias("_r"), "_n"
-        ).select(*key_cols, *pc, band(F.col("_r"), F.col("_n")).alias("_exact"))
-        est_bytes = straddling * _row_width(exact.schema)
-        side = F.broadcast(exact) if est_bytes <= DEFAULT_BROADCAST_BYTES else exact
-        res = joined.join(side, on=[*key_cols, *pc], how="left")
-        res = res.withColumn(out, F.when(same, F.col("_lo")).otherwise(F.col("_exact")))
-    drop = ["_bk", "_c", "_off", "_n", "_lo", "_hi", "_exact"] + (["_g"] if added_group else [])
-    return res.drop(*drop)
-
-
-def hash_bucket(h: Column, bits: int = 16) -> Column:
-    """Top ``bits`` bits of a 32-bit hash: monotone in the hash."""
-    return F.shiftright(h, 32 - bits)
+    """Add ``out``: how many of the rank cuts (a rising list that depends on the
+    group's number of rows) are at or below the row's rank in its group."""
+    pc, oc = list(partition_cols), list(order_cols)
+    state = cut_keys(df, pc, oc, cuts)
+    side = state.side()
+    joined = null_safe_join(df, side, pc) if pc else df.join(F.broadcast(side))
+    here = F.struct(*[F.col(c) for c in oc])
+    band = F.lit(0)
+    for i, cut in enumerate(cuts(F.col("_n"))):
+        at = _cut(i)
+        above = F.when(cut <= 0, True).when(cut >= F.col("_n"), False).otherwise(
+            (here > at["key"]) | ((here == at["key"]) & ~at["inside"])
+        )
+        band = band + above.cast("int")
+    return joined.withColumn(out, band).drop("_n", "_cuts")

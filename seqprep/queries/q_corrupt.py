@@ -27,9 +27,9 @@ def normal(*parts) -> str:
 
 def plan_sql(lengths: str, combos: list[tuple[float, int]], seed: int) -> str:
     """CTEs ``pl`` (L, f, fm, k, S) and ``pmask`` (L, f, fm, k, pos, inplan)."""
-    vals = ", ".join(f"({f}::DOUBLE, {round(f * 1000)}, {k})" for f, k in combos)
+    vals = ", ".join(f"({f}::DOUBLE, {round(f * 1000000000)}, {k})" for f, k in combos)
     return f"""combos AS (SELECT * FROM (VALUES {vals}) t(f, fm, k)),
-pl AS (SELECT L, f, fm, k, greatest(2, floor(L * f))::INT AS S FROM {lengths}, combos),
+pl AS (SELECT * FROM (SELECT L, f, fm, k, greatest(2, floor(L * f))::INT AS S FROM {lengths}, combos) WHERE k <= S AND S < L),
 cutr AS (SELECT L, fm, k, j, row_number() OVER (PARTITION BY L, fm, k ORDER BY {u32(seed, 'L', 'fm', 'k', "'cut'", 'j')}, j) AS rk
          FROM pl, LATERAL generate_series(1, S - 1) g(j) WHERE k > 1),
 bnd AS (SELECT L, fm, k, j AS b FROM cutr WHERE rk <= k - 1
@@ -54,15 +54,15 @@ pmask AS (SELECT pl.L, pl.f, pl.fm, pl.k, pl.S, p.pos,
 
 @register(
     "k1_segment_plan",
-    O.with_(O.EV, O.pt_type(), "lens AS (SELECT DISTINCT n::INT AS L FROM pt WHERE n >= 5)",
+    O.with_(O.EV, O.pt_type(), "lens AS (SELECT DISTINCT n::INT AS L FROM pt)",
             plan_sql("lens", K1_COMBOS, 42))
     + """SELECT segs.L::BIGINT AS L, pl.f AS fraction, segs.k::BIGINT AS k, pl.S::BIGINT AS S, segs.seg::BIGINT AS seg,
        segs.start::BIGINT AS start, segs.len::BIGINT AS len
 FROM segs JOIN pl USING (L, fm, k)""",
 )
 def k1_segment_plan(spark, sf):
-    df = fx.seq_type(spark, sf).select(F.size("timestamp").alias("L")).where(F.col("L") >= 5)
-    plans = corrupt.plans_for(df, F.col("L"), K1_COMBOS, 42).df
+    lengths = fx.seq_type(spark, sf).select(F.size("timestamp").alias("L"))
+    plans = corrupt.plan_for_lengths(lengths, K1_COMBOS, 42)
     z = plans.select("L", "fraction", "k", "S", F.posexplode(F.arrays_zip("starts", "lens")).alias("seg", "p"))
     return z.select(
         F.col("L").cast("long"), "fraction", F.col("k").cast("long"), F.col("S").cast("long"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -34,8 +35,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is unset (local tests) a scratch folder is created.
-    """
+    as is; without it the job fails here, since a machine-local folder would
+    lose what executors write. Only a ``local[...]`` master gets a scratch
+    folder of its own (tests)."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -43,7 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-        return configured
-    folder = tempfile.mkdtemp(prefix="seqprep-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(folder)
-    return folder
+        return sc.getCheckpointDir()
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError(f"spark.checkpoint.dir is not set: with master {sc.master} it must name a folder all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="seqprep-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
+    return sc.getCheckpointDir()

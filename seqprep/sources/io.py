@@ -75,11 +75,12 @@ def read_signal_json(spark: SparkSession, path: str, schema: T.StructType = SIGN
                      stage: str = "download") -> DataFrame:
     """Line-delimited records written with single quotes (Python literals).
     The JSON reader accepts single quotes natively, apostrophes inside values
-    included. ``_rec`` = (file path, position in the read) orders records so
-    a later duplicate wins."""
+    included. ``_rec`` = (file path, start of the split in the file, position
+    in the split) orders records whatever tasks read them, so a later
+    duplicate wins."""
     df = _require(spark, path, stage,
                   lambda: spark.read.schema(schema).option("allowSingleQuotes", "true").json(path))
-    return df.withColumn("_rec", F.struct(F.col("_metadata.file_path").alias("f"),
+    return df.withColumn("_rec", F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("s"),
                                           F.monotonically_increasing_id().alias("i")))
 
 

@@ -44,7 +44,8 @@ INJECTED = T.StructType(
     + [T.StructField("erroneous_longitude", T.ArrayType(D)), T.StructField("erroneous_latitude", T.ArrayType(D))]
 )
 
-FLOAT_SEQUENCES = ["heart_rate", "derived_speed", "longitude", "latitude", "derived_distance", "altitude"]
+# The sequence columns, in their order.
+FLOAT_SEQUENCES = ["derived_speed", "heart_rate", "longitude", "latitude", "derived_distance", "altitude"]
 INT_SEQUENCES = ["timestamp", "time_elapsed"]
 
 
@@ -66,12 +67,7 @@ def require_array_columns(df: DataFrame, columns: Iterable[str]) -> None:
 
 
 def conform(df: DataFrame, schema: T.StructType, keep: list[str] | None = None) -> DataFrame:
-    """Cast and select to a declared schema (missing columns become NULL);
-    ``keep`` names extra columns to carry (e.g. partition columns)."""
-    cols = []
-    for f in schema.fields:
-        if f.name in df.columns:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols, *(keep or []))
+    """Cast and select to a declared schema; a missing column is an error, none
+    is made up. ``keep`` names extra columns to carry (e.g. partition columns)."""
+    require_columns(df, [*schema.fieldNames(), *(keep or [])], "the declared schema")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *(keep or []))

@@ -76,9 +76,49 @@ def test_error_handling(spark, signals):
         corrupt.constant_noise(signals, ["signal"], std_scale=1.0)
     with pytest.raises(ValueError, match="Column 'B' not found"):
         corrupt.random_noise(signals, ["B"], std_scale=2.0)
-    short = spark.createDataFrame([(1, [1.0, 2.0, 3.0])], "id long, signal array<double>")
-    with pytest.raises(Exception, match="segment plan impossible"):
-        corrupt.constant_noise(short, ["signal"], segment_fraction=0.2, num_segments=3, std_scale=2.0).collect()
+    with pytest.raises(ValueError, match="num_segments"):
+        corrupt.random_noise(signals, ["signal"], num_segments=0, std_scale=2.0)
+
+
+@pytest.mark.parametrize("method", ["constant", "random"])
+def test_short_and_empty_rows_stay_as_they_are(spark, method):
+    rows = [(1, [1.0, 2.0, 3.0]), (2, []), (3, None), (4, [float(i) for i in range(40)]), (5, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "id long, signal array<double>")
+    out = {r["id"]: r["signal"] for r in corrupt.corrupt(df, method, ["signal"], segment_fraction=0.2, num_segments=3).collect()}
+    assert [out[i] for i in (1, 2, 3, 5)] == [[1.0, 2.0, 3.0], [], None, [1.0, 2.0]]
+    assert out[4] != rows[3][1] and abs(np.std(out[4]) / np.std(rows[3][1]) - 2) < 1e-9
+
+
+def test_injection_on_ragged_rows_of_two_columns(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, "abc"[i % 3] if i % 10 else None, [float(v) for v in rng.normal(0, 1, n)], [float(v) for v in rng.normal(5, 2, n)])
+            for i, n in enumerate(rng.integers(0, 60, 90).tolist())]
+    df = spark.createDataFrame(rows, "id long, sport string, longitude array<double>, latitude array<double>")
+    out = inject.inject(df, std_scales=(2, 4), seed=1)
+    assert out.count() == 180
+    for r in out.collect():
+        n, size = len(r["longitude"]), max(2, int(len(r["longitude"]) * r["fraction"]))
+        for c in ("longitude", "latitude"):
+            e = r["erroneous_" + c]
+            if n > 2 and r["num_segments"] <= size < n:
+                assert abs(np.std(e) / np.std(r[c]) - r["std_scale"]) < 1e-6
+                assert sum(x != y for x, y in zip(e, r[c])) <= size
+            else:
+                assert e == r[c]
+    audit = inject.audit(out, ["longitude", "latitude"]).collect()
+    assert sum(a["n"] for a in audit) == 180 and {a["sport"] for a in audit} == {"a", "b", "c", None}
+
+
+@pytest.mark.parametrize("method", ["constant", "random"])
+def test_noise_on_a_stream_equals_the_batch(spark, signals, tmpdir_path, method):
+    signals.write.parquet(f"{tmpdir_path}/in")
+    batch = spark.read.parquet(f"{tmpdir_path}/in")
+    want = {r["id"]: r["signal"] for r in corrupt.corrupt(batch, method, ["signal"]).collect()}
+    stream = spark.readStream.schema(batch.schema).parquet(f"{tmpdir_path}/in")
+    query = (corrupt.corrupt(stream, method, ["signal"]).writeStream.format("parquet").option("path", f"{tmpdir_path}/out")
+             .option("checkpointLocation", f"{tmpdir_path}/state").trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert {r["id"]: r["signal"] for r in spark.read.parquet(f"{tmpdir_path}/out").collect()} == want
 
 
 def test_injection_assignment_counts(spark):
