@@ -102,4 +102,5 @@ from seqprep.queries import (  # noqa: E402,F401
     q_clean,
     q_corrupt,
     q_model,
+    q_io,
 )

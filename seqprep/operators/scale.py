@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seqprep.plans.rank import null_safe_join
 from seqprep.plans.state import State, as_state
 from seqprep.sources.schema import require_columns
 
@@ -41,11 +42,14 @@ def fit_user_stats(df: DataFrame, columns: list[str], user_col: str = "userId")
         for c in columns
     ]
     pts = df.select(F.col(user_col), F.explode(F.concat(*tagged)).alias("p"))
+    # one pair of aggregates per (user, column), then a row per user
+    each = pts.groupBy(user_col, F.col("p.k").alias("k")).agg(
+        F.avg("p.x").alias("m"), (F.stddev_pop("p.x") + STD_EPS).alias("s"))
     aggs = []
     for c in columns:
-        x = F.when(F.col("p.k") == c, F.col("p.x"))
-        aggs += [F.avg(x).alias(f"{c}_mean"), (F.stddev_pop(x) + STD_EPS).alias(f"{c}_std")]
-    return pts.groupBy(user_col).agg(*aggs)
+        here = F.col("k") == c
+        aggs += [F.max(F.when(here, F.col("m"))).alias(f"{c}_mean"), F.max(F.when(here, F.col("s"))).alias(f"{c}_std")]
+    return each.groupBy(user_col).agg(*aggs)
 
 
 def apply_user_stats(
@@ -69,7 +73,7 @@ def apply_user_stats(
     st: State = as_state(stats)
     sd = st.df.select(user_col, *[F.col(f"{c}_{k}").alias(f"__{c}_{k}") for c in columns for k in ("mean", "std")])
     sd = sd.withColumn("__seen", F.lit(True))
-    joined = df.join(st.side_for(sd), on=user_col, how="left")
+    joined = null_safe_join(df, st.side_for(sd), [user_col], how="left")
     out = joined
     for c in columns:
         m, s = F.col(f"__{c}_mean"), F.col(f"__{c}_std")

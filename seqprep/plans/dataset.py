@@ -1,11 +1,11 @@
 """Dataset build: raw records → prepared, split and preprocessed tables.
 
-The steps of the reference's dataset stage, as one lazy plan per output:
-attach the raw signal by (id, timestamp), derive elapsed time, distance
+The steps of the dataset stage: attach the raw signal by (id, timestamp), derive elapsed time, distance
 and speed, consolidate the sport, keep users with enough rows, split each
 user's rows in time, then fit the scaler and encoder on the training rows
-and apply them to every split. Fitted state is returned as tables so it can
-be written next to the data.
+and apply them to every split. The prepared table is read by every later pass,
+so it is written once. Fitted state is returned as tables so it can be written
+next to the data.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from seqprep.operators import derive, encode, scale, split
 from seqprep.plans.state import State, materialize
-from seqprep.sources.schema import STANDARDIZED_COLUMNS
+from seqprep.sources.io import write_scratch_table, write_sequences
+from seqprep.sources.schema import PREPROCESSED, STANDARDIZED_COLUMNS, WORKOUT
 
 ENCODED = ["userId", "sport", "gender"]
 
@@ -39,7 +40,7 @@ def prepare(records: DataFrame, raw_signal: DataFrame, min_rows: int = 10, on_mi
 
 
 def build(records: DataFrame, raw_signal: DataFrame, min_rows: int = 10) -> Built:
-    prepared = prepare(records, raw_signal, min_rows)
+    prepared = write_scratch_table(prepare(records, raw_signal, min_rows))
     labeled = split.temporal_split(prepared)
     train = labeled.where(F.col("split") == "train")
     scaler = materialize(scale.fit_user_stats(train, STANDARDIZED_COLUMNS))
@@ -48,3 +49,12 @@ def build(records: DataFrame, raw_signal: DataFrame, min_rows: int = 10) -> Buil
     data = scale.apply_user_stats(labeled, scaler, STANDARDIZED_COLUMNS, policy="strict")
     data = encode.apply_encoder(data, encoder, ENCODED)
     return Built(data, scaler, encoder)
+
+
+def export(built: Built, path: str) -> None:
+    """Write ``{base,preprocessed}/{train,val,test}`` under their schemas. The
+    built rows are written once and each output reads its part of them."""
+    rows = write_scratch_table(built.data)
+    for name, schema in (("base", WORKOUT), ("preprocessed", PREPROCESSED)):
+        for part in ("train", "val", "test"):
+            write_sequences(rows.where(F.col("split") == part), f"{path}/{name}/{part}", schema)

@@ -8,8 +8,8 @@ from seqprep import oracle_sql as O
 from seqprep.catalog import long_form, r6, register
 from seqprep.operators import derive, encode, scale, split
 from seqprep.sources import fixtures as fx
-from seqprep.sources.io import write_scratch_table
-from seqprep.sources.schema import STANDARDIZED_COLUMNS, WORKOUT, conform
+from seqprep.sources.io import read_sequences, scratch_path, write_scratch_table, write_sequences
+from seqprep.sources.schema import STANDARDIZED_COLUMNS
 
 ENC_COLS = ["userId", "sport", "gender"]
 
@@ -29,7 +29,9 @@ def _prepared(spark, sf):
 FROM pt GROUP BY id""",
 )
 def s1_read_sequences(spark, sf):
-    df = conform(_prepared(spark, sf), WORKOUT)
+    path = scratch_path(spark, "workouts")
+    write_sequences(_prepared(spark, sf), path)
+    df = read_sequences(spark, path)
     return df.select(
         "id", "userId", "sport", "gender",
         F.size("timestamp").cast("long").alias("n_points"),

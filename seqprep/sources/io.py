@@ -93,12 +93,16 @@ def read_state(spark: SparkSession, path: str, stage: str = "fit") -> DataFrame:
     return _require(spark, path, stage, lambda: spark.read.parquet(path))
 
 
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A new folder name under the session's checkpoint folder."""
+    return os.path.join(ensure_checkpoint_dir(spark), f"{kind}-{uuid.uuid4().hex}")
+
+
 def write_scratch_table(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet under the session's checkpoint folder and read
     it back: cuts lineage, survives executor loss, and later passes read only
     the columns they need."""
-    folder = ensure_checkpoint_dir(df.sparkSession)
-    path = os.path.join(folder, f"table-{uuid.uuid4().hex}")
+    path = scratch_path(df.sparkSession, "table")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
