@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Pieces a worker keeps; beyond that it starts afresh (about 200 bytes each).
-KEPT_PIECES = 900_000
+KEPT_PIECES = 700_000
 # New pieces that are encoded in one string.
 JOINED = 2_000
 MARKS = frozenset(".,;:!?")
