@@ -75,10 +75,6 @@ def seq_var_pop(seq: Column, mean: Column) -> Column:
     return F.when(n > 0, ss / n).otherwise(NAN())
 
 
-def seq_std_pop(seq: Column) -> Column:
-    return let(seq_mean(seq), lambda m: F.sqrt(seq_var_pop(seq, m)))
-
-
 def seq_cov_pop(x: Column, y: Column, mean_x: Column, mean_y: Column) -> Column:
     """Population covariance of two equal-length sequences."""
     n = F.size(x)
@@ -104,11 +100,6 @@ def median(seq: str) -> Column:
 # order-dependent kernels within a sequence
 # --------------------------------------------------------------------------
 
-def lag_diff(seq: Column, first: Column) -> Column:
-    """``seq[i] - seq[i-1]``, with ``first`` at position 0."""
-    return F.transform(seq, lambda x, i: F.when(i == 0, first).otherwise(x - seq[i - 1]))
-
-
 def interpolate(y: str) -> Column:
     """Linear interpolation over missing points by index; edges take the
     nearest valid value; all-missing or nothing-missing sequences unchanged.

@@ -35,8 +35,3 @@ def is_finite(x: Column) -> Column:
 def canonical(seq: Column) -> Column:
     """Double sequence with every missing point as NaN; NULL stays NULL."""
     return F.transform(seq, lambda x: F.when(is_missing(x), NAN()).otherwise(x.cast("double")))
-
-
-def all_missing(seq: Column) -> Column:
-    """True when the sequence has no finite point (empty counts as all missing)."""
-    return ~F.exists(seq, is_finite)

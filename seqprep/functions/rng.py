@@ -35,29 +35,6 @@ def u32(*parts) -> Column:
     return _hex_to_long(F.substring(F.md5(_key(parts)), 1, 8))
 
 
-def u32_pair(*parts) -> tuple[Column, Column]:
-    digest = F.md5(_key(parts))
-    return _hex_to_long(F.substring(digest, 1, 8)), _hex_to_long(F.substring(digest, 9, 8))
-
-
-def uniform(*parts) -> Column:
-    """Uniform double in (0, 1]."""
-    return (u32(*parts) + 1) / TWO_32
-
-
-def normal(*parts) -> Column:
-    """Standard normal draw by Box–Muller from two 32-bit halves of one digest."""
-    a, b = u32_pair(*parts)
-    v1 = (a + 1) / TWO_32
-    v2 = (b + 1) / TWO_32
-    return F.sqrt(F.log(v1) * -2.0) * F.cos(F.lit(TWO_PI) * v2)
-
-
-def coin(*parts) -> Column:
-    """Fair coin: True with probability 1/2."""
-    return u32(*parts) < 2147483648
-
-
 def randint(low: int, high: int, *parts) -> Column:
     """Integer uniform on [low, high] (inclusive)."""
     return (u32(*parts) % (high - low + 1) + low).cast("int")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seqprep.sources.schema import require_columns
+from seqprep.functions.arrays import let
 
 
 def lagged_mean_scorer(features: Column) -> Column:
@@ -45,27 +45,6 @@ def regroup(pred: DataFrame, id_col: str = "id", t_col: str = "t", value: str =
     return g.select(id_col, F.transform("_s", lambda s: s[value]).alias(out))
 
 
-def predict_sequences(df: DataFrame, windows: DataFrame, scorer=lagged_mean_scorer,
-                      out: str = "predicted_heart_rate", id_col: str = "id") -> DataFrame:
-    """Score windows and attach the regrouped prediction array to ``df``."""
-    scored = score_windows(windows, scorer)
-    return df.join(regroup(scored, id_col=id_col, out=out), on=id_col, how="left")
-
-
-def error_points(df: DataFrame, true_col: str = "heart_rate", pred_col: str = "predicted_heart_rate",
-                 skip_first: bool = True) -> DataFrame:
-    """One row per scored point: both lists truncated to the shorter, rows of
-    length ≤ 1 skipped, the first point dropped when ``skip_first``."""
-    require_columns(df, [true_col, pred_col], "error_points")
-    yt, yp = F.col(true_col).cast("array<double>"), F.col(pred_col).cast("array<double>")
-    n = F.least(F.size(yt), F.size(yp))
-    start = 2 if skip_first else 1
-    z = F.arrays_zip(F.slice(yt, start, F.greatest(n - start + 1, F.lit(0))).alias("t"),
-                     F.slice(yp, start, F.greatest(n - start + 1, F.lit(0))).alias("p"))
-    kept = df.where(n > 1)
-    return kept.select(F.explode(z).alias("_z")).select(F.col("_z.t").alias("y_true"), F.col("_z.p").alias("y_pred"))
-
-
 def metrics(df: DataFrame, true_col: str = "heart_rate", pred_col: str = "predicted_heart_rate",
             skip_first: bool = True, group_cols: list[str] | None = None) -> DataFrame:
     """MAE, RMSE and point count (NaN, NaN, 0 when there is no point)."""
@@ -105,6 +84,33 @@ def variant_metrics(variants: dict[str, DataFrame], true_col: str = "heart_rate"
     return metrics(allv, true_col, pred_col, skip_first, ["variant"]).orderBy("variant")
 
 
+def lagged_mean(col: str, window_size: int = 10) -> Column:
+    """Per time step the mean of the ``window_size`` values before it (zeros
+    before the start, values as 32-bit floats, as in the window rows)."""
+    w = window_size
+    padded = F.concat(F.array_repeat(F.lit(0.0), w), F.transform(F.col(col), lambda v: v.cast("float").cast("double")))
+    return let(padded, lambda p: F.transform(
+        F.sequence(F.lit(1), F.size(p) - w), lambda t: F.aggregate(F.slice(p, t, w), F.lit(0.0), lambda a, x: a + x) / w,
+    ))
+
+
+def fit_lagged_scorer(df: DataFrame, input_column: str, target_column: str, window_size: int = 10) -> DataFrame:
+    """One row ``slope, intercept``: least squares of the target on the lagged
+    mean of the input over all points of ``df`` (one partial aggregation)."""
+    x = F.when(F.size(input_column) > 0, lagged_mean(input_column, window_size))
+    points = df.select(F.explode(F.arrays_zip(x.alias("x"), F.col(target_column).alias("y"))).alias("p"))
+    return points.agg(F.regr_slope("p.y", "p.x").alias("slope"), F.regr_intercept("p.y", "p.x").alias("intercept"))
+
+
+def predict_lagged(df: DataFrame, scorer: DataFrame, input_column: str, window_size: int = 10,
+                   out: str = "predicted_heart_rate") -> DataFrame:
+    """Score every time step in its row with a fitted lagged scorer."""
+    fitted = scorer.select(F.struct("slope", "intercept").alias("m")).scalar()
+    scored = df.withColumn("_m", fitted).withColumn("_x", F.when(F.size(input_column) > 0, lagged_mean(input_column, window_size)))
+    line = F.transform("_x", lambda x: F.col("_m.intercept") + F.col("_m.slope") * x)
+    return scored.withColumn(out, F.coalesce(line, F.array().cast("array<double>"))).drop("_m", "_x")
+
+
 def fit_regressor(windows: DataFrame, reg_param: float = 0.001, max_iter: int = 50):
     """Linear regression on flattened windows (``pyspark.ml``), L2 = reg_param."""
     from pyspark.ml.functions import array_to_vector

@@ -76,13 +76,10 @@ def seq_of(pt: str = "pt", name: str = "seq", extra: str = "") -> str:
 
 
 def hav_km(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
-    """Step distance in km (product form), clamped at 1 before asin."""
+    """Step distance in km by the usual haversine formula."""
     p1, l1, p2, l2 = (f"radians({x})" for x in (lat1, lon1, lat2, lon2))
-    h = (
-        f"(pow(sin(({p2}-{p1})/2),2)*pow(cos(({l2}-{l1})/2),2)"
-        f" + pow(cos(({p1}+{p2})/2),2)*pow(sin(({l2}-{l1})/2),2))"
-    )
-    return f"(asin(CASE WHEN isnan(sqrt({h})) THEN 'nan'::DOUBLE WHEN sqrt({h}) > 1 THEN 1.0 ELSE sqrt({h}) END)*2*6371.0)"
+    a = f"(pow(sin(({p2}-{p1})/2),2) + cos({p1})*cos({p2})*pow(sin(({l2}-{l1})/2),2))"
+    return f"(CASE WHEN isnan({a}) THEN 'nan'::DOUBLE ELSE 2*6371.0*asin(least(1.0, sqrt({a}))) END)"
 
 
 def hav_m(lat1: str, lon1: str, lat2: str, lon2: str) -> str:

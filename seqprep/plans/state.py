@@ -88,9 +88,3 @@ def materialize(df: DataFrame, measure: bool = True) -> State:
 
 def as_state(state) -> State:
     return state if isinstance(state, State) else materialize(state)
-
-
-def lookup_join(df: DataFrame, state, on, how: str = "left", max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Join a large table to a state table, broadcasting only a measured-small state."""
-    st = as_state(state)
-    return df.join(st.side(max_bytes), on=on, how=how)

@@ -12,19 +12,21 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqprep.operators import clean, corrupt, derive, encode, evaluate, scale, split, validate, windows
+from seqprep.operators import clean, corrupt, derive, encode, evaluate, scale, split, validate
 from seqprep.plans.state import State, materialize
 from seqprep.sources.io import write_scratch_table
 from seqprep.sources.schema import STANDARDIZED_COLUMNS, require_columns
 
 ENCODED = ["userId", "sport", "gender"]
 NUMERICAL = [f"{c}_standardized" for c in ["time_elapsed", "altitude", "derived_speed", "derived_distance"]]
+HEARTRATE_INPUT, HEARTRATE_OUTPUT = "heart_rate_standardized", "heart_rate"
 
 
 @dataclass
 class Fitted:
     scaler: State
     encoder: State
+    scorer: State  # slope and intercept on the lagged standardized heart rate
 
 
 def prepare_base(df: DataFrame, min_len: int = 5) -> DataFrame:
@@ -35,11 +37,12 @@ def prepare_base(df: DataFrame, min_len: int = 5) -> DataFrame:
 
 
 def fit_state(base: DataFrame) -> Fitted:
-    """Temporal split per user; scaler and encoder fitted on the train rows."""
+    """Temporal split per user; scaler, encoder and scorer fitted on the train rows."""
     train = split.temporal_split(base).where(F.col("split") == "train")
     sc = materialize(scale.fit_user_stats(train, STANDARDIZED_COLUMNS))
     en = materialize(encode.fit_encoder(train, ENCODED))
-    return Fitted(sc, en)
+    known = scale.apply_user_stats(train, sc, [HEARTRATE_OUTPUT], policy="neutral")
+    return Fitted(sc, en, materialize(evaluate.fit_lagged_scorer(known, HEARTRATE_INPUT, HEARTRATE_OUTPUT)))
 
 
 def preprocess(df: DataFrame, fitted: Fitted, rederive: bool = True) -> DataFrame:
@@ -50,17 +53,15 @@ def preprocess(df: DataFrame, fitted: Fitted, rederive: bool = True) -> DataFram
         df = derive.derive_features(df)
     df = scale.apply_user_stats(df, fitted.scaler, STANDARDIZED_COLUMNS, policy="neutral")
     df = encode.apply_encoder(df, fitted.encoder, ENCODED)
-    require_columns(df, [*NUMERICAL, "heart_rate", "id", *[f"{c}_idx" for c in ENCODED]], "model contract")
+    require_columns(df, [*NUMERICAL, HEARTRATE_INPUT, HEARTRATE_OUTPUT, "id", *[f"{c}_idx" for c in ENCODED]], "model contract")
     return df
 
 
-def predict(df: DataFrame, window_size: int = 10, scorer=evaluate.lagged_mean_scorer) -> DataFrame:
-    """Windows (standardized numerical features + lagged heart rate) scored
-    in place: a column-expression scorer needs no window rows, so there is no
-    explode, no regroup shuffle and no join back. Python models go through
+def predict(df: DataFrame, fitted: Fitted, window_size: int = 10) -> DataFrame:
+    """Score each time step from the lagged standardized heart rate, in its row:
+    no window rows, no regroup shuffle, no join back. Python models go through
     ``windows.sliding_windows`` + ``evaluate.score_windows_pandas`` instead."""
-    return windows.predict_inline(df, scorer, NUMERICAL, "heart_rate", heartrate_input_column="heart_rate",
-                                  window_size=window_size)
+    return evaluate.predict_lagged(df, fitted.scorer.df, HEARTRATE_INPUT, window_size)
 
 
 def build_variants(base: DataFrame, std_scale: float = 2.0, seed: int = 42) -> dict[str, DataFrame]:
@@ -76,5 +77,5 @@ def compare_variants(raw: DataFrame, std_scale: float = 2.0, seed: int = 42) ->
     """MAE / RMSE / points per variant, sorted by variant name."""
     base = write_scratch_table(prepare_base(raw))  # read by every later pass
     fitted = fit_state(base)
-    scored = {k: predict(preprocess(v, fitted)) for k, v in build_variants(base, std_scale, seed).items()}
+    scored = {k: predict(preprocess(v, fitted), fitted) for k, v in build_variants(base, std_scale, seed).items()}
     return evaluate.variant_metrics(scored)

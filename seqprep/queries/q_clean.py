@@ -200,7 +200,8 @@ def _loss_sql(c: str, v: str, seed: int, pct: int) -> str:
     hit = f"({u32(seed, 'id', repr(c), 'pos', chr(39) + 'hit' + chr(39))} % 100 + 1) <= {pct}"
     d = f"({u32(seed, 'id', repr(c), 'pos', chr(39) + 'dec' + chr(39))} % 5 + 2)"
     rounded = " ".join(f"WHEN {d} = {k} THEN round({v}, {k})" for k in range(2, 6)) + f" ELSE round({v}, 6)"
-    return f"round(CASE WHEN {hit} THEN (CASE {rounded} END) ELSE {v} END, 6) AS {c}"
+    # in billionths: a draw of 6 decimals differs from no draw
+    return f"round_even((CASE WHEN {hit} THEN (CASE {rounded} END) ELSE {v} END) * 1e9, 0)::BIGINT AS {c}"
 
 
 @register(
@@ -210,7 +211,8 @@ def _loss_sql(c: str, v: str, seed: int, pct: int) -> str:
 )
 def k4_precision_loss(spark, sf):
     df = precision.precision_loss(fx.rounded(spark, sf, shift_only=True), percentage=10, seed=7)
-    return long_form(df, ["id"], {"latitude": "latitude", "longitude": "longitude"})
+    points = long_form(df, ["id"], {"latitude": "latitude", "longitude": "longitude"}, rounded=False)
+    return points.select("id", "pos", *[F.rint(F.col(c) * 1e9).cast("long").alias(c) for c in ("latitude", "longitude")])
 
 
 def _repair_sql(v: str, c: str) -> list[str]:

@@ -185,11 +185,11 @@ def k5_stratified_assignment(spark, sf):
 
 
 def _inject_sql() -> str:
-    scales = ", ".join(f"({s}::DOUBLE)" for s in inject.SCALES)
+    scales = "(2.0::DOUBLE), (4.0::DOUBLE), (8.0::DOUBLE)"
     cname = "erroneous_y"
     return O.with_(
         O.VEC, O.VEC_PT, _ASSIGN_SQL, "lens AS (SELECT DISTINCT n::INT AS L FROM vpt)",
-        plan_sql("lens", inject.COMBOS, 42),
+        plan_sql("lens", [(0.2, 1), (0.2, 2), (0.4, 1), (0.4, 2), (0.6, 1), (0.6, 2), (0.6, 3)], 42),
         f"""pts AS (SELECT vpt.id, vpt.pos, vpt.n AS L, asg.sport, asg.method, pm.S, pm.inplan, vpt.y AS x,
                 CASE WHEN pm.inplan THEN {normal(42, 'vpt.id', chr(39) + cname + chr(39), 'vpt.pos')} ELSE 0.0 END AS r
            FROM vpt JOIN asg USING (id) JOIN pmask pm ON pm.L = vpt.n AND pm.pos = vpt.pos AND pm.f = asg.fraction AND pm.k = asg.k)""",

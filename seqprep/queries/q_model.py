@@ -75,8 +75,9 @@ def a6_mae_rmse(spark, sf):
 
 def _variants_sql() -> str:
     """baseline / corrupted / cleaned heart rate of the valid seq_type rows,
-    each scored by the lagged-mean scorer; only heart rate reaches the
-    metric (standardization and encoding add columns, not rows)."""
+    standardized by the statistics of the user's train rows (an unseen user:
+    mean 0, std 1) and scored by the line fitted on the train rows' lagged
+    standardized heart rate."""
     from seqprep.queries.q_corrupt import normal, plan_sql, u32
     from seqprep.queries.q_kernels import window_sql
 
@@ -105,11 +106,22 @@ def _variants_sql() -> str:
         """allv AS (SELECT 'baseline' AS variant, id, pos, hr FROM bp
                  UNION ALL SELECT 'corrupted', id, pos, hr FROM cor
                  UNION ALL SELECT 'cleaned', id, pos, hr FROM cln)""",
-        """pr AS (SELECT p.variant, p.id, p.pos, any_value(p.hr) AS hr,
-                  sum(CASE WHEN p.pos - 10 + k.k >= 0 THEN q.hr::FLOAT::DOUBLE ELSE 0.0 END) / 10 AS pred
-           FROM allv p CROSS JOIN (SELECT unnest(range(10)) AS k) k
-           LEFT JOIN allv q ON q.variant = p.variant AND q.id = p.id AND q.pos = p.pos - 10 + k.k
+        """who AS (SELECT id, any_value(userId) AS userId, min(t) AS first_ts FROM pt WHERE n >= 5 GROUP BY id)""",
+        """trn AS (SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY userId ORDER BY first_ts, id) AS rn,
+                                  count(*) OVER (PARTITION BY userId) AS cnt FROM who) WHERE rn < floor(cnt * 0.7::DOUBLE))""",
+        """st AS (SELECT userId, avg(hr) AS m, stddev_pop(hr) + 1e-6 AS s FROM bp JOIN who USING (id)
+               WHERE id IN (SELECT id FROM trn) GROUP BY userId)""",
+        """zs AS (SELECT v.variant, v.id, v.pos, v.hr,
+                  ((v.hr - coalesce(st.m, 0.0)) / (CASE WHEN st.s IS NULL OR st.s <= 1e-12 THEN 1.0 ELSE st.s END))::FLOAT::DOUBLE AS z
+           FROM allv v JOIN who USING (id) LEFT JOIN st USING (userId))""",
+        """lg AS (SELECT p.variant, p.id, p.pos, any_value(p.hr) AS hr,
+                  sum(CASE WHEN p.pos - 10 + k.k >= 0 THEN q.z ELSE 0.0 END) / 10 AS x
+           FROM zs p CROSS JOIN (SELECT unnest(range(10)) AS k) k
+           LEFT JOIN zs q ON q.variant = p.variant AND q.id = p.id AND q.pos = p.pos - 10 + k.k
            GROUP BY p.variant, p.id, p.pos)""",
+        """ln AS (SELECT regr_slope(hr, x) AS slope, regr_intercept(hr, x) AS icpt FROM lg
+               WHERE variant = 'baseline' AND id IN (SELECT id FROM trn))""",
+        """pr AS (SELECT variant, id, pos, hr, ln.icpt + ln.slope * x AS pred FROM lg, ln)""",
     ]
     return O.with_(*ctes) + """SELECT variant, round(avg(abs(hr - pred)), 6) AS mae,
        round(sqrt(avg((hr - pred) * (hr - pred))), 6) AS rmse, count(*)::BIGINT AS n_points
@@ -122,13 +134,34 @@ def a7_variant_metrics(spark, sf):
     return m.select("variant", r6("mae").alias("mae"), r6("rmse").alias("rmse"), "n_points")
 
 
-@register("m2_fit_regressor", None)
+@register(
+    "m2_fit_regressor",
+    O.with_(O.EV, O.pt_type())
+    + """SELECT round(regr_slope(hr, x), 6) AS slope, round(regr_intercept(hr, x), 6) AS intercept FROM (
+  SELECT p.id, p.pos, any_value(p.hr) AS hr, sum(CASE WHEN p.pos - 10 + k.k >= 0 THEN q.hr::FLOAT::DOUBLE ELSE 0.0 END) / 10 AS x
+  FROM pt p CROSS JOIN (SELECT unnest(range(10)) AS k) k
+  LEFT JOIN pt q ON q.id = p.id AND q.pos = p.pos - 10 + k.k GROUP BY p.id, p.pos)""",
+)
 def m2_fit_regressor(spark, sf):
-    """Linear model on lagged windows; returns its coefficients as rows."""
-    df = fx.seq_type(spark, sf)
-    w = windows.sliding_windows(df, ["altitude", "latitude"], "heart_rate", heartrate_input_column="heart_rate",
-                                window_size=10)
-    model = evaluate.fit_regressor(w)
-    coef = [float(x) for x in model.coefficients.toArray()] + [float(model.intercept)]
-    rows = [(i, v) for i, v in enumerate(coef)]
-    return spark.createDataFrame(rows, "feature long, coefficient double")
+    """The fitted line of the lagged scorer on raw heart rate."""
+    fitted = evaluate.fit_lagged_scorer(fx.seq_type(spark, sf), "heart_rate", "heart_rate")
+    return fitted.select(r6("slope").alias("slope"), r6("intercept").alias("intercept"))
+
+
+@register(
+    "m2_regressor_gradient",
+    "SELECT i AS feature, 0.0::DOUBLE AS gradient FROM (SELECT unnest(generate_series(0, 20)) AS i)",
+)
+def m2_regressor_gradient(spark, sf):
+    """Linear model on whole windows: the gradient of its squared loss and L2
+    term at the solution, per coefficient and the intercept, is zero."""
+    w = windows.sliding_windows(fx.seq_type(spark, sf), ["altitude"], "heart_rate", heartrate_input_column="heart_rate", window_size=10)
+    model, reg = evaluate.fit_regressor(w, reg_param=0.0), 0.0
+    x = F.flatten("features").cast("array<double>")
+    coef = F.array(*[F.lit(float(v)) for v in model.coefficients])
+    rows = w.select(x.alias("x"), F.col("target").cast("double").alias("y"))
+    dot = F.aggregate(F.zip_with("x", coef, lambda a, b: a * b), F.lit(float(model.intercept)), lambda a, v: a + v)
+    each = rows.withColumn("e", dot - F.col("y")).select(
+        "e", F.posexplode(F.concat("x", F.array(F.lit(1.0)))).alias("feature", "v"))
+    grad = each.groupBy("feature").agg((F.avg(F.col("e") * F.col("v")) / F.sqrt(F.avg(F.col("v") * F.col("v")))).alias("g"))
+    return grad.select(F.col("feature").cast("long").alias("feature"), (F.rint(F.col("g") * 1e6) / 1e6 + 0.0).alias("gradient"))

@@ -5,7 +5,7 @@ No test table holds workouts, so these builders turn the ``events`` and
 columns. Everything is a Spark job over the whole input: a shuffle on the
 sequence key gathers the points of each sequence, ordered by (t, event_id).
 
-The same tables are rebuilt in SQL by ``seqprep.oracles`` so that every
+The same tables are rebuilt in SQL by ``seqprep.oracle_sql`` so that every
 query has an independent value oracle. Rules are listed in FIXTURES.md.
 """
 

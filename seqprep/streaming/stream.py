@@ -41,23 +41,3 @@ def run_stream(
     if available_now:
         w = w.trigger(availableNow=True)
     return w.start()
-
-
-def run_stream_batches(
-    stream: DataFrame,
-    transform: Callable[[DataFrame], DataFrame],
-    on_batch: Callable[[DataFrame, int], None],
-    checkpoint_path: str,
-) -> StreamingQuery:
-    """``foreachBatch`` variant: each micro-batch is a static DataFrame, so
-    transforms that need batch-only steps (a fit) can also run per batch."""
-
-    def handle(batch: DataFrame, epoch: int) -> None:
-        on_batch(transform(batch), epoch)
-
-    return (
-        stream.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint_path)
-        .trigger(availableNow=True)
-        .start()
-    )
