@@ -19,8 +19,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Pieces a worker keeps; beyond that it starts afresh (about 200 bytes each).
-KEPT_PIECES = 700_000
+# Pieces a worker keeps in two generations (about 200 bytes each): when the young
+# one is full it becomes the old one, and pieces met again move to the young.
+KEPT_PIECES = 600_000
 # New pieces that are encoded in one string.
 JOINED = 2_000
 MARKS = frozenset(".,;:!?")
@@ -46,13 +47,14 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         # the same merges without the byte-level pre-tokenizer: words of letters are
         # one pre-token each, so they can be mapped and cut at their spaces here
-        self.letters = Tokenizer.from_file(path)
+        self.letters = Tokenizer(self.tokenizer.model)
         self.letters.pre_tokenizer = WhitespaceSplit()
         self.bytes = {b: c for b, c in _byte_letters().items() if b != 32} | {32: " " + _byte_letters()[32]}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.kept = kept
         # ids of pieces as they stand after a space, or at a line's start ("\n" first)
         self.pieces: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.feed = self._whole(["\n"])[0]
         self.marks = {m: self._whole([m])[0] for m in MARKS}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
@@ -118,14 +120,17 @@ class Encoder:
     def _encode_pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not len(texts):
             return np.zeros(0, "<u4"), np.zeros(0, np.int64)
-        if len(self.pieces) > self.kept:
-            self.pieces.clear()
+        if len(self.pieces) > self.kept // 2:
+            self.old, self.pieces = self.pieces, {}
         text = pa.large_string()
         lines = pc.binary_join_element_wise(pa.scalar("\n", text), pc.replace_substring(texts, "\n", " \n"), pa.scalar("", text))
         cut = pc.split_pattern(lines, " ")
         coded = pc.dictionary_encode(cut.flatten())
         pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        self._learn(set(pieces).difference(self.pieces))
+        missing = set(pieces).difference(self.pieces)
+        known = missing.intersection(self.old)
+        self.pieces.update((p, self.old[p]) for p in known)
+        self._learn(missing.difference(known))
         raw = [self.pieces[p] for p in pieces]
         offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in raw])))
         table = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(np.frombuffer(b"".join(raw), "<u4")))
