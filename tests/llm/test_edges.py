@@ -2,6 +2,7 @@
 empty tables and clashing column names, against plain versions."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -336,6 +337,55 @@ def test_license_lines(spark, odd, empty):
     assert license.scan_licenses(docs, templates={}).filter("n_matches > 0").count() == 0
 
 
+def plain_windows(text, templates, least=0.8):
+    """Every window of the text's words against every template, best first."""
+    words = re.sub("[^a-z0-9]+", " ", (text or "").lower()).split()
+    found = []
+    for name, body in templates.items():
+        own = set(license.template_bigrams(body))
+        for i in range(len(words)):
+            for j in range(i, len(words)):
+                pairs = {" ".join(p) for p in zip(words[i:j], words[i + 1 : j + 1])} or {words[i]}
+                dice = 2.0 * len(pairs & own) / (len(pairs) + len(own))
+                if dice >= least:
+                    found.append((-dice, -len(pairs & own), j - i, i, name, j))
+    kept = []
+    for w in sorted(found):
+        if all(w[3] > k[5] or w[5] < k[3] for k in kept):
+            kept.append(w)
+    return [(w[4], -w[0]) for w in sorted(kept, key=lambda w: w[3])]
+
+
+def test_license_notices_wrapped_inline_and_repeated(spark):
+    wrapped = "Some text.\nThis work is licensed under the GNU General\nPublic License, version 3.\nMore."
+    docs = [
+        "Copyright 2024 Foo. Released under the MIT License.", wrapped, "Released under the MIT License. " * 13,
+        "See below: released under under under the the MIT MIT License, and licensed\n\nunder CC BY 4.0 too",
+    ]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id int, text string")
+    rows = [r["matches"] for r in license.scan_licenses(df).orderBy("id").collect()]
+    assert [(m["line"], m["license"], m["dice"]) for m in rows[0]] == [(1, "MIT", 1.0)]
+    assert [(m["line"], m["license"], m["dice"]) for m in rows[1]] == [(2, "GPL-3.0", 1.0)]
+    assert [(m["license"], m["dice"]) for m in rows[2]] == [("MIT", 1.0)] * 13
+    assert [[(m["license"], m["dice"]) for m in r] for r in rows] == [plain_windows(t, license.TEMPLATES) for t in docs]
+
+
+def test_license_bodies_and_single_words_equal_all_windows(spark):
+    rng = random.Random(4)
+    body = "\n".join(" ".join(rng.choice("abcdefghij") * 2 for _ in range(6)) for _ in range(5))
+    templates = {"BODY": body, "WORD": "mit", "SHORT": "aa bb cc dd"}
+    words = body.split()
+    docs = ["x y " + " \n".join(words[:20] + ["zz"] + words[20:]) + " q", "MIT or aa bb cc\ndd", None, "", "\n\nmit"]
+    for _ in range(30):
+        part = [w for w in words if rng.random() > 0.1]
+        docs.append("".join(w + rng.choice([" ", "\n", ", "]) for w in rng.choices(words, k=5) + part + ["aa", "bb", "cc"] + rng.choices(words, k=12)))
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id int, text string")
+    rows = license.scan_licenses(df, templates, least=0.7).orderBy("id").collect()
+    got = [[(m["license"], m["dice"]) for m in r["matches"]] for r in rows]
+    assert got == [plain_windows(t, templates, 0.7) for t in docs] and sum(map(len, got)) > 30
+    assert [m["line"] for m in rows[4]["matches"]] == [3]
+
+
 def test_size_bounds_lose_no_match():
     for least in (0.5, 0.8, 0.95):
         for a in range(1, 40):
