@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqprep.llm.common import bounded_batches, partitions_for, written
+from seqprep.llm.components import connected_components
 
 SAMPLES = 32
 WINDOW = 4
@@ -212,43 +213,144 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 # ---- banding and verification ----------------------------------------------
 
+BUCKET = 64  # members of a bucket that are still paired with each other
+BLOCK = 256  # members of a larger bucket that meet in one cell
 
-def _band_keys(fps: DataFrame, bands: int, rows: int, first: int) -> DataFrame:
-    """``fp, level, band, key``: ``rows`` sampled symbols of the last level of
-    each fingerprint and of the one before (texts around a power of two meet)."""
-    picks = np.random.Generator(np.random.Philox(key=[SEED + 2, first])).random((bands, SAMPLES)).argsort(axis=1)[:, :rows] + 1
+
+def _buckets(nodes: DataFrame, bands: int, rows: int) -> DataFrame:
+    """``bucket, node, n, rep`` for every bucket of ``n > 1`` members, ``rep`` a
+    salted one of them: the level and ``rows`` sampled symbols of the last level
+    of each fingerprint or of the one before (texts around a power of two meet).
+
+    Samples past the end of a text say nothing, so bands that hold one are left
+    out above level 0: the level before the last has none. At level 0 a band of
+    the first symbols is added, which no text but the empty one is past."""
+    picks = np.random.Generator(np.random.Philox(key=[SEED + 2, 0])).random((bands, SAMPLES)).argsort(axis=1)[:, :rows] + 1
+    picks = np.concatenate((picks, np.arange(1, rows + 1)[None]))
     top = (F.length("fp") / SAMPLES).cast("int") - 1
     level = F.explode(F.array_distinct(F.array(top, F.greatest(top - 1, F.lit(0))))).alias("level")
-    part = F.substring(F.col("fp"), F.col("level") * SAMPLES + 1, F.lit(SAMPLES))
-    keys = [F.struct(F.lit(first + b).alias("band"), F.concat(*[F.substring("part", int(i), 1) for i in picks[b]]).alias("key")) for b in range(bands)]
-    at = fps.filter("fp <> ''").select("fp", level).select("fp", "level", part.alias("part"))
-    return at.select("fp", "level", F.explode(F.array(*keys)).alias("k")).select("fp", "level", "k.band", "k.key")
+    part = F.substring(F.col("fp"), F.col("level") * SAMPLES + 1, F.lit(SAMPLES)).alias("part")
+    at = nodes.filter("fp <> ''").select("node", "fp", level).select("node", "level", part)
+    keys = F.array(*[F.struct(F.lit(b).alias("band"), F.concat(*[F.substring("part", int(i), 1) for i in picks[b]]).alias("key")) for b in range(bands + 1)])
+    each = at.select("node", "level", F.explode(keys).alias("k")).filter(
+        F.when(F.col("level") > 0, (F.col("k.band") < bands) & ~F.col("k.key").contains("0")).otherwise(F.col("k.key") != "0" * rows))
+    # unlike keys of one hash only meet and are verified
+    members = written(each.select(F.xxhash64("level", "k.band", "k.key").alias("bucket"), "node"), "bands")
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("bucket", "node"), "node")).alias("low"))
+    sizes = written(sizes.filter("n > 1").select("bucket", "n", F.col("low.node").alias("rep")), "sizes")
+    return written(members.join(sizes, "bucket"), "met")
 
 
-def near_links(fps: DataFrame, least: float = 0.8, bands: int = 8, rows: int = 6, bucket: int = 64) -> DataFrame:
-    """Links ``a, b`` between distinct fingerprints (column ``fp``) that share a
-    band and are alike by ``least`` or more. Buckets of more than ``bucket``
-    members are not paired up: their members are banded again, with more and
-    longer bands, until buckets are small or the bands hold a whole level."""
-    verify = F.pandas_udf(_likeness_of, "double")
-    todo, links, first = fps.select("fp").distinct(), None, 0
-    while True:
-        whole = rows >= SAMPLES
-        keys = _band_keys(todo, 1 if whole else bands, min(rows, SAMPLES), first)
-        sizes = keys.groupBy("level", "band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        met = written(keys.join(sizes, ["level", "band", "key"]), "bands")
-        small = met if whole else met.filter(F.col("n") <= bucket)
-        pairs = small.withColumnRenamed("fp", "a").join(small.withColumnRenamed("fp", "b"), ["level", "band", "key"]).filter("a < b")
-        found = pairs.select("a", "b").distinct().filter(verify("a", "b") >= least)
-        links = found if links is None else links.unionByName(found)
-        todo = met.filter(F.col("n") > bucket).select("fp").distinct()
-        if whole or todo.isEmpty():
-            return links.distinct()
-        first, bands, rows = first + bands, 2 * bands, 2 * rows
+def _symbols(texts, width: int) -> np.ndarray:
+    """Symbols of fingerprints, padded to ``width``; 0 is past the end."""
+    table = np.zeros(256, np.uint8)
+    table[HEX] = np.arange(16)
+    return table[np.frombuffer("".join(t.ljust(width, "0") for t in texts).encode(), np.uint8)].reshape(len(texts), width)
+
+
+def _likenesses(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``likeness`` of rows of symbols that are not empty."""
+    weight = _weights(y.shape[-1] // SAMPLES)
+    agree = ((x == y) & (x > 0)) @ weight / (((x > 0) | (y > 0)) @ weight)
+    return np.maximum(0.0, (agree - 1 / 15) / (1 - 1 / 15))
 
 
 def _likeness_of(a: pd.Series, b: pd.Series) -> pd.Series:
-    symbol = np.zeros(256, np.uint8)
-    symbol[HEX] = np.arange(16)
-    read = lambda text: symbol[np.frombuffer(text.encode(), np.uint8)]
-    return pd.Series([likeness(read(x), read(y)) for x, y in zip(a, b)], dtype="float64")
+    width = max(int(a.str.len().max()), int(b.str.len().max())) if len(a) else 0
+    out = [_likenesses(_symbols(a[i : i + BLOCK], width), _symbols(b[i : i + BLOCK], width)) for i in range(0, len(a), BLOCK)]
+    return pd.Series(np.concatenate(out) if out else [], dtype="float64")
+
+
+def _alike(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """The pairs ``a, b`` of nodes that are alike by ``least`` or more."""
+    verify = F.pandas_udf(_likeness_of, "double")
+    with_a = pairs.distinct().join(nodes.select(F.col("node").alias("a"), F.col("fp").alias("x")), "a")
+    both = with_a.join(nodes.select(F.col("node").alias("b"), F.col("fp").alias("y")), "b")
+    return both.filter(verify("x", "y") >= least).select("a", "b")
+
+
+def _crossing(left: DataFrame, right: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """Links ``a, b`` between members of one bucket, ``left`` and ``right`` (both
+    ``bucket, node, root``), of unlike roots: every such pair is verified, in
+    cells of at most about ``BLOCK`` by ``BLOCK``, and of each cell and pair of
+    roots one link is returned."""
+    def blocks(members, name):
+        count = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
+        return written(count, "blocks")
+
+    n, m = blocks(left, "n"), blocks(right, "m")
+    grid = written(n.join(m, "bucket"), "grid")
+
+    def dealt(members, own, other, mine, theirs):
+        at = members.join(grid, "bucket").join(nodes, "node")
+        place = F.pmod(F.xxhash64("node"), F.col(own)).cast("int").alias(mine)
+        each = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(theirs)
+        return at.select("bucket", "node", "root", "fp", place, each).select("bucket", "i", "j", F.lit(mine == "i").alias("left"), "node", "root", "fp")
+
+    def links(cell: pd.DataFrame) -> pd.DataFrame:
+        out, x, y = {}, cell[cell.left], cell[~cell.left]
+        if len(x) and len(y):
+            width = max(int(x.fp.str.len().max()), int(y.fp.str.len().max()))
+            s, t = _symbols(x.fp, width), _symbols(y.fp, width)
+            a, b, p, q = x.node.to_numpy(), y.node.to_numpy(), x.root.to_numpy(), y.root.to_numpy()
+            for i in range(len(x)):
+                for k in np.flatnonzero((_likenesses(s[i], t) >= least) & (q != p[i])):
+                    out.setdefault((min(p[i], q[k]), max(p[i], q[k])), (min(a[i], b[k]), max(a[i], b[k])))
+        return pd.DataFrame(list(out.values()), columns=["a", "b"], dtype="int64")
+
+    cells = dealt(left, "n", "m", "i", "j").unionByName(dealt(right, "m", "n", "j", "i"))
+    return cells.groupBy("bucket", "i", "j").applyInPandas(links, "a long, b long").distinct()
+
+
+def _nodes(fps: DataFrame) -> DataFrame:
+    return written(fps.select("fp").distinct().withColumn("node", F.monotonically_increasing_id()), "nodes")
+
+
+def near_links(fps: DataFrame, least: float = 0.8, bands: int = 8, rows: int = 6) -> DataFrame:
+    """Links ``a, b`` between distinct fingerprints (column ``fp``) that share a
+    band and are alike by ``least`` or more. Every pair of every bucket is
+    verified and every link is a row: for large groups take ``near_classes``."""
+    nodes = _nodes(fps)
+    members = _buckets(nodes, bands, rows).select("bucket", "node", F.col("node").alias("root"))
+    links = _crossing(members, members, nodes, least)
+    a, b = nodes.select(F.col("node").alias("a"), F.col("fp").alias("x")), nodes.select(F.col("node").alias("b"), F.col("fp").alias("y"))
+    return links.join(a, "a").join(b, "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
+def near_classes(fps: DataFrame, least: float = 0.8, bands: int = 8, rows: int = 6) -> DataFrame:
+    """``fp, root`` for the distinct fingerprints of ``fps``: the classes that
+    the links of ``near_links`` connect, without a row per link.
+
+    Buckets of at most ``BUCKET`` members are paired up. In a larger one every
+    member is verified against one of them, and after that every member outside
+    the bucket's largest class against all members of other classes: a link
+    between two classes has an end outside the largest, so none is lost."""
+    nodes = _nodes(fps)
+    met = _buckets(nodes, bands, rows)
+    small = met.filter(F.col("n") <= BUCKET).select("bucket", "node")
+    pairs = small.withColumnRenamed("node", "a").join(small.withColumnRenamed("node", "b"), "bucket").filter("a < b").select("a", "b")
+    crowded = met.filter(F.col("n") > BUCKET)
+    stars = crowded.filter("node <> rep").select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b"))
+    links = written(_alike(pairs.unionByName(stars), nodes, least), "links")
+    roots = written(connected_components(links), "roots")
+    placed = crowded.select("bucket", "node").join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+    placed = written(placed, "placed")
+    sizes = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket")
+    sizes = written(sizes.agg(F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("bucket", F.col("top.root").alias("top")), "sizes")
+    if not sizes.isEmpty():
+        split = written(placed.join(sizes, "bucket"), "split")
+        found = _crossing(split.filter("root <> top").drop("top"), split.drop("top"), nodes, least)
+        roots = written(connected_components(links.unionByName(written(found, "found"))), "roots")
+    return nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("root"))
+
+
+def with_classes(rows: DataFrame, least: float = 0.8, id_col: str = "doc_id", fp_col: str = "fingerprint") -> DataFrame:
+    """``rows`` with ``class_id``, the smallest id of the row's class (null if
+    all its ids are): rows whose fingerprints links of ``least`` or more connect."""
+    rows = written(rows, "fps")
+    classes = written(near_classes(rows.select(F.col(fp_col).alias("fp")), least), "classes")
+    lows = written(rows.groupBy(F.col(fp_col).alias("fp")).agg(F.min(id_col).alias("low")), "lows")
+    low = classes.join(lows, "fp")
+    named = written(low.groupBy("root").agg(F.min("low").alias("class_id")), "named")
+    side = written(low.select("fp", "root").join(named, "root").select(F.col("fp").alias(fp_col), "class_id"), "named")
+    return rows.join(side, fp_col).select(*rows.columns, "class_id")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seqprep.llm.common import scratch_path, table, tokenizer_path
 from seqprep.llm.dedup import exact_dedup
-from seqprep.llm.fingerprint import fingerprint_documents
+from seqprep.llm.fingerprint import fingerprint_documents, with_classes
 from seqprep.llm.license import TEMPLATES, scan_licenses
 from seqprep.llm.lm import score_documents, train
 from seqprep.llm.mixing import mix_sources
@@ -40,8 +40,9 @@ def fold(folds: int) -> Column:
 
 @query("op2_fingerprints")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of every document and of its edited text."""
-    return fingerprint_documents(table(spark, sf_dir, "documents"))
+    """Fingerprints of every document and of its edited text, and the class of
+    documents that links of likeness 0.8 or more connect it with."""
+    return with_classes(fingerprint_documents(table(spark, sf_dir, "documents")))
 
 
 @query("op3_quality")

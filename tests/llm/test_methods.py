@@ -205,6 +205,47 @@ def test_near_links_equal_all_pairs_where_bands_meet(spark):
     assert found <= want and len(found) >= 0.9 * len(want)
 
 
+def _alike_classes(fps, least):
+    """Classes by comparing every fingerprint with every other."""
+    table = fingerprint._symbols(fps, max(map(len, fps)))
+    left, classes = set(range(len(fps))), []
+    while left:
+        todo, own = [left.pop()], set()
+        while todo:
+            i = todo.pop()
+            own.add(fps[i])
+            met = set(np.flatnonzero(fingerprint._likenesses(table[i], table) >= least).tolist()) & left
+            left -= met
+            todo += met
+        classes.append(frozenset(own))
+    return set(classes)
+
+
+def test_classes_of_a_crowd_of_thousands_equal_all_pairs(spark):
+    rng = random.Random(10)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(1200))
+    def edited(text, n):
+        for _ in range(n):
+            at = rng.randrange(len(text))
+            text = text[:at] + rng.choice("xyz") + text[at + 1 :]
+        return text
+    # one crowd of 2,500 around one text, a second that some of them lead to
+    far = edited(base, 40)
+    texts = [edited(base, rng.randrange(1, 14)) for _ in range(2000)] + [edited(far, rng.randrange(1, 14)) for _ in range(500)]
+    texts += ["".join(rng.choice("abcdefgh ") for _ in range(1200)) for _ in range(100)]
+    fps = sorted({fingerprint.as_text(s) for s in fingerprint.fingerprints(texts)})
+    got = {}
+    for r in fingerprint.near_classes(spark.createDataFrame([(f,) for f in fps], "fp string")).collect():
+        got.setdefault(r["root"], set()).add(r["fp"])
+    want = _alike_classes(fps, 0.8)
+    root = {f: k for k, c in got.items() for f in c}
+    linked = sum(len(c) - 1 for c in want)
+    assert sorted(root) == fps and all(any(c <= w for w in want) for c in map(frozenset, got.values()))
+    kept = sum(len(c) - len({root[f] for f in c}) for c in want)
+    print("classes", len(got), "of", len(want), "largest", max(map(len, want)), "links kept", kept, "of", linked)
+    assert linked > 1500 and kept >= 0.99 * linked
+
+
 # ---- simhash ----
 
 
