@@ -14,7 +14,8 @@ score.
 Defined results: a null or empty text is one empty line, weighed as length one;
 rows whose label is null are not learnt from; repeated rows score alike;
 without labelled rows, or with one class only, the score is that class's share
-(0.5 without any); an empty table gives an empty result; extra columns are
+(0.5 without any), and ``drop_low_quality`` keeps all rows, since nothing was
+learnt that tells them apart; an empty table gives an empty result; extra columns are
 ignored.
 """
 
@@ -91,6 +92,7 @@ class Field:
     odds: np.ndarray  # (3 neighbours, features, BINS + 1); the last bin: no such line
     bias: float
     moves: np.ndarray  # (2, 2)
+    fitted: bool = True  # on both classes
 
 
 def _codes(edges: tuple[np.ndarray, ...], table: np.ndarray) -> np.ndarray:
@@ -176,7 +178,7 @@ def fit_field(table: np.ndarray, starts: np.ndarray, labels: np.ndarray) -> Fiel
 def constant_field(share: float) -> Field:
     """The field of a sample with one class (or no rows): every line alike."""
     share = min(max(share, 1e-6), 1 - 1e-6)
-    return Field(tuple(np.zeros(0) for _ in FEATURES), np.zeros(3 * len(FEATURES) * (BINS + 1)), float(np.log(share / (1 - share))), np.zeros((2, 2)))
+    return Field(tuple(np.zeros(0) for _ in FEATURES), np.zeros(3 * len(FEATURES) * (BINS + 1)), float(np.log(share / (1 - share))), np.zeros((2, 2)), fitted=False)
 
 
 def line_marginals(field: Field, table: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -252,8 +254,11 @@ def score_quality(docs: DataFrame, field: Field, text_col: str = "text", out: st
 def drop_low_quality(
     docs: DataFrame, labels: DataFrame, learn: Column | None = None, threshold: float = 0.7, **columns: str
 ) -> DataFrame:
-    """The rows of ``docs`` that score ``threshold`` or more, with their columns."""
+    """The rows of ``docs`` that score ``threshold`` or more, with their columns;
+    all of them when the labels that join ``docs`` are not of both classes."""
     field = fit_quality(docs, labels, learn, **columns)
+    if not field.fitted:
+        return docs
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     text_col = columns.get("text_col", "text")
     scored = score_quality(row.select("doc", F.col(f"doc.`{text_col}`").alias("text")), field)

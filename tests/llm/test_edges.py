@@ -282,6 +282,13 @@ def test_quality_scores_everything(spark, odd, empty):
         assert {round(r["score"], 5) for r in quality.score_quality(odd.select("text"), quality.fit_quality(odd, none)).collect()} <= {0.5, 1.0}
 
 
+def test_low_quality_filter_keeps_all_without_both_classes(spark, odd):
+    labels = spark.createDataFrame([(1, 1), (2, 1), (5, 0), (99, 1), (98, 0)], "doc_id long, quality int")
+    for known in (labels.filter("false"), labels.filter("doc_id > 90"), labels.filter("quality = 0"), labels.filter("quality = 1")):
+        kept = quality.drop_low_quality(odd, known, threshold=0.7)
+        assert kept.columns == odd.columns and Counter(kept.collect()) == Counter(odd.collect())
+
+
 # ---- fingerprints ----
 
 
