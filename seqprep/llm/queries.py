@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from seqprep.llm.common import scratch_path, table, tokenizer_path
 from seqprep.llm.dedup import exact_dedup
 from seqprep.llm.fingerprint import fingerprint_documents, with_classes
+from seqprep.llm.infill import fill_in_middle, restored
 from seqprep.llm.license import TEMPLATES, scan_licenses
 from seqprep.llm.lm import score_documents, train
 from seqprep.llm.mixing import mix_sources
@@ -240,3 +241,36 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices in the lines of every document."""
     found = scan_licenses(table(spark, sf_dir, "documents"), least=0.8)
     return found.select(F.col("id").alias("doc_id"), "n_matches", "licenses", "best")
+
+
+@query("op13_infill", r"""
+    WITH d AS (
+      SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS l,
+             sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h
+      FROM documents),
+    c AS (
+      SELECT *, len(l) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(l) + 1) AS k1, ('0x' || substr(h, 9, 8))::BIGINT % (len(l) + 1) AS k2,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                       OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 100 THEN 'plain'
+                  WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+      FROM d),
+    p AS (
+      SELECT *, array_to_string(l[1:least(k1, k2)], '') AS prefix, array_to_string(l[least(k1, k2) + 1:greatest(k1, k2)], '') AS middle,
+             array_to_string(l[greatest(k1, k2) + 1:], '') AS suffix
+      FROM c)
+    SELECT doc_id, n::BIGINT AS n, form,
+           CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                  ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM p""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document rearranged to fill in a middle of whole lines, and the
+    text rebuilt from the output."""
+    done = fill_in_middle(table(spark, sf_dir, "documents"), seed=7, rate=100, spm_rate=50)
+    back = restored(F.col("output"), F.col("form"))
+    return done.select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output"), 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"),
+    )
