@@ -15,6 +15,7 @@ from seqprep.llm.license import TEMPLATES, scan_licenses
 from seqprep.llm.lm import score_documents, train
 from seqprep.llm.mixing import mix_sources
 from seqprep.llm.packing import pack_documents
+from seqprep.llm.periods import collapse_runs
 from seqprep.llm.quality import fit_quality, score_quality
 from seqprep.llm.simhash import hex64, simhash_dedup
 from seqprep.llm.tokens import token_index, write_token_files
@@ -243,6 +244,67 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_matches", "licenses", "best")
 
 
+def with_repeated_tail(docs: DataFrame) -> DataFrame:
+    """Every tenth document (by the crc32 of its id) with the words from one
+    place on replaced by a block of them over and over."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(h / 10)
+    words = F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "")
+    n = F.size("_words")
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    block = F.slice("_words", a + 1, p)
+    tail = F.slice(F.flatten(F.array_repeat(block, F.ceil((n - a) / p).cast("int"))), F.lit(1), n - a)
+    changed = docs.withColumn("_words", F.when(h % 10 == 0, words))
+    return changed.withColumn(
+        "text", F.when(n > 0, F.array_join(F.concat(F.slice("_words", F.lit(1), a), tail), " ")).otherwise(F.col("text"))
+    ).drop("_words")
+
+
+@query("op12_periodic_runs", r"""
+    WITH h0 AS (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS l,
+             list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+               lambda c, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)),
+               4294967295) AS c
+      FROM documents),
+    h1 AS (SELECT doc_id, l, len(l) AS n, xor(c, 4294967295) AS h FROM h0),
+    h2 AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n ELSE n END AS a, 3 + (h // 10) % 8 AS e FROM h1),
+    h3 AS (SELECT *, 1 + (n - a) // e AS p FROM h2),
+    w AS (SELECT doc_id, n, i, CASE WHEN i < a THEN l[i + 1] ELSE l[a + (i - a) % p + 1] END AS w
+          FROM (SELECT *, unnest(range(n)) AS i FROM h3)),
+    m AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM w x JOIN w y
+          ON x.doc_id = y.doc_id AND x.w = y.w AND y.i > x.i AND y.i - x.i <= x.n // 4),
+    g AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS grp FROM m),
+    s AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM g GROUP BY doc_id, q, grp),
+    r AS (SELECT doc_id, start, length, min(q) AS period FROM s WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length),
+    best AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC, start, period) AS k FROM r),
+    lists AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS t
+              FROM r GROUP BY doc_id),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+    kept AS (SELECT w.doc_id, string_agg(w.w, ' ' ORDER BY w.i) AS t FROM w ANTI JOIN gone USING (doc_id, i) GROUP BY w.doc_id)
+    SELECT d.doc_id, coalesce(lists.n_runs, 0)::BIGINT AS n_runs, best.start::BIGINT AS start, best.length::BIGINT AS length,
+           best.period::BIGINT AS period, (1000 * best.length // best.period)::BIGINT AS exponent_milli,
+           sha256(coalesce(lists.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+    FROM documents d LEFT JOIN lists ON d.doc_id = lists.doc_id LEFT JOIN kept ON d.doc_id = kept.doc_id
+    LEFT JOIN best ON d.doc_id = best.doc_id AND best.k = 1""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of the words of every document, and the text without their
+    repeats."""
+    found = collapse_runs(with_repeated_tail(table(spark, sf_dir, "documents")))
+    # of equal quotients the first in order stays
+    best = F.aggregate(
+        F.slice("runs", 2, 1 << 30), F.get("runs", 0),
+        lambda b, r: F.when(r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b),
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
+
+
 @query("op13_infill", r"""
     WITH d AS (
       SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS l,
