@@ -17,6 +17,7 @@ from seqprep.llm.mixing import mix_sources
 from seqprep.llm.packing import pack_documents
 from seqprep.llm.periods import collapse_runs
 from seqprep.llm.quality import fit_quality, score_quality
+from seqprep.llm.repeats import remove_repeats
 from seqprep.llm.simhash import hex64, simhash_dedup
 from seqprep.llm.tokens import token_index, write_token_files
 from seqprep.llm.urlfilter import domain_key, host_of, judge_captures, path_key, url_key
@@ -244,6 +245,16 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_matches", "licenses", "best")
 
 
+@query("op11_repeated_strings")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 400-byte strings that start twice."""
+    cut = remove_repeats(table(spark, sf_dir, "documents"), length=400)
+    return cut.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def with_repeated_tail(docs: DataFrame) -> DataFrame:
     """Every tenth document (by the crc32 of its id) with the words from one
     place on replaced by a block of them over and over."""
