@@ -12,17 +12,19 @@ shard (``induce``); the work is dealt out so that equal strings meet:
    per anchor -- one in some 180 bytes -- is written.
 2. **Grams that occur once** hold no repeats and are dropped. Regions of one gram
    with equal bytes are counted as copies of one, so a group of thousands of
-   copies is one region with a number before any text is shuffled.
+   copies is one region with a number before any text is shuffled; where a gram
+   has no other region, there is nothing to sort.
 3. **Shards.** The texts of the different regions are dealt out by gram and each
    partition is one shard, its regions set apart by a byte that no text has.
    Each corpus start is in one region, so a suffix whose neighbour in suffix
    order shares ``length`` bytes, or whose region has copies, starts elsewhere
    too. Runs of such starts come out.
 4. **Hot grams**, with over ``HOT`` different regions, would make one shard of any
-   size. Their regions are cut into pieces of ``PIECE`` starts at places counted
-   from the anchor; the bytes that all strings of a piece share are its core.
-   Cores that occur once hold no repeats; the strings of the others are named
-   by a 128-bit hash and counted, with counts reduced before the shuffle.
+   size. Their regions are cut into pieces of starts at places counted from the
+   anchor, of widths that fall from ``WIDTHS[0]`` to 1. Pieces are named by
+   128-bit hashes and counted, with counts reduced before the shuffle: one with
+   an equal elsewhere repeats as a whole; where only the bytes that all its
+   strings share have one, it is divided; otherwise it holds no repeats.
 5. **Removal.** Runs of starts go back to all regions with those bytes, are
    collected by document, and their bytes are taken out.
 
@@ -50,7 +52,6 @@ from seqprep.plans.state import materialize
 
 GRAM = 32
 HOT = 512
-PIECE = 32
 SHARD = 4 << 20
 CHUNK = 4 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # a fixed odd multiplier
@@ -234,55 +235,74 @@ def _shard_batches(length: int, memory: int, folder: str):
     return batches
 
 
-def _name_batches(length: int, width: int):
-    """Pieces of ``width`` starts of regions, with the name of the bytes that all
-    strings of the piece share. With a ``piece`` column (of the wider pieces that
-    are left) only the starts in it are named."""
+def _names(raw: np.ndarray, size: int) -> list[np.ndarray]:
+    """128-bit names of all substrings of ``size`` bytes, as two columns."""
+    return [window_hashes(raw, size, seed).view(np.int64) for seed in (1, 12345)]
+
+
+def _name_batches(length: int, width: int, wider: int):
+    """Regions to pieces of ``width`` starts, counted back from the anchor so that
+    equal strings have equal places. ``core`` names the bytes that all strings of
+    the piece share; ``span`` the bytes of all strings of the piece's own starts
+    ``low .. high``. With a ``piece`` column (a wider piece that is left), only the
+    pieces in it."""
     def batches(rows):
         for batch in rows:
-            columns = [[] for _ in range(6)]
             raw, bounds = _texts(batch.column(6))
-            names = [window_hashes(raw[bounds[0] : bounds[-1]], length - width + 1, seed) for seed in (1, 12345)]
-            wider = batch.column(7).to_pylist() if batch.num_columns > 7 else [None] * len(batch)
-            for i, piece in enumerate(wider):
-                a, b, at = (batch.column(k)[i].as_py() for k in (3, 4, 5))
-                # starts are counted back from the anchor, so equal strings have equal numbers
-                low, high = (at - b) // width, (at - a) // width
-                if piece is not None:
-                    low, high = max(low, piece * PIECE // width), min(high, ((piece + 1) * PIECE - 1) // width)
-                number = np.arange(low, high + 1)
-                # the core runs from the piece's last start to the end of its first string, inside the region
-                core = at - number * width - a + int(bounds[i] - bounds[0])
-                for column, value in zip(columns, (batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), batch.column(2)[i].as_py())):
-                    column.append(np.full(len(number), value, np.int64))
-                columns[3].append(number)
-                for column, name in zip(columns[4:], names):
-                    column.append(name[core].view(np.int64))
-            out = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in columns]
-            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in out], names=["gram", "digest", "copies", "piece", "name1", "name2"])
+            raw, bounds = raw[bounds[0] : bounds[-1]], bounds - bounds[0]
+            cores = _names(raw, length - width + 1)
+            gram, digest, copies, a, b, at = (batch.column(k).to_numpy().astype(np.int64) for k in range(6))
+            first, last = (at - b) // width, (at - a) // width
+            if batch.num_columns > 7:
+                piece = batch.column(7).to_numpy() * (wider // width)
+                first, last = np.maximum(first, piece), np.minimum(last, piece + wider // width - 1)
+            # one row per piece; no region is without one
+            many = np.maximum(last - first + 1, 0)
+            i = np.repeat(np.arange(len(many)), many)
+            number = np.arange(len(i)) - np.repeat(np.cumsum(many) - many, many) + first[i]
+            low, high = np.maximum(number * width, (at - b)[i]), np.minimum(number * width + width - 1, (at - a)[i])
+            # the core runs from the piece's last start to the end of its first string, inside the region
+            place = (at - a)[i] + bounds[:-1][i]
+            core = place - number * width
+            spans = np.zeros((2, len(i)), np.int64)
+            for n in np.unique(high - low):
+                here = np.flatnonzero(high - low == n)
+                for column, names in zip(spans, _names(raw, length + int(n))):
+                    column[here] = names[(place - high)[here]]
+            columns = [gram[i], digest[i], copies[i], number, low, high, cores[0][core], cores[1][core], *spans]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[f.split()[0] for f in NAMED.split(", ")])
 
     return batches
 
 
-NAMED = "gram long, digest long, copies long, piece long, name1 long, name2 long"
+NAMED = "gram long, digest long, copies long, piece long, low long, high long, core1 long, core2 long, span1 long, span2 long"
+WIDTHS = (64, 16, 4, 1)
 
 
 def _hot_runs(regions: DataFrame, length: int) -> DataFrame:
-    """Runs of repeated starts in the regions of hot grams."""
-    name = ["gram", "piece", "name1", "name2"]
-
-    def met(named: DataFrame) -> DataFrame:
-        kept = written(named, "hot-names")
-        shared = kept.groupBy(*name).agg(F.sum("copies").alias("_all")).filter("_all > 1").drop("_all")
-        return kept.join(shared, name).select("gram", "digest", "piece")
-
-    wide = met(regions.mapInArrow(_name_batches(length, PIECE), NAMED))
-    left = regions.join(wide, ["gram", "digest"]).select(*regions.columns, "piece")
-    found = met(left.mapInArrow(_name_batches(length, 1), NAMED))
-    # a start's number counts back from the anchor
+    """Runs of repeated starts in the regions of hot grams. A piece whose span has
+    an equal repeats as a whole; one of which only the core has is divided."""
+    one = ["gram", "digest", "piece"]
+
+    def equal(named: DataFrame, by: list[str]) -> DataFrame:
+        """The pieces that have an equal, and the least digest among equals."""
+        shared = named.groupBy(*by).agg(F.sum("copies").alias("_all"), F.min("digest").alias("_least")).filter("_all > 1")
+        return named.join(shared.hint("merge"), by)
+
+    left, found = regions, None
+    for wider, width in zip((1, *WIDTHS), WIDTHS):
+        named = written(left.mapInArrow(_name_batches(length, width, wider), NAMED), "hot-names")
+        whole = equal(named, ["gram", "piece", "low", "high", "span1", "span2"]).select(*one, "low", "high", "_least")
+        found = whole if found is None else found.unionByName(whole)
+        if width > 1:
+            # one of equal pieces stays to be compared with those that share its core only
+            done = whole.filter("digest <> _least").select(*one)
+            rest = equal(named, ["gram", "piece", "core1", "core2"]).select(*one).join(done.hint("merge"), one, "left_anti")
+            left = regions.join(rest.hint("merge"), one[:2]).select(*regions.columns, "piece")
+    # places count back from the anchor
     place = regions.select("gram", "digest", (F.col("at") - F.col("a")).alias("_at"))
-    return found.join(place, ["gram", "digest"]).select(
-        "gram", "digest", (F.col("_at") - F.col("piece")).cast("int").alias("first"), (F.col("_at") - F.col("piece")).cast("int").alias("last")
+    return found.join(place.hint("merge"), one[:2]).select(
+        "gram", "digest", (F.col("_at") - F.col("high")).cast("int").alias("first"), (F.col("_at") - F.col("low")).cast("int").alias("last")
     )
 
 
@@ -290,19 +310,24 @@ def repeated_spans(rows: DataFrame, length: int = 400, hot: int = HOT, shard: in
     """``file, row, starts``: sorted ``(first, last)`` runs of starts, of the rows
     ``file, row, text`` that hold any."""
     spark = rows.sparkSession
-    if length <= GRAM + PIECE:
-        raise ValueError(f"length must be over {GRAM + PIECE} bytes")
+    if length <= GRAM + WIDTHS[0]:
+        raise ValueError(f"length must be over {GRAM + WIDTHS[0]} bytes")
     texts = rows.select("file", "row", F.col("text").cast("binary").alias("text")).filter(F.octet_length("text") >= length)
     seen = written(texts.mapInArrow(_anchor_batches(length), OCCURRENCE), "anchors")
-    often = materialize(seen.groupBy("gram").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("gram"))
+    # these sides grow with the corpus, so they are joined by shuffle at every size
+    often = seen.groupBy("gram").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("gram")
     place = F.min(F.struct("file", "row", "a", "b", "at")).alias("place")
     regions = written(
-        seen.join(often.side(), "gram").groupBy("gram", "digest").agg(F.count(F.lit(1)).alias("copies"), place)
+        seen.join(often.hint("merge"), "gram").groupBy("gram", "digest").agg(F.count(F.lit(1)).alias("copies"), place)
         .select("gram", "digest", "copies", "place.*"), "regions")
-    crowds = materialize(regions.groupBy("gram").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot).select("gram"))
-    wanted = materialize(regions.groupBy("file", "row").agg(
-        F.collect_list(F.struct("gram", "digest", "copies", "a", "b", "at")).alias("wanted")))
-    carried = texts.join(wanted.side(), ["file", "row"]).select("text", "wanted").mapInArrow(_region_batches(length), REGION)
+    kinds = written(regions.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")), "kinds")
+    crowds = materialize(kinds.filter(F.col("kinds") > hot).select("gram"))
+    # equal regions alone under a gram have nothing to be compared with: they repeat as they are
+    single = regions.join(kinds.filter("kinds = 1").hint("merge"), "gram", "left_semi")
+    regions = written(regions.join(kinds.filter("kinds > 1").hint("merge"), "gram", "left_semi"), "compared")
+    alike = single.select("gram", "digest", F.lit(0).alias("first"), (F.col("b") - F.col("a")).alias("last"))
+    wanted = regions.groupBy("file", "row").agg(F.collect_list(F.struct("gram", "digest", "copies", "a", "b", "at")).alias("wanted"))
+    carried = texts.join(wanted.hint("merge"), ["file", "row"]).select("text", "wanted").mapInArrow(_region_batches(length), REGION)
     total = regions.agg(F.sum(F.col("b") - F.col("a") + length + 1)).first()[0] or 0
     parts = max(1, -(-total // shard))
     if crowds.rows:
@@ -313,9 +338,9 @@ def repeated_spans(rows: DataFrame, length: int = 400, hot: int = HOT, shard: in
         calm, crowded = carried, None
     folder = os.path.dirname(scratch_path(spark, "sort"))
     runs = calm.repartition(parts, "gram").mapInArrow(_shard_batches(length, memory, folder), RUN)
-    runs = materialize(runs.unionByName(crowded) if crowded is not None else runs)
+    runs = written(runs.unionByName(alike).unionByName(crowded) if crowded is not None else runs.unionByName(alike), "runs")
     # copies of a region get its runs; all of them were dropped but one
-    hits = seen.join(runs.side(), ["gram", "digest"]).select(
+    hits = seen.join(runs.hint("merge"), ["gram", "digest"]).select(
         "file", "row", F.struct((F.col("a") + F.col("first")).alias("first"), (F.col("a") + F.col("last")).alias("last")).alias("run"))
     return hits.groupBy("file", "row").agg(F.sort_array(F.collect_list("run")).alias("starts"))
 
@@ -361,8 +386,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     located = with_locator(scan, [F.col(id_col).cast("long").alias("id"), text_of(F.col(text_col)).alias("text")])
     # a 64-bit hash of the file's name and the row's number take less room than the name
     rows = located.select("id", F.xxhash64("_file").alias("file"), F.col("_row").alias("row"), "text")
-    starts = materialize(repeated_spans(rows, length, **options))
-    joined = rows.join(starts.side(), ["file", "row"], "left").select("id", F.col("text").cast("binary").alias("text"), "starts")
+    starts = repeated_spans(rows, length, **options)
+    joined = rows.join(starts.hint("merge"), ["file", "row"], "left").select("id", F.col("text").cast("binary").alias("text"), "starts")
     cut = joined.mapInArrow(_removal_batches(length), "id long, spans array<struct<start:int,end:int>>, kept binary")
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return cut.select("id", (F.octet_length("kept").cast("long") + gone).alias("n_bytes"), gone.alias("n_removed"), "spans", "kept")
