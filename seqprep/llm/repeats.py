@@ -50,7 +50,7 @@ from seqprep.llm.induce import MEMORY, repeated
 from seqprep.llm.lm import mounted
 from seqprep.plans.state import materialize
 
-GRAM = 32
+GRAM = 100
 HOT = 512
 SHARD = 4 << 20
 CHUNK = 4 << 20
@@ -338,11 +338,14 @@ def repeated_spans(rows: DataFrame, length: int = 400, hot: int = HOT, shard: in
         calm, crowded = carried, None
     folder = os.path.dirname(scratch_path(spark, "sort"))
     runs = calm.repartition(parts, "gram").mapInArrow(_shard_batches(length, memory, folder), RUN)
-    runs = written(runs.unionByName(alike).unionByName(crowded) if crowded is not None else runs.unionByName(alike), "runs")
+    runs = runs.unionByName(alike).unionByName(crowded) if crowded is not None else runs.unionByName(alike)
+    # one row a region, so that its copies are not multiplied by its runs
+    by_region = written(runs.groupBy("gram", "digest").agg(F.collect_list(F.struct("first", "last")).alias("runs")), "runs")
     # copies of a region get its runs; all of them were dropped but one
-    hits = seen.join(runs.hint("merge"), ["gram", "digest"]).select(
-        "file", "row", F.struct((F.col("a") + F.col("first")).alias("first"), (F.col("a") + F.col("last")).alias("last")).alias("run"))
-    return hits.groupBy("file", "row").agg(F.sort_array(F.collect_list("run")).alias("starts"))
+    hits = seen.join(by_region.hint("merge"), ["gram", "digest"])
+    moved = F.transform("runs", lambda r: F.struct((F.col("a") + r["first"]).alias("first"), (F.col("a") + r["last"]).alias("last")))
+    return hits.select("file", "row", moved.alias("runs")).groupBy("file", "row").agg(
+        F.sort_array(F.flatten(F.collect_list("runs"))).alias("starts"))
 
 
 @dataclass
