@@ -26,7 +26,6 @@ from seqprep.functions import sqlx as S
 from seqprep.functions.missing import NAN
 
 
-
 def EMPTY_INT() -> Column:  # noqa: N802
     return F.array().cast("array<int>")
 
@@ -126,6 +125,11 @@ def moving_average(y: str, window: int) -> Column:
     return F.expr(S.moving_average(y, window))
 
 
+def running_sum(y: str, kind: str = "double") -> Column:
+    """Running sum along a sequence (``cumsum`` with NULL as 0)."""
+    return F.expr(S.running_sum(y, kind))
+
+
 def mask_runs(mask: str) -> Column:
     """Runs of true values of a boolean array as ``array<struct<start, end>>``
     (half-open)."""

@@ -9,6 +9,7 @@ the same order as the NumPy definitions the kernels restate.
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Callable
 
@@ -43,6 +44,18 @@ def is_missing(x: str) -> str:
     return f"({x} IS NULL OR isnan({x}) OR abs({x}) = {INF})"
 
 
+def bound(kernel: Callable[..., str]) -> Callable[..., str]:
+    """A kernel whose input is evaluated once per row. Catalyst puts a column's
+    derivation wherever the column is read, also inside a lambda, where it would
+    be computed again for every element; a lambda variable it leaves alone."""
+
+    @functools.wraps(kernel)
+    def build(y: str, *args, **kwargs) -> str:
+        return let(y, lambda v: kernel(v, *args, **kwargs))
+
+    return build
+
+
 def canonical(s: str) -> str:
     x = var("x")
     return f"transform({s}, {x} -> CASE WHEN {is_missing(x)} THEN {NAN} ELSE CAST({x} AS DOUBLE) END)"
@@ -63,6 +76,7 @@ def nan_median(s: str) -> str:
     return let(f"array_sort(filter({s}, {z} -> NOT {is_missing(z)}))", median_sorted)
 
 
+@bound
 def median(s: str) -> str:
     z = var("z")
     return f"(CASE WHEN exists({s}, {z} -> isnan({z})) THEN {NAN} ELSE {let(f'array_sort({s})', median_sorted)} END)"
@@ -93,6 +107,7 @@ def _gap_fill(y: str, v: str, fill: Callable[[str, str, str], str]) -> str:
     )
 
 
+@bound
 def interpolate(y: str) -> str:
     """``y[a] + (j-a)*((y[b]-y[a])/(b-a))``, as ``np.interp``."""
 
@@ -102,6 +117,7 @@ def interpolate(y: str) -> str:
     return let(valid_positions(y), lambda v: _gap_fill(y, v, lin))
 
 
+@bound
 def neighbor_mean_fill(y: str) -> str:
     def mean_of_neighbours(a, b, j):
         return f"(CASE WHEN {j} = {a} THEN {y}[{a}] ELSE ({y}[{a}] + {y}[{b}]) / 2 END)"
@@ -115,6 +131,7 @@ def _edge_padded(y: str, pad: int) -> str:
     return f"concat(array_repeat({y}[0], {pad}), {y}, array_repeat(element_at({y}, -1), {pad}))"
 
 
+@bound
 def rolling_median(y: str, window: int) -> str:
     if window <= 1:
         return y
@@ -127,6 +144,7 @@ def rolling_median(y: str, window: int) -> str:
     return f"(CASE WHEN coalesce(size({y}), 0) = 0 THEN {y} ELSE {let(_edge_padded(y, pad), body)} END)"
 
 
+@bound
 def moving_average(y: str, window: int) -> str:
     if window % 2 == 0:
         raise ValueError(f"moving_average needs an odd window, got {window}")
@@ -145,6 +163,35 @@ def moving_average(y: str, window: int) -> str:
     return f"(CASE WHEN coalesce(size({y}), 0) = 0 THEN {y} ELSE {let(_edge_padded(y, pad), body)} END)"
 
 
+# ------------------------------------------------------------------ running sums
+
+SCAN_BLOCK = 256
+
+
+@bound
+def running_sum(y: str, kind: str) -> str:
+    """Sum of the elements up to each position, one after another from the
+    first; a NULL counts as 0. ``kind`` is the SQL type of the sums. A fold
+    that appends to one long list copies it for every element, so blocks of
+    ``SCAN_BLOCK`` sums are folded and put together at the end."""
+    b, acc, x, a = var("b"), var("acc"), var("x"), var("a")
+    zero, none, nested = f"CAST(0 AS {kind})", f"CAST(array() AS ARRAY<{kind}>)", f"CAST(array() AS ARRAY<ARRAY<{kind}>>)"
+
+    def step(s):
+        return f"named_struct('s', {s}, 'o', array_append({a}.o, {s}))"
+
+    block = (
+        f"aggregate(slice({y}, {b} + 1, {SCAN_BLOCK}), named_struct('s', {acc}.s, 'o', {none}), "
+        f"({a}, {x}) -> {let(f'CAST({a}.s + coalesce({x}, {zero}) AS {kind})', step)})"
+    )
+    joined = let(block, lambda r: f"named_struct('s', {r}.s, 'o', array_append({acc}.o, {r}.o))")
+    scan = (
+        f"aggregate(sequence(0, size({y}) - 1, {SCAN_BLOCK}), named_struct('s', {zero}, 'o', {nested}), "
+        f"({acc}, {b}) -> {joined}, {acc} -> flatten({acc}.o))"
+    )
+    return f"(CASE WHEN coalesce(size({y}), 0) = 0 THEN CAST({y} AS ARRAY<{kind}>) ELSE {scan} END)"
+
+
 # ------------------------------------------------------------------ runs
 
 def mask_runs(mask: str) -> str:
@@ -169,6 +216,7 @@ def clip_value(x: str, lo: str, hi: str) -> str:
     return f"(CASE WHEN isnan({x}) THEN {x} WHEN {x} < {lo} THEN {lo} WHEN {x} > {hi} THEN {hi} ELSE {x} END)"
 
 
+@bound
 def fill_and_clip(y: str, bounds: str, do_clip: bool) -> str:
     """All-missing non-empty sequences take the median (0.0 without one), then
     clip to ``bounds.lo``/``bounds.hi`` (NaN kept)."""
@@ -185,6 +233,7 @@ def fill_and_clip(y: str, bounds: str, do_clip: bool) -> str:
     return f"transform({filled}, {c} -> {clip_value(c, f'{bounds}.lo', f'{bounds}.hi')})"
 
 
+@bound
 def coerce_float(s: str, element: str) -> str:
     """NULL elements → NaN, numeric strings parsed, one unparsable element
     empties the sequence, ±inf → NaN; a NULL sequence becomes empty."""
@@ -198,6 +247,7 @@ def coerce_float(s: str, element: str) -> str:
     return f"(CASE WHEN {s} IS NULL THEN CAST(array() AS ARRAY<DOUBLE>) ELSE {canonical(base)} END)"
 
 
+@bound
 def coerce_int(s: str, element: str) -> str:
     """Floats truncate; strings must be whole numbers (read exactly); any NULL,
     NaN, ±inf or unreadable string empties the sequence; a NULL sequence

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqprep.functions.arrays import EMPTY_DOUBLE, positions, seq_len
+from seqprep.functions.arrays import EMPTY_DOUBLE, let, positions, seq_len
 from seqprep.functions.geo import haversine_km
 from seqprep.functions.missing import NAN, NEG_INF, POS_INF
 from seqprep.sources.schema import require_columns
@@ -15,7 +15,7 @@ from seqprep.sources.schema import require_columns
 def time_elapsed(ts: Column) -> Column:
     """Seconds since the first point: ``ts[i] - ts[0]`` (closed form of a
     zero-filled diff followed by a running sum)."""
-    return F.when(seq_len(ts) == 0, ts).otherwise(F.transform(ts, lambda x: x - ts[0]))
+    return let(ts, lambda t: F.when(seq_len(t) == 0, t).otherwise(F.transform(t, lambda x: x - t[0])))
 
 
 def with_time_elapsed(df: DataFrame, ts: str = "timestamp", out: str = "time_elapsed") -> DataFrame:
@@ -34,12 +34,13 @@ def repair_time_elapsed(df: DataFrame, ts: str = "timestamp", te: str = "time_el
 def step_distance(lat: Column, lon: Column) -> Column:
     """Distance in km from the previous point; 0.0 at the first point.
     An empty sequence gives an empty result."""
-    return F.when(seq_len(lat) == 0, EMPTY_DOUBLE()).otherwise(
-        F.transform(
-            positions(lat),
-            lambda i: F.when(i == 0, F.lit(0.0)).otherwise(haversine_km(lat[i - 1], lon[i - 1], lat[i], lon[i])),
+
+    def steps(a, o):
+        return F.when(seq_len(a) == 0, EMPTY_DOUBLE()).otherwise(
+            F.transform(positions(a), lambda i: F.when(i == 0, F.lit(0.0)).otherwise(haversine_km(a[i - 1], o[i - 1], a[i], o[i])))
         )
-    )
+
+    return let(lat, lambda a: let(lon, lambda o: steps(a, o)))
 
 
 def step_speed(dist: Column, ts: Column) -> Column:
@@ -50,12 +51,15 @@ def step_speed(dist: Column, ts: Column) -> Column:
     would throw, so the case is written out)."""
     first_dt = F.lit(1e-6).cast("float").cast("double")
 
-    def one(d, i):
-        dt = F.when(i == 0, first_dt).otherwise((ts[i] - ts[i - 1]).cast("float").cast("double"))
-        at_zero = F.when(F.isnan(d) | (d == 0), NAN()).when(d > 0, POS_INF()).otherwise(NEG_INF())
-        return F.when(dt == 0, at_zero).otherwise(d / dt * 3600)
+    def one(t):
+        def speed(d, i):
+            dt = F.when(i == 0, first_dt).otherwise((t[i] - t[i - 1]).cast("float").cast("double"))
+            at_zero = F.when(F.isnan(d) | (d == 0), NAN()).when(d > 0, POS_INF()).otherwise(NEG_INF())
+            return F.when(dt == 0, at_zero).otherwise(d / dt * 3600)
+
+        return speed
 
-    return F.transform(dist, one)
+    return let(ts, lambda t: F.transform(dist, one(t)))
 
 
 def derive_features(
@@ -77,10 +81,10 @@ def derive_features(
 # attach a signal by (id, timestamp)
 # --------------------------------------------------------------------------
 
-def signal_map(raw: DataFrame, id_col: str = "id", ts: str = "timestamp", value: str = "altitude",
-               order: str | None = None) -> DataFrame:
-    """Turn raw records ``(id, timestamp[], value[])`` into one
-    ``map<timestamp, value>`` per id.
+def signal_points(raw: DataFrame, id_col: str = "id", ts: str = "timestamp", value: str = "altitude",
+                  order: str | None = None) -> DataFrame:
+    """Turn raw records ``(id, timestamp[], value[])`` into one list ``s`` of
+    ``(t, v)`` per id, sorted by distinct times.
 
     Lists are zipped to the shorter length. Of records that repeat an id, the
     last by ``order`` (default: the reader's ``_rec``, if present) replaces the
@@ -98,10 +102,9 @@ def signal_map(raw: DataFrame, id_col: str = "id", ts: str = "timestamp", value:
     # points by (time, position); of equal times the last stays
     points = F.array_sort(F.filter(F.transform(z, lambda p, i: F.struct(p["t"].alias("t"), i.alias("i"), p["v"].alias("v"))),
                                    lambda e: e["t"].isNotNull()))
-    sorted_ = per_id.select("id", points.alias("es"))
-    es = F.col("es")
-    last = F.filter(es, lambda e, i: F.when(i == F.size(es) - 1, F.lit(True)).otherwise(es[i + 1]["t"] != e["t"]))
-    return sorted_.select("id", F.map_from_entries(F.transform(last, lambda e: F.struct(e["t"], e["v"]))).alias("m"))
+    last = let(points, lambda es: F.filter(
+        es, lambda e, i: F.when(i == F.size(es) - 1, F.lit(True)).otherwise(es[i + 1]["t"] != e["t"])))
+    return per_id.select("id", F.transform(last, lambda e: F.struct(e["t"].alias("t"), e["v"].alias("v"))).alias("s"))
 
 
 def attach_signal(
@@ -118,24 +121,39 @@ def attach_signal(
 
     ``on_missing="error"`` fails the job when an id or a timestamp has no
     raw value (the reference raises); ``"null"`` leaves a NULL point.
-    Both inputs are shuffled on id once; the per-point lookup is a map probe.
+    Both inputs are shuffled on id once. In the row the two time lists are
+    merged by one sort: the raw points before the k-th wanted one at place i
+    are i - k, so the last of them is looked up by number.
     """
     if on_missing not in ("error", "null"):
         raise ValueError("on_missing must be 'error' or 'null'")
-    m = signal_map(raw, id_col=id_col, ts=ts, value=raw_value, order=order)
-    joined = df.join(m.withColumnRenamed("id", id_col), on=id_col, how="left")
-    mp = F.col("m")
+    signal = signal_points(raw, id_col=id_col, ts=ts, value=raw_value, order=order)
+    joined = df.join(signal.withColumnRenamed("id", id_col), on=id_col, how="left")
+    time_type = signal.schema["s"].dataType.elementType["t"].dataType
+    key = F.col(id_col).cast("string")
 
-    def probe(t):
-        found = F.when(mp.isNull(), F.lit(False)).otherwise(F.map_contains_key(mp, t))
+    def value(found, t):
         if on_missing == "null":
-            return F.when(found, mp[t]).otherwise(F.lit(None).cast("double"))
-        return F.when(found, mp[t]).otherwise(
-            F.raise_error(F.concat(F.lit("no raw signal for id "), F.col(id_col).cast("string"),
-                                   F.lit(" at timestamp "), t.cast("string"))).cast("double")
-        )
-
-    return joined.withColumn(out, F.transform(F.col(ts), probe)).drop("m")
+            return F.when(found.isNotNull(), found["v"].cast("double"))
+        missing = F.raise_error(F.concat(F.lit("no raw signal for id "), key, F.lit(" at timestamp "), t.cast("string")))
+        return F.when(found.isNotNull(), found["v"].cast("double")).otherwise(missing.cast("double"))
+
+    def merged(raw_points, times):
+        wanted = F.transform(times, lambda t, i: F.struct(t.cast(time_type).alias("t"), F.lit(1).alias("side"), i.alias("at")))
+        known = F.transform(raw_points, lambda p, i: F.struct(p["t"].alias("t"), F.lit(0).alias("side"), i.alias("at")))
+        placed = F.transform(F.array_sort(F.concat(known, wanted)), lambda e, i: F.struct(e["t"].alias("t"), e["side"].alias("side"), e["at"].alias("at"), i.alias("i")))
+
+        def point(e, k):
+            last = F.get(raw_points, e["i"] - k - 1)
+            return F.struct(e["at"].alias("at"), e["t"].alias("t"), F.when(last["t"] == e["t"], last).alias("found"))
+
+        # back in the order of the row's own points
+        hits = F.array_sort(F.transform(F.filter(placed, lambda e: e["side"] == 1), point))
+        return F.transform(hits, lambda h: value(h["found"], h["t"]))
+
+    none = F.array().cast(signal.schema["s"].dataType)
+    attached = let(F.coalesce("s", none), lambda s: let(F.col(ts), lambda t: F.when(t.isNotNull(), merged(s, t))))
+    return joined.withColumn(out, attached).drop("s")
 
 
 def semi_by_id(raw: DataFrame, target: DataFrame, id_col: str = "id") -> DataFrame:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seqprep.functions.arrays import let
+from seqprep.operators import windows
+from seqprep.sources.schema import require_columns
 
 
 def lagged_mean_scorer(features: Column) -> Column:
@@ -111,12 +115,73 @@ def predict_lagged(df: DataFrame, scorer: DataFrame, input_column: str, window_s
     return scored.withColumn(out, F.coalesce(line, F.array().cast("array<double>"))).drop("_m", "_x")
 
 
-def fit_regressor(windows: DataFrame, reg_param: float = 0.001, max_iter: int = 50):
-    """Linear regression on flattened windows (``pyspark.ml``), L2 = reg_param."""
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.regression import LinearRegression
+def score_sequences(df: DataFrame, predict: Callable, numerical_columns: Sequence[str], heartrate_input_column: str | None = None,
+                    window_size: int = 10, out: str = "predicted_heart_rate") -> DataFrame:
+    """Add ``out``: the predictions of a Python model for every time step of each
+    row's sequences. ``predict`` takes ``[n, window, F]`` 32-bit floats (as
+    ``sliding_windows`` has them) and gives ``n`` numbers. Whole sequences go to
+    the worker and come back, so nothing is exploded, shuffled or regrouped."""
+    require_columns(df, [*numerical_columns, *([heartrate_input_column] if heartrate_input_column else [])], "score_sequences")
+    schema = T.StructType([*[f for f in df.schema.fields if f.name != out], T.StructField(out, T.ArrayType(T.DoubleType()))])
+    sent = df.select(*[f.name for f in schema.fields if f.name in df.columns and f.name != out])
 
-    flat = windows.select(array_to_vector(F.flatten("features").cast("array<double>")).alias("features"),
-                          F.col("target").cast("double").alias("label"))
-    lr = LinearRegression(regParam=reg_param, elasticNetParam=0.0, maxIter=max_iter)
-    return lr.fit(flat)
+    def run(batches):
+        for batch in batches:
+            sizes = windows.list_sizes(batch.column([*numerical_columns, heartrate_input_column][0]))
+            scores = np.zeros(int(sizes.sum()))
+            for here, features in windows.window_blocks(batch, numerical_columns, heartrate_input_column, window_size):
+                scores[here] = np.asarray(predict(features), np.float64)
+            offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(scores))
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, out])
+
+    return sent.mapInArrow(run, schema)
+
+
+def window_gram(df: DataFrame, numerical_columns: Sequence[str], target_column: str, heartrate_input_column: str | None = None,
+                window_size: int = 10) -> DataFrame:
+    """``i, j, total``: the sums over all windows of the products of their
+    columns -- the flattened features, a 1 and the target (last). A worker
+    reduces a batch of whole sequences to one matrix, and the matrices are
+    summed by a partial aggregation: what is shuffled depends on the number of
+    features only. Points whose target is missing are left out."""
+    names = [*numerical_columns, *([heartrate_input_column] if heartrate_input_column else [])]
+    require_columns(df, [*names, target_column], "window_gram")
+    side = len(names) * window_size + 2
+
+    def run(batches):
+        for batch in batches:
+            y = batch.column(target_column).flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).astype(np.float32)
+            total = np.zeros((side, side))
+            for here, features in windows.window_blocks(batch, numerical_columns, heartrate_input_column, window_size):
+                rows = np.column_stack((features.reshape(len(features), -1), np.ones(len(features)), y[here])).astype(np.float64)
+                rows = rows[~np.isnan(rows[:, -1])]
+                total += rows.T @ rows
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.arange(side), side)), pa.array(np.tile(np.arange(side), side)), pa.array(total.ravel())],
+                names=["i", "j", "part"])
+
+    kept = dict.fromkeys([*names, target_column])
+    return df.select(*kept).mapInArrow(run, "i long, j long, part double").groupBy("i", "j").agg(F.sum("part").alias("total"))
+
+
+def fit_regressor(df: DataFrame, numerical_columns: Sequence[str], target_column: str, heartrate_input_column: str | None = None,
+                  window_size: int = 10, reg_param: float = 0.001) -> DataFrame:
+    """Linear regression on whole windows: ``feature, coefficient``, the feature
+    numbered step by step as in the flattened window and the intercept last. It
+    minimizes the mean squared error plus ``reg_param`` times the squared
+    coefficients (not the intercept) by its normal equations. The summed matrix
+    has as many rows as there are features, whatever the data; it is solved on
+    the driver. Without windows there are no rows."""
+    cells = window_gram(df, numerical_columns, target_column, heartrate_input_column, window_size).collect()
+    schema = "feature long, coefficient double"
+    side = max((c["i"] for c in cells), default=1) + 1
+    gram = np.zeros((side, side))
+    for c in cells:
+        gram[c["i"], c["j"]] = c["total"]
+    n = gram[-2, -2]
+    if not n:
+        return df.sparkSession.createDataFrame([], schema)
+    penalty = np.diag([reg_param] * (side - 2) + [0.0])
+    solved = np.linalg.solve(gram[:-1, :-1] / n + penalty, gram[:-1, -1] / n)
+    return df.sparkSession.createDataFrame([(i, float(v)) for i, v in enumerate(solved)], schema)

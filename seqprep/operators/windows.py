@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,3 +93,38 @@ def predict_inline(df: DataFrame, scorer, numerical_columns: Sequence[str], targ
     staged, steps = _staged_steps(df, numerical_columns, target_column, heartrate_input_column, window_size, keep)
     scored = staged.withColumn(out, F.transform(steps, lambda s: scorer(s["features"])))
     return scored.drop("_y", "_ph", *[f"_p{i}" for i in range(len(numerical_columns))])
+
+
+# Windows that are put together at a time in a Python worker.
+CHUNK = 65_536
+
+
+def window_blocks(batch: pa.RecordBatch, numerical_columns: Sequence[str], heartrate_input_column: str | None,
+                  window_size: int) -> Iterator[tuple[slice, np.ndarray]]:
+    """The windows of all sequences of an Arrow batch, ``[n, window, F]`` 32-bit
+    floats as in ``sliding_windows``, in blocks of ``CHUNK``, and the points of
+    the batch they belong to. Sequences are padded in one array and windows are
+    strided views of it: nothing is exploded. Every column must have the length
+    of the first; NULL sequences count as empty, NULL points as NaN."""
+    w = window_size
+    names = [*numerical_columns, *([heartrate_input_column] if heartrate_input_column else [])]
+    sizes = list_sizes(batch.column(names[0]))
+    pad = np.cumsum(np.full(len(sizes), w))  # w zeros stand before each sequence
+    place = np.arange(int(sizes.sum())) + np.repeat(pad, sizes)
+    views = []
+    for i, name in enumerate(names):
+        column = batch.column(name)
+        if not np.array_equal(list_sizes(column), sizes):
+            raise ValueError(f"sequences of {name} differ in length from those of {names[0]}")
+        padded = np.zeros(int(sizes.sum()) + w * len(sizes), np.float32)
+        padded[place] = column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
+        lag = 1 if heartrate_input_column and i == len(names) - 1 else 0
+        views.append((np.lib.stride_tricks.sliding_window_view(padded, w) if len(padded) >= w else np.zeros((0, w), np.float32), lag))
+    for a in range(0, len(place), CHUNK):
+        at = place[a : a + CHUNK] - w + 1
+        yield slice(a, a + len(at)), np.stack([view[at - lag] for view, lag in views], axis=2)
+
+
+def list_sizes(column: pa.Array) -> np.ndarray:
+    """Elements of each list of an Arrow column; a NULL list has none."""
+    return column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)

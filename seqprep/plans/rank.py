@@ -38,6 +38,12 @@ def null_safe_join(df: DataFrame, side: DataFrame, on: Sequence[str], how: str =
     return df.join(renamed, cond, how).drop(*[f"_side_{c}" for c in on])
 
 
+def part_number(file: Column) -> Column:
+    """Number of a part file from its name or path. Names have five digits up to
+    part 99,999 and more beyond, so they do not sort as numbers do."""
+    return F.regexp_extract(file, r"part-([0-9]+)[^/]*$", 1).cast("long")
+
+
 def ranked_keys(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """Distinct keys with ``_c`` (rows that have the key), ``_rank`` (0-based
     rank of the first of them in its group) and ``_n`` (rows of the group)."""
@@ -46,9 +52,9 @@ def ranked_keys(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequen
     order = [F.col(c).asc_nulls_first() for c in [*pc, *oc]]
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     table = write_scratch_table(keys.repartitionByRange(parts, *order).sortWithinPartitions(*order)).select(
-        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
+        "*", part_number(F.col("_metadata.file_name")).alias("_file"), F.col("_metadata.row_index").alias("_row")
     )
-    # part files are named in range order; one row per file here
+    # part files are numbered in range order; one row per file here
     totals = table.groupBy("_file").agg(F.sum("_c").alias("_t"))
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     base = totals.select("_file", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_base"))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seqprep import oracle_sql as O
-from seqprep.catalog import long_form, r6, register
+from seqprep.catalog import long_form, r6, register, round6
 from seqprep.functions import arrays as A
 from seqprep.functions.missing import canonical
 from seqprep.operators import clean, derive, profile, validate
@@ -188,6 +188,22 @@ def w5_moving_average(spark, sf):
     return long_form(df, ["id"], {"ma5": "ma5"})
 
 
+@register(
+    "w3_running_sum",
+    O.with_(O.EV, O.pt_type())
+    + """SELECT id, pos, round(sum(CASE WHEN pos % 5 = 3 THEN 0.0 ELSE alt END) OVER w, 6) AS sums,
+       (sum(CASE WHEN pos % 5 = 3 THEN 0 ELSE t END) OVER w)::BIGINT AS times
+FROM pt WINDOW w AS (PARTITION BY id ORDER BY pos)""",
+)
+def w3_running_sum(spark, sf):
+    """Running sums of a float and an integer sequence with missing points."""
+    df = fx.seq_type(spark, sf)
+    for out, c, kind in (("sums", "altitude", "double"), ("times", "timestamp", "bigint")):
+        df = df.withColumn(out, A.running_sum(f"transform({c}, (x, i) -> CASE WHEN i % 5 = 3 THEN NULL ELSE x END)", kind))
+    z = df.select("id", F.posexplode(F.arrays_zip("sums", "times")).alias("pos", "v"))
+    return z.select("id", F.col("pos").cast("long").alias("pos"), round6(F.col("v.sums")).alias("sums"), F.col("v.times").alias("times"))
+
+
 @register(
     "w7_mask_runs",
     O.with_(O.EV, O.pt_type())

@@ -135,33 +135,79 @@ def a7_variant_metrics(spark, sf):
 
 
 @register(
-    "m2_fit_regressor",
+    "m1_score_sequences",
+    O.with_(O.EV, O.pt_type())
+    + """SELECT p.id, p.pos, round(sum(CASE WHEN p.pos - 10 + k.k >= 0 THEN q.hr::FLOAT::DOUBLE ELSE 0.0 END) / 10
+         + 0.5 * any_value(p.alt::FLOAT::DOUBLE), 6) AS predicted_heart_rate
+FROM pt p CROSS JOIN (SELECT unnest(range(10)) AS k) k
+LEFT JOIN pt q ON q.id = p.id AND q.pos = p.pos - 10 + k.k GROUP BY p.id, p.pos""",
+)
+def m1_score_sequences(spark, sf):
+    """A Python model on whole sequences: the lagged mean plus half the altitude
+    of the step."""
+    def model(x):
+        return x[:, :, 1].mean(axis=1, dtype="float64") + 0.5 * x[:, -1, 0].astype("float64")
+
+    df = fx.seq_type(spark, sf).select("id", "altitude", "heart_rate")
+    pred = evaluate.score_sequences(df, model, ["altitude"], "heart_rate", window_size=10)
+    z = pred.select("id", F.posexplode("predicted_heart_rate").alias("pos", "v"))
+    return z.select("id", F.col("pos").cast("long").alias("pos"), round6(F.col("v")).alias("predicted_heart_rate"))
+
+
+@register(
+    "m2_lagged_line",
     O.with_(O.EV, O.pt_type())
     + """SELECT round(regr_slope(hr, x), 6) AS slope, round(regr_intercept(hr, x), 6) AS intercept FROM (
   SELECT p.id, p.pos, any_value(p.hr) AS hr, sum(CASE WHEN p.pos - 10 + k.k >= 0 THEN q.hr::FLOAT::DOUBLE ELSE 0.0 END) / 10 AS x
   FROM pt p CROSS JOIN (SELECT unnest(range(10)) AS k) k
   LEFT JOIN pt q ON q.id = p.id AND q.pos = p.pos - 10 + k.k GROUP BY p.id, p.pos)""",
 )
-def m2_fit_regressor(spark, sf):
+def m2_lagged_line(spark, sf):
     """The fitted line of the lagged scorer on raw heart rate."""
     fitted = evaluate.fit_lagged_scorer(fx.seq_type(spark, sf), "heart_rate", "heart_rate")
     return fitted.select(r6("slope").alias("slope"), r6("intercept").alias("intercept"))
 
 
+# Windows of pt in long form, one row per entry of the flattened window: step by
+# step altitude, latitude and the heart rate one step before; feature 30 is the 1.
+_ENTRIES = """x AS (
+  SELECT p.id, p.pos, k.k * 3 + f.f AS feature,
+         CASE WHEN p.pos - 9 + k.k - (f.f = 2)::INT < 0 THEN 0.0
+              WHEN f.f = 0 THEN q.alt::FLOAT::DOUBLE WHEN f.f = 1 THEN q.lat::FLOAT::DOUBLE ELSE q.hr::FLOAT::DOUBLE END AS v
+  FROM pt p CROSS JOIN (SELECT unnest(range(10)) AS k) k CROSS JOIN (SELECT unnest(range(3)) AS f) f
+  LEFT JOIN pt q ON q.id = p.id AND q.pos = p.pos - 9 + k.k - (f.f = 2)::INT
+  UNION ALL SELECT id, pos, 30, 1.0::DOUBLE FROM pt
+  UNION ALL SELECT id, pos, 31, hr::FLOAT::DOUBLE FROM pt),
+gram AS (SELECT a.feature AS i, b.feature AS j, sum(a.v * b.v) AS total FROM x a JOIN x b USING (id, pos) GROUP BY i, j)"""
+
+
 @register(
-    "m2_regressor_gradient",
-    "SELECT i AS feature, 0.0::DOUBLE AS gradient FROM (SELECT unnest(generate_series(0, 20)) AS i)",
+    "m2_window_gram",
+    O.with_(O.EV, O.pt_type(), _ENTRIES) + "SELECT i::BIGINT AS i, j::BIGINT AS j, round(total / count(*) OVER (), 2) AS total FROM gram",
 )
-def m2_regressor_gradient(spark, sf):
-    """Linear model on whole windows: the gradient of its squared loss and L2
-    term at the solution, per coefficient and the intercept, is zero."""
-    w = windows.sliding_windows(fx.seq_type(spark, sf), ["altitude"], "heart_rate", heartrate_input_column="heart_rate", window_size=10)
-    model, reg = evaluate.fit_regressor(w, reg_param=0.0), 0.0
-    x = F.flatten("features").cast("array<double>")
-    coef = F.array(*[F.lit(float(v)) for v in model.coefficients])
-    rows = w.select(x.alias("x"), F.col("target").cast("double").alias("y"))
-    dot = F.aggregate(F.zip_with("x", coef, lambda a, b: a * b), F.lit(float(model.intercept)), lambda a, v: a + v)
-    each = rows.withColumn("e", dot - F.col("y")).select(
-        "e", F.posexplode(F.concat("x", F.array(F.lit(1.0)))).alias("feature", "v"))
-    grad = each.groupBy("feature").agg((F.avg(F.col("e") * F.col("v")) / F.sqrt(F.avg(F.col("v") * F.col("v")))).alias("g"))
-    return grad.select(F.col("feature").cast("long").alias("feature"), (F.rint(F.col("g") * 1e6) / 1e6 + 0.0).alias("gradient"))
+def m2_window_gram(spark, sf):
+    """Sums of products over all windows, by the number of entries."""
+    gram = evaluate.window_gram(fx.seq_type(spark, sf), ["altitude", "latitude"], "heart_rate", "heart_rate")
+    return gram.select("i", "j", F.round(F.col("total") / 32**2, 2).alias("total"))
+
+
+@register(
+    "m2_fit_regressor",
+    "WITH RECURSIVE " + O.with_(O.EV, O.pt_type(), _ENTRIES)[5:]
+    + """, cells AS (
+  SELECT i, j, total / (SELECT total FROM gram WHERE i = 30 AND j = 30) + CASE WHEN i = j AND i < 30 THEN 0.001::DOUBLE ELSE 0.0 END AS v
+  FROM gram WHERE i <= 30),
+lines AS (SELECT i, list(v ORDER BY j) AS line FROM cells GROUP BY i),
+solved AS (
+  SELECT 1 AS step, list(line ORDER BY i) AS m FROM lines
+  UNION ALL
+  SELECT step + 1, list_transform(m, lambda line, r: CASE WHEN r = step THEN list_transform(line, lambda v: v / m[step][step])
+    ELSE list_transform(line, lambda v, c: v - line[step] * m[step][c] / m[step][step]) END)
+  FROM solved WHERE step <= 31)
+SELECT (r - 1)::BIGINT AS feature, round(m[r][32], 5) AS coefficient
+FROM (SELECT m, unnest(generate_series(1, 31)) AS r FROM solved WHERE step = 32)""",
+)
+def m2_fit_regressor(spark, sf):
+    """All coefficients of the linear model on whole windows, at its L2 of 0.001."""
+    fitted = evaluate.fit_regressor(fx.seq_type(spark, sf), ["altitude", "latitude"], "heart_rate", "heart_rate", reg_param=0.001)
+    return fitted.select("feature", F.round("coefficient", 5).alias("coefficient"))

@@ -179,6 +179,42 @@ def test_pandas_scorer_matches_expression_scorer(spark):
     assert np.allclose(b[1], [0.0, 20.0, (60.0 + 62.0) / 3, (60.0 + 62.0 + 64.0) / 3])
 
 
+def test_a_model_on_whole_sequences_needs_no_shuffle(spark):
+    from seqprep.operators import evaluate
+
+    rows = [(1, [1.0, 2.0, 3.0, 4.0], [60.0, 62.0, 64.0, 66.0]), (2, [5.0], [70.0]), (3, [], []), (4, None, None)]
+    df = spark.createDataFrame(rows, "id long, x array<double>, hr array<double>")
+    scored = evaluate.score_sequences(df, lambda f: f[:, :, -1].mean(axis=1), ["x"], "hr", window_size=3)
+    assert "Exchange" not in scored._jdf.queryExecution().executedPlan().toString()
+    got = {r["id"]: r["predicted_heart_rate"] for r in scored.collect()}
+    assert np.allclose(got[1], [0.0, 20.0, 122 / 3, 62.0]) and got[2] == [0.0] and got[3] == got[4] == []
+    with pytest.raises(Exception, match="differ in length"):
+        evaluate.score_sequences(df.withColumn("x", F.slice("x", 1, 1)), lambda f: f[:, 0, 0], ["hr"], "x", window_size=3).collect()
+
+
+def test_regressor_solves_the_normal_equations(spark):
+    from seqprep.operators import evaluate
+
+    rng = np.random.default_rng(2)
+    rows = [(i, *[[float(v) for v in rng.normal(0, 1, n)] for _ in range(2)]) for i, n in enumerate(rng.integers(1, 40, 30))]
+    df = spark.createDataFrame(rows, "id long, x array<double>, hr array<double>").repartition(3)
+    got = {r["feature"]: r["coefficient"] for r in evaluate.fit_regressor(df, ["x"], "hr", "hr", window_size=4, reg_param=0.01).collect()}
+    w = windows.sliding_windows(df, ["x"], "hr", heartrate_input_column="hr", window_size=4).toPandas()
+    X = np.array([np.append(np.ravel([list(s) for s in f]), 1.0) for f in w["features"]])
+    want = np.linalg.solve(X.T @ X / len(X) + np.diag([0.01] * 8 + [0.0]), X.T @ w["target"].to_numpy(float) / len(X))
+    assert np.allclose([got[i] for i in range(9)], want, atol=1e-9)
+    assert evaluate.fit_regressor(df.where("false"), ["x"], "hr").count() == 0
+
+
+def test_attach_signal_to_unsorted_and_repeated_times(spark):
+    left = spark.createDataFrame([(1, [5, 3, 3, 9, None]), (2, []), (3, None), (4, [1])], "id long, timestamp array<long>")
+    raw = spark.createDataFrame([(1, [9, 3, 5, 3], [90.0, 30.0, 50.0, 31.0]), (2, [1], [1.0])], "id long, timestamp array<long>, altitude array<double>")
+    out = derive.attach_signal(left, raw, on_missing="null")
+    assert {r["id"]: r["altitude"] for r in out.collect()} == {1: [50.0, 31.0, 31.0, 90.0, None], 2: [], 3: None, 4: [None]}
+    with pytest.raises(Exception, match="no raw signal for id 4 at timestamp 1"):
+        derive.attach_signal(left.where("id = 4"), raw).collect()
+
+
 def test_package_usage_example_runs(spark):
     from seqprep.operators import corrupt, evaluate, validate
     from seqprep.sources import fixtures as fx

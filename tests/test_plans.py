@@ -1,5 +1,7 @@
 """Distributed primitives against brute force on small random inputs."""
 
+import struct
+
 import numpy as np
 import pytest
 from pyspark.sql import Window
@@ -7,8 +9,8 @@ from pyspark.sql import functions as F
 
 from seqprep.operators import clean, inject
 from seqprep.operators.split import split_cuts, temporal_split
-from seqprep.plans.quantiles import exact_quantiles
-from seqprep.plans.rank import rank_bands, ranked_keys
+from seqprep.plans.quantiles import exact_quantiles, ordered_key
+from seqprep.plans.rank import part_number, rank_bands, ranked_keys
 from seqprep.plans.state import materialize
 
 
@@ -75,9 +77,25 @@ def test_state_is_measured_by_its_content(spark):
     assert long.side(1000) is long.df
 
 
-@pytest.mark.parametrize("buckets", [2, 7, 65_536])
-def test_exact_quantiles_match_numpy(spark, buckets):
-    rng = np.random.default_rng(buckets)
+def test_ordered_key_is_the_bits_of_a_double(spark):
+    rng = np.random.default_rng(5)
+    edges = [5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, 1 / 3, 2.0**1000, 2.0**-900]
+    values = edges + [2.0**k for k in range(-1074, 1024)] + list(rng.standard_normal(500) * 10.0 ** rng.integers(-300, 300, 500))
+    values += [np.nextafter(x, 0) for x in values] + [-x for x in values] + [0.0, -0.0]
+    df = spark.createDataFrame([(float(x),) for x in values], "x double")
+    for r in df.select("x", ordered_key(F.col("x")).alias("k")).collect():
+        bits = struct.unpack(">q", struct.pack(">d", abs(r["x"])))[0]
+        assert r["k"] == (-bits if r["x"] < 0 else bits)
+
+
+def test_quantiles_of_geometric_values(spark):
+    values = [2.0**k for k in range(-1000, 1001)]
+    got = exact_quantiles(spark.createDataFrame([(x,) for x in values], "x double"), [], "x", [0.005, 0.5, 0.995]).first()
+    assert np.allclose([got["q0"], got["q1"], got["q2"]], np.quantile(values, [0.005, 0.5, 0.995]), rtol=1e-14, atol=0)
+
+
+def test_exact_quantiles_match_numpy(spark):
+    rng = np.random.default_rng(7)
     data = {
         "a": rng.normal(0, 1, 800),
         "b": np.concatenate([np.full(600, 7.0), rng.normal(7, 2, 300)]),  # a hot value
@@ -89,7 +107,7 @@ def test_exact_quantiles_match_numpy(spark, buckets):
     rows = [(k, float(x)) for k, v in data.items() for x in v] + [("a", None), ("z", None)]
     df = spark.createDataFrame(rows, "g string, x double")
     probs = [0.005, 0.5, 0.995, 0.0, 1.0]
-    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "x", probs, buckets=buckets).collect()}
+    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "x", probs).collect()}
     assert set(got) == set(data)
     for k, v in data.items():
         if k == "e":
@@ -99,7 +117,7 @@ def test_exact_quantiles_match_numpy(spark, buckets):
         for i, q in enumerate(want):
             assert abs(got[k][f"q{i}"] - q) <= 1e-12 * max(1.0, abs(q)), (k, probs[i])
         assert got[k]["n"] == v.size
-    whole = exact_quantiles(df, [], "x", [0.5], buckets=buckets).collect()
+    whole = exact_quantiles(df, [], "x", [0.5]).collect()
     assert len(whole) == 1
 
 
@@ -111,3 +129,11 @@ def test_bounds_of_a_null_group_are_its_own(spark):
     assert bounds[None][2] == 24.5 and bounds["a"][2] == 74.5 and bounds[None][:2] == (0.0, 49.0)
     out = clean.clean(df, clean.fit_bounds(df, cfg, ["g"]), cfg, ["g"])
     assert out.count() == 100 and out.where("id = 0").first()["y"] == [0.0, 0.0]
+
+
+def test_part_files_are_ordered_by_number(spark):
+    names = [f"part-{n:05d}-4d2c8a9e-0c00.c000.snappy.parquet" for n in (100_001, 99_999, 7, 100_000)]
+    df = spark.createDataFrame([(n,) for n in names], "f string").select(part_number(F.col("f")).alias("n"))
+    assert [r["n"] for r in df.collect()] == [100_001, 99_999, 7, 100_000]
+    paths = spark.createDataFrame([("file:/a/part-7/part-100000-x.parquet",)], "f string")
+    assert paths.select(part_number(F.col("f")).alias("n")).first()["n"] == 100_000
