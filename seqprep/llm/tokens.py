@@ -4,7 +4,7 @@ Documents are range-partitioned and sorted by id, encoded, and written as
 ``doc_id, n_tokens, ids`` with dictionary-coded ids (bit-packed indexes),
 delta-coded document columns, bounded row groups and pages with page indexes,
 so a reader can fetch metadata alone or the ids of a few documents. File
-names follow the order, so the global place of each document's ids is the
+numbers follow the order, so the global place of each document's ids is the
 prefix sum over files plus the running sum inside its file.
 
 Defined results: a null or empty text has only the end id; null ids come
@@ -17,13 +17,12 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from seqprep.llm.common import bounded_batches, partitions_for
+from seqprep.plans.rank import part_number
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
@@ -67,30 +66,42 @@ def write_token_files(
     coded.write.options(**LAYOUT).parquet(path)
 
 
-@F.pandas_udf(T.LongType())  # a type, not its name: names need a session
-def crc32_of(ids: pd.Series) -> pd.Series:
-    """Unsigned crc32 of the ids as little-endian unsigned 32-bit integers."""
-    return pd.Series([zlib.crc32(np.asarray(x).astype("<u4").tobytes()) for x in ids], dtype="int64")
+def _checksums(batches):
+    """Length and unsigned crc32 of each document's ids, as little-endian unsigned
+    32-bit integers, over slices of the batch's flat buffer."""
+    for batch in batches:
+        lists = batch.column(1)
+        bounds = lists.offsets.to_numpy().astype(np.int64)
+        flat = memoryview(np.ascontiguousarray(lists.values.to_numpy(), "<i4")).cast("B")
+        crc = [zlib.crc32(flat[4 * a : 4 * b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(np.diff(bounds)), pa.array(crc, pa.int64()), batch.column(2), batch.column(3)],
+            names=["doc_id", "n_tokens", "ids_crc32", "_file", "_row"])
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id, n_tokens, ids`` and each document's place ``_file, _row``."""
+    """``doc_id, n_tokens, ids`` and each document's place: ``_file``, the number
+    of its file, and ``_row``."""
     return spark.read.parquet(path).select(
-        "doc_id", "n_tokens", "ids", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
+        "doc_id", "n_tokens", "ids", part_number(F.col("_metadata.file_path")).alias("_file"), F.col("_metadata.row_index").alias("_row")
     )
 
 
-def token_index(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` from the files: ``start`` counts
-    the ids of all documents before it. Only lengths are shuffled; the prefix
-    over files has one row per file."""
-    rows = read_token_files(spark, path).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), crc32_of("ids").alias("ids_crc32"), "_file", "_row"
-    )
-    totals = read_token_files(spark, path).groupBy("_file").agg(F.sum(F.col("n_tokens").cast("long")).alias("total"))
+def with_starts(rows: DataFrame, totals: DataFrame) -> DataFrame:
+    """Add ``start``, the ids of all documents before a row's, to rows with
+    ``_file, _row, n_tokens``; ``totals`` has the ids of each file, which are
+    ordered by number. The prefix over files has one row per file."""
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("_file", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
     inside = Window.partitionBy("_file").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.join(bases, "_file").select(
-        "doc_id", (F.col("base") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).alias("start"), "n_tokens", "ids_crc32"
-    )
+    return rows.join(bases, "_file").withColumn("start", F.col("base") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).drop("base")
+
+
+def token_index(spark: SparkSession, path: str) -> DataFrame:
+    """``doc_id, start, n_tokens, ids_crc32`` from the files: ``start`` counts
+    the ids of all documents before it. Only lengths and checksums are shuffled."""
+    bounded_batches(spark)
+    read = read_token_files(spark, path)
+    rows = read.select("doc_id", "ids", "_file", "_row").mapInArrow(_checksums, "doc_id long, n_tokens long, ids_crc32 long, _file long, _row long")
+    totals = read.groupBy("_file").agg(F.sum(F.col("n_tokens").cast("long")).alias("total"))
+    return with_starts(rows, totals).select("doc_id", "start", "n_tokens", "ids_crc32")

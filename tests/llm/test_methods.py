@@ -374,7 +374,19 @@ def test_weights_prefer_what_explains_the_counts():
 
 
 def test_crc_of_ids_is_the_plain_one(spark):
-    from seqprep.llm.tokens import crc32_of
+    from seqprep.llm.tokens import _checksums
 
-    got = spark.createDataFrame([([1, 70000],), ([],)], "ids array<int>").select(crc32_of("ids")).collect()
-    assert [r[0] for r in got] == [zlib.crc32(np.array(x, "<u4").tobytes()) for x in ([1, 70000], [])]
+    ids = [[1, 70000], [], list(range(500))]
+    rows = spark.createDataFrame([(i, x, 0, i) for i, x in enumerate(ids)], "doc_id long, ids array<int>, _file long, _row long")
+    got = rows.coalesce(1).mapInArrow(_checksums, "doc_id long, n_tokens long, ids_crc32 long, _file long, _row long").orderBy("doc_id").collect()
+    assert [r["ids_crc32"] for r in got] == [zlib.crc32(np.array(x, "<u4").tobytes()) for x in ids]
+    assert [r["n_tokens"] for r in got] == [2, 0, 500]
+
+
+def test_starts_follow_file_numbers_beyond_99999(spark):
+    from seqprep.llm.tokens import with_starts
+
+    rows = spark.createDataFrame([(f, r, 10) for f in (99_999, 100_000, 100_001) for r in (0, 1)], "_file long, _row long, n_tokens long")
+    totals = spark.createDataFrame([(99_999, 20), (100_000, 20), (100_001, 20)], "_file long, total long")
+    got = {(r["_file"], r["_row"]): r["start"] for r in with_starts(rows, totals).collect()}
+    assert [got[k] for k in sorted(got)] == [0, 10, 20, 30, 40, 50]
