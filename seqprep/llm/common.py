@@ -100,8 +100,8 @@ def partitions_for(df: DataFrame, bytes_each: int = 64 << 20) -> int:
     return least if size >= 1 << 60 else max(least, -(-size // bytes_each))
 
 
-def bounded_batches(spark) -> None:
+def bounded_batches(spark, rows: int = 2000, size: int = 32 << 20) -> None:
     """Bound Arrow batches by bytes too, so a run of long texts cannot fill a
     Python worker (a session setting that changes no result)."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))

@@ -100,7 +100,8 @@ def with_starts(rows: DataFrame, totals: DataFrame) -> DataFrame:
 def token_index(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` from the files: ``start`` counts
     the ids of all documents before it. Only lengths and checksums are shuffled."""
-    bounded_batches(spark)
+    # ids are only read through here, so small batches cost little and hold little
+    bounded_batches(spark, rows=500, size=8 << 20)
     read = read_token_files(spark, path)
     rows = read.select("doc_id", "ids", "_file", "_row").mapInArrow(_checksums, "doc_id long, n_tokens long, ids_crc32 long, _file long, _row long")
     totals = read.groupBy("_file").agg(F.sum(F.col("n_tokens").cast("long")).alias("total"))
