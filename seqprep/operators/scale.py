@@ -4,15 +4,23 @@ Fit explodes the points inside the map stage and aggregates with Spark's
 mergeable mean / central-moment buffers, so every task pre-aggregates before
 the shuffle: a user holding a third of all points costs one small partial
 per task, not one huge group. The state is one row per user.
+
+State that grows with new data is kept as moments (count, mean, summed squared
+deviations): ``fit_user_moments`` of a new batch, ``merge_user_moments`` with
+the stored ones, ``user_stats`` of the result -- what a fit on everything gives.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seqprep.functions.arrays import let
 from seqprep.plans.rank import null_safe_join
-from seqprep.plans.state import State, as_state
+from seqprep.plans.state import State, as_state, materialize
+from seqprep.sources.io import write_scratch_table
 from seqprep.sources.schema import require_columns
 
 STD_EPS = 1e-6
@@ -52,6 +60,61 @@ def fit_user_stats(df: DataFrame, columns: list[str], user_col: str = "userId")
     return each.groupBy(user_col).agg(*aggs)
 
 
+def _row_moments(c: str) -> Column:
+    """``n, mean, m2`` (summed squared deviations) of a row's points of ``c``;
+    NULL points do not count, without points the mean is NULL."""
+    points = F.filter(F.transform(F.col(c), lambda x: x.cast("double")), lambda x: x.isNotNull())
+
+    def around(x, mean):
+        m2 = F.aggregate(x, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean))
+        return F.struct(F.size(x).cast("long").alias("n"), mean.alias("mean"), m2.alias("m2"))
+
+    def moments(x):
+        total = F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
+        return let(F.when(F.size(x) > 0, total / F.size(x)), lambda mean: around(x, mean))
+
+    return let(F.coalesce(points, F.array().cast("array<double>")), moments)
+
+
+def fit_user_moments(df: DataFrame, columns: list[str], user_col: str = "userId") -> DataFrame:
+    """One row per user: ``<col>_n``, ``<col>_mean``, ``<col>_m2`` over all points
+    of the user's sequences. Points stay in their row: each row is reduced to its
+    own moments first, and these are merged per user."""
+    require_columns(df, [user_col, *columns], "fit_user_moments")
+    rows = df.select(user_col, *[_row_moments(c).alias(c) for c in columns])
+    flat = [F.col(f"{c}.{k}").alias(f"{c}_{k}") for c in columns for k in ("n", "mean", "m2")]
+    return merge_user_moments(write_scratch_table(rows.select(user_col, *flat)), columns=columns, user_col=user_col)
+
+
+def merge_user_moments(*parts: DataFrame, columns: list[str], user_col: str = "userId") -> DataFrame:
+    """The moments of all parts together, one row per user. The common mean is
+    found first, then every part adds its deviations and those of its mean from
+    the common one: no difference of large sums. A NULL user is a user; a part
+    without points of a column adds nothing to it."""
+    rows = reduce(DataFrame.unionByName, parts)
+    counts = [F.sum(f"{c}_n").alias(f"_{c}_n") for c in columns]
+    means = [(F.sum(F.col(f"{c}_n") * F.col(f"{c}_mean")) / F.nullif(F.sum(f"{c}_n"), F.lit(0))).alias(f"_{c}_mean") for c in columns]
+    common = materialize(rows.groupBy(user_col).agg(*counts, *means))
+    joined = null_safe_join(rows, common.side(), [user_col])
+    out = []
+    for c in columns:
+        off = F.col(f"{c}_mean") - F.col(f"_{c}_mean")
+        out += [
+            F.first(f"_{c}_n").alias(f"{c}_n"), F.first(f"_{c}_mean").alias(f"{c}_mean"),
+            F.sum(F.when(F.col(f"{c}_n") > 0, F.col(f"{c}_m2") + F.col(f"{c}_n") * off * off).otherwise(0.0)).alias(f"{c}_m2"),
+        ]
+    return joined.groupBy(user_col).agg(*out)
+
+
+def user_stats(moments: DataFrame, columns: list[str], user_col: str = "userId") -> DataFrame:
+    """Moments as the state of ``fit_user_stats``: ``<col>_mean``, ``<col>_std``."""
+    out = []
+    for c in columns:
+        std = F.when(F.col(f"{c}_n") > 0, F.sqrt(F.col(f"{c}_m2") / F.col(f"{c}_n")) + STD_EPS)
+        out += [F.col(f"{c}_mean"), std.alias(f"{c}_std")]
+    return moments.select(user_col, *out)
+
+
 def apply_user_stats(
     df: DataFrame,
     stats,

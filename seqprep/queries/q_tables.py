@@ -8,6 +8,7 @@ from seqprep import oracle_sql as O
 from seqprep.catalog import long_form, r6, register
 from seqprep.operators import derive, encode, scale, split
 from seqprep.sources import fixtures as fx
+from seqprep.sources import io
 from seqprep.sources.io import read_sequences, scratch_path, write_scratch_table, write_sequences
 from seqprep.sources.schema import STANDARDIZED_COLUMNS
 
@@ -118,6 +119,21 @@ def a1_user_stats(spark, sf):
     return st.select("userId", *[r6(c).alias(c) for c in st.columns if c != "userId"])
 
 
+@register("a1_user_stats_merged", O.with_(O.EV, O.pt_type(), O.derived()) + _stats_sql())
+def a1_user_stats_merged(spark, sf):
+    """The moments of the sequences that begin in the first half of the time
+    span, stored, then merged with those of the later ones and stored again."""
+    df = write_scratch_table(_prepared(spark, sf)).withColumn("begins", F.get("timestamp", 0))
+    half = df.agg((F.min("begins") + F.max("begins")) / 2).scalar()
+    path = io.scratch_path(spark, "moments")
+    cols = STANDARDIZED_COLUMNS
+    io.write_state(scale.fit_user_moments(df.where(F.col("begins") <= half), cols), path)
+    later = scale.fit_user_moments(df.where(F.col("begins") > half), cols)
+    io.write_state(scale.merge_user_moments(io.read_state(spark, path), later, columns=cols), path)
+    st = scale.user_stats(io.read_state(spark, path), cols)
+    return st.select("userId", *[r6(c).alias(c) for c in st.columns if c != "userId"])
+
+
 def _standardized_sql(stats_src: str, points_src: str, neutral: bool) -> str:
     sel = []
     for c, v in _STAT_SRC.items():

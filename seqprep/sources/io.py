@@ -85,12 +85,36 @@ def read_signal_json(spark: SparkSession, path: str, schema: T.StructType = SIGN
 
 
 def write_state(state: DataFrame, path: str) -> None:
-    """Persist fitted state (scaler stats, encoder map, clip bounds) as Parquet."""
-    state.write.mode("overwrite").parquet(path)
+    """Store fitted state (scaler moments, encoder map, clip bounds) as a new
+    version: a whole table in a folder of its own, then one line of the manifest
+    table that names it. The line is committed last, so a reader sees the whole
+    version before or the whole new one, and a job that dies leaves the old one
+    in force. Earlier versions stay until the user removes them. Of writers at
+    one time the later by name wins."""
+    spark = state.sparkSession
+    folder = f"version-{uuid.uuid4().hex}"
+    state.write.parquet(f"{path}/{folder}")
+    last = _current_version(spark, path)
+    line = spark.range(1).select(F.lit((last[0] if last else 0) + 1).cast("long").alias("number"), F.lit(folder).alias("folder"))
+    line.write.mode("append").parquet(f"{path}/manifest")
+
+
+def _current_version(spark: SparkSession, path: str):
+    """``number, folder`` of the last version in the manifest, None without one."""
+    try:
+        lines = spark.read.schema("number long, folder string").parquet(f"{path}/manifest")
+    except AnalysisException as ex:
+        if "PATH_NOT_FOUND" in str(ex):
+            return None
+        raise
+    return lines.agg(F.max(F.struct("number", "folder")).alias("last")).first()["last"]
 
 
 def read_state(spark: SparkSession, path: str, stage: str = "fit") -> DataFrame:
-    return _require(spark, path, stage, lambda: spark.read.parquet(path))
+    """The current version of a stored state. It goes on reading that version
+    when a newer one is stored meanwhile."""
+    last = _current_version(spark, path)
+    return _require(spark, path, stage, lambda: spark.read.parquet(f"{path}/{last['folder'] if last else 'manifest'}"))
 
 
 def scratch_path(spark: SparkSession, kind: str) -> str:
