@@ -116,21 +116,25 @@ def predict_lagged(df: DataFrame, scorer: DataFrame, input_column: str, window_s
 
 
 def score_sequences(df: DataFrame, predict: Callable, numerical_columns: Sequence[str], heartrate_input_column: str | None = None,
-                    window_size: int = 10, out: str = "predicted_heart_rate") -> DataFrame:
+                    window_size: int = 10, out: str = "predicted_heart_rate", static_columns: Sequence[str] = ()) -> DataFrame:
     """Add ``out``: the predictions of a Python model for every time step of each
     row's sequences. ``predict`` takes ``[n, window, F]`` 32-bit floats (as
-    ``sliding_windows`` has them) and gives ``n`` numbers. Whole sequences go to
+    ``sliding_windows`` has them) and gives ``n`` numbers; with ``static_columns``
+    it also takes the row's values of these, ``[n, S]``. Whole sequences go to
     the worker and come back, so nothing is exploded, shuffled or regrouped."""
-    require_columns(df, [*numerical_columns, *([heartrate_input_column] if heartrate_input_column else [])], "score_sequences")
+    names = [*numerical_columns, *([heartrate_input_column] if heartrate_input_column else [])]
+    require_columns(df, [*names, *static_columns], "score_sequences")
     schema = T.StructType([*[f for f in df.schema.fields if f.name != out], T.StructField(out, T.ArrayType(T.DoubleType()))])
     sent = df.select(*[f.name for f in schema.fields if f.name in df.columns and f.name != out])
 
     def run(batches):
         for batch in batches:
-            sizes = windows.list_sizes(batch.column([*numerical_columns, heartrate_input_column][0]))
+            sizes = windows.list_sizes(batch.column(names[0]))
+            row_of, static = np.repeat(np.arange(len(sizes)), sizes), windows.static_values(batch, static_columns)
             scores = np.zeros(int(sizes.sum()))
             for here, features in windows.window_blocks(batch, numerical_columns, heartrate_input_column, window_size):
-                scores[here] = np.asarray(predict(features), np.float64)
+                given = (features, static[row_of[here]]) if static_columns else (features,)
+                scores[here] = np.asarray(predict(*given), np.float64)
             offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(scores))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, out])
@@ -139,41 +143,46 @@ def score_sequences(df: DataFrame, predict: Callable, numerical_columns: Sequenc
 
 
 def window_gram(df: DataFrame, numerical_columns: Sequence[str], target_column: str, heartrate_input_column: str | None = None,
-                window_size: int = 10) -> DataFrame:
+                window_size: int = 10, static_columns: Sequence[str] = ()) -> DataFrame:
     """``i, j, total``: the sums over all windows of the products of their
-    columns -- the flattened features, a 1 and the target (last). A worker
+    columns -- the flattened features, the row's static values, a 1 and the
+    target (last). A worker
     reduces a batch of whole sequences to one matrix, and the matrices are
     summed by a partial aggregation: what is shuffled depends on the number of
     features only. Points whose target is missing are left out."""
     names = [*numerical_columns, *([heartrate_input_column] if heartrate_input_column else [])]
-    require_columns(df, [*names, target_column], "window_gram")
-    side = len(names) * window_size + 2
+    require_columns(df, [*names, target_column, *static_columns], "window_gram")
+    side = len(names) * window_size + len(static_columns) + 2
 
     def run(batches):
         for batch in batches:
             y = batch.column(target_column).flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).astype(np.float32)
+            sizes = windows.list_sizes(batch.column(names[0]))
+            row_of, static = np.repeat(np.arange(len(sizes)), sizes), windows.static_values(batch, static_columns)
             total = np.zeros((side, side))
             for here, features in windows.window_blocks(batch, numerical_columns, heartrate_input_column, window_size):
-                rows = np.column_stack((features.reshape(len(features), -1), np.ones(len(features)), y[here])).astype(np.float64)
+                flat = features.reshape(len(features), -1)
+                rows = np.column_stack((flat, static[row_of[here]], np.ones(len(flat)), y[here])).astype(np.float64)
                 rows = rows[~np.isnan(rows[:, -1])]
                 total += rows.T @ rows
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(np.arange(side), side)), pa.array(np.tile(np.arange(side), side)), pa.array(total.ravel())],
                 names=["i", "j", "part"])
 
-    kept = dict.fromkeys([*names, target_column])
+    kept = dict.fromkeys([*names, target_column, *static_columns])
     return df.select(*kept).mapInArrow(run, "i long, j long, part double").groupBy("i", "j").agg(F.sum("part").alias("total"))
 
 
 def fit_regressor(df: DataFrame, numerical_columns: Sequence[str], target_column: str, heartrate_input_column: str | None = None,
-                  window_size: int = 10, reg_param: float = 0.001) -> DataFrame:
+                  window_size: int = 10, reg_param: float = 0.001, static_columns: Sequence[str] = ()) -> DataFrame:
     """Linear regression on whole windows: ``feature, coefficient``, the feature
-    numbered step by step as in the flattened window and the intercept last. It
+    numbered step by step as in the flattened window, then the static columns, the
+    intercept last. It
     minimizes the mean squared error plus ``reg_param`` times the squared
     coefficients (not the intercept) by its normal equations. The summed matrix
     has as many rows as there are features, whatever the data; it is solved on
     the driver. Without windows there are no rows."""
-    cells = window_gram(df, numerical_columns, target_column, heartrate_input_column, window_size).collect()
+    cells = window_gram(df, numerical_columns, target_column, heartrate_input_column, window_size, static_columns).collect()
     schema = "feature long, coefficient double"
     side = max((c["i"] for c in cells), default=1) + 1
     gram = np.zeros((side, side))
@@ -185,3 +194,19 @@ def fit_regressor(df: DataFrame, numerical_columns: Sequence[str], target_column
     penalty = np.diag([reg_param] * (side - 2) + [0.0])
     solved = np.linalg.solve(gram[:-1, :-1] / n + penalty, gram[:-1, -1] / n)
     return df.sparkSession.createDataFrame([(i, float(v)) for i, v in enumerate(solved)], schema)
+
+
+def predict_regressor(df: DataFrame, coefficients: DataFrame, numerical_columns: Sequence[str], heartrate_input_column: str | None = None,
+                      window_size: int = 10, static_columns: Sequence[str] = (), out: str = "predicted_heart_rate") -> DataFrame:
+    """Score every time step with the coefficients of ``fit_regressor`` (as many
+    as features, sent with the tasks). Without coefficients the scores are NaN."""
+    fitted = {r["feature"]: r["coefficient"] for r in coefficients.collect()}
+    static = len(static_columns)
+    size = (len(numerical_columns) + bool(heartrate_input_column)) * window_size
+    weights = np.array([fitted.get(i, np.nan) for i in range(size + static + 1)])
+
+    def line(features, *values):
+        score = features.reshape(len(features), -1).astype(np.float64) @ weights[:size] + weights[-1]
+        return score + values[0] @ weights[size:-1] if static else score
+
+    return score_sequences(df, line, numerical_columns, heartrate_input_column, window_size, out, static_columns)

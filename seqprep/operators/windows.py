@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqprep.functions.arrays import let
+from seqprep.plans.rank import null_safe_join
+from seqprep.plans.state import materialize
 from seqprep.sources.schema import require_columns
 
 
@@ -95,6 +97,17 @@ def predict_inline(df: DataFrame, scorer, numerical_columns: Sequence[str], targ
     return scored.drop("_y", "_ph", *[f"_p{i}" for i in range(len(numerical_columns))])
 
 
+def attach_static(df: DataFrame, records: DataFrame, columns: Sequence[str], order: Sequence[str], id_col: str = "id") -> DataFrame:
+    """Add the static ``columns`` of each id's last record by ``order`` (of records
+    that tie the greatest by the columns' values); NULL where an id has no record. A
+    max with map-side combine finds the last record; the result joins as a
+    broadcast only where its measured size allows it."""
+    require_columns(records, [id_col, *columns, *order], "attach_static")
+    key = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], *columns)
+    last = records.groupBy(id_col).agg(F.max(key).alias("_last")).select(id_col, *[F.col(f"_last.{c}").alias(c) for c in columns])
+    return null_safe_join(df.drop(*columns), materialize(last).side(), [id_col], how="left")
+
+
 # Windows that are put together at a time in a Python worker.
 CHUNK = 65_536
 
@@ -125,6 +138,15 @@ def window_blocks(batch: pa.RecordBatch, numerical_columns: Sequence[str], heart
         yield slice(a, a + len(at)), np.stack([view[at - lag] for view, lag in views], axis=2)
 
 
+def static_values(batch: pa.RecordBatch, static_columns: Sequence[str]) -> np.ndarray:
+    """Numbers of each row that hold for all its windows, ``[rows, S]`` doubles;
+    NULL is NaN."""
+    out = np.empty((batch.num_rows, len(static_columns)))
+    for i, name in enumerate(static_columns):
+        out[:, i] = batch.column(name).cast(pa.float64()).to_numpy(zero_copy_only=False)
+    return out
+
+
 def list_sizes(column: pa.Array) -> np.ndarray:
     """Elements of each list of an Arrow column; a NULL list has none."""
     return column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -149,6 +149,29 @@ def j5_static_windows(spark, sf):
     return w.where(F.size("features") == 10).select("id", "t", *ENC_COLS, r6(F.col("target").cast("double")).alias("target"))
 
 
+@register(
+    "j5_static_last_record",
+    O.with_(O.EV, O.pt_day(), f"""lst AS (SELECT user_id * 100 + d AS id, arg_max({O.SPORT_CASE.format(x='event_type')}, (t, e)) AS sport,
+       arg_max(e, (t, e)) AS record FROM ev GROUP BY 1)""")
+    + """SELECT p.id, p.pos AS t, lst.sport, lst.record, round(p.hr::FLOAT::DOUBLE, 6) AS target,
+       round(sum(CASE WHEN p.pos - 9 + k.k >= 0 THEN (k.k + 1) * q.alt::FLOAT::DOUBLE ELSE 0.0 END), 4) AS altitudes
+FROM pt p CROSS JOIN (SELECT unnest(range(10)) AS k) k JOIN lst ON lst.id = p.id
+LEFT JOIN pt q ON q.id = p.id AND q.pos = p.pos - 9 + k.k GROUP BY p.id, p.pos, p.hr, lst.sport, lst.record""",
+)
+def j5_static_last_record(spark, sf):
+    """One record per event; the last of a day gives the static columns of all
+    windows of the day."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    sport = F.expr(O.SPORT_CASE.format(x="event_type"))
+    records = events.select(
+        (F.col("user_id") * 100 + F.dayofmonth("ts")).cast("long").alias("id"), sport.alias("sport"), F.col("event_id").alias("record"),
+        F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).alias("second"))
+    days = windows.attach_static(fx.seq_day(spark, sf), records, ["sport", "record"], ["second", "record"])
+    w = windows.sliding_windows(days, ["altitude"], "heart_rate", window_size=10, static_columns=["sport", "record"])
+    weighted = F.aggregate(F.transform("features", lambda f, k: (k + 1) * f[0].cast("double")), F.lit(0.0), lambda a, x: a + x)
+    return w.select("id", "t", "sport", "record", r6(F.col("target").cast("double")).alias("target"), F.round(weighted, 4).alias("altitudes"))
+
+
 # ---------------------------------------------------------------- awkward inputs
 
 _ODD_SQL = """odd AS (

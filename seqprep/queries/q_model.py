@@ -134,6 +134,90 @@ def a7_variant_metrics(spark, sf):
     return m.select("variant", r6("mae").alias("mae"), r6("rmse").alias("rmse"), "n_points")
 
 
+# The sequences of a step, in the order of the flattened window; the last is lagged.
+_FULL = ["te", "alt", "speed", "dist", "hr"]
+
+
+def _full_input_sql() -> str:
+    """The three variants with all five standardized sequences and the codes of
+    user, sport and gender; normal equations of the train rows' windows, solved
+    step by step; every variant scored by the coefficients."""
+    from seqprep.queries.q_corrupt import normal, plan_sql, u32
+    from seqprep.queries.q_kernels import window_sql
+
+    ctes = [O.EV, O.pt_type(), "bp AS (SELECT * FROM pt WHERE n >= 5)", "lens AS (SELECT DISTINCT n::INT AS L FROM bp)",
+            plan_sql("lens", [(0.2, 2)], 42)]
+    for v, name in (("hr", "'heart_rate'"), ("alt", "'altitude'")):
+        ctes += [
+            f"""p_{v} AS (SELECT bp.id, bp.pos, bp.n, bp.{v} AS x, CASE WHEN m.inplan THEN {normal(42, 'bp.id', name, 'bp.pos')} ELSE 0.0 END AS r
+                FROM bp JOIN pmask m ON m.L = bp.n AND m.pos = bp.pos)""",
+            f"""s_{v} AS (SELECT id, var_pop(r) AS vr, covar_pop(x, r) AS cv, any_value({u32(42, 'id', name, "'coin'")} < 2147483648) AS plus,
+                CASE WHEN stddev_pop(x) > 0 THEN stddev_pop(x) WHEN avg(abs(x)) > 0 THEN avg(abs(x)) ELSE 1.0 END AS sg FROM p_{v} GROUP BY id)""",
+            f"""e_{v} AS (SELECT p.id, p.pos, p.n, p.x + p.r * (CASE WHEN vr = 0 THEN 0.0
+                ELSE (-2 * cv + (CASE WHEN plus THEN 1 ELSE -1 END) * sqrt(4 * cv * cv + 12 * vr * sg * sg)) / (2 * vr) END) AS z
+                FROM p_{v} p JOIN s_{v} USING (id))""",
+            f"q_{v} AS (SELECT quantile_cont(z, 0.005) AS lo, quantile_cont(z, 0.995) AS hi FROM e_{v})",
+            f"c_{v} AS (SELECT id, pos, n, greatest(lo, least(hi, z)) AS z FROM e_{v}, q_{v})",
+            f"o_{v} AS ({window_sql(f'c_{v}', 'z', 3, 'median({v})', 'z')})",
+        ]
+    stats = ", ".join(f"avg({v}) AS m{i}, stddev_pop({v}) + 1e-6 AS s{i}" for i, v in enumerate(_FULL))
+    safe = lambda x: f"{x} IS NULL OR isnan({x}) OR isinf({x})"
+    z = ", ".join(
+        f"(({v} - (CASE WHEN {safe(f'm{i}')} THEN 0.0 ELSE m{i} END)) / (CASE WHEN {safe(f's{i}')} OR s{i} <= 1e-12 THEN 1.0 ELSE s{i} END)) AS y{i}"
+        for i, v in enumerate(_FULL))
+    known = ", ".join(f"CASE WHEN {safe(f'y{i}')} THEN 0.0 ELSE y{i}::FLOAT::DOUBLE END AS z{i}" for i in range(5))
+    point = " ".join(f"WHEN f.f = {i} THEN q.z{i}" for i in range(5))
+    ctes += [
+        """cut AS (SELECT quantile_cont(lat, 0.005) AS a0, quantile_cont(lat, 0.995) AS a1,
+                quantile_cont(lon, 0.005) AS o0, quantile_cont(lon, 0.995) AS o1 FROM bp)""",
+        """bc AS (SELECT bp.* REPLACE (greatest(a0, least(a1, lat)) AS lat, greatest(o0, least(o1, lon)) AS lon) FROM bp, cut)""",
+        O.derived("bp", "dp"), O.derived("bc", "dc"),
+        """allv AS (SELECT 'baseline' AS variant, id, pos, te, alt, speed, dist, hr FROM dp
+            UNION ALL SELECT 'corrupted', dp.id, dp.pos, te, e_alt.z, speed, dist, e_hr.z FROM dp JOIN e_alt USING (id, pos) JOIN e_hr USING (id, pos)
+            UNION ALL SELECT 'cleaned', dc.id, dc.pos, te, o_alt.z, speed, dist, o_hr.z FROM dc JOIN o_alt USING (id, pos) JOIN o_hr USING (id, pos))""",
+        """who AS (SELECT id, any_value(userId) AS userId, any_value(sport) AS sport, any_value(gender) AS gender, min(t) AS first_ts FROM bp GROUP BY id)""",
+        """trn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY first_ts, id) AS rn,
+                                  count(*) OVER (PARTITION BY userId) AS cnt FROM who) WHERE rn < floor(cnt * 0.7::DOUBLE))""",
+        """cats AS (SELECT 0 AS c, userId::VARCHAR AS value, min((first_ts, userId, id)) AS k FROM trn GROUP BY 2
+            UNION ALL SELECT 1, sport, min((first_ts, userId, id)) FROM trn GROUP BY 2
+            UNION ALL SELECT 2, gender, min((first_ts, userId, id)) FROM trn GROUP BY 2)""",
+        "enc AS (SELECT c, value, row_number() OVER (PARTITION BY c ORDER BY k) - 1 AS idx FROM cats)",
+        """codes AS (SELECT id, v.c, coalesce(idx, -1)::DOUBLE AS code FROM who, LATERAL (VALUES (0, userId::VARCHAR), (1, sport), (2, gender)) v(c, value)
+            LEFT JOIN enc ON enc.c = v.c AND enc.value IS NOT DISTINCT FROM v.value)""",
+        f"st AS (SELECT userId, {stats} FROM dp WHERE id IN (SELECT id FROM trn) GROUP BY userId)",
+        f"ys AS (SELECT variant, id, pos, hr, {z} FROM allv JOIN who USING (id) LEFT JOIN st USING (userId))",
+        f"zs AS MATERIALIZED (SELECT variant, id, pos, hr, {known} FROM ys)",
+        f"""x AS MATERIALIZED (
+            SELECT p.variant, p.id, p.pos, k.k * 5 + f.f AS feature,
+                   CASE WHEN p.pos - 9 + k.k - (f.f = 4)::INT < 0 THEN 0.0 {point} END AS v
+            FROM zs p CROSS JOIN (SELECT unnest(range(10)) AS k) k CROSS JOIN (SELECT unnest(range(5)) AS f) f
+            LEFT JOIN zs q ON q.variant = p.variant AND q.id = p.id AND q.pos = p.pos - 9 + k.k - (f.f = 4)::INT
+            UNION ALL SELECT variant, zs.id, pos, 50 + c, code FROM zs JOIN codes USING (id)
+            UNION ALL SELECT variant, id, pos, 53, 1.0::DOUBLE FROM zs)""",
+        """t AS MATERIALIZED (SELECT id, pos, feature, v FROM x WHERE variant = 'baseline' AND id IN (SELECT id FROM trn)
+            UNION ALL SELECT id, pos, 54, hr::FLOAT::DOUBLE FROM bp WHERE id IN (SELECT id FROM trn))""",
+        "gram AS (SELECT a.feature AS i, b.feature AS j, sum(a.v * b.v) AS total FROM t a JOIN t b USING (id, pos) WHERE a.feature < 54 GROUP BY i, j)",
+        """cells AS (SELECT i, j, total / (SELECT total FROM gram WHERE i = 53 AND j = 53)
+            + CASE WHEN i = j AND i < 53 THEN 0.001::DOUBLE ELSE 0.0 END AS v FROM gram)""",
+        "lines AS (SELECT i, list(v ORDER BY j) AS line FROM cells GROUP BY i)",
+        """solved AS (SELECT 1 AS step, list(line ORDER BY i) AS m FROM lines
+            UNION ALL SELECT step + 1, list_transform(m, lambda line, r: CASE WHEN r = step THEN list_transform(line, lambda v: v / m[step][step])
+              ELSE list_transform(line, lambda v, c: v - line[step] * m[step][c] / m[step][step]) END) FROM solved WHERE step <= 54)""",
+        "coef AS (SELECT r - 1 AS feature, m[r][55] AS w FROM (SELECT m, unnest(generate_series(1, 54)) AS r FROM solved WHERE step = 55))",
+        "pr AS (SELECT variant, id, pos, sum(v * w) AS pred FROM x JOIN coef USING (feature) GROUP BY variant, id, pos)",
+    ]
+    return "WITH RECURSIVE " + O.with_(*ctes)[5:] + """SELECT variant, round(avg(abs(hr - pred)), 4) AS mae,
+       round(sqrt(avg((hr - pred) * (hr - pred))), 4) AS rmse, count(*)::BIGINT AS n_points
+FROM pr JOIN allv USING (variant, id, pos) WHERE pos >= 1 GROUP BY variant"""
+
+
+@register("a7_full_input", _full_input_sql())
+def a7_full_input(spark, sf):
+    """The variants scored by a linear model on its whole input."""
+    m = variants.compare_variants(fx.seq_type(spark, sf), fit=variants.fit_full_state, score=variants.predict_full)
+    return m.select("variant", F.round("mae", 4).alias("mae"), F.round("rmse", 4).alias("rmse"), "n_points")
+
+
 @register(
     "m1_score_sequences",
     O.with_(O.EV, O.pt_type())

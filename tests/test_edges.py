@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seqprep.operators import clean, derive, encode, scale, split, windows
+from seqprep.operators import clean, derive, encode, evaluate, scale, split, windows
 
 
 def test_split_cut_n90_and_n10(spark):
@@ -233,3 +233,35 @@ def test_package_usage_example_runs(spark):
                                     heartrate_input_column="heart_rate")
     m = evaluate.metrics(scored).first()
     assert m["n_points"] > 0 and m["mae"] >= 0
+
+
+def test_regression_with_static_columns(spark):
+    """Coefficients and scores against the normal equations in NumPy; a row
+    without points and a missing static value do not break either."""
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=n).tolist(), (rng.normal(size=n) + i).tolist(), i % 4) for i, n in enumerate([0, 1, 7, 12, 30, 30])]
+    df = spark.createDataFrame(rows, "id long, x array<double>, hr array<double>, code long")
+    model = evaluate.fit_regressor(df, ["x"], "hr", "hr", window_size=3, reg_param=0.01, static_columns=["code"])
+    a, y = [], []
+    for _, x, hr, code in rows:
+        px, ph = np.float32([0, 0, *x]), np.float32([0, 0, 0, *hr])
+        for t in range(len(x)):
+            a.append([*np.column_stack((px[t : t + 3], ph[t : t + 3])).ravel(), code, 1.0])
+            y.append(np.float32(hr[t]))
+    a, y = np.array(a, float), np.array(y, float)
+    want = np.linalg.solve(a.T @ a / len(a) + np.diag([0.01] * 7 + [0]), a.T @ y / len(a))
+    got = [r["coefficient"] for r in model.orderBy("feature").collect()]
+    assert np.allclose(got, want)
+    unseen = df.unionByName(spark.createDataFrame([(99, [1.0], [2.0], None)], df.schema))
+    scored = evaluate.predict_regressor(unseen, model, ["x"], "hr", 3, ["code"]).orderBy("id").collect()
+    assert np.allclose(np.concatenate([r["predicted_heart_rate"] for r in scored[:-1]]), a @ want)
+    assert np.isnan(scored[-1]["predicted_heart_rate"][0])
+
+
+def test_last_static_record_wins(spark):
+    df = spark.createDataFrame([(1, [1.0]), (2, [2.0]), (None, [3.0])], "id long, x array<double>")
+    records = spark.createDataFrame(
+        [(1, "a", 2), (1, "b", 1), (None, "c", 1), (None, "d", 1)], "id long, sport string, place long")
+    out = windows.attach_static(df, records, ["sport"], ["place"])
+    assert {r["id"]: r["sport"] for r in out.collect()} == {1: "a", 2: None, None: "d"}
+    assert windows.attach_static(df, records.where("false"), ["sport"], ["place"]).count() == 3
