@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from seqprep.functions import sqlx as S
@@ -186,3 +186,15 @@ def clean_report(df: DataFrame, config: CleaningConfig | None = None) -> DataFra
     cfg = config or CleaningConfig()
     v = valid_lengths(df, cfg.seq_float_cols + cfg.seq_int_cols, "timestamp", cfg.min_seq_len)
     return df.groupBy(v.alias("valid")).agg(F.count(F.lit(1)).cast("long").alias("n"))
+
+
+def clean_observed(df: DataFrame, bounds, config: CleaningConfig | None = None, group_by: list[str] | None = None,
+                   name: str = "cleaned") -> tuple[DataFrame, Observation]:
+    """``clean`` with its report as metrics of the same pass: after the first
+    action on the result, e.g. its write, ``observation.get`` holds the rows
+    ``kept`` and ``dropped`` by the length validation. No scan is added."""
+    cfg = config or CleaningConfig()
+    observation = Observation(name)
+    v = F.coalesce(valid_lengths(df, cfg.seq_float_cols + cfg.seq_int_cols, "timestamp", cfg.min_seq_len), F.lit(False))
+    counted = df.observe(observation, F.count_if(v).alias("kept"), F.count_if(~v).alias("dropped"))
+    return clean(counted, bounds, config, group_by), observation

@@ -44,13 +44,22 @@ def part_number(file: Column) -> Column:
     return F.regexp_extract(file, r"part-([0-9]+)[^/]*$", 1).cast("long")
 
 
+# Keys sorted and numbered by one task, in bytes.
+RANGE_BYTES = 64 * 1024 * 1024
+
+
 def ranked_keys(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """Distinct keys with ``_c`` (rows that have the key), ``_rank`` (0-based
-    rank of the first of them in its group) and ``_n`` (rows of the group)."""
+    rank of the first of them in its group) and ``_n`` (rows of the group).
+
+    The keys are written and measured before they are sorted: there are as many
+    ranges as their bytes ask for, and the sampling of the range bounds does not
+    aggregate the rows a second time."""
     pc, oc = list(partition_cols), list(order_cols)
-    keys = df.groupBy(*pc, *oc).agg(F.count(F.lit(1)).alias("_c"))
+    measured = materialize(df.groupBy(*pc, *oc).agg(F.count(F.lit(1)).alias("_c")))
+    keys = measured.df
     order = [F.col(c).asc_nulls_first() for c in [*pc, *oc]]
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-measured.est_bytes // RANGE_BYTES))
     table = write_scratch_table(keys.repartitionByRange(parts, *order).sortWithinPartitions(*order)).select(
         "*", part_number(F.col("_metadata.file_name")).alias("_file"), F.col("_metadata.row_index").alias("_row")
     )

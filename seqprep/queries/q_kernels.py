@@ -11,6 +11,7 @@ from seqprep.functions import arrays as A
 from seqprep.functions.missing import canonical
 from seqprep.operators import clean, derive, profile, validate
 from seqprep.sources import fixtures as fx
+from seqprep.sources.io import write_scratch_table
 
 EVD = """evd AS (SELECT * REPLACE (CASE WHEN e % 11 = 0 THEN NULL WHEN e % 13 = 0 THEN 'nan'::DOUBLE
                                    WHEN e % 17 = 0 THEN 'inf'::DOUBLE ELSE hr END AS hr) FROM ev)"""
@@ -94,6 +95,23 @@ def a9_clean_report(spark, sf):
     return clean.clean_report(_dirty_len_full(spark, sf))
 
 
+@register(
+    "a9_clean_observed",
+    O.with_(O.EV, O.pt_type(), O.seq_of(), _DIRTY_LEN)
+    + """SELECT valid, count(*)::BIGINT AS n, sum(CASE WHEN valid THEN len(timestamp) END)::BIGINT AS points FROM (
+  SELECT *, (len(timestamp) >= 5 AND len(altitude) = len(timestamp)) AS valid FROM dl) GROUP BY valid""",
+)
+def a9_clean_observed(spark, sf):
+    """The counts that came with the write of the cleaned table, beside what was written."""
+    df = write_scratch_table(_dirty_len_full(spark, sf))
+    out, report = clean.clean_observed(df, clean.fit_bounds(df))
+    written = write_scratch_table(out)
+    n = report.get
+    counts = spark.createDataFrame([(True, n["kept"]), (False, n["dropped"])], "valid boolean, n long").where("n > 0")
+    points = written.agg(F.sum(F.size("heart_rate")).cast("long")).scalar()
+    return counts.select("valid", "n", F.when(F.col("valid"), points).alias("points"))
+
+
 @register(
     "p5_coerce_float",
     O.with_(O.EV, EVD, O.pt_type("evd"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from seqprep.operators import clean, inject
 from seqprep.operators.split import split_cuts, temporal_split
 from seqprep.plans.quantiles import exact_quantiles, ordered_key
+from seqprep.plans import rank
 from seqprep.plans.rank import part_number, rank_bands, ranked_keys
 from seqprep.plans.state import materialize
 
@@ -137,3 +138,26 @@ def test_part_files_are_ordered_by_number(spark):
     assert [r["n"] for r in df.collect()] == [100_001, 99_999, 7, 100_000]
     paths = spark.createDataFrame([("file:/a/part-7/part-100000-x.parquet",)], "f string")
     assert paths.select(part_number(F.col("f")).alias("n")).first()["n"] == 100_000
+
+
+def test_ranges_grow_with_the_keys(spark, monkeypatch):
+    """As many ranges as the keys' bytes ask for; the ranks stay the same."""
+    df = spark.createDataFrame(_rows(3), "id long, g long, o long")
+    few = sorted(map(repr, ranked_keys(df, ["g"], ["o", "id"]).collect()))
+    asked = []
+    ranges = type(df).repartitionByRange
+    monkeypatch.setattr(type(df), "repartitionByRange", lambda self, n, *order: (asked.append(n), ranges(self, n, *order))[1])
+    monkeypatch.setattr(rank, "RANGE_BYTES", 1000)
+    many = sorted(map(repr, ranked_keys(df, ["g"], ["o", "id"]).collect()))
+    assert asked[0] > 20 and many == few
+
+
+def test_cleaning_counts_in_the_same_pass(spark):
+    cfg = clean.CleaningConfig(seq_float_cols=["x"], seq_int_cols=["timestamp"], min_seq_len=2)
+    rows = [(1, [1, 2], [1.0, 2.0]), (2, [1], [1.0]), (3, [1, 2], [1.0]), (4, None, None), (5, [1, 2, 3], [None, 2.0, 3.0])]
+    df = spark.createDataFrame(rows, "id long, timestamp array<long>, x array<double>")
+    out, report = clean.clean_observed(df, clean.fit_bounds(df, cfg), cfg)
+    kept = out.collect()
+    assert sorted(r["id"] for r in kept) == [1, 5] and report.get == {"kept": 2, "dropped": 3}
+    empty, none = clean.clean_observed(df.where("false"), clean.fit_bounds(df, cfg), cfg, name="nothing")
+    assert empty.collect() == [] and none.get == {"kept": 0, "dropped": 0}
