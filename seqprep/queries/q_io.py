@@ -9,11 +9,13 @@ from seqprep import oracle_sql as O
 from seqprep.catalog import long_form, r6, register
 from seqprep.operators import clean, derive, encode, inject, split, windows
 from seqprep.queries.q_clean import COLS, EVD, _bounds_sql, _clean_col_sql, _dirty_full, _values_sql
-from seqprep.queries.q_corrupt import normal, plan_sql, u32
-from seqprep.queries.q_tables import _E1_SQL, _J4_SQL, _P3_SQL, _RAW_SQL, _W1_SQL, ENC_COLS, _encoded, _p3, _prepared
+from seqprep.queries.q_corrupt import _inject_sql, normal, plan_sql, u32
+from seqprep.queries.q_tables import (
+    _BUILD_SQL, _E1_SQL, _J4_SQL, _P3_SQL, _RAW_SQL, _W1_SQL, ENC_COLS, _encoded, _p3, _prepared, _raw_stats_sql, _standardized_sql,
+)
 from seqprep.sources import fixtures as fx
 from seqprep.sources import io
-from seqprep.sources.schema import WORKOUT
+from seqprep.sources.schema import PREPROCESSED, STANDARDIZED_COLUMNS, WORKOUT
 from seqprep.streaming import stream
 
 
@@ -113,6 +115,19 @@ def s6_partitioned_outputs(spark, sf):
         F.count(F.lit(1)).alias("n_rows"), F.sum(F.size("y")).cast("long").alias("n_points"), r6(total).alias("y"))
 
 
+@register(
+    "s6_partitioned_values",
+    _inject_sql() + "SELECT sport, std_scale::DOUBLE AS std_scale, id, pos, round(x, 6) AS y, round(e, 6) AS erroneous_y FROM inj",
+)
+def s6_partitioned_values(spark, sf):
+    """Every point of the outputs, clean and corrupted."""
+    path = io.scratch_path(spark, "injected")
+    injected = inject.inject(io.write_scratch_table(fx.seq_vec(spark, sf)), columns=["y"], seed=42)
+    io.write_partitioned(injected.select("id", "sport", "std_scale", "y", "erroneous_y"), path, ["sport", "std_scale"])
+    back = spark.read.parquet(path).withColumn("std_scale", F.col("std_scale").cast("double"))
+    return long_form(back, ["sport", "std_scale", "id"], {"y": "y", "erroneous_y": "erroneous_y"})
+
+
 # ---------------------------------------------------------------- S7: fitted state, stored and loaded
 
 @register("s7_state_round_trip", O.with_(O.EV, O.pt_day(), _P3_SQL, _W1_SQL, _E1_SQL, _J4_SQL) + "SELECT * FROM j4")
@@ -305,7 +320,6 @@ def dataset_export(spark, sf):
     """Train, validation and test tables under the base and the preprocessed
     schema, written and read back."""
     from seqprep.plans import dataset
-    from seqprep.sources.schema import PREPROCESSED
 
     days = io.write_scratch_table(fx.seq_day(spark, sf))
     raw = days.select("id", "timestamp", "altitude")
@@ -325,3 +339,29 @@ def dataset_export(spark, sf):
         F.count(F.lit(1)).alias("n_rows"), F.sum(n).cast("long").alias("n_points"),
         F.sum(F.aggregate("timestamp", F.lit(0).cast("long"), lambda a, t: a + t)).alias("times"),
         F.sum(F.col("code") * n).alias("user_codes"))
+
+
+@register(
+    "dataset_export_values",
+    O.with_(
+        O.EV, O.pt_day(), _P3_SQL, *_BUILD_SQL[:6],
+        "ptv AS (SELECT pt.* REPLACE (l.v AS alt) FROM pt JOIN w1 ON w1.id = pt.id JOIN lastv l ON l.id = pt.id AND l.t = pt.t)",
+        O.derived("ptv"), "st AS (" + _raw_stats_sql("(SELECT * FROM dp WHERE id IN (SELECT id FROM w1 WHERE split = 'train'))") + ")",
+        "z AS (" + _standardized_sql("st", "dp", neutral=False) + ")",
+    )
+    + """SELECT w1.split, z.*, round(dp.alt, 6) AS altitude, j4.userId_idx, j4.sport_idx, j4.gender_idx
+FROM z JOIN dp USING (id, pos) JOIN w1 USING (id) JOIN j4 USING (id)""",
+)
+def dataset_export_values(spark, sf):
+    """Every point of the three tables under the preprocessed schema, as written."""
+    from seqprep.plans import dataset
+
+    days = io.write_scratch_table(fx.seq_day(spark, sf))
+    ts, alt = F.col("timestamp"), F.col("altitude")
+    raw = days.select("id", F.concat(ts, F.array(ts[0])).alias("timestamp"), F.concat(alt, F.array(alt[0] + 1000.0)).alias("altitude"))
+    path = io.scratch_path(spark, "export")
+    dataset.export(dataset.build(days.drop("altitude"), raw), path)
+    parts = [io.read_sequences(spark, f"{path}/preprocessed/{part}", PREPROCESSED).withColumn("split", F.lit(part)) for part in ("train", "val", "test")]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    values = {f"{c}_standardized": f"{c}_standardized" for c in STANDARDIZED_COLUMNS} | {"altitude": "altitude"}
+    return long_form(rows, ["split", "id", *[f"{c}_idx" for c in ENC_COLS]], values)
