@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqprep.plans.rank import rank_bands
-from seqprep.plans.state import as_state
+from seqprep.plans.state import State, materialize
 from seqprep.sources.schema import require_columns
 
 # Raw sport name -> consolidated sport (all others are dropped).
@@ -33,15 +33,20 @@ def consolidate(df: DataFrame, col: str = "sport", mapping: dict | None = None)
     )
 
 
+def keys_with(df: DataFrame, key: str, threshold: int) -> State:
+    """The keys that have at least ``threshold`` rows, as measured state: a
+    partial-aggregated groupBy, which reads the key only."""
+    require_columns(df, [key], "min_count")
+    return materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= threshold).select(key))
+
+
 def min_count(df: DataFrame, key: str = "userId", threshold: int = 10) -> DataFrame:
     """Keep rows whose key has at least ``threshold`` rows.
 
     Counting is a partial-aggregated groupBy; the qualifying keys are joined
     back as a semi join (broadcast only when the key table is measured small;
     otherwise a shuffle join that AQE splits when a key is skewed)."""
-    require_columns(df, [key], "min_count")
-    keep = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= threshold).select(key)
-    return df.join(as_state(keep).side(), on=key, how="left_semi")
+    return df.join(keys_with(df, key, threshold).side(), on=key, how="left_semi")
 
 
 def first_ts(ts: str = "timestamp") -> Column:

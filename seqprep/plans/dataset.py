@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from seqprep.operators import derive, encode, scale, split
 from seqprep.plans.state import State, materialize
+from seqprep.sources.buckets import write_bucketed_together
 from seqprep.sources.io import write_scratch_table, write_sequences
 from seqprep.sources.schema import PREPROCESSED, STANDARDIZED_COLUMNS, WORKOUT
 
@@ -30,13 +31,25 @@ class Built:
     encoder: State
 
 
+def store_inputs(records: DataFrame, raw_signal: DataFrame, path: str, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Store both inputs in buckets of ``id``. Builds on the stored tables attach
+    the signal -- semi join, one record per id, join -- without a shuffle.
+
+    Steps by user are not bucketed: they shuffle counts, moments and keys, while
+    a bucket of a user with a third of all rows would be one task."""
+    stored = write_bucketed_together({"records": records, "signal": raw_signal}, path, "id", buckets)
+    return stored["records"], stored["signal"]
+
+
 def prepare(records: DataFrame, raw_signal: DataFrame, min_rows: int = 10, on_missing: str = "error") -> DataFrame:
     """Attach altitude, derive features, consolidate sports, keep users with
-    at least ``min_rows`` rows."""
+    at least ``min_rows`` rows. Attaching adds no rows, so these are counted in
+    the records before it."""
+    kept = split.keys_with(split.consolidate(records), "userId", min_rows)
     df = derive.attach_signal(records, derive.semi_by_id(raw_signal, records), out="altitude", on_missing=on_missing)
     df = derive.derive_features(derive.with_time_elapsed(df))
     df = split.consolidate(df)
-    return split.min_count(df, "userId", min_rows)
+    return df.join(kept.side(), on="userId", how="left_semi")
 
 
 def build(records: DataFrame, raw_signal: DataFrame, min_rows: int = 10) -> Built:

@@ -9,6 +9,7 @@ from seqprep.catalog import long_form, r6, register
 from seqprep.operators import derive, encode, scale, split
 from seqprep.sources import fixtures as fx
 from seqprep.sources import io
+from seqprep.sources.buckets import read_bucketed
 from seqprep.sources.io import read_sequences, scratch_path, write_scratch_table, write_sequences
 from seqprep.sources.schema import STANDARDIZED_COLUMNS
 
@@ -339,25 +340,41 @@ _BUILD_SQL = [
 ]
 
 
-@register(
-    "dataset_build",
-    O.with_(O.EV, O.pt_day(), _P3_SQL, *_BUILD_SQL)
-    + """SELECT w1.id, w1.split, j4.userId_idx, j4.sport_idx, j4.gender_idx,
+_DATASET_SQL = O.with_(O.EV, O.pt_day(), _P3_SQL, *_BUILD_SQL) + """SELECT w1.id, w1.split, j4.userId_idx, j4.sport_idx, j4.gender_idx,
        round(agg.altitude_sum, 6) AS altitude_sum, round(agg.hr_z_sum, 6) AS hr_z_sum
-FROM w1 JOIN j4 USING (id) JOIN agg USING (id)""",
-)
-def dataset_build(spark, sf):
-    from seqprep.plans import dataset
+FROM w1 JOIN j4 USING (id) JOIN agg USING (id)"""
 
+
+def _dataset_inputs(spark, sf):
+    """Records without altitude, and raw records in which the first time is repeated."""
     days = write_scratch_table(fx.seq_day(spark, sf))
-    records = days.drop("altitude")
     ts, alt = F.col("timestamp"), F.col("altitude")
     raw = days.select("id", F.concat(ts, F.array(ts[0])).alias("timestamp"),
                       F.concat(alt, F.array(alt[0] + 1000.0)).alias("altitude"))
-    built = dataset.build(records, raw).data
+    return days.drop("altitude"), raw
+
+
+def _dataset_rows(built):
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
     return built.select(
         "id", "split", "userId_idx", "sport_idx", "gender_idx",
         r6(total(F.col("altitude"))).alias("altitude_sum"),
         r6(total(F.col("heart_rate_standardized"))).alias("hr_z_sum"),
     )
+
+
+@register("dataset_build", _DATASET_SQL)
+def dataset_build(spark, sf):
+    from seqprep.plans import dataset
+
+    return _dataset_rows(dataset.build(*_dataset_inputs(spark, sf)).data)
+
+
+@register("dataset_build_bucketed", _DATASET_SQL)
+def dataset_build_bucketed(spark, sf):
+    """The same build on inputs stored in buckets of id, opened again from their paths."""
+    from seqprep.plans import dataset
+
+    path = scratch_path(spark, "inputs")
+    dataset.store_inputs(*_dataset_inputs(spark, sf), path)
+    return _dataset_rows(dataset.build(read_bucketed(spark, f"{path}/records"), read_bucketed(spark, f"{path}/signal")).data)
