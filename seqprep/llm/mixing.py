@@ -6,8 +6,11 @@ The stretch is cut into blocks, so each source has an exact quota of blocks.
 A splitting tree over the output shards halves the quotas level by level: a
 node draws how many blocks of each source go left from the multivariate
 hypergeometric distribution, so leaves hold exact shares that add up to the
-quotas. A source's blocks are then permuted and dealt to the shards as disjoint
-runs of those lengths, and every shard is ordered by a hash of its pieces.
+quotas. A source's blocks are then permuted (a keyed Feistel network, one-to-one
+for any number of blocks) and dealt to the shards as disjoint runs of those
+lengths, and every shard is ordered by a hash of its pieces. A piece belongs to
+the block in which it begins, so a shard's words are exact in blocks and differ
+by the documents that reach over a block's end.
 
 Native throughout: DataFrame and SQL functions only. Texts are read once for
 their word counts; prefix sums go over buckets of ``BUCKET_ROWS`` documents,
@@ -33,8 +36,10 @@ BUCKET_ROWS = 512
 CHUNK_BITS = 10  # buckets of a chunk, as a power of two
 BLOCK_WORDS = 16_384
 ROW_BYTES = 256
-# Any prime above the block count: its multiples permute the block numbers.
-STRIDE = 2_147_483_647
+# Rounds of the block permutation, and how often it may be applied until a block
+# number is in range (each time fails for under one in sqrt(blocks) of them).
+ROUNDS = 6
+WALKS = 40
 
 
 def _hash(*parts: Column, digits: int = 15) -> Column:
@@ -137,6 +142,26 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     return nodes.selectExpr("lo AS shard", "posexplode(q) AS (sid, n)").select("sid", F.col("shard").cast("int"), "n")
 
 
+def permuted(rows: DataFrame, x: str, n: str, key: str, out: str) -> DataFrame:
+    """Add ``out``: the place of ``x`` in a permutation of 0 to ``n`` - 1 chosen by
+    the SQL expression ``key``.
+
+    A Feistel network on pairs (l, r) of a grid of a x b cells, a the rounded up
+    root of n: the halves in turn are shifted by a hash of the other, which is
+    one-to-one on the grid. Cells from n on (fewer than a) are walked through
+    until a number is in range, which keeps it one-to-one below n."""
+    grid = rows.withColumn("_a", F.greatest(F.lit(1), F.ceil(F.sqrt(F.col(n)))).cast("long")).withColumn("_b", F.expr(f"({n} + _a - 1) DIV _a"))
+    shift = lambda half, size: f"pmod(xxhash64({key}, i, s.{half}), {size})"
+    once = f"""aggregate(sequence(1, {ROUNDS}), named_struct('l', w.v DIV _b, 'r', w.v % _b),
+        (s, i) -> IF(i % 2 = 1, named_struct('l', (s.l + {shift('r', '_a')}) % _a, 'r', s.r),
+                                named_struct('l', s.l, 'r', (s.r + {shift('l', '_b')}) % _b)),
+        s -> s.l * _b + s.r)"""
+    walk = f"""aggregate(sequence(1, {WALKS}), named_struct('v', CAST({x} AS BIGINT), 'found', false),
+        (w, j) -> IF(w.found, w, element_at(transform(array({once}), v -> named_struct('v', v, 'found', v < {n})), 1)),
+        w -> IF(w.found, w.v, CAST(raise_error('no block number in range') AS BIGINT)))"""
+    return grid.withColumn(out, F.expr(walk)).drop("_a", "_b")
+
+
 def mix_sources(
     docs: DataFrame, weights: DataFrame | None = None, cycle: tuple[float, ...] = (5, 2, 1), cap: int = 3,
     shards: int | None = None, block_words: int = BLOCK_WORDS, seed: int = 7,
@@ -172,19 +197,20 @@ def mix_sources(
         F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("quota") - F.col("start") - e * F.col("source_size"))).alias("words"),
     )), lambda p: p["words"] > 0)
     pieces = placed_rows.withColumn("piece", F.explode_outer(epochs)).select(
-        "id", "source", "size", "source_size", "target", "sid", "_file", "_row", "blocks",
+        "id", "source", "size", "source_size", "target", "sid", "_file", "_row",
         F.coalesce("piece.epoch", F.lit(0)).cast("int").alias("epoch"), F.coalesce("piece.words", F.lit(0)).cast("long").alias("words"),
-        F.floor(F.col("piece.at") / block_words).cast("long").alias("block"),
+        # rows that are not taken get scattered numbers that no block has
+        F.when(F.col("piece.words") > 0, F.floor(F.col("piece.at") / block_words).cast("long"))
+        .otherwise(F.lit(-1).cast("long") - F.pmod(F.xxhash64("_file", "_row"), F.lit(1 << 31))).alias("block"),
     )
-    permuted = F.pmod(F.col("block") * (F.lit(STRIDE) % F.col("blocks")) + _hash(F.lit(seed), F.col("sid"), digits=7), F.col("blocks"))
-    pieces = pieces.withColumn("turn", F.when(F.col("words") > 0, permuted))
 
     runs = split_quotas(plan.select("sid", "blocks"), shards, seed)
     run = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    dealt = runs.withColumn("first", F.coalesce(F.sum("n").over(run), F.lit(0))).filter("n > 0").select(
-        "sid", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("turn")
+    turns = runs.withColumn("first", F.coalesce(F.sum("n").over(run), F.lit(0))).filter("n > 0").join(side.select("sid", "blocks"), "sid").select(
+        "sid", "blocks", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("turn")
     )
-    return pieces.join(written(dealt, "dealt"), ["sid", "turn"], "left").select(
+    dealt = permuted(turns, "turn", "blocks", f"{seed}L, sid", "block").select("sid", "block", "shard")
+    return pieces.join(written(dealt, "dealt"), ["sid", "block"], "left").select(
         "id", "source", "size", "source_size", "target", "epoch", "words", "shard",
         _hash(F.lit(seed), F.col("shard"), F.col("id"), F.col("epoch")).alias("order_key"), "_file", "_row",
     )
