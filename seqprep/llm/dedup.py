@@ -21,7 +21,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqprep.llm.common import WS, as_scan, scratch_path, small_side, text_of, whole_rows, with_locator, written
+from seqprep.llm.common import WS, as_scan, partitions_for, scratch_path, small_side, text_of, whole_rows, with_locator, written
 
 # The state store: RocksDB, which does not reserve disk ahead of use (a store
 # exists per state partition, so reserved space would be many times the state).
@@ -58,12 +58,15 @@ def _settings(spark: SparkSession, settings: dict[str, str]):
                 spark.conf.set(key, value)
 
 
-def run_state(spark: SparkSession, keys_path: str, schema, checkpoint: str) -> DataFrame:
+def run_state(spark: SparkSession, keys_path: str, schema, checkpoint: str, partitions: int | None = None) -> DataFrame:
     """Feed every new file of ``keys_path`` (``digest, id, _file, _row``) through
     the keyed state at ``checkpoint`` and return the state: ``digest, keeper, n``.
 
-    Calling it again after more files arrived resumes from the same state."""
-    with _settings(spark, STATE_STORE):
+    Calling it again after more files arrived resumes from the same state. The
+    number of state partitions follows the keys' size at the first run and is then
+    fixed in the checkpoint: a state meant to grow gets its ``partitions``."""
+    partitions = partitions or partitions_for(spark.read.schema(schema).parquet(keys_path))
+    with _settings(spark, STATE_STORE | {"spark.sql.shuffle.partitions": str(partitions)}):
         rows = spark.readStream.schema(schema).parquet(keys_path)
         first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "_file", "_row"))
         state = rows.groupBy("digest").agg(first.alias("keeper"), F.count(F.lit(1)).alias("n"))
