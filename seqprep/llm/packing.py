@@ -8,8 +8,9 @@ of the other, until one partition is left with near-equal windows. ``k``
 starts at the fewest windows that could hold the tokens and rises whenever a
 window exceeds the capacity.
 
-A group is ``GROUP`` consecutive documents of one partition, so memory is
-bounded, nothing is shuffled, and padding is under one window per group.
+A group is ``GROUP`` consecutive documents of one partition, or fewer once they
+hold ``GROUP_TOKENS`` ids, so memory is bounded by a group and the longest text,
+nothing is shuffled, and padding is under one window per group.
 
 Defined results: a null or empty text is packed as its end id alone; repeated
 rows are packed once each; rows with null ids are packed too; an empty table
@@ -33,6 +34,7 @@ from seqprep.llm.common import bounded_batches
 
 ITEM = 256
 GROUP = 512
+GROUP_TOKENS = 1 << 21
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -116,10 +118,10 @@ def _packer(tokenizer_path: str, end_id: int, capacity: int, with_ids: bool):
 
         enc, end = encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
         base = TaskContext.get().partitionId() << 32
-        ids, coded = [], []
+        ids, coded, held = [], [], 0
 
         def flush():
-            nonlocal base
+            nonlocal base, held
             rows = list(_pieces([len(raw) // 4 for raw in coded], capacity))
             last = max((r[3] for r in rows), default=-1)
             d, start, length, sequence, offset = (np.array(c, np.int64) for c in zip(*rows))
@@ -136,6 +138,7 @@ def _packer(tokenizer_path: str, end_id: int, capacity: int, with_ids: bool):
             base += last + 1
             ids.clear()
             coded.clear()
+            held = 0
             return pa.RecordBatch.from_arrays(arrays, names=names + ["ids"] * with_ids)
 
         for batch in batches:
@@ -143,7 +146,8 @@ def _packer(tokenizer_path: str, end_id: int, capacity: int, with_ids: bool):
             for doc, n, to in zip(batch.column(0).to_pylist(), sizes.tolist(), np.cumsum(sizes).tolist()):
                 ids.append(doc)
                 coded.append(flat[to - n : to].tobytes() + end)
-                if len(coded) == GROUP:
+                held += n + 1
+                if len(coded) == GROUP or held >= GROUP_TOKENS:
                     yield flush()
         if coded:
             yield flush()
