@@ -309,7 +309,8 @@ def _bucket(count: np.ndarray) -> np.ndarray:
 
 def _merge_pairs(model: Model):
     """Sum a shard's pairs, keep them in a file, and return how often each
-    (context bucket, leave-one-out ratio to the word's probability) occurs."""
+    (context bucket, leave-one-out ratio to the word's probability) occurs, and
+    under -1 - shard the number of its pairs."""
 
     def merge(key, table):
         shard = key[0].as_py()
@@ -324,7 +325,9 @@ def _merge_pairs(model: Model):
             bins = np.where(ratio > 0, np.clip(np.floor(3 * np.log2(np.maximum(ratio, 1e-30))) + 16, 1, BINS - 1), 0).astype(np.int64)
         seen = np.bincount(_bucket(of_context) * BINS + bins, weights=n, minlength=BUCKETS * BINS)
         at = np.flatnonzero(seen)
-        return pa.table({"cell": pa.array(at, pa.int32()), "n": pa.array(seen[at], pa.float64())})
+        # one more row says how many pairs the shard's file has
+        cell, number = np.append(at, -1 - shard), np.append(seen[at], len(n))
+        return pa.table({"cell": pa.array(cell, pa.int32()), "n": pa.array(number, pa.float64())})
 
     return merge
 
@@ -341,8 +344,21 @@ def fit_weights(cells: np.ndarray) -> tuple[float, ...]:
     return tuple(float(x) for x in np.where(total > 0, k, 0.0))
 
 
-def _build_pairs(model: Model):
-    """Write a shard's level two from its summed pairs."""
+def _counted(path: str, shard: int, pairs: int) -> list[np.ndarray]:
+    """A shard's summed pairs; an error where the file that another executor wrote
+    is not there or not whole, as in a folder that is not shared."""
+    if not pairs:
+        return [np.zeros(0, np.uint64)] * 3
+    if not os.path.exists(path):
+        raise FileNotFoundError(f"{path} with the {pairs} pairs of shard {shard} is not visible here: spark.checkpoint.dir must be shared")
+    arrays = list(read_arrays(path).values())
+    if len(arrays[0]) != pairs:
+        raise OSError(f"{path} has {len(arrays[0])} pairs of shard {shard}, not {pairs}")
+    return arrays
+
+
+def _build_pairs(model: Model, pairs: np.ndarray):
+    """Write a shard's level two from its summed pairs, ``pairs`` of each shard."""
 
     def build(batches):
         weights = np.array(model.weights)
@@ -351,7 +367,7 @@ def _build_pairs(model: Model):
             for shard in batch.column(0).to_pylist():
                 raw = f"{model.path}/counts-{shard}"
                 if not os.path.exists(f"{model.path}/pairs-{shard}"):
-                    c, w, n = read_arrays(raw).values() if os.path.exists(raw) else (np.zeros(0, np.uint64),) * 3
+                    c, w, n = _counted(raw, shard, int(pairs[shard]))
                     of_context = counts_of(model, c.astype(np.int64))
                     k = weights[_bucket(of_context)]
                     p = k * n / np.maximum(of_context, 1) + (1 - k) * model.p_word(counts_of(model, w.astype(np.int64)))
@@ -373,7 +389,7 @@ def _build_pairs(model: Model):
 def train(texts: DataFrame, text_col: str = "text", shards: int | None = None) -> Model:
     """Count every row of ``texts`` and build the trie in the checkpoint folder.
 
-    The driver receives two numbers per shard and the weights' table of
+    The driver receives three numbers per shard and the weights' table of
     ``BUCKETS * BINS`` cells."""
     spark = texts.sparkSession
     bounded_batches(spark)
@@ -389,13 +405,16 @@ def train(texts: DataFrame, text_col: str = "text", shards: int | None = None) -
     _empty_shards(path, [s for s in range(shards) if s not in sizes], shards)
     bases = np.concatenate(([0], np.cumsum([sizes.get(s, 0) for s in range(shards)])))
     model = Model(path, tuple(int(b) for b in bases), sum(r["tokens"] for r in built))
-    cells = np.zeros(BUCKETS * BINS)
+    cells, pairs = np.zeros(BUCKETS * BINS), np.zeros(shards, np.int64)
     if model.tokens:
         merged = raw.mapInArrow(_count_pairs(model), block).groupBy("shard").applyInArrow(_merge_pairs(model), "cell int, n double")
         for r in merged.groupBy("cell").agg(F.sum("n").alias("n")).collect():
-            cells[r["cell"]] = r["n"]
+            if r["cell"] >= 0:
+                cells[r["cell"]] = r["n"]
+            else:
+                pairs[-1 - r["cell"]] = r["n"]
     model = Model(path, model.bases, model.tokens, fit_weights(cells.reshape(BUCKETS, BINS)))
-    spark.range(shards, numPartitions=shards).selectExpr("CAST(id AS INT) AS shard").mapInArrow(_build_pairs(model), "shard int").count()
+    spark.range(shards, numPartitions=shards).selectExpr("CAST(id AS INT) AS shard").mapInArrow(_build_pairs(model, pairs), "shard int").count()
     return model
 
 
