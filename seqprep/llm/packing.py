@@ -161,7 +161,8 @@ def pack_documents(
 ) -> DataFrame:
     """One row per piece: its document, place in the document, sequence and
     offset there (and its ids). Every id of every document is in one piece."""
-    bounded_batches(docs.sparkSession)
+    # cutting a text takes many times its bytes in a worker, so runs of long texts go in small batches
+    bounded_batches(docs.sparkSession, size=8 << 20)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(
         _packer(tokenizer_path, end_id, capacity, with_ids), SCHEMA + (", ids array<int>" if with_ids else "")
