@@ -43,7 +43,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 tokens."""
-    return pack_documents(docs, tokenizer_path(), end_id=0, capacity=1024, with_ids=True)
+    # the executors' heaps are full by now, so the workers beside them are kept small
+    return pack_documents(
+        docs, tokenizer_path(), end_id=0, capacity=1024, with_ids=True, batch_bytes=1 << 20, kept_pieces=150_000
+    )
 
 
 STAGES = [("quality", quality), ("exact_dedup", exact), ("near_dedup", near), ("mixing", mix), ("packing", packing)]

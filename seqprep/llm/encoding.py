@@ -147,8 +147,12 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder of a vocabulary file."""
+def encoder(path: str, kept: int = KEPT_PIECES) -> Encoder:
+    """The worker's encoder of a vocabulary file, keeping ``kept`` pieces."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    found = _ENCODERS[path]
+    if kept < found.kept:  # a worker may come from a query that kept more
+        found.pieces, found.old = {}, {}
+    found.kept = kept
+    return found

@@ -31,10 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqprep.llm.common import bounded_batches
+from seqprep.llm.encoding import KEPT_PIECES
 
 ITEM = 256
 GROUP = 512
 GROUP_TOKENS = 1 << 21
+BATCH_BYTES = 8 << 20
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -110,13 +112,13 @@ def _pieces(lengths: list[int], capacity: int) -> Iterator[tuple[int, int, int,
         sequence += 1
 
 
-def _packer(tokenizer_path: str, end_id: int, capacity: int, with_ids: bool):
+def _packer(tokenizer_path: str, end_id: int, capacity: int, with_ids: bool, kept_pieces: int = KEPT_PIECES):
     names = [c.split()[0] for c in SCHEMA.split(", ")]
 
     def pack(batches):
         from seqprep.llm.encoding import encoder
 
-        enc, end = encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
+        enc, end = encoder(tokenizer_path, kept_pieces), np.array([end_id], "<u4").tobytes()
         base = TaskContext.get().partitionId() << 32
         ids, coded, held = [], [], 0
 
@@ -157,13 +159,16 @@ def _packer(tokenizer_path: str, end_id: int, capacity: int, with_ids: bool):
 
 def pack_documents(
     docs: DataFrame, tokenizer_path: str, end_id: int = 0, capacity: int = 1024, with_ids: bool = False,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES, kept_pieces: int = KEPT_PIECES,
 ) -> DataFrame:
     """One row per piece: its document, place in the document, sequence and
-    offset there (and its ids). Every id of every document is in one piece."""
+    offset there (and its ids). Every id of every document is in one piece.
+
+    Smaller ``batch_bytes`` and ``kept_pieces`` (encoded pieces that a worker
+    remembers) take less memory and more time; the rows are the same."""
     # cutting a text takes many times its bytes in a worker, so runs of long texts go in small batches
-    bounded_batches(docs.sparkSession, size=8 << 20)
+    bounded_batches(docs.sparkSession, size=batch_bytes)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(
-        _packer(tokenizer_path, end_id, capacity, with_ids), SCHEMA + (", ids array<int>" if with_ids else "")
+        _packer(tokenizer_path, end_id, capacity, with_ids, kept_pieces), SCHEMA + (", ids array<int>" if with_ids else "")
     )

@@ -9,7 +9,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from seqprep.llm import dedup, lm, mixing, packing
+import corpus_pipeline
+from seqprep.llm import dedup, encoding, lm, mixing, packing
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -95,6 +96,36 @@ def test_groups_end_at_their_tokens(monkeypatch):
     assert max(held.values()) <= 1024 and min(held) >= 2 << 32
 
 
+# ---- packing: memory of a worker ----
+
+
+def test_few_kept_pieces_and_small_batches_pack_the_same(spark, monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 9))) for _ in range(60)) for _ in range(40)] + [None, "", "a  b"]
+    monkeypatch.setattr(encoding, "_ENCODERS", {})
+    first = encoding.encoder(BPE)
+    want = [first.encode(pa.array([t], pa.string()))[0].tolist() for t in texts]
+    few = encoding.encoder(BPE, 200)
+    assert few is first and not few.pieces and not few.old  # what a query before it kept is gone
+    held = []
+    for text, ids in zip(texts, want):
+        assert few.encode(pa.array([text], pa.string()))[0].tolist() == ids
+        held.append(len(few.pieces) + len(few.old))
+    assert max(held) <= 400 < len({w for t in texts for w in (t or "").split()})
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    plain = packing.pack_documents(docs, BPE, with_ids=True).collect()
+    assert packing.pack_documents(docs, BPE, with_ids=True, batch_bytes=1 << 10, kept_pieces=200).collect() == plain
+
+
+def test_the_pipelines_packing_keeps_its_workers_small(spark, monkeypatch):
+    kept = []
+    packer = packing._packer
+    monkeypatch.setattr(packing, "_packer", lambda *a: kept.append(a[4]) or packer(*a))
+    docs = spark.createDataFrame([(1, "one two")], "doc_id long, text string")
+    assert corpus_pipeline.packing(spark, docs, "").count() == 1
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 1 << 20 and kept == [150_000]
+
+
 # ---- language model: counts of other executors ----
 
 
