@@ -37,6 +37,20 @@ def test_encoder_equals_the_tokenizer_on_awkward_texts():
         assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == want
 
 
+def test_encoder_keeps_pieces_in_arrays_and_encodes_new_ones_joined(monkeypatch):
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyzABCéßøŁ"
+    word = lambda: "".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) + rng.choice(["", "", ".", "!", ",.", "1", "'s"])
+    texts = ["\n".join(" ".join(word() for _ in range(rng.randint(1, 6))) for _ in range(30)) for _ in range(60)]
+    enc, plain = Encoder(BPE), Tokenizer.from_file(BPE)
+    monkeypatch.setattr(enc, "_whole", None)  # no text or piece is encoded by itself
+    for _ in range(2):
+        ids, sizes = enc.encode(pa.array(texts, pa.string()))
+        want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == want
+    assert len(enc.pieces) > 3000 and enc.pieces.nbytes + enc.ids.nbytes < 60 * len(enc.pieces)
+
+
 # ---- Elias-Fano ----
 
 
