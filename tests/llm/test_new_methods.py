@@ -6,7 +6,9 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from seqprep.llm import induce, infill, periods, repeats
@@ -114,6 +116,23 @@ def test_long_texts_are_cut_into_chunks(spark, monkeypatch):
     assert want[0][1] > 4000
 
 
+def test_short_texts_are_hashed_in_groups_that_fit_a_cache(monkeypatch):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(rng.choice([0, 90, 399, 400, 2000]))).encode() for _ in range(400)]
+    texts[7] = texts[7] + b"x" * 150_000  # one longer than a group stays whole
+    held, anchors = [], repeats.anchors
+    monkeypatch.setattr(repeats, "anchors", lambda raw, *a: held.append(len(raw)) or anchors(raw, *a))
+    column = pa.array(texts, pa.binary())
+    rows = pa.RecordBatch.from_arrays([pa.array([5] * 400), pa.array(range(400)), column], names=["file", "row", "text"])
+    (got,) = repeats._anchor_batches(400)([rows])
+    assert max(n for n in held if n < 150_000) <= 1 << 17 and len([n for n in held if n >= 150_000]) == 1
+    starts = sorted((r["row"], s) for r in got.to_pylist() for s in range(r["a"], r["b"] + 1))
+    assert starts == [(i, s) for i, t in enumerate(texts) for s in range(len(t) - 399)]  # every start once
+    for r in got.to_pylist()[::50]:
+        text = texts[r["row"]][r["a"] : r["b"] + 400]
+        assert r["digest"] == np.array(xxhash.xxh64_intdigest(text), np.uint64).view(np.int64) and r["a"] <= r["at"] <= r["a"] + 300 + r["b"] - r["a"]
+
+
 def test_repeated_strings_on_odd_rows(spark, odd, empty):
     got = Counter((r["id"], r["n_bytes"], r["n_removed"], r["sha"]) for r in cut(odd))
     rows = [(r["doc_id"], (r["text"] or "").encode()) for r in odd.collect()]
