@@ -37,8 +37,9 @@ BINS = 8
 ROUNDS = 200
 RATE = 0.1
 RIDGE = 1e-3
-# Bytes of text that are turned into features at a time.
-CHUNK = 4 << 20
+# Bytes of text that are turned into features at a time; that takes many times as much.
+CHUNK = 1 << 20
+BATCH_BYTES = 1 << 20
 
 FEATURES = ("length", "words", "word_length", "upper", "digits", "space", "marks", "symbols", "wide", "distinct", "repeated", "ending")
 
@@ -210,7 +211,7 @@ def fit_quality(
 ) -> Field:
     """Fit the field on the labelled documents that ``learn`` (a condition on
     the labels table) admits, at most ``limit`` of them."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, size=BATCH_BYTES)
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
     known = known if learn is None else known.filter(learn)
     # one label per document: rows that repeat an id must not depend on order
@@ -240,7 +241,7 @@ def fit_quality(
 
 def score_quality(docs: DataFrame, field: Field, text_col: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the quality of each text in ``out``."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, size=BATCH_BYTES)
 
     @F.pandas_udf("double")
     def score(texts):

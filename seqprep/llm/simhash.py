@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqprep.llm.common import as_scan, small_side, whole_rows, with_locator, written
+from seqprep.llm.common import as_scan, bounded_batches, small_side, whole_rows, with_locator, written
 from seqprep.llm.components import connected_components
 
 SEED = 42
@@ -37,6 +37,8 @@ BITS = 64
 PLACE_BYTES = 256
 # Bucket members that are still paired with each other.
 BUCKET = 32
+# Bytes of an Arrow batch of texts.
+BATCH_BYTES = 1 << 20
 
 
 def simhash(text: bytes | None, shingle: int) -> int:
@@ -117,6 +119,7 @@ def simhash_dedup(
     """One row per input row: ``id``, ``fp`` (signed 64 bits), ``component_id``
     (the smallest id that links lead to, its own included), ``kept`` (the one
     row of the class that stays: the smallest id, then place), ``_file, _row``."""
+    bounded_batches(docs.sparkSession, size=BATCH_BYTES)
     fingerprint = fingerprint_udf(shingle)
     text = F.col(text_col).cast("string").cast("binary")
     rows = written(with_locator(as_scan(docs), [F.col(id_col).alias("id"), fingerprint(text).alias("fp")]), "fps")

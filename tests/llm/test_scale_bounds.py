@@ -126,6 +126,23 @@ def test_the_pipelines_packing_keeps_its_workers_small(spark, monkeypatch):
     assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 1 << 20 and kept == [150_000]
 
 
+def test_the_pipelines_stages_keep_executors_small(spark, monkeypatch, tmpdir_path):
+    batch = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.createDataFrame([(i, f"some words {i % 3} of a text") for i in range(30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    labels.write.parquet(f"{tmpdir_path}/labels.parquet")
+    for stage in (corpus_pipeline.quality, corpus_pipeline.near):
+        spark.conf.set(batch, str(32 << 20))
+        stage(spark, docs, tmpdir_path).count()
+        assert int(spark.conf.get(batch)) <= 1 << 20
+    # the stores are bounded together, when the state is built and when it is read
+    bounded, seen = "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", []
+    kept = dedup.written
+    monkeypatch.setattr(dedup, "written", lambda df, kind: seen.append((kind, spark.conf.get(bounded, None))) or kept(df, kind))
+    assert corpus_pipeline.exact(spark, docs, "").count() == 3
+    assert dict(seen)["groups"] == "true" and dict(seen)["hits"] is None
+
+
 # ---- language model: counts of other executors ----
 
 
