@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from seqprep.llm import dedup, encoding, lm, mixing, packing
+from seqprep.llm import dedup, encoding, lm, mixing, packing, repeats
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -143,6 +143,34 @@ def test_the_pipelines_stages_keep_executors_small(spark, monkeypatch, tmpdir_pa
     assert dict(seen)["groups"] == "true" and dict(seen)["hits"] is None
 
 
+# ---- repeated strings: files of the tables in between ----
+
+
+def test_repeats_write_few_files(spark, monkeypatch, tmpdir_path):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(500)]
+    shared = " ".join(rng.choice(words) for _ in range(120))
+    texts = [" ".join(rng.choice(words) for _ in range(60)) + shared + str(i) + shared for i in range(120)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(40).write.parquet(f"{tmpdir_path}/docs")
+    docs = spark.read.parquet(f"{tmpdir_path}/docs")
+    most, files = 2 * spark.sparkContext.defaultParallelism, {}
+
+    def counted(df, kind):
+        out = keep(df, kind)
+        files[kind] = len(out.inputFiles())
+        return out
+
+    keep = repeats.written
+    monkeypatch.setattr(repeats, "written", counted)
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.files.openCostInBytes": "64m", "spark.sql.files.maxPartitionBytes": "64m"}
+    with dedup._settings(spark, settings):
+        done = repeats.remove_repeats(docs, hot=2)
+        assert done.count() == 120 and done.rdd.getNumPartitions() <= most < docs.rdd.getNumPartitions()
+    assert {"anchors", "regions", "region-texts"} <= set(files)
+    assert max(files[k] for k in ("anchors", "regions", "region-texts")) <= most
+
+
 # ---- language model: counts of other executors ----
 
 
